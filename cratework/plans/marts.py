@@ -87,13 +87,15 @@ def sell_in(
     )
 
 
-def territory_rollup(sales: DataFrame, amount: str = "amount") -> DataFrame:
+def territory_rollup(sales: DataFrame, amount: str = "amount", lines: str | None = None) -> DataFrame:
     """Totals by territory and region, with subtotals and the grand total.
 
-    ``level`` is 0 for a region, 1 for a territory, 3 for all.
+    ``lines`` names a count column where the input is summed already. Rows are reduced
+    to regions before the roll-up multiplies them. ``level`` is 0 for a region, 1 for a
+    territory, 3 for all.
     """
     by_region = sales.groupBy("sales_territory", "region_name").agg(
-        F.sum(amount).alias("amount"), F.count("*").alias("n_lines")
+        F.sum(amount).alias("amount"), F.sum(F.col(lines) if lines else F.lit(1)).alias("n_lines")
     )
     return by_region.rollup("sales_territory", "region_name").agg(
         F.sum("amount").alias("amount"),
@@ -121,30 +123,24 @@ def patient_demand(receipt_lines: DataFrame, cancelled_lines: DataFrame) -> Data
     )
 
 
-def daily_spine(daily: DataFrame, keys: list[str], day: str) -> DataFrame:
-    """Every day between each key's first and last one."""
-    span = daily.groupBy(*keys).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
-    return span.select(*keys, F.explode(F.sequence("first_day", "last_day")).alias(day))
-
-
 def days_of_stock(stock: DataFrame, sales: DataFrame, window_days: int = 28) -> DataFrame:
     """Stock over mean daily sales of the trailing window, and breaches of the agreed cap.
 
     ``stock``: product_id, day, on_hand (end of day). ``sales``: product_id, day,
     quantity, any number of rows. Sales are summed per day before the window, so a
-    window partition has one row per calendar day. The length of the window is our choice.
+    window partition has one row per calendar day at most; days without rows count in
+    the mean but need no row. The length of the window is our choice.
     """
     sold = sales.groupBy("product_id", "day").agg(F.sum("quantity").alias("sold"))
     held = stock.groupBy("product_id", "day").agg(F.sum("on_hand").alias("on_hand"))
     both = held.join(sold, ["product_id", "day"], "full_outer")
-    full = daily_spine(both, ["product_id"], "day").join(both, ["product_id", "day"], "left")
-    trailing = (
-        Window.partitionBy("product_id").orderBy(F.unix_date("day")).rangeBetween(-(window_days - 1), Window.currentRow)
-    )
-    trailed = full.withColumns(
+    product = Window.partitionBy("product_id").orderBy(F.unix_date("day"))
+    trailing = product.rangeBetween(-(window_days - 1), Window.currentRow)
+    since_first = F.datediff("day", F.first("day").over(product)) + 1
+    trailed = both.withColumns(
         {
             "window_sold": F.sum(F.coalesce("sold", F.lit(0))).over(trailing),
-            "window_days": F.count("*").over(trailing),
+            "window_days": F.least(F.lit(window_days), since_first).cast("bigint"),
         }
     )
     days = ratio(F.col("on_hand") * F.col("window_days"), F.col("window_sold"))
@@ -302,7 +298,7 @@ def order_status(filled_items: DataFrame) -> DataFrame:
 def share_of_volume(sales: DataFrame, by: list[str], amount: str) -> DataFrame:
     """Each group's share of the total; the total is one number, not a window over all rows."""
     grouped = sales.groupBy(*by).agg(F.sum(amount).alias("volume"))
-    total = sales.agg(F.sum(amount).alias("total")).scalar()
+    total = grouped.agg(F.sum("volume").alias("total")).scalar()
     return grouped.withColumn("share", ratio(F.col("volume"), total))
 
 
