@@ -159,14 +159,13 @@ def load_archives(
     try:
         datasets = (
             splits.groupBy("source_name", "dataset_name")
-            .agg(F.count("*").alias("n"), F.collect_set("ingest_date").alias("dates"))
+            .agg(*zips.size_of_work(), F.collect_set("ingest_date").alias("dates"))
             .collect()
         )
         clean_archives(accepted, bronze)
 
         def load_dataset(dataset: Row) -> None:
-            mine = zips.spread(_of_dataset(readable, dataset), dataset.n)
-            rows = zips.read_rows(mine, schemas[dataset.dataset_name])
+            rows = zips.read_members(_of_dataset(readable, dataset), dataset, schemas[dataset.dataset_name])
             write_rows(lineage(rows), f"{bronze}/{dataset.source_name}/{dataset.dataset_name}")
 
         side_by_side(load_dataset, datasets)
@@ -201,21 +200,22 @@ def _load_invalid(readable: DataFrame, manifest: DataFrame, bronze: str, lineage
     invalid = manifest.join(failed, "path", "left_anti").where(
         (F.col("outcome") == fixed.INVALID) & (F.col("n_rows") > 0)
     )
-    shapes = invalid.groupBy("source_name", "dataset_name", "observed_schema").agg(F.count("*").alias("n")).collect()
+    shapes = invalid.select("source_name", "dataset_name", "observed_schema").distinct().collect()
     for shape in shapes:
         mine = _of_dataset(invalid, shape).where(F.col("observed_schema") == shape.observed_schema)
         members = zips.list_members(readable).join(mine.select("path", "ordinal"), ["path", "ordinal"], "left_semi")
-        rows = _invalid_rows(zips.spread(zips.regroup(members), min(shape.n, MAX_TASKS)), shape.observed_schema)
+        rows = _invalid_rows(zips.regroup(members), shape.observed_schema)
         write_rows(lineage(rows), f"{bronze}/{shape.source_name}/{shape.dataset_name}")
 
 
 def _invalid_rows(splits: DataFrame, observed_schema: str) -> DataFrame:
     """Rows of mismatching members with their own columns, or as text where no table can hold them."""
+    work = splits.agg(*zips.size_of_work()).first()
     reserved = tuple(name.lower() for name in (*fixed.LINEAGE_COLUMNS, *PARTITIONS))
     if not contract.fits_a_table(observed_schema, reserved):
-        return zips.read_rows_as_json(splits)
+        return zips.read_rows_as_json(zips.spread(splits, work.n_small + work.n_large))
     shape = T.StructType.fromJson(json.loads(observed_schema))
-    rows = zips.read_rows(splits, shape, fixed.INVALID)
+    rows = zips.read_members(splits, work, shape, fixed.INVALID)
     return rows.where(F.col("_schema_status") == fixed.INVALID)
 
 

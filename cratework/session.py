@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import functools
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from cratework import files
+
 # Settings the jobs rely on; all can be changed on a running session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,9 +30,30 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that the caller created."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    target = fresh_folder(spark, "package") + "/cratework.zip"
+    with files.open_output(target) as out:
+        out.write(content.getvalue())
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
+
 def build_session(app_name: str = "cratework", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or get) a session with the runtime settings applied."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")

@@ -5,6 +5,10 @@ The unit of work is a *split*: a run of members of one archive of about
 one, so an archive with thousands of members is read by many tasks, and one that
 holds a third of the data does not hold up the others. Only the central directory
 is read to plan the splits.
+
+A compressed member can only be unpacked from its start, but unpacking and parsing is
+the fast part: of a member above ``LARGE_MEMBER`` one task passes on parsed blocks,
+and many tasks turn them into rows and write them.
 """
 
 from __future__ import annotations
@@ -23,10 +27,12 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from cratework import files
 from cratework import fixed_values as fixed
 from cratework.functions import paths
-from cratework.sources.readers import Skipped, read_member
+from cratework.sources.readers import CSV_BLOCK, Skipped, read_member
 
-SPLIT_BYTES = 64 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024
 SPLIT_MEMBERS = 1024
+LARGE_MEMBER = SPLIT_BYTES
+BLOCKS_PER_TASK = 16
 
 # Status of a row that stands for a member the optimistic read could not finish.
 UNRESOLVED = "unresolved"
@@ -170,40 +176,125 @@ def observe(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[tuple]:
         yield None, None, error
 
 
-def read_rows(splits: DataFrame, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
+def size_of_work() -> list:
+    """Aggregates that tell how many tasks a read needs; see ``read_members``."""
+    size = F.aggregate("members", F.lit(0).cast("bigint"), lambda acc, m: acc + m["size"])
+    large = size > LARGE_MEMBER
+    return [
+        F.count_if(~large).alias("n_small"),
+        F.count_if(large).alias("n_large"),
+        F.sum(F.when(large, size).otherwise(0)).alias("large_bytes"),
+    ]
+
+
+def read_members(splits: DataFrame, work, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
     """Rows of every member that has exactly ``data_schema``, with routing columns.
 
     One pass over each member. A member that has another schema, holds no rows or
     breaks gives one row with null data and status ``unresolved``; if it breaks
     late, its earlier rows come out too, and the caller has to drop that archive.
+    ``work`` is a row of ``size_of_work`` over these splits.
     """
+    size = F.aggregate("members", F.lit(0).cast("bigint"), lambda acc, m: acc + m["size"])
+    small = spread(splits.where(size <= LARGE_MEMBER), work.n_small)
+    rows = read_rows(small, data_schema, status)
+    if not work.n_large:
+        return rows
+    blocks = cut_blocks(spread(splits.where(size > LARGE_MEMBER), work.n_large), data_schema)
+    tasks = min(work.large_bytes // (BLOCKS_PER_TASK * CSV_BLOCK) + work.n_large, 200_000)
+    placed = blocks.repartition(int(tasks), "path", "member", "block")
+    return rows.unionByName(rows_of_blocks(placed, data_schema, status))
+
+
+def _row_schemas(data_schema: T.StructType) -> tuple[pa.Schema, pa.Schema, T.StructType]:
+    """(expected data, data and routing, the same for Spark)."""
     expected = to_arrow_schema(data_schema)
-    n_data = len(expected)
     out = pa.schema([*expected, *(pa.field(name, pa.string()) for name in ROUTING)])
+    return expected, out, T.StructType([*data_schema, *(T.StructField(name, T.StringType()) for name in ROUTING)])
+
+
+def _routed(row: dict, member: str, state: str, columns: list, n: int, out: pa.Schema) -> pa.RecordBatch:
+    labels = (row["zip_file_name"], member, state, row["ingest_date"], row["zip_name"], state)
+    return pa.RecordBatch.from_arrays(
+        [*columns, *(pa.repeat(pa.scalar(label, pa.string()), n) for label in labels)], schema=out
+    )
+
+
+def _unresolved(row: dict, member: str, expected: pa.Schema, out: pa.Schema) -> pa.RecordBatch:
+    return _routed(row, member, UNRESOLVED, [pa.nulls(1, field.type) for field in expected], 1, out)
+
+
+def _matching(archive, info, expected: pa.Schema) -> Iterator[pa.RecordBatch | None]:
+    """Batches of a member with the expected schema; None at the end if it is unresolved."""
+    total = 0
+    for schema, batch, problem in observe(archive, info):
+        if problem is not None or not schema.equals(expected):
+            yield None
+            return
+        if batch is not None and batch.num_rows:
+            total += batch.num_rows
+            yield batch
+    if not total:
+        yield None
+
+
+def read_rows(splits: DataFrame, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
+    """``read_members`` with each member read and passed on by one task."""
+    expected, out, schema = _row_schemas(data_schema)
 
     def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
-        def routed(columns: list, n: int, state: str) -> pa.RecordBatch:
-            labels = (row["zip_file_name"], member["member"], state, row["ingest_date"], row["zip_name"], state)
-            return pa.RecordBatch.from_arrays(
-                [*columns, *(pa.repeat(pa.scalar(v, pa.string()), n) for v in labels)], schema=out
-            )
+        for batch in _matching(archive, info, expected):
+            if batch is None:
+                yield _unresolved(row, member["member"], expected, out)
+            else:
+                yield _routed(row, member["member"], status, batch.columns, batch.num_rows, out)
 
-        total = 0
-        for schema, batch, problem in observe(archive, info):
-            if problem is not None or not schema.equals(expected):
-                total = 0
-                break
-            if batch is not None and batch.num_rows:
-                total += batch.num_rows
-                yield routed(batch.columns, batch.num_rows, status)
-        if not total:
-            yield routed([pa.nulls(1, f.type) for f in list(out)[:n_data]], 1, UNRESOLVED)
-
-    schema = T.StructType([*data_schema, *(T.StructField(name, T.StringType()) for name in ROUTING)])
     wanted = splits.select("path", "members", "zip_file_name", "ingest_date", "zip_name")
     return wanted.mapInArrow(lambda batches: _over_members(batches, rows), schema)
 
 
+BLOCK_SCHEMA = (
+    "path string, member string, zip_file_name string, ingest_date string, zip_name string, "
+    "block int, payload binary"
+)
+
+
+def cut_blocks(splits: DataFrame, data_schema: T.StructType) -> DataFrame:
+    """Parsed blocks of large members, a few MiB each; an empty payload stands for unresolved."""
+    expected = to_arrow_schema(data_schema)
+    out = to_arrow_schema(T._parse_datatype_string(BLOCK_SCHEMA))
+
+    def blocks(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
+        for number, batch in enumerate(_matching(archive, info, expected)):
+            payload = None if batch is None else batch.serialize().to_pybytes()
+            labels = (row["path"], member["member"], row["zip_file_name"], row["ingest_date"], row["zip_name"])
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(out.names, (*labels, number, payload)))], schema=out
+            )
+
+    wanted = splits.select("path", "members", "zip_file_name", "ingest_date", "zip_name")
+    return wanted.mapInArrow(lambda batches: _over_members(batches, blocks), BLOCK_SCHEMA)
+
+
+def rows_of_blocks(blocks: DataFrame, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
+    """Rows of parsed blocks, as ``read_rows`` gives them."""
+    expected, out, schema = _row_schemas(data_schema)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for packed in batches:
+            for i in range(packed.num_rows):
+                row = {name: packed.column(name)[i].as_py() for name in out_of_block}
+                payload = packed.column("payload")[i]
+                if not payload.is_valid:
+                    yield _unresolved(row, row["member"], expected, out)
+                    continue
+                batch = pa.ipc.read_record_batch(payload.as_buffer(), expected)
+                yield _routed(row, row["member"], status, batch.columns, batch.num_rows, out)
+
+    out_of_block = ("member", "zip_file_name", "ingest_date", "zip_name")
+    return blocks.mapInArrow(rows, schema)
+
+
 def read_rows_as_json(splits: DataFrame) -> DataFrame:
     """Rows of members no table can hold (clashing column names), as JSON text."""
     out = pa.schema([("row_no", pa.int64()), ("row_json", pa.string()), *((n, pa.string()) for n in ROUTING)])

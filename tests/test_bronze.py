@@ -199,3 +199,22 @@ def test_status_needs_names_order_and_types(spark):
     assert got == ["valid", "invalid", None]
     with pytest.raises(KeyError):
         contract.expected_schema("other", {"d": a})
+
+
+def test_large_members_go_through_blocks(spark, tmp_path, make_zip, load, monkeypatch):
+    monkeypatch.setattr(zips, "LARGE_MEMBER", 1_000_000)
+    body = b"".join(b'"%d\n"\n' % i for i in range(1_500_000))
+    make_zip(KEY.format("big"), {"big.csv": b"id\n" + body, "small.csv": b"id\nx\n"})
+    make_zip(KEY.format("wide"), {"big.csv": b"id,b\n" + b"".join(b"%d,1\n" % i for i in range(1_500_000))})
+    make_zip(KEY.format("late"), {"big.csv": b"id\n" + body + b"1,2\n"})
+    got = {name: (r["status"], r["invalid"], r["n_rows"]) for name, r in load().items()}
+    assert got == {
+        "big.zip": ("complete", 0, 1_500_001),
+        "wide.zip": ("complete", 1, 1_500_000),
+        "late.zip": ("failed", 0, 0),
+    }
+    rows = bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"])
+    number = F.expr("try_cast(trim('\n', id) as bigint)")
+    assert rows.agg(F.count("*"), F.sum(number), F.countDistinct("id")).first()[:] == (
+        1_500_001, 1_500_000 * 1_499_999 // 2, 1_500_001,
+    )
