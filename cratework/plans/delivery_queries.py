@@ -41,6 +41,20 @@ def key_of(dataset: str, name: Column) -> Column:
     return F.concat(F.lit(f"feed/{dataset}/{DAY}/"), name, F.lit(".zip"))
 
 
+def chunk(key: str, size: int) -> Column:
+    """Number of a key range: archives stay of one size, and more data gives more of them."""
+    return F.concat(F.lit("-"), F.expr(f"cast({key} div {size} as string)"))
+
+
+def sql_chunk(key: str, size: int) -> str:
+    return f"'-' || ({key} // {size})"
+
+
+ROWS = 100_000
+DOCUMENTS = 10_000
+EVENTS = 50_000
+
+
 def orders_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         "o_orderkey",
@@ -63,7 +77,8 @@ def orders_lines(spark: SparkSession, sf: str) -> DataFrame:
     df = orders_text(spark, sf)
     year, month = F.substring("o_orderdate", 1, 4), F.substring("o_orderdate", 1, 7)
     member = F.concat(F.lit("orders-"), month, F.lit(".csv"))
-    return deliveries.as_csv(df, key_of("orders", F.concat(F.lit("orders-"), year)), member, df.columns)
+    archive = key_of("orders", F.concat(F.lit("orders-"), year, chunk("o_orderkey", ROWS)))
+    return deliveries.as_csv(df, archive, member, df.columns)
 
 
 def load(
@@ -93,7 +108,7 @@ SQL_CUSTOMER_TEXT = f"""
 
 
 @query(f"""SELECT {SQL_ORDER_TEXT},
-  'orders-' || strftime(o_orderdate, '%Y') || '.zip' AS _zip_file_name,
+  'orders-' || strftime(o_orderdate, '%Y') || {sql_chunk("o_orderkey", ROWS)} || '.zip' AS _zip_file_name,
   'orders-' || strftime(o_orderdate, '%Y-%m') || '.csv' AS _source_file_name,
   'valid' AS _schema_status, 'run-1' AS _dag_run_id,
   '2026-01-02 00:00:00' AS _bronze_processed_at
@@ -125,7 +140,7 @@ def order_status_from_archives(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size,
   {SQL_MONEY.format("p_retailprice")} AS p_retailprice, p_brand AS spec_brand, p_type AS spec_type,
-  'part-' || replace(p_brand, '#', '-') || '.zip' AS _zip_file_name
+  'part-' || replace(p_brand, '#', '-') || {sql_chunk("p_partkey", ROWS)} || '.zip' AS _zip_file_name
 FROM part""")
 def archive_json_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers come back as the text they were written as; nested objects stay nested."""
@@ -136,7 +151,8 @@ def archive_json_numbers(spark: SparkSession, sf: str) -> DataFrame:
     )
     brand = F.replace("p_brand", F.lit("#"), F.lit("-"))
     member = F.concat(F.lit("part-"), "p_type", F.lit("-"), F.pmod("p_size", F.lit(4)), F.lit(".JSON"))
-    lines = deliveries.as_json(df, key_of("part", F.concat(F.lit("part-"), brand)), member, record)
+    archive = key_of("part", F.concat(F.lit("part-"), brand, chunk("p_partkey", ROWS)))
+    lines = deliveries.as_json(df, archive, member, record)
     schema = text_schema(["p_partkey", "p_name", "p_size", "p_retailprice"]).add(
         "spec", text_schema(["brand", "type"])
     )
@@ -153,13 +169,14 @@ def archive_json_numbers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text_md5, length(text)::BIGINT AS text_length,
-  'docs-' || lang || '.zip' AS _zip_file_name FROM documents""")
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text_md5, length(text)::BIGINT AS text_length,
+  'docs-' || lang || {sql_chunk("doc_id", DOCUMENTS)} || '.zip' AS _zip_file_name FROM documents""")
 def archive_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Long texts with quotes and line ends, as quoted CSV, character by character."""
     df = table(spark, sf, "documents")
     member = F.concat(F.lit("docs-"), F.regexp_replace("source", "[^A-Za-z0-9]", "_"), F.lit(".csv"))
-    lines = deliveries.as_csv(df, key_of("docs", F.concat(F.lit("docs-"), "lang")), member, ["doc_id", "text"])
+    archive = key_of("docs", F.concat(F.lit("docs-"), "lang", chunk("doc_id", DOCUMENTS)))
+    lines = deliveries.as_csv(df, archive, member, ["doc_id", "text"])
     schema = text_schema(["doc_id", "text"])
     _, target, _ = load(spark, lines, {"docs": schema})
     rows = bronze_ops.read_bronze(spark, target, "feed", "docs", schema)
@@ -174,16 +191,18 @@ def archive_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def mixed_customer_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One archive per market segment: CSV members by nation, and members with nothing to load."""
     df = customer_text(spark, sf)
-    archive = key_of("customer", F.concat(F.lit("seg-"), "c_mktsegment"))
+    df = df.withColumn("part", chunk("c_custkey", ROWS))
+    archive = key_of("customer", F.concat(F.lit("seg-"), "c_mktsegment", "part"))
     nation = F.col("c_nationkey").cast("string")
-    good = deliveries.as_csv(df, archive, F.concat(F.lit("by_nation/"), nation, F.lit(".csv")), df.columns)
-    per_nation = df.select("c_mktsegment", "c_nationkey").distinct()
+    names = CUSTOMER_SCHEMA.names
+    good = deliveries.as_csv(df, archive, F.concat(F.lit("by_nation/"), nation, F.lit(".csv")), names)
+    per_nation = df.select("c_mktsegment", "c_nationkey", "part").distinct()
     others = []
     for name, head, line in (
         ("notes-{}.txt", "", F.lit("see the other files")),
         ("empty-{}.csv", "", F.lit(None).cast("string")),
         ("none-{}.json", "", F.lit("[{}]")),
-        ("header-{}.csv", ",".join(df.columns) + "\n", F.lit(None).cast("string")),
+        ("header-{}.csv", ",".join(names) + "\n", F.lit(None).cast("string")),
     ):
         before, after = name.split("{}")
         others.append(
@@ -201,7 +220,7 @@ def mixed_customer_lines(spark: SparkSession, sf: str) -> DataFrame:
     return good
 
 
-@query("""WITH n AS (SELECT c_mktsegment AS seg, CAST(c_nationkey AS VARCHAR) AS nat, COUNT(*)::BIGINT AS rows
+@query(f"""WITH n AS (SELECT c_mktsegment || {sql_chunk("c_custkey", ROWS)} AS seg, CAST(c_nationkey AS VARCHAR) AS nat, COUNT(*)::BIGINT AS rows
   FROM customer GROUP BY ALL)
 SELECT 'seg-' || seg || '.zip' AS zip_file_name, 'by_nation/' || nat || '.csv' AS member, 'valid' AS outcome, rows AS n_rows FROM n
 UNION ALL SELECT 'seg-' || seg || '.zip', 'notes-' || nat || '.txt', 'skipped_unsupported', 0::BIGINT FROM n
@@ -213,10 +232,10 @@ def archive_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_ops.read_manifest(spark, target, "run-1").select("zip_file_name", "member", "outcome", "n_rows")
 
 
-@query("""SELECT 'seg-' || c_mktsegment || '.zip' AS zip_file_name, 'complete' AS status,
+@query(f"""SELECT 'seg-' || c_mktsegment || {sql_chunk("c_custkey", ROWS)} || '.zip' AS zip_file_name, 'complete' AS status,
   (COUNT(DISTINCT c_nationkey) * 5)::BIGINT AS members, (COUNT(DISTINCT c_nationkey) * 2)::BIGINT AS uploaded,
   0::BIGINT AS invalid, COUNT(*)::BIGINT AS n_rows
-FROM customer GROUP BY c_mktsegment""")
+FROM customer GROUP BY c_mktsegment, c_custkey // {ROWS}""")
 def archive_ledger(spark: SparkSession, sf: str) -> DataFrame:
     _, _, ledger = load(spark, mixed_customer_lines(spark, sf), {"customer": CUSTOMER_SCHEMA})
     return ledger.select("zip_file_name", "status", "members", "uploaded", "invalid", "n_rows")
@@ -225,7 +244,8 @@ def archive_ledger(spark: SparkSession, sf: str) -> DataFrame:
 def mismatching_customer_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One archive per nation, one member per segment; the BUILDING members lack two columns."""
     df = customer_text(spark, sf)
-    archive = key_of("customer", F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")))
+    nation = F.concat(F.col("c_nationkey").cast("string"), chunk("c_custkey", ROWS))
+    archive = key_of("customer", F.concat(F.lit("nation-"), nation))
     member = F.concat(F.lit("part/"), "c_mktsegment", F.lit(".csv"))
     short = df.columns[:3]
     building = F.col("c_mktsegment") == "BUILDING"
@@ -234,21 +254,21 @@ def mismatching_customer_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""SELECT 'feed/customer/ingest_date=2026-01-01/nation-' || c_nationkey || '.zip' AS landing_key,
+@query(f"""SELECT 'feed/customer/ingest_date=2026-01-01/nation-' || nation || '.zip' AS landing_key,
   'part__BUILDING.csv' AS file_names,
   'Files with invalid schema: part__BUILDING.csv<br>Location: s3://bronze/feed/customer/ingest_date=2026-01-01/zip_name=nation-'
-    || c_nationkey || '/schema_status=invalid/' AS body,
+    || nation || '/schema_status=invalid/' AS body,
   '[Airflow Warning] Files with invalid schema in ZIP: feed/customer/ingest_date=2026-01-01/nation-'
-    || c_nationkey || '.zip' AS subject
-FROM (SELECT DISTINCT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+    || nation || '.zip' AS subject
+FROM (SELECT DISTINCT c_nationkey || {sql_chunk("c_custkey", ROWS)} AS nation FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def schema_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     _, target, _ = load(spark, mismatching_customer_lines(spark, sf), {"customer": CUSTOMER_SCHEMA})
     report = bronze_ops.invalid_schema_report(bronze_ops.read_manifest(spark, target, "run-1"), "s3://bronze")
     return report.select("landing_key", "file_names", "body", "subject")
 
 
-@query("""SELECT 'nation-' || c_nationkey || '.zip' AS zip_file_name, 'part/BUILDING.csv' AS member,
-  '{"c_custkey":"' || c_custkey || '","c_name":"' || c_name || '","c_nationkey":"' || c_nationkey || '"}' AS row_json
+@query(f"""SELECT 'nation-' || c_nationkey || {sql_chunk("c_custkey", ROWS)} || '.zip' AS zip_file_name, 'part/BUILDING.csv' AS member,
+  '{{"c_custkey":"' || c_custkey || '","c_name":"' || c_name || '","c_nationkey":"' || c_nationkey || '"}}' AS row_json
 FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def quarantine_view(spark: SparkSession, sf: str) -> DataFrame:
     _, target, _ = load(spark, mismatching_customer_lines(spark, sf), {"customer": CUSTOMER_SCHEMA})
@@ -260,7 +280,7 @@ def quarantine_reprocess(spark: SparkSession, sf: str) -> DataFrame:
     """Members lack a column at first; then the registry accepts them as they are."""
     df = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     names = ["p_partkey", "p_name", "p_brand"]
-    archive = key_of("part", F.concat(F.lit("part-"), "p_type"))
+    archive = key_of("part", F.concat(F.lit("part-"), "p_type", chunk("p_partkey", ROWS)))
     lines = deliveries.as_csv(df, archive, F.lit("part.csv"), names)
     root, target, _ = load(spark, lines, {"part": text_schema([*names, "p_type"])})
     manifest = bronze_ops.read_manifest(spark, target, "run-1")
@@ -283,7 +303,7 @@ def archive_rerun_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 def archive_failure_isolation(spark: SparkSession, sf: str) -> DataFrame:
     """The archive of one priority holds a broken member, so all of it stays out."""
     df = orders_text(spark, sf)
-    archive = key_of("orders", F.concat(F.lit("prio-"), F.substring("o_orderpriority", 1, 1)))
+    archive = key_of("orders", F.concat(F.lit("prio-"), F.substring("o_orderpriority", 1, 1), chunk("o_orderkey", ROWS)))
     member = F.concat(F.lit("orders-"), F.substring("o_orderdate", 1, 4), F.lit(".csv"))
     good = deliveries.as_csv(df, archive, member, df.columns)
     low = df.where("o_orderpriority = '5-LOW'")
@@ -306,13 +326,13 @@ def lineitem_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format("l_shipdate", TS).alias("l_shipdate"),
     )
     year, month = F.substring("l_shipdate", 1, 4), F.substring("l_shipdate", 1, 7)
-    archive = key_of("lineitem", F.concat(F.lit("lineitem-"), year))
+    archive = key_of("lineitem", F.concat(F.lit("lineitem-"), year, chunk("l_orderkey", ROWS)))
     return deliveries.as_csv(df, archive, F.concat(F.lit("lineitem-"), month, F.lit(".csv")), LINEITEM_NAMES)
 
 
-@query("""SELECT 'lineitem-' || strftime(l_shipdate, '%Y') || '.zip' AS _zip_file_name,
+@query(f"""SELECT 'lineitem-' || strftime(l_shipdate, '%Y') || {sql_chunk("l_orderkey", ROWS)} || '.zip' AS _zip_file_name,
   'lineitem-' || strftime(l_shipdate, '%Y-%m') || '.csv' AS _source_file_name, 'run-1' AS _dag_run_id,
-  'valid' AS _schema_status, '2026-01-01' AS ingest_date, 'lineitem-' || strftime(l_shipdate, '%Y') AS zip_name,
+  'valid' AS _schema_status, '2026-01-01' AS ingest_date, 'lineitem-' || strftime(l_shipdate, '%Y') || {sql_chunk("l_orderkey", ROWS)} AS zip_name,
   COUNT(*)::BIGINT AS n_rows, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS extended
 FROM lineitem GROUP BY ALL""")
 def lineage_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -335,7 +355,7 @@ def recast_from_bronze(spark: SparkSession, sf: str) -> DataFrame:
     A price with cents is no whole number, so that rule gives nulls.
     """
     df = table(spark, sf, "part").select("p_partkey", money("p_retailprice").alias("p_retailprice"), "p_type")
-    archive = key_of("part", F.concat(F.lit("part-"), "p_type"))
+    archive = key_of("part", F.concat(F.lit("part-"), "p_type", chunk("p_partkey", ROWS)))
     schema = text_schema(["p_partkey", "p_retailprice"])
     _, target, _ = load(spark, deliveries.as_csv(df, archive, F.lit("part.csv"), schema.names), {"part": schema})
     rows = bronze_ops.read_bronze(spark, target, "feed", "part", schema).select(*schema.names)
@@ -471,7 +491,8 @@ def landed_customers(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     """Pack customers by segment and nation at a source, then copy the archives to a landing zone."""
     configure(spark)
     df = customer_text(spark, sf)
-    name = F.concat(F.col("c_mktsegment"), F.lit("-"), F.col("c_nationkey").cast("string"), F.lit(".zip"))
+    nation = F.concat(F.col("c_nationkey").cast("string"), chunk("c_custkey", ROWS))
+    name = F.concat(F.col("c_mktsegment"), F.lit("-"), nation, F.lit(".zip"))
     source, target = fresh_folder(spark, "source"), fresh_folder(spark, "landing")
     packed = deliveries.pack_archives(
         deliveries.as_csv(df, F.concat(F.lit("daily/"), name), F.lit("customers.csv"), df.columns), source
@@ -486,8 +507,8 @@ def landed_customers(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     return target, landed
 
 
-SQL_LANDED = """(SELECT DISTINCT c_mktsegment, 'partner/customer/ingest_date=2026-01-01/' || c_mktsegment || '-'
-  || c_nationkey || '.zip' AS landing_key FROM customer)"""
+SQL_LANDED = f"""(SELECT DISTINCT c_mktsegment, 'partner/customer/ingest_date=2026-01-01/' || c_mktsegment || '-'
+  || c_nationkey || {sql_chunk("c_custkey", ROWS)} || '.zip' AS landing_key FROM customer)"""
 
 
 @query(f"""SELECT 'landing' AS landing_bucket, landing_key, 'customer' AS dataset_name, 'bronze' AS destination_bucket,
@@ -553,7 +574,9 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
         money("value").alias("value"),
     )
     archive = key_of("events", F.concat(F.lit("events-"), F.substring("ts", 1, 10)))
-    member = F.concat(F.lit("events-"), F.replace(F.substring("ts", 1, 13), F.lit(" "), F.lit("-")), F.lit(".json"))
+    hour = F.replace(F.substring("ts", 1, 13), F.lit(" "), F.lit("-"))
+    # A member must stay below the size limit of JSON members at any scale.
+    member = F.concat(F.lit("events-"), hour, chunk("event_id", EVENTS), F.lit(".json"))
     return deliveries.as_json(df, archive, member, F.to_json(F.struct(*df.columns)))
 
 
@@ -562,7 +585,7 @@ EVENT_SCHEMA = text_schema(["event_id", "ts", "user_id", "event_type", "value"])
 
 @query(f"""SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
   CAST(user_id AS VARCHAR) AS user_id, event_type, {SQL_MONEY.format("value")} AS value,
-  'events-' || strftime(ts, '%Y-%m-%d-%H') || '.json' AS _source_file_name FROM events""")
+  'events-' || strftime(ts, '%Y-%m-%d-%H') || {sql_chunk("event_id", EVENTS)} || '.json' AS _source_file_name FROM events""")
 def stream_archives(spark: SparkSession, sf: str) -> DataFrame:
     """Archives loaded as a stream, then landed again and loaded by the ledger: no row twice."""
     configure(spark)

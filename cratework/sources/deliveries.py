@@ -6,6 +6,8 @@ streamed to its file by the one task that holds its sorted lines.
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -34,49 +36,39 @@ def pack_archives(lines: DataFrame, root: str) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[dict] = []
-        out = zipped = entry = None
-        current: tuple = (None, None)
-        tail = b""
-        first = True
-
-        def close_member():
-            nonlocal entry
+        with contextlib.ExitStack() as archive_files:
+            zipped = entry = None
+            current: tuple = (None, None)
+            tail, empty = b"", True
+            for batch in batches:
+                archives, members = batch.column("archive").to_pylist(), batch.column("member").to_pylist()
+                lines = batch.column("line").to_pylist()
+                for key, run in itertools.groupby(range(batch.num_rows), lambda i: (archives[i], members[i])):
+                    at = list(run)
+                    head, sep, end = (batch.column(c)[at[0]].as_py().encode() for c in ("head", "sep", "tail"))
+                    if key != current:
+                        if entry is not None:
+                            entry.write(tail)
+                            entry.close()
+                        if key[0] != current[0]:
+                            archive_files.close()
+                            out = archive_files.enter_context(files.open_output(f"{root}/{key[0]}"))
+                            zipped = archive_files.enter_context(zipfile.ZipFile(out, "w"))
+                            done.append({"archive": key[0], "members": 0, "lines": 0})
+                        info = zipfile.ZipInfo(key[1], (2000, 1, 1, 0, 0, 0))
+                        info.compress_type = zipfile.ZIP_DEFLATED
+                        entry = zipped.open(info, "w", force_zip64=True)
+                        entry.write(head)
+                        done[-1]["members"] += 1
+                        current, tail, empty = key, end, True
+                    texts = [lines[i].encode() for i in at if lines[i] is not None]
+                    if texts:
+                        entry.write((b"" if empty else sep) + sep.join(texts))
+                        done[-1]["lines"] += len(texts)
+                        empty = False
             if entry is not None:
                 entry.write(tail)
                 entry.close()
-                entry = None
-
-        def close_archive():
-            nonlocal zipped, out
-            close_member()
-            if zipped is not None:
-                zipped.close()
-                out.close()
-                zipped = out = None
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["archive"] != current[0]:
-                    close_archive()
-                    out = files.open_output(f"{root}/{row['archive']}")
-                    zipped = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
-                    done.append({"archive": row["archive"], "members": 0, "lines": 0})
-                    current = (row["archive"], None)
-                if row["member"] != current[1]:
-                    close_member()
-                    info = zipfile.ZipInfo(row["member"], (2000, 1, 1, 0, 0, 0))
-                    info.compress_type = zipfile.ZIP_DEFLATED
-                    entry = zipped.open(info, "w", force_zip64=True)
-                    entry.write(row["head"].encode())
-                    tail = row["tail"].encode()
-                    first = True
-                    done[-1]["members"] += 1
-                    current = (row["archive"], row["member"])
-                if row["line"] is not None:
-                    entry.write((("" if first else row["sep"]) + row["line"]).encode())
-                    first = False
-                    done[-1]["lines"] += 1
-        close_archive()
         yield pa.RecordBatch.from_pylist(done, schema=report)
 
     report = pa.schema([("archive", pa.string()), ("members", pa.int64()), ("lines", pa.int64())])
