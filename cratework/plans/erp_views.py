@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratework.operators.bronze import side_by_side
+from cratework.session import fresh_folder
+from cratework.sources.erp import TABLES
+
 # Room for a second key inside one 64-bit identifier.
 KEY_ROOM = 1_000_000_000
 DAY_ROOM = 100_000
@@ -178,6 +182,74 @@ def shipment_item(spark, sf):
     )
 
 
+def manufacturer_warehouse(spark, sf):
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("manufacturer_warehouse_id"),
+        F.col("s_name").alias("manufacturer_warehouse_code"),
+        F.col("s_name").alias("manufacturer_warehouse_name"),
+        F.col("s_suppkey").alias("address_id"),
+    )
+
+
+def customer_return(spark, sf):
+    """One return per order and supplier with lines that came back."""
+    back = table(spark, sf, "lineitem").where("l_returnflag = 'R'")
+    days = back.groupBy("l_orderkey", "l_suppkey").agg(
+        F.to_date(F.min("l_shipdate")).alias("request_date"), F.to_date(F.max("l_shipdate")).alias("received_date")
+    )
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return days.join(orders, "l_orderkey").select(
+        (F.col("l_orderkey") * KEY_ROOM + F.col("l_suppkey")).alias("customer_return_id"),
+        F.concat_ws("-", F.lit("RET"), "l_orderkey", "l_suppkey").alias("return_number"),
+        F.col("o_custkey").alias("customer_warehouse_id"),
+        F.col("l_suppkey").alias("manufacturer_warehouse_id"),
+        "request_date",
+        "received_date",
+    )
+
+
+def customer_return_item(spark, sf):
+    """Returned packs per shipment item."""
+    return (
+        table(spark, sf, "lineitem")
+        .where("l_returnflag = 'R'")
+        .groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus")
+        .agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("returned_quantity"))
+        .select(
+            F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus").alias(
+                "customer_return_item_id"
+            ),
+            (F.col("l_orderkey") * KEY_ROOM + F.col("l_suppkey")).alias("customer_return_id"),
+            F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate").alias("shipment_item_id"),
+            "returned_quantity",
+            F.when(F.col("l_linestatus") == "F", "expired").otherwise("lost").alias("reason"),
+        )
+    )
+
+
+def erp_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A derived table with all columns of the ERP's; those we cannot derive are null."""
+    schema = TABLES[name].schema
+    df = globals()[name](spark, sf)
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
+def write_snapshot(spark: SparkSession, sf: str) -> str:
+    """All ERP tables as a Parquet snapshot; returns its folder."""
+    folder = fresh_folder(spark, "erp")
+
+    def write(name: str) -> None:
+        erp_table(spark, sf, name).write.parquet(f"{folder}/{name}")
+
+    side_by_side(write, list(TABLES))
+    return folder
+
+
 def receipts(spark, sf):
     """Sales to patients: product_id, day, quantity, revenue."""
     return table(spark, sf, "lineitem").select(
@@ -190,3 +262,125 @@ def receipts(spark, sf):
         "l_returnflag",
         "l_linestatus",
     )
+
+
+# The same views in SQL: columns that are derived, and where they come from.
+_ITEM = """(SELECT l_orderkey, l_partkey, SUM(CAST(l_quantity AS INT)) AS ordered,
+  SUM(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INT) END) AS confirmed FROM lineitem GROUP BY ALL)"""
+_CENTS = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) // CAST(l_quantity AS BIGINT)"
+SQL_VIEWS = {
+    "region": (
+        {"region_id": "n_nationkey", "iso_code": "'XX-' || n_nationkey", "region_name": "n_name", "region_type": "'nation'",
+         "sales_territory": "r_name"},
+        "nation JOIN main.region ON n_regionkey = r_regionkey",
+    ),
+    "address": ({"address_id": "c_custkey", "region_id": "c_nationkey"}, "main.customer"),
+    "customer": (
+        {"customer_id": "c_custkey", "customer_code": "c_name", "industry": "c_mktsegment", "billing_address_id": "c_custkey"},
+        "main.customer",
+    ),
+    "customer_warehouse": (
+        {"customer_warehouse_id": "c_custkey", "customer_id": "c_custkey", "customer_warehouse_code": "c_name",
+         "address_id": "c_custkey"},
+        "main.customer",
+    ),
+    "manufacturer_warehouse": (
+        {"manufacturer_warehouse_id": "s_suppkey", "manufacturer_warehouse_code": "s_name",
+         "manufacturer_warehouse_name": "s_name", "address_id": "s_suppkey"},
+        "supplier",
+    ),
+    "brand": (
+        {"brand_id": "b", "brand_name": "p_brand"},
+        "(SELECT DISTINCT p_brand, CAST(split_part(p_brand, '#', 2) AS BIGINT) AS b FROM part)",
+    ),
+    "dosage_form": ({"dosage_form_id": "p_type", "dosage_form_name": "p_type"}, "(SELECT DISTINCT p_type FROM part)"),
+    "product": (
+        {"product_id": "p_partkey", "gtin": "lpad(CAST(p_partkey AS VARCHAR), 14, '0')",
+         "brand_id": "CAST(split_part(p_brand, '#', 2) AS BIGINT)", "dosage_form_id": "p_type", "product_name": "p_name",
+         "pack_quantity": "p_size"},
+        "part",
+    ),
+    "batch": (
+        {"batch_id": "l_partkey * 1000000000 + l_suppkey", "batch_number": "l_partkey || '-' || l_suppkey",
+         "product_id": "l_partkey", "manufacture_date": "first_day - 30", "expiry_date": "first_day + 700"},
+        "(SELECT l_partkey, l_suppkey, CAST(MIN(l_shipdate) AS DATE) AS first_day FROM lineitem GROUP BY ALL)",
+    ),
+    "price_list": (
+        {"price_list_id": "product_id * 100000 + date_diff('day', DATE '1970-01-01', day)", "product_id": "product_id",
+         "valid_from": "day", "list_price": "CAST(cents * 0.01::DECIMAL(3,2) AS DECIMAL(12,2))"},
+        f"(SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS day, MAX({_CENTS}) AS cents FROM lineitem GROUP BY ALL)",
+    ),
+    "customer_order": (
+        {"customer_order_id": "o_orderkey", "order_number": "'ORD-' || o_orderkey", "customer_warehouse_id": "o_custkey",
+         "customer_id": "o_custkey", "order_timestamp": "o_orderdate",
+         "status": "CASE o_orderstatus WHEN 'F' THEN 'shipped' WHEN 'O' THEN 'confirmed' WHEN 'P' THEN 'partially_shipped' END"},
+        "orders",
+    ),
+    "order_item": (
+        {"order_item_id": "l_orderkey * 1000000000 + l_partkey", "customer_order_id": "l_orderkey", "product_id": "l_partkey",
+         "ordered_quantity": "ordered", "confirmed_quantity": "confirmed"},
+        _ITEM,
+    ),
+    "shipment": (
+        {"shipment_id": "l_orderkey * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))",
+         "shipment_number": "'SHP-' || l_orderkey || '-' || strftime(l_shipdate, '%Y%m%d')", "customer_order_id": "l_orderkey",
+         "ship_timestamp": "l_shipdate"},
+        "(SELECT DISTINCT l_orderkey, l_shipdate FROM lineitem)",
+    ),
+    "shipment_item": (
+        {"shipment_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_shipdate)",
+         "shipment_id": "l_orderkey * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))",
+         "order_item_id": "l_orderkey * 1000000000 + l_partkey", "batch_id": "l_partkey * 1000000000 + l_suppkey",
+         "shipped_quantity": "quantity"},
+        "(SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, SUM(l_quantity) AS quantity FROM lineitem GROUP BY ALL)",
+    ),
+    "customer_return": (
+        {"customer_return_id": "l_orderkey * 1000000000 + l_suppkey", "return_number": "'RET-' || l_orderkey || '-' || l_suppkey",
+         "customer_warehouse_id": "o_custkey", "manufacturer_warehouse_id": "l_suppkey", "request_date": "lo", "received_date": "hi"},
+        """(SELECT l_orderkey, l_suppkey, MIN(l_shipdate) AS lo, MAX(l_shipdate) AS hi FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
+          JOIN orders ON o_orderkey = l_orderkey""",
+    ),
+    "customer_return_item": (
+        {"customer_return_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_shipdate, l_linestatus)",
+         "customer_return_id": "l_orderkey * 1000000000 + l_suppkey",
+         "shipment_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_shipdate)", "returned_quantity": "quantity",
+         "reason": "CASE WHEN l_linestatus = 'F' THEN 'expired' ELSE 'lost' END"},
+        """(SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, l_linestatus, SUM(l_quantity) AS quantity FROM lineitem
+          WHERE l_returnflag = 'R' GROUP BY ALL)""",
+    ),
+}
+
+
+def constraint_sql() -> str:
+    """The rule report over the SQL views: every rule of every table."""
+    views, parts = [], []
+    for name, (columns, source) in SQL_VIEWS.items():
+        every = ", ".join(f"{columns.get(c, 'NULL')} AS {c}" for c in TABLES[name].names)
+        views.append(f"erp_{name} AS MATERIALIZED (SELECT {every} FROM {source})")
+
+    def add(table: str, kind: str, rule: str, count: str) -> None:
+        text = rule.replace("'", "''")
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{kind}' AS rule_kind, '{text}' AS rule, ({count})::BIGINT AS violations"
+        )
+
+    for name, rules in TABLES.items():
+        view = f"erp_{name}"
+        for column in rules.not_null:
+            add(name, "not_null", column, f"SELECT COUNT(*) FROM {view} WHERE {column} IS NULL")
+        for check in rules.checks:
+            add(name, "check", check, f"SELECT COUNT(*) FROM {view} WHERE ({check}) = FALSE")
+        for column, allowed in rules.domains.items():
+            listed = ", ".join(f"'{value}'" for value in allowed)
+            add(name, "domain", column, f"SELECT COUNT(*) FROM {view} WHERE {column} NOT IN ({listed})")
+        for keys in rules.unique:
+            present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+            twice = f"SELECT 1 FROM {view} WHERE {present} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1"
+            add(name, "unique", ", ".join(keys), f"SELECT COUNT(*) FROM ({twice})")
+        for key in rules.foreign:
+            present = " AND ".join(f"c.{k} IS NOT NULL" for k in key.columns)
+            same = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(key.columns, key.parent_columns))
+            lost = f"NOT EXISTS (SELECT 1 FROM erp_{key.parent} p WHERE {same})"
+            rule = f"{', '.join(key.columns)} -> {key.parent}"
+            add(name, "foreign", rule, f"SELECT COUNT(*) FROM {view} c WHERE {present} AND {lost}")
+    return f"WITH {', '.join(views)} " + " UNION ALL ".join(parts)

@@ -13,7 +13,7 @@ from cratework.plans import erp_views as erp
 from cratework.plans import marts
 from cratework.plans.erp_views import money, table
 from cratework.session import configure, fresh_folder
-from cratework.sources.erp import TABLES, ForeignKey
+from cratework.sources.erp import TABLES, ForeignKey, read_erp
 from cratework.streaming import order_events
 
 TS = "yyyy-MM-dd HH:mm:ss"
@@ -217,66 +217,11 @@ def dq_domain(spark, sf):
     return table(spark, sf, "orders").where(quality.outside("o_orderstatus", ("F", "O"))).select("o_orderkey", "o_orderstatus")
 
 
-def erp_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    views = ("region", "customer", "customer_order", "order_item", "price_list", "product", "batch", "shipment_item")
-    tables = {name: getattr(erp, name)(spark, sf) for name in views}
-    tables["order_item"] = tables["order_item"].withColumn("price_list_id", F.lit(None).cast("bigint"))
-    for name, df in tables.items():
-        missing = [f for f in TABLES[name].schema if f.name not in df.columns]
-        tables[name] = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
-    return tables
-
-
-@query("""WITH item AS (SELECT l_orderkey, l_partkey, SUM(CAST(l_quantity AS INT)) AS ordered,
-    SUM(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INT) END) AS confirmed FROM lineitem GROUP BY ALL),
-  shipped AS (SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, SUM(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL),
-  lost_order AS (SELECT COUNT(*)::BIGINT AS n FROM item WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)),
-  lost_product AS (SELECT COUNT(*)::BIGINT AS n FROM item WHERE l_partkey NOT IN (SELECT p_partkey FROM part)),
-  lost_customer AS (SELECT COUNT(*)::BIGINT AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))
-SELECT 'customer_order' AS table_name, 'not_null' AS rule_kind, 'order_number' AS rule, 0::BIGINT AS violations
-UNION ALL SELECT 'customer_order', 'not_null', 'requested_delivery_date', (SELECT COUNT(*)::BIGINT FROM orders)
-UNION ALL SELECT 'customer_order', 'domain', 'status', 0::BIGINT
-UNION ALL SELECT 'customer_order', 'unique', 'order_number', (SELECT COUNT(*)::BIGINT FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING COUNT(*) > 1))
-UNION ALL SELECT 'customer_order', 'foreign', 'customer_id -> customer', (SELECT n FROM lost_customer)
-UNION ALL SELECT 'order_item', 'check', 'ordered_quantity > 0', (SELECT COUNT(*)::BIGINT FROM item WHERE ordered <= 0)
-UNION ALL SELECT 'order_item', 'check', 'confirmed_quantity <= ordered_quantity', (SELECT COUNT(*)::BIGINT FROM item WHERE confirmed > ordered)
-UNION ALL SELECT 'order_item', 'unique', 'customer_order_id, product_id', 0::BIGINT
-UNION ALL SELECT 'order_item', 'foreign', 'customer_order_id -> customer_order', (SELECT n FROM lost_order)
-UNION ALL SELECT 'order_item', 'foreign', 'product_id -> product', (SELECT n FROM lost_product)
-UNION ALL SELECT 'price_list', 'check', 'list_price > 0', (SELECT COUNT(*)::BIGINT FROM (SELECT l_partkey, l_shipdate FROM lineitem
-  GROUP BY ALL HAVING MAX(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) // CAST(l_quantity AS BIGINT)) <= 0))
-UNION ALL SELECT 'price_list', 'unique', 'product_id, valid_from', 0::BIGINT
-UNION ALL SELECT 'product', 'check', 'pack_quantity > 0', (SELECT COUNT(*)::BIGINT FROM part WHERE p_size <= 0)
-UNION ALL SELECT 'product', 'unique', 'gtin', 0::BIGINT
-UNION ALL SELECT 'batch', 'check', 'expiry_date > manufacture_date', 0::BIGINT
-UNION ALL SELECT 'batch', 'foreign', 'product_id -> product', (SELECT COUNT(*)::BIGINT FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
-  WHERE l_partkey NOT IN (SELECT p_partkey FROM part))
-UNION ALL SELECT 'shipment_item', 'check', 'shipped_quantity > 0', (SELECT COUNT(*)::BIGINT FROM shipped WHERE q <= 0)
-UNION ALL SELECT 'shipment_item', 'foreign', 'batch_id -> batch', 0::BIGINT
-UNION ALL SELECT 'shipment_item', 'foreign', 'order_item_id -> order_item', 0::BIGINT
-UNION ALL SELECT 'region', 'unique', 'iso_code', 0::BIGINT
-UNION ALL SELECT 'customer', 'unique', 'customer_code', (SELECT COUNT(*)::BIGINT FROM (SELECT c_name FROM customer GROUP BY 1 HAVING COUNT(*) > 1))""")
+@query(erp.constraint_sql())
 def constraint_report(spark, sf):
-    """The declared rules over ERP tables derived from the star schema; the rules the SQL states are returned."""
-    stated = {
-        "customer_order": ("order_number", "requested_delivery_date", "status", "customer_id -> customer"),
-        "order_item": (
-            "ordered_quantity > 0", "confirmed_quantity <= ordered_quantity", "customer_order_id, product_id",
-            "customer_order_id -> customer_order", "product_id -> product",
-        ),
-        "price_list": ("list_price > 0", "product_id, valid_from"),
-        "product": ("pack_quantity > 0", "gtin"),
-        "batch": ("expiry_date > manufacture_date", "product_id -> product"),
-        "shipment_item": ("shipped_quantity > 0", "batch_id -> batch", "order_item_id -> order_item"),
-        "region": ("iso_code",),
-        "customer": ("customer_code",),
-    }
-    report = quality.constraint_report(erp_tables(spark, sf), TABLES)
-    wanted = F.lit(False)
-    for name, rules in stated.items():
-        wanted = wanted | ((F.col("table_name") == name) & F.col("rule").isin(*rules))
-    twice = F.col("rule").isin("gtin", "iso_code", "customer_code", "status", "order_number") & (F.col("rule_kind") == "not_null")
-    return report.where(wanted & (~twice | ((F.col("table_name") == "customer_order") & (F.col("rule") == "order_number"))))
+    """Every declared rule over a snapshot of all ERP tables, derived from the star schema."""
+    snapshot = erp.write_snapshot(spark, sf)
+    return quality.constraint_report({name: read_erp(spark, name, snapshot) for name in TABLES}, TABLES)
 
 
 # History

@@ -103,7 +103,7 @@ def plan_splits(archives: DataFrame) -> DataFrame:
             rows = [{**row, **split} for row in batch.to_pylist() for split in _splits_of(row["path"])]
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
-    arrow_schema = to_arrow_schema(T._parse_datatype_string(SPLIT_SCHEMA))
+    arrow_schema = to_arrow_schema(T.StructType.fromDDL(SPLIT_SCHEMA))
     return archives.select("path", *CARRIED).mapInArrow(plan, SPLIT_SCHEMA)
 
 
@@ -262,7 +262,7 @@ BLOCK_SCHEMA = (
 def cut_blocks(splits: DataFrame, data_schema: T.StructType) -> DataFrame:
     """Parsed blocks of large members, a few MiB each; an empty payload stands for unresolved."""
     expected = to_arrow_schema(data_schema)
-    out = to_arrow_schema(T._parse_datatype_string(BLOCK_SCHEMA))
+    out = to_arrow_schema(T.StructType.fromDDL(BLOCK_SCHEMA))
 
     def blocks(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(_matching(archive, info, expected)):
@@ -328,7 +328,7 @@ def read_rows_as_json(splits: DataFrame) -> DataFrame:
 def profile_members(splits: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
     """Outcome, row count and observed schema of each member, by a full parse."""
     expected = {name: to_arrow_schema(schema) for name, schema in schemas.items()}
-    out = to_arrow_schema(T._parse_datatype_string(PROFILE_SCHEMA))
+    out = to_arrow_schema(T.StructType.fromDDL(PROFILE_SCHEMA))
 
     def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
         observed, n_rows, outcome, reason = None, 0, None, None

@@ -72,11 +72,12 @@ def pack_archives(lines: DataFrame, root: str) -> DataFrame:
         yield pa.RecordBatch.from_pylist(done, schema=report)
 
     report = pa.schema([("archive", pa.string()), ("members", pa.int64()), ("lines", pa.int64())])
-    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, 1)
-    placed = lines.repartitionByRange(tasks, "archive").sortWithinPartitions("archive", "member", "line")
+    # By hash: sampling for ranges would compute all lines twice.
+    spark = lines.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = lines.repartition(tasks, "archive").sortWithinPartitions("archive", "member", "line")
     wanted = placed.select("archive", "member", "head", "sep", "tail", "line")
     written = wanted.mapInArrow(write, "archive string, members bigint, lines bigint")
-    spark = lines.sparkSession
     folder = f"{root}-report"
     written.write.mode("overwrite").parquet(folder)
     return spark.read.parquet(folder)

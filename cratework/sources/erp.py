@@ -28,17 +28,21 @@ class Table:
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     append_only: bool = False
 
+    @property
+    def names(self) -> list[str]:
+        return [column.split(" ")[0] for column in self.columns.split(", ")]
+
     @property
     def schema(self) -> T.StructType:
-        return T._parse_datatype_string(self.columns)
+        return T.StructType.fromDDL(self.columns)
 
     @property
     def key(self) -> str:
-        return self.columns.split(" ", 1)[0]
+        return self.names[0]
 
     @property
     def not_null(self) -> list[str]:
-        return [name for name in self.schema.names if name not in self.nullable]
+        return [name for name in self.names if name not in self.nullable]
 
     @property
     def touched(self) -> str:
