@@ -7,6 +7,8 @@ to anything; joins give no broadcast hint, Spark's own size check decides.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,9 +133,10 @@ def days_of_stock(stock: DataFrame, sales: DataFrame, window_days: int = 28) ->
     window partition has one row per calendar day at most; days without rows count in
     the mean but need no row. The length of the window is our choice.
     """
-    sold = sales.groupBy("product_id", "day").agg(F.sum("quantity").alias("sold"))
-    held = stock.groupBy("product_id", "day").agg(F.sum("on_hand").alias("on_hand"))
-    both = held.join(sold, ["product_id", "day"], "full_outer")
+    rows = stock.select("product_id", "day", "on_hand").unionByName(
+        sales.select("product_id", "day", F.col("quantity").alias("sold")), allowMissingColumns=True
+    )
+    both = rows.groupBy("product_id", "day").agg(F.sum("on_hand").alias("on_hand"), F.sum("sold").alias("sold"))
     product = Window.partitionBy("product_id").orderBy(F.unix_date("day"))
     trailing = product.rangeBetween(-(window_days - 1), Window.currentRow)
     since_first = F.datediff("day", F.first("day").over(product)) + 1
@@ -174,17 +177,23 @@ def return_rate(shipped: DataFrame, returned: DataFrame, by: list[str], reasons:
     """Returned over shipped packs, with one column per return reason.
 
     ``shipped``: by..., shipped_quantity. ``returned``: by..., reason, returned_quantity.
-    Both are summed to the grain of the report before the join.
+    One aggregate over both; groups of which nothing was shipped are left out.
     """
-    out = shipped.groupBy(*by).agg(F.sum("shipped_quantity").alias("shipped"))
-    back = returned.groupBy(*by).agg(
-        F.sum("returned_quantity").alias("returned"),
-        *[F.sum(F.when(F.col("reason") == r, F.col("returned_quantity"))).alias(f"returned_{r}") for r in reasons],
+    rows = shipped.select(*by, "shipped_quantity").unionByName(
+        returned.select(*by, "reason", "returned_quantity"), allowMissingColumns=True
     )
-    columns = ["returned", *[f"returned_{r}" for r in reasons]]
+
+    def back(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("returned_quantity"))), F.lit(0))
+
     return (
-        out.join(back, by, "left")
-        .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
+        rows.groupBy(*by)
+        .agg(
+            F.sum("shipped_quantity").alias("shipped"),
+            back(F.lit(True)).alias("returned"),
+            *[back(F.col("reason") == reason).alias(f"returned_{reason}") for reason in reasons],
+        )
+        .where("shipped is not null")
         .withColumn("return_rate", ratio(F.col("returned"), F.col("shipped")))
     )
 
@@ -351,14 +360,19 @@ def delivery_scorecard(expected: DataFrame, delivered: DataFrame) -> DataFrame:
 def channel_stock_balance(shipped: DataFrame, returned: DataFrame, sold: DataFrame, counted: DataFrame, by: list[str]) -> DataFrame:
     """Stock that should be there (shipped - returned - sold) against the counted stock.
 
-    Each input: by..., quantity. A group on one side only is kept.
+    Each input: by..., quantity. A group on one side only is kept: one aggregate over
+    all four does the work of three full joins.
     """
     parts = {"shipped": shipped, "returned": returned, "sold": sold, "counted": counted}
-    table = None
-    for name, df in parts.items():
-        part = df.groupBy(*by).agg(F.sum("quantity").alias(name))
-        table = part if table is None else table.join(part, by, "full_outer")
-    table = table.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in parts})
+    rows = functools.reduce(
+        DataFrame.unionByName, [df.select(*by, F.lit(name).alias("kind"), "quantity") for name, df in parts.items()]
+    )
+    table = rows.groupBy(*by).agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("kind") == name, F.col("quantity"))), F.lit(0)).alias(name)
+            for name in parts
+        ]
+    )
     book = F.col("shipped") - F.col("returned") - F.col("sold")
     return table.withColumn("book_stock", book).withColumn("difference", F.col("counted") - F.col("book_stock"))
 
