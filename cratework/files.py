@@ -63,6 +63,11 @@ def partition_dir(column: str, value: str) -> str:
     return f"{column}={escaped}"
 
 
+def unescape(text: str) -> str:
+    """A partition value from its directory name."""
+    return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), text)
+
+
 def glob_text(text: str) -> str:
     """Text that a Hadoop glob pattern matches literally."""
     return re.sub(r"([*?\[\]{}\\,])", r"\\\1", text)

@@ -38,6 +38,7 @@ MANIFEST = "member_manifest"
 PARTITIONS = ("ingest_date", "zip_name", "schema_status")
 SIDE_BY_SIDE = 4
 MAX_TASKS = 100_000
+FEW_FOLDERS = 64
 
 MANIFEST_COLUMNS = (
     "path",
@@ -219,16 +220,29 @@ def _invalid_rows(splits: DataFrame, observed_schema: str) -> DataFrame:
     return rows.where(F.col("_schema_status") == fixed.INVALID)
 
 
+def _status_rows(
+    spark: SparkSession, base: str, dates: list[str] | None, columns: str | T.StructType, status: str
+) -> DataFrame | None:
+    """Rows with one schema status below a dataset's folder; None if no folder of the dates is there.
+
+    Whole days are listed (in parallel, by Spark) and partition filters pick the files.
+    """
+    days = [f"{base}/{files.glob_text(files.partition_dir('ingest_date', d))}" for d in dates] if dates else [base]
+    folders = [folder for day in days for folder in files.glob(spark, day)]
+    if not folders:
+        return None
+    rows = spark.read.schema(columns).option("basePath", base).parquet(*folders)
+    return rows.where(F.col("schema_status") == status)
+
+
 def _written_members(spark: SparkSession, bronze: str, datasets: list[Row], status: str) -> DataFrame | None:
-    """Archive and member of every row written with one schema status; None if there are none."""
+    """Archive and member of every row written with one schema status, for the dates of a run."""
     columns = "_source_file_name string, ingest_date string, zip_name string, schema_status string"
     found = []
     for dataset in datasets:
         base = f"{bronze}/{dataset.source_name}/{dataset.dataset_name}"
-        days = [files.glob_text(files.partition_dir("ingest_date", date)) for date in dataset.dates]
-        folders = [f for day in days for f in files.glob(spark, f"{base}/{day}/zip_name=*/schema_status={status}")]
-        if folders:
-            rows = spark.read.schema(columns).option("basePath", base).parquet(*folders)
+        rows = _status_rows(spark, base, dataset.dates, columns, status)
+        if rows is not None:
             found.append(
                 rows.select(
                     F.lit(dataset.source_name).alias("source_name"),
@@ -254,11 +268,13 @@ def _write_manifest(readable, bronze, schemas, datasets, folder) -> tuple[DataFr
         manifest = manifest.withColumn("n_written", F.lit(None).cast("bigint"))
 
     unresolved = _written_members(spark, bronze, datasets, zips.UNRESOLVED)
+    n_unresolved = 0
     if unresolved is not None:
         unresolved = unresolved.distinct().persist()
+        n_unresolved = unresolved.count()
+    if n_unresolved:
         doubtful = zips.list_members(readable).join(unresolved, member_id, "left_semi")
-        tasks = min(unresolved.count(), MAX_TASKS)
-        profiles = zips.profile_members(zips.spread(zips.regroup(doubtful), tasks), schemas)
+        profiles = zips.profile_members(zips.spread(zips.regroup(doubtful), min(n_unresolved, MAX_TASKS)), schemas)
         manifest = manifest.join(profiles.drop("member"), ["path", "ordinal"], "left")
     else:
         nothing = {"outcome": "string", "reason": "string", "n_rows": "bigint", "observed_schema": "string"}
@@ -275,10 +291,11 @@ def _write_manifest(readable, bronze, schemas, datasets, folder) -> tuple[DataFr
         "outcome": F.coalesce("outcome", F.lit(fixed.VALID)),
     }
     manifest.withColumns(filled).select(*MANIFEST_COLUMNS).write.mode("overwrite").parquet(folder)
-    if unresolved is not None:
+    if n_unresolved:
         drop_unresolved(unresolved, bronze)
+    if unresolved is not None:
         unresolved.unpersist()
-    return spark.read.parquet(folder), unresolved is not None
+    return spark.read.parquet(folder), n_unresolved > 0
 
 
 def archive_summary(gated: DataFrame, splits: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -355,6 +372,28 @@ def pending_archives(archives: DataFrame, ledger: DataFrame | None) -> DataFrame
     return archives.join(done.distinct(), ["path", "length", "modificationTime"], "left_anti")
 
 
+def unfinished_archives(spark: SparkSession, base: str, dates: list[str] | None = None) -> list[tuple[str, str]]:
+    """(ingest_date, zip_name) folder names without a marker: failed or running loads.
+
+    Archive folders are listed per day; the markers are looked up in parallel tasks.
+    """
+    days = [files.glob_text(files.partition_dir("ingest_date", d)) for d in dates] if dates else ["ingest_date=*"]
+    folders = [folder for day in days for folder in files.glob(spark, f"{base}/{day}/zip_name=*")]
+
+    def without_marker(batches):
+        for batch in batches:
+            missing = [files.size_of(f"{folder}/{fixed.SUCCESS_MARKER}") is None for folder in batch["folder"]]
+            yield batch[missing]
+
+    if len(folders) <= FEW_FOLDERS:
+        missing = [f for f in folders if files.size_of(f"{f}/{fixed.SUCCESS_MARKER}") is None]
+    else:
+        listed = spark.createDataFrame([(f,) for f in folders], "folder string")
+        tasks = min(len(folders) // FEW_FOLDERS + 1, MAX_TASKS)
+        missing = [r.folder for r in listed.repartition(tasks).mapInPandas(without_marker, "folder string").collect()]
+    return [tuple(part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:]) for folder in missing]
+
+
 def read_bronze(
     spark: SparkSession,
     bronze: str,
@@ -366,15 +405,10 @@ def read_bronze(
 ) -> DataFrame:
     """Rows of complete archives, of the given dates.
 
-    Only folders beside a marker are listed, so unfinished archives, other dates and
-    quarantined files are never opened.
+    Partition filters leave out quarantined files and unfinished archives, so none of
+    their files is opened; other dates are not even listed.
     """
     base = f"{bronze}/{source}/{dataset}"
-    days = [files.glob_text(files.partition_dir("ingest_date", d)) for d in dates] if dates else ["ingest_date=*"]
-    marked = [m for day in days for m in files.glob(spark, f"{base}/{day}/zip_name=*/{fixed.SUCCESS_MARKER}")]
-    with_rows = {f for day in days for f in files.glob(spark, f"{base}/{day}/zip_name=*/schema_status={status}")}
-    folders = [f"{m.rsplit('/', 1)[0]}/schema_status={status}" for m in marked]
-    folders = [folder for folder in folders if folder in with_rows]
     full = T.StructType(
         [
             *schema,
@@ -382,9 +416,15 @@ def read_bronze(
             *(T.StructField(name, T.StringType()) for name in (*fixed.LINEAGE_COLUMNS[1:], *PARTITIONS)),
         ]
     )
-    if not folders:
+    rows = _status_rows(spark, base, dates, full, status)
+    if rows is None:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", base).parquet(*folders)
+    by_date: dict[str, list[str]] = {}
+    for date, name in unfinished_archives(spark, base, dates):
+        by_date.setdefault(files.unescape(date), []).append(files.unescape(name))
+    for date, names in by_date.items():
+        rows = rows.where(~((F.col("ingest_date") == date) & F.col("zip_name").isin(*names)))
+    return rows
 
 
 def quarantine_rows(spark: SparkSession, bronze: str, manifest: DataFrame) -> DataFrame:

@@ -339,6 +339,30 @@ def expected_deliveries(datasets: DataFrame, first_day: Column, last_day: Column
     )
 
 
+def delivered_from_ledger(ledger: DataFrame) -> DataFrame:
+    """What was delivered per dataset and day, from the bronze run ledger.
+
+    The last run of an archive counts. An archive that failed has no members that count,
+    so its delivery is not complete.
+    """
+    last = ledger.groupBy("path").agg(
+        F.max_by(
+            F.struct("dataset_name", "ingest_date", "status", "uploaded", "invalid", "modificationTime"),
+            F.struct("modificationTime", "run_id"),
+        ).alias("last")
+    )
+    loaded = F.col("status") == "complete"
+    return (
+        last.select("last.*")
+        .groupBy("dataset_name", F.to_date("ingest_date").alias("day"))
+        .agg(
+            F.sum(F.when(loaded, F.col("uploaded")).otherwise(0)).alias("members"),
+            F.sum("invalid").alias("invalid_members"),
+            F.max("modificationTime").alias("arrived_at"),
+        )
+    )
+
+
 def delivery_scorecard(expected: DataFrame, delivered: DataFrame) -> DataFrame:
     """On time, complete and in the agreed format, per dataset and day.
 

@@ -65,17 +65,33 @@ PROFILE_SCHEMA = (
 ROUTING = ("_zip_file_name", "_source_file_name", "_schema_status", "ingest_date", "zip_name", "schema_status")
 
 
-def list_archives(spark: SparkSession, landing: str, pattern: str = "*.[zZ][iI][pP]") -> DataFrame:
-    """Landed archives with their keys; file contents are not read."""
+ZIP_FILES = "*.[zZ][iI][pP]"
+
+
+def list_archives(spark: SparkSession, landing: str, dates: list[str] | None = None) -> DataFrame:
+    """Landed archives with their keys; file contents are not read.
+
+    With ``dates`` only those days' folders are listed, not the whole history.
+    """
     root = files.qualify(spark, landing).rstrip("/")
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(landing)
-        .select("path", "length", "modificationTime")
-    )
-    return describe_archives(listing, root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", ZIP_FILES)
+    if dates is None:
+        listing = reader.load(landing)
+    else:
+        days = [files.glob_text(files.partition_dir("ingest_date", date)) for date in dates]
+        folders = [folder for day in days for folder in files.glob(spark, f"{root}/*/*/{day}")]
+        if not folders:
+            return describe_archives(spark.createDataFrame([], LISTING_SCHEMA), root)
+        listing = reader.load(folders)
+    return describe_archives(listing.select("path", "length", "modificationTime"), root)
+
+
+LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
+
+
+def of_events(archives: DataFrame, events: DataFrame) -> DataFrame:
+    """The archives that landing events (with a ``landing_key``) announce."""
+    return archives.join(events.select("landing_key"), "landing_key", "left_semi")
 
 
 def describe_archives(listing: DataFrame, root: str) -> DataFrame:

@@ -19,13 +19,14 @@ def load_pending(
     schemas: dict[str, T.StructType],
     run_id: str,
     moment: dt.datetime | None = None,
+    dates: list[str] | None = None,
 ) -> DataFrame:
-    """Load what the ledger does not know yet, re-landed files included.
+    """Load what the ledger does not know yet, re-landed files included; all days or some.
 
     This is the trigger to schedule: a file stream never looks again at a path it has
     seen, so a delivery that replaces an earlier one would be missed.
     """
-    listing = zips.list_archives(spark, landing)
+    listing = zips.list_archives(spark, landing, dates)
     todo = bronze_ops.pending_archives(listing, bronze_ops.read_ledger(spark, bronze))
     return bronze_ops.load_archives(todo, bronze, schemas, run_id, moment)
 
@@ -51,7 +52,7 @@ def start_arrival_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     listing = (
         reader.schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("pathGlobFilter", "*.[zZ][iI][pP]")
+        .option("pathGlobFilter", zips.ZIP_FILES)
         .load(landing)
         .select("path", "length", "modificationTime")
     )

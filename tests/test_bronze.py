@@ -218,3 +218,16 @@ def test_large_members_go_through_blocks(spark, tmp_path, make_zip, load, monkey
     assert rows.agg(F.count("*"), F.sum(number), F.countDistinct("id")).first()[:] == (
         1_500_001, 1_500_000 * 1_499_999 // 2, 1_500_001,
     )
+
+
+def test_markers_of_many_archives_are_checked_in_tasks(spark, tmp_path, make_zip, load, monkeypatch):
+    monkeypatch.setattr(bronze, "FEW_FOLDERS", 2)
+    for name in ("a", "b=1", "c:%", "d e"):
+        make_zip(KEY.format(name), {"x.csv": b"id\n" + name.encode() + b"\n"})
+    assert {r["status"] for r in load().values()} == {"complete"}
+    read = lambda: bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"])
+    assert sorted(r["id"] for r in read().collect()) == ["a", "b=1", "c:%", "d e"]
+    for marker in (tmp_path / "bronze/src/ds/ingest_date=2026-01-01").glob("zip_name=[bc]*/_SUCCESS"):
+        marker.unlink()
+    assert sorted(r["id"] for r in read().collect()) == ["a", "d e"]
+    assert sorted(r["zip_name"] for r in read().collect()) == ["a", "d e"]

@@ -28,10 +28,14 @@ def test_bronze_reads_only_marked_folders_of_the_asked_dates(spark, make_zip, tm
     target = str(tmp_path / "bronze")
     bronze.load_archives(zips.list_archives(spark, str(tmp_path / "landing")), target, {"d": schema}, "r")
     df = bronze.read_bronze(spark, target, "s", "d", schema, ["2026-01-02"])
-    assert [f.split("/bronze/")[1].rsplit("/", 1)[0] for f in df.inputFiles()] == [
-        "s/d/ingest_date=2026-01-02/zip_name=b/schema_status=valid"
-    ]
-    assert "ReadSchema: struct<b:string>" in plan_of(df.select("b"))
+    assert {f.split("/bronze/")[1].split("/")[2] for f in df.inputFiles()} == {"ingest_date=2026-01-02"}
+    plan = plan_of(df.select("b"))
+    assert "ReadSchema: struct<b:string>" in plan
+    assert re.search(r"PartitionFilters: \[.*schema_status#\d+ = valid", plan)
+    (tmp_path / "bronze/s/d/ingest_date=2026-01-02/zip_name=b/_SUCCESS").unlink()
+    open_load = bronze.read_bronze(spark, target, "s", "d", schema)
+    assert [r["zip_name"] for r in open_load.select("zip_name").collect()] == ["a"]
+    assert re.search(r"PartitionFilters: \[.*zip_name#\d+ = b", plan_of(open_load))
 
 
 def test_change_extract_is_pushed_down(spark):
