@@ -17,10 +17,11 @@ from cratework.functions import paths
 from cratework.operators import bronze as bronze_ops
 from cratework.operators import silver
 from cratework.operators.contract import text_schema
+from cratework.plans import marts
 from cratework.plans.erp_views import money, table
 from cratework.session import configure, fresh_folder
 from cratework.sources import archives as zips
-from cratework.sources import deliveries, landing, registry
+from cratework.sources import deliveries, landing, partner, registry
 from cratework.streaming import arrivals
 
 DAY = "ingest_date=2026-01-01"
@@ -599,3 +600,89 @@ def stream_archives(spark: SparkSession, sf: str) -> DataFrame:
     arrivals.load_pending(spark, root, target, schemas, "relanded", MOMENT)
     rows = bronze_ops.read_bronze(spark, target, "feed", "events", EVENT_SCHEMA)
     return rows.select(*EVENT_SCHEMA.names, "_source_file_name")
+
+
+def receipt_archive_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as point-of-sale receipts: one JSON member per pharmacy, with nested products and payments."""
+    price = money("l_extendedprice")
+    df = table(spark, sf, "lineitem").withColumn("pharmacy", F.lpad(F.pmod("l_suppkey", F.lit(25)).cast("string"), 4, "0"))
+    product = F.struct(
+        F.col("l_partkey").cast("string").alias("gtin"), price.alias("price"), F.col("l_quantity").cast("bigint").alias("quantity")
+    )
+    payments = F.array(
+        F.struct(price.alias("amount"), F.col("l_linestatus").alias("method")),
+        F.struct(F.lit(0).cast("decimal(18,2)").alias("amount"), F.lit("bonus").alias("method")),
+    )
+    receipt = F.struct(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("receipt_id"),
+        F.concat(F.lit("PH-"), "pharmacy").alias("pharmacy_code"),
+        F.lit("Z1").alias("zone_code"),
+        F.date_format("l_shipdate", TS).alias("receipt_ts"),
+        F.col("l_returnflag").alias("order_id"),
+        F.array(product).alias("products"),
+        payments.alias("payments"),
+    )
+    archive = key_of("pos_receipts", F.concat(F.lit("pos_receipts"), chunk("l_orderkey", RECEIPT_ORDERS)))
+    member = F.concat(F.lit("pos_receipts-PH-"), "pharmacy", F.lit(".json"))
+    return deliveries.as_json(df, archive, member, F.to_json(receipt))
+
+
+# Orders whose receipts share an archive: even one pharmacy's member with all of them stays under the size limit.
+RECEIPT_ORDERS = 2_000
+
+
+@query("""SELECT CAST(l_partkey AS VARCHAR) AS gtin, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS packs,
+  CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue, COUNT(*)::BIGINT AS n_lines,
+  CAST(MIN(l_shipdate) AS DATE) AS first_day, CAST(MAX(l_shipdate) AS DATE) AS last_day
+FROM lineitem GROUP BY l_partkey""")
+def receipts_to_demand(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested receipts of all pharmacies, from JSON members to packs sold per product."""
+    _, target, _ = load(spark, receipt_archive_lines(spark, sf), partner.SCHEMAS)
+    receipts = bronze_ops.read_bronze(spark, target, "feed", "pos_receipts", partner.SCHEMAS["pos_receipts"])
+    sold = partner.with_day(partner.receipt_lines(receipts), "receipt_ts")
+    return sold.groupBy("gtin").agg(
+        F.sum("quantity").alias("packs"),
+        F.sum("price").cast("decimal(38,2)").alias("revenue"),
+        F.count("*").alias("n_lines"),
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
+    )
+
+
+@query("""SELECT 'PH-' || lpad(CAST(l_suppkey % 25 AS VARCHAR), 4, '0') AS pharmacy_code, method, COUNT(*)::BIGINT AS n_payments,
+  CAST(SUM(amount) AS DECIMAL(38,2)) AS amount FROM (
+  SELECT l_suppkey, l_linestatus AS method, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem
+  UNION ALL SELECT l_suppkey, 'bonus', CAST(0 AS DECIMAL(18,2)) FROM lineitem) GROUP BY ALL""")
+def receipt_payments(spark: SparkSession, sf: str) -> DataFrame:
+    """The other child table of the same receipts: payments, which never multiply the products."""
+    _, target, _ = load(spark, receipt_archive_lines(spark, sf), partner.SCHEMAS)
+    receipts = bronze_ops.read_bronze(spark, target, "feed", "pos_receipts", partner.SCHEMAS["pos_receipts"])
+    paid = partner.receipt_payments(receipts)
+    return paid.groupBy("pharmacy_code", "method").agg(
+        F.count("*").alias("n_payments"), F.sum("amount").cast("decimal(38,2)").alias("amount")
+    )
+
+
+@query(f"""WITH m AS (SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT strftime(ts, '%H') || {sql_chunk("event_id", EVENTS)})::BIGINT AS members
+  FROM events GROUP BY 1),
+  c AS (SELECT CAST(unnest(generate_series(MIN(day), MAX(day) + 1, INTERVAL 1 DAY)) AS DATE) AS day FROM m)
+SELECT 'events' AS dataset_name, c.day, COALESCE(members, 0)::BIGINT AS members, COALESCE(members >= 24, FALSE) AS complete,
+  (members IS NOT NULL) AS agreed_format, FALSE AS on_time
+FROM c LEFT JOIN m ON m.day = c.day""")
+def scorecard_from_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily archives of hourly members against the calendar, one day beyond the last delivery.
+
+    The archives of 2024 land now, so no delivery is on time.
+    """
+    lines = event_lines(spark, sf)
+    day = F.regexp_extract("archive", r"events-(\d{4}-\d{2}-\d{2})\.zip$", 1)
+    dated = lines.withColumn("archive", F.concat(F.lit("feed/events/ingest_date="), day, F.lit("/events.zip")))
+    _, target, _ = load(spark, dated, {"events": EVENT_SCHEMA})
+    delivered = marts.delivered_from_ledger(bronze_ops.read_ledger(spark, target))
+    events = table(spark, sf, "events").agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi"))
+    calendar = events.select(F.lit("events").alias("dataset_name"), F.lit(24).alias("expected_members"), "lo", "hi")
+    expected = marts.expected_deliveries(calendar, F.col("lo"), F.date_add("hi", 1))
+    card = marts.delivery_scorecard(expected, delivered)
+    return card.select(
+        "dataset_name", "day", F.coalesce("members", F.lit(0)).alias("members"), "complete", "agreed_format", "on_time"
+    )

@@ -354,7 +354,7 @@ def delivered_from_ledger(ledger: DataFrame) -> DataFrame:
     loaded = F.col("status") == "complete"
     return (
         last.select("last.*")
-        .groupBy("dataset_name", F.to_date("ingest_date").alias("day"))
+        .groupBy("dataset_name", F.col("ingest_date").try_cast("date").alias("day"))
         .agg(
             F.sum(F.when(loaded, F.col("uploaded")).otherwise(0)).alias("members"),
             F.sum("invalid").alias("invalid_members"),

@@ -142,3 +142,31 @@ numbers = st.one_of(
 def test_json_numbers_keep_their_text(table):
     text = "[" + ",".join(f'{{"n": {n}, "s": {json.dumps(s)}}}' for n, s in table) + "]"
     assert [(r["n"], r["s"]) for r in rows("x.json", text.encode())] == table
+
+
+value = st.recursive(
+    st.one_of(st.none(), st.booleans(), st.integers().map(str), st.sampled_from(["", "x", "é"])),
+    lambda inner: st.one_of(
+        st.lists(inner, max_size=3), st.dictionaries(st.sampled_from("zyxab"), inner, max_size=3)
+    ),
+    max_leaves=6,
+)
+records = st.lists(st.dictionaries(st.sampled_from(["b", "a", "Z", "é"]), value, max_size=4), min_size=1, max_size=5)
+
+
+@settings(max_examples=300, deadline=None)
+@given(records)
+def test_records_become_the_columns_arrow_would_make(rows_in):
+    try:
+        want = pa.Table.from_pylist(rows_in)
+    except Exception:
+        want = None
+    try:
+        schema, batches = readers._columns(rows_in)
+        got = pa.Table.from_batches(list(batches), schema)
+    except Exception:
+        got = None
+    assert (got is None) == (want is None)
+    if want is not None:
+        assert got.schema.equals(want.schema)
+        assert got.to_pylist() == want.to_pylist()
