@@ -47,10 +47,19 @@ def count_row_rules(df: DataFrame, name: str, rules: list[tuple[str, str, Column
     return counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*entries))).select(*REPORT_COLUMNS)
 
 
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key value, without keys that have a null part.
+
+    All key rules start from this, so that Spark shuffles the same key of the same
+    table once, however many rules need it.
+    """
+    present = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return df.where(present).groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once, with their counts; a null is never equal."""
-    present = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    return df.where(present).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return key_counts(df, keys).where("n > 1")
 
 
 def missing_parents(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
@@ -58,9 +67,10 @@ def missing_parents(child: DataFrame, parent: DataFrame, key: ForeignKey) -> Dat
 
     A key with a null part passes.
     """
-    present = functools.reduce(Column.__and__, [F.col(c).isNotNull() for c in key.columns])
-    used = child.where(present).groupBy(*key.columns).agg(F.count("*").alias("n"))
-    known = parent.select(*[F.col(p).alias(c) for c, p in zip(key.columns, key.parent_columns)]).distinct()
+    used = key_counts(child, list(key.columns))
+    known = key_counts(parent, list(key.parent_columns)).select(
+        *[F.col(p).alias(c) for c, p in zip(key.columns, key.parent_columns)]
+    )
     return used.join(known, list(key.columns), "left_anti")
 
 
@@ -83,21 +93,23 @@ def constraint_report(tables: Mapping[str, DataFrame], rules: Mapping[str, Table
     Key rules count the violating key values (unique) or child rows (foreign). A
     foreign key whose parent table is not given is left out.
     """
-    parts = []
+    stated, found = [], []
+
+    def count(name: str, kind: str, rule: str, rows: DataFrame, violations: Column) -> None:
+        stated.append((name, kind, rule, 0))
+        labels = {"table_name": name, "rule_kind": kind, "rule": rule}
+        found.append(rows.select(*[F.lit(v).alias(c) for c, v in labels.items()], violations.alias("violations")))
+
     for name, df in tables.items():
         table = rules[name]
-        parts.append(count_row_rules(df, name, row_rules(table)))
+        found.append(count_row_rules(df, name, row_rules(table)))
         for keys in table.unique:
-            parts.append(_counted(duplicate_keys(df, list(keys)), F.count("*"), name, "unique", ", ".join(keys)))
+            count(name, "unique", ", ".join(keys), duplicate_keys(df, list(keys)), F.lit(1).cast("bigint"))
         for key in table.foreign:
             if key.parent in tables:
-                lost = missing_parents(df, tables[key.parent], key)
                 rule = f"{', '.join(key.columns)} -> {key.parent}"
-                parts.append(_counted(lost, F.coalesce(F.sum("n"), F.lit(0)), name, "foreign", rule))
-    return functools.reduce(DataFrame.unionByName, parts)
-
-
-def _counted(df: DataFrame, count: Column, table: str, kind: str, rule: str) -> DataFrame:
-    return df.agg(count.alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(kind).alias("rule_kind"), F.lit(rule).alias("rule"), "violations"
-    )
+                count(name, "foreign", rule, missing_parents(df, tables[key.parent], key), F.col("n"))
+    # Rules without a violating key have no rows of their own: they start at zero.
+    zeros = df.sparkSession.createDataFrame(stated, "table_name string, rule_kind string, rule string, violations bigint")
+    every = functools.reduce(DataFrame.unionByName, found, zeros)
+    return every.groupBy("table_name", "rule_kind", "rule").agg(F.sum("violations").alias("violations"))
