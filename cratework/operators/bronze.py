@@ -37,7 +37,6 @@ LEDGER = "run_ledger"
 MANIFEST = "member_manifest"
 PARTITIONS = ("ingest_date", "zip_name", "schema_status")
 SIDE_BY_SIDE = 4
-MAX_TASKS = 100_000
 FEW_FOLDERS = 64
 
 MANIFEST_COLUMNS = (
@@ -274,7 +273,7 @@ def _write_manifest(readable, bronze, schemas, datasets, folder) -> tuple[DataFr
         n_unresolved = unresolved.count()
     if n_unresolved:
         doubtful = zips.list_members(readable).join(unresolved, member_id, "left_semi")
-        profiles = zips.profile_members(zips.spread(zips.regroup(doubtful), min(n_unresolved, MAX_TASKS)), schemas)
+        profiles = zips.profile_members(zips.spread(zips.regroup(doubtful), min(n_unresolved, zips.MAX_TASKS)), schemas)
         manifest = manifest.join(profiles.drop("member"), ["path", "ordinal"], "left")
     else:
         nothing = {"outcome": "string", "reason": "string", "n_rows": "bigint", "observed_schema": "string"}
@@ -389,7 +388,7 @@ def unfinished_archives(spark: SparkSession, base: str, dates: list[str] | None
         missing = [f for f in folders if files.size_of(f"{f}/{fixed.SUCCESS_MARKER}") is None]
     else:
         listed = spark.createDataFrame([(f,) for f in folders], "folder string")
-        tasks = min(len(folders) // FEW_FOLDERS + 1, MAX_TASKS)
+        tasks = min(len(folders) // FEW_FOLDERS + 1, zips.MAX_TASKS)
         missing = [r.folder for r in listed.repartition(tasks).mapInPandas(without_marker, "folder string").collect()]
     return [tuple(part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:]) for folder in missing]
 

@@ -23,6 +23,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

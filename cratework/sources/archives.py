@@ -1,10 +1,10 @@
 """Landed ZIP archives as DataFrames: listing, members, rows, profiles.
 
 The unit of work is a *split*: a run of members of one archive of about
-``SPLIT_BYTES`` unpacked, or one larger member. Splits are spread over tasks one by
-one, so an archive with thousands of members is read by many tasks, and one that
-holds a third of the data does not hold up the others. Only the central directory
-is read to plan the splits.
+``SPLIT_BYTES`` unpacked, or one larger member. A task takes neighbouring splits of
+about ``TASK_BYTES``, or single ones while there are tasks to spare. So an archive with
+thousands of members is read by many tasks, and one that holds a third of the data
+does not hold up the others. Only the central directory is read to plan the splits.
 
 A compressed member can only be unpacked from its start, but unpacking and parsing is
 the fast part: of a member above ``LARGE_MEMBER`` one task passes on parsed blocks,
@@ -19,7 +19,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
@@ -29,10 +29,11 @@ from cratework import fixed_values as fixed
 from cratework.functions import paths
 from cratework.sources.readers import CSV_BLOCK, Skipped, read_member
 
-SPLIT_BYTES = 128 * 1024 * 1024
+SPLIT_BYTES = 32 * 1024 * 1024
 SPLIT_MEMBERS = 1024
-LARGE_MEMBER = SPLIT_BYTES
-BLOCKS_PER_TASK = 16
+TASK_BYTES = 128 * 1024 * 1024
+LARGE_MEMBER = 64 * 1024 * 1024
+MAX_TASKS = 200_000
 
 # Status of a row that stands for a member the optimistic read could not finish.
 UNRESOLVED = "unresolved"
@@ -192,14 +193,18 @@ def observe(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[tuple]:
         yield None, None, error
 
 
-def size_of_work() -> list:
-    """Aggregates that tell how many tasks a read needs; see ``read_members``."""
-    size = F.aggregate("members", F.lit(0).cast("bigint"), lambda acc, m: acc + m["size"])
-    large = size > LARGE_MEMBER
+def split_size() -> Column:
+    return F.aggregate("members", F.lit(0).cast("bigint"), lambda acc, m: acc + m["size"])
+
+
+def size_of_work() -> list[Column]:
+    """Aggregates over splits that tell how many tasks a read needs; see ``read_members``."""
+    large = split_size() > LARGE_MEMBER
     return [
         F.count_if(~large).alias("n_small"),
+        F.sum(F.when(~large, split_size()).otherwise(0)).alias("small_bytes"),
         F.count_if(large).alias("n_large"),
-        F.sum(F.when(large, size).otherwise(0)).alias("large_bytes"),
+        F.sum(F.when(large, split_size()).otherwise(0)).alias("large_bytes"),
     ]
 
 
@@ -211,15 +216,18 @@ def read_members(splits: DataFrame, work, data_schema: T.StructType, status: str
     late, its earlier rows come out too, and the caller has to drop that archive.
     ``work`` is a row of ``size_of_work`` over these splits.
     """
-    size = F.aggregate("members", F.lit(0).cast("bigint"), lambda acc, m: acc + m["size"])
-    small = spread(splits.where(size <= LARGE_MEMBER), work.n_small)
+    spare = 2 * splits.sparkSession.sparkContext.defaultParallelism
+
+    def tasks(size: int, pieces: int) -> int:
+        return min(max(size // TASK_BYTES, spare), pieces, MAX_TASKS)
+
+    small = spread(splits.where(split_size() <= LARGE_MEMBER), tasks(work.small_bytes, work.n_small))
     rows = read_rows(small, data_schema, status)
     if not work.n_large:
         return rows
-    blocks = cut_blocks(spread(splits.where(size > LARGE_MEMBER), work.n_large), data_schema)
-    tasks = min(work.large_bytes // (BLOCKS_PER_TASK * CSV_BLOCK) + work.n_large, 200_000)
-    placed = blocks.repartition(int(tasks), "path", "member", "block")
-    return rows.unionByName(rows_of_blocks(placed, data_schema, status))
+    blocks = cut_blocks(spread(splits.where(split_size() > LARGE_MEMBER), work.n_large), data_schema)
+    n = tasks(work.large_bytes, work.large_bytes // CSV_BLOCK + work.n_large)
+    return rows.unionByName(rows_of_blocks(blocks.repartition(n, "path", "member", "block"), data_schema, status))
 
 
 def _row_schemas(data_schema: T.StructType) -> tuple[pa.Schema, pa.Schema, T.StructType]:
