@@ -62,11 +62,18 @@ def processed_at(moment: dt.datetime) -> Column:
     return F.lit(whole.replace(microsecond=whole.microsecond // 1000 * 1000))
 
 
-def with_lineage(rows: DataFrame, run_id: str, moment: dt.datetime) -> DataFrame:
-    """Data columns, then the lineage columns in their fixed order, then the partition columns."""
+def with_lineage(
+    rows: DataFrame, run_id: str, moment: dt.datetime, file_name: bool = True, schema_status: bool = True
+) -> DataFrame:
+    """Data columns, then the lineage columns in their fixed order, then the partition columns.
+
+    The last two lineage columns can be left out.
+    """
     data = [c for c in rows.columns if c not in zips.ROUTING]
+    wanted = {"_source_file_name": file_name, "_schema_status": schema_status}
+    lineage = [c for c in fixed.LINEAGE_COLUMNS if wanted.get(c, True)]
     run = {"_bronze_processed_at": processed_at(moment), "_dag_run_id": F.lit(run_id)}
-    return add_columns(rows, run).select(*data, *fixed.LINEAGE_COLUMNS, *PARTITIONS)
+    return add_columns(rows, run).select(*data, *lineage, *PARTITIONS)
 
 
 def write_rows(rows: DataFrame, folder: str) -> None:

@@ -73,12 +73,13 @@ def land_files(
         .withColumn("refused", F.when(F.col("same_key") > 1, COLLISION))
         .select("source_name", "dataset_name", "source_uri", "landing_key", "landing_uri", "refused")
     )
-    tasks = min(max(planned.count(), 1), 10_000)
+    parallel = 4 * spark.sparkContext.defaultParallelism
+    tasks = max(parallel, int(spark.conf.get("spark.sql.shuffle.partitions")))
     columns = (
         "source_name string, dataset_name string, source_uri string, landing_key string, "
         "source_size bigint, landed_size bigint, error string"
     )
-    copied = planned.repartitionByRange(tasks, "landing_key").mapInPandas(_copy_batches, columns)
+    copied = planned.repartition(tasks, "landing_key").mapInPandas(_copy_batches, columns)
     copied.write.mode("overwrite").parquet(report)
     return spark.read.parquet(report)
 

@@ -231,3 +231,14 @@ def test_markers_of_many_archives_are_checked_in_tasks(spark, tmp_path, make_zip
         marker.unlink()
     assert sorted(r["id"] for r in read().collect()) == ["a", "d e"]
     assert sorted(r["zip_name"] for r in read().collect()) == ["a", "d e"]
+
+
+def test_optional_lineage_columns(spark, make_zip, tmp_path):
+    make_zip(KEY.format("a"), {"a.csv": b"id\n1\n"})
+    splits = zips.plan_splits(zips.list_archives(spark, str(tmp_path / "landing")))
+    rows = zips.read_rows(splits, SCHEMAS["ds"])
+    both = bronze.with_lineage(rows, "r", RUN)
+    assert both.columns == ["id", *fixed.LINEAGE_COLUMNS, *bronze.PARTITIONS]
+    neither = bronze.with_lineage(rows, "r", RUN, file_name=False, schema_status=False)
+    assert neither.columns == ["id", *fixed.LINEAGE_COLUMNS[:3], *bronze.PARTITIONS]
+    assert neither.count() == 1
