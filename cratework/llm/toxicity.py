@@ -40,9 +40,9 @@ WORD = 64
 PIECE = 1 << 20
 # Decoded places and words that a worker remembers.
 REMEMBERED = 200_000
-# Hashed word features, and by how much the evidence for one must exceed chance (nats).
-FEATURES = 1 << 20
-DOUBT = 0.0
+# Hashed word features, and the log odds a feature must have to count.
+FEATURES = 1 << 22
+LEAST_WEIGHT = 2.0
 
 
 def _class_table() -> np.ndarray:
@@ -259,7 +259,8 @@ class Model:
     """Word weights: log odds of toxic documents, where chance does not explain them.
 
     A feature counts if so many of its documents would be toxic by chance with a
-    probability (Chernoff bound) below one in the number of features seen.
+    probability (Chernoff bound) below one in the number of features seen, and if its log
+    odds are LEAST_WEIGHT or more.
     """
 
     def __init__(self, letters: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
@@ -269,9 +270,9 @@ class Model:
         both = toxic + clean
         rate = np.clip(toxic / np.maximum(both, 1), 1e-12, 1 - 1e-12)
         surprise = both * (rate * np.log(rate / share) + (1 - rate) * np.log((1 - rate) / (1 - share)))
-        real = (rate > share) & (surprise > np.log(max(1, np.count_nonzero(both))) + DOUBT)
+        real = (rate > share) & (surprise > np.log(max(1, np.count_nonzero(both))))
         weight = np.log((toxic + 0.5) / (n_toxic + 1.0)) - np.log((clean + 1.0) / (n_clean + 2.0))
-        self.weight = np.where(real & (weight > 0), weight, 0).astype(np.float32)
+        self.weight = np.where(real & (weight >= LEAST_WEIGHT), weight, 0).astype(np.float32)
 
     def scorer(self):
         """Restored text to a probability: of each word its strongest feature, of a text its three strongest words."""
