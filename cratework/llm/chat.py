@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cratework.llm.common import free_name
+
 OPEN, CLOSE = "### ", "</turn>\n"
 LEARNED_ROLE = "assistant"
 _TURN = re.compile(r"### ([^:]*): ([^<]*)</turn>\n")
@@ -63,11 +65,12 @@ def log_of(conversations: DataFrame) -> DataFrame:
     ]
     edited = [event(0, "open", who=role), event(1, "delta", head), event(2, "edit", text)]
     events = F.when(role == LEARNED_ROLE, F.array(*answered)).otherwise(F.array(*edited))
-    rows = conversations.withColumn("__message", F.monotonically_increasing_id())  # before the rows are split up
+    message = free_name(conversations, "message")
+    rows = conversations.withColumn(message, F.monotonically_increasing_id())  # before the rows are split up
     return rows.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
-        F.col("__message").alias("message"),
+        F.col(message).alias("message"),
         F.explode(events).alias("e"),
     ).select("conv_id", "turn", "message", "e.*")
 

@@ -90,3 +90,11 @@ def mix(values: np.ndarray, odd: int) -> np.ndarray:
     """Multiply and fold 64-bit values, so that all bits depend on all bits."""
     values = (values ^ (values >> np.uint64(31))) * np.uint64(odd)
     return values ^ (values >> np.uint64(29))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever extra columns it brings."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

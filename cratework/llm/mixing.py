@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratework.llm.common import Scratch, words
+from cratework.llm.common import Scratch, free_name, words
 
 # Documents whose fractions one task moves at a time; at most two of them stay fractional.
 BLOCK = 1024
@@ -197,7 +197,7 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
 
     Rows that share a doc_id are repeated as often as the largest of their decisions says.
     """
-    taken = mix(docs, weights, most, seed).groupBy("doc_id").agg(F.max("copies").alias("__copies")).where("__copies > 0")
-    taken = taken.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(taken, F.col("doc_id").cast("long").eqNullSafe(taken["__id"]))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+    copies, key = free_name(docs, "copies"), free_name(docs, "key")
+    taken = mix(docs, weights, most, seed).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    joined = docs.join(taken.where(F.col(copies) > 0), docs["doc_id"].cast("long").eqNullSafe(taken[key]))
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).drop(copies)

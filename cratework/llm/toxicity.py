@@ -43,6 +43,8 @@ REMEMBERED = 200_000
 # Hashed word features, and the log odds a feature must have to count.
 FEATURES = 1 << 22
 LEAST_WEIGHT = 2.0
+# Labelled documents a feature must be in to speak for a word; else its beginning does.
+ENOUGH = 5
 
 
 def _class_table() -> np.ndarray:
@@ -272,11 +274,13 @@ class Model:
         surprise = both * (rate * np.log(rate / share) + (1 - rate) * np.log((1 - rate) / (1 - share)))
         real = (rate > share) & (surprise > np.log(max(1, np.count_nonzero(both))))
         weight = np.log((toxic + 0.5) / (n_toxic + 1.0)) - np.log((clean + 1.0) / (n_clean + 2.0))
-        self.weight = np.where(real & (weight >= LEAST_WEIGHT), weight, 0).astype(np.float32)
+        weight = np.where(real & (weight >= LEAST_WEIGHT), weight, 0).astype(np.float32)
+        self.features = np.flatnonzero(both >= ENOUGH).astype(np.int32)
+        self.weights = weight[self.features]
 
     def scorer(self):
-        """Restored text to a probability: of each word its strongest feature, of a text its three strongest words."""
-        weight = {int(f): float(self.weight[f]) for f in np.flatnonzero(self.weight)}
+        """Restored text to a probability: of each word its closest known feature, of a text its three strongest words."""
+        weight = dict(zip(self.features.tolist(), self.weights.tolist()))
         known: dict[bytes, float] = {}
 
         def of(word: bytes) -> float:
@@ -284,7 +288,8 @@ class Model:
             if found is None:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                found = known[word] = max(weight.get(f, 0.0) for f in word_features(word))
+                found = next((weight[f] for f in word_features(word) if f in weight), 0.0)
+                known[word] = found
             return found
 
         def score(restored: str) -> float:
