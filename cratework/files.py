@@ -43,6 +43,12 @@ def size_of(path: str) -> int | None:
     return info.size if info.type == pafs.FileType.File else None
 
 
+def move(path: str, target: str) -> None:
+    """Give a file its final name; a file that has the name already is replaced."""
+    filesystem, inner = locate(path)
+    filesystem.move(inner, locate(target)[1])
+
+
 def delete_file(path: str) -> None:
     filesystem, inner = locate(path)
     filesystem.delete_file(inner)

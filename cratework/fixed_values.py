@@ -11,7 +11,6 @@ VALID = "valid"
 INVALID = "invalid"
 
 # Limits.
-MAX_JSON_SIZE_BYTES = 8 * 1024 * 1024
 MAX_ROWS_PER_FILE = 5_000_000
 COPY_CHUNK_BYTES = 16 * 1024 * 1024
 ARRIVAL_TIMEOUT_HOURS = 24
@@ -46,8 +45,10 @@ MSG_BAD_TEMPLATE = (
     "'{source}' is invalid or references an undefined parameter: {cause}"
 )
 # Python's own texts for template errors.
-CAUSE_POSITIONAL = "Replacement index 0 out of range for positional args tuple"
+CAUSE_POSITIONAL = "Replacement index {index} out of range for positional args tuple"
 CAUSE_OPEN_BRACE = "expected '}' before end of string"
+CAUSE_INNER_BRACE = "unexpected '{' in field name"
+CAUSE_LAST_BRACE = "Single '{' encountered in format string"
 CAUSE_CLOSE_BRACE = "Single '}' encountered in format string"
 
 # Report texts.

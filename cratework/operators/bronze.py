@@ -13,8 +13,13 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import json
+import time
+import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +40,10 @@ FAILED_KEY_COLLISION = "failed_key_collision"
 
 LEDGER = "run_ledger"
 MANIFEST = "member_manifest"
+QUARANTINE = "quarantine"
 PARTITIONS = ("ingest_date", "zip_name", "schema_status")
 SIDE_BY_SIDE = 4
-FEW_FOLDERS = 64
+FOLDERS_PER_TASK = 64
 
 MANIFEST_COLUMNS = (
     "path",
@@ -48,6 +54,7 @@ MANIFEST_COLUMNS = (
     "reason",
     "n_rows",
     "observed_schema",
+    "dropped_keys",
 )
 
 
@@ -124,24 +131,49 @@ def mark_complete(archives: DataFrame, bronze: str) -> int:
     return files.each_row(archives.select(*ARCHIVE_ID), mark)
 
 
-def drop_unresolved(archives: DataFrame, bronze: str) -> int:
+def drop_marks(archives: DataFrame, bronze: str) -> int:
     """Delete the rows that stood for members still to be profiled."""
 
     def drop(row: dict) -> None:
-        files.delete_tree(f"{archive_folder(bronze, row)}/schema_status={zips.UNRESOLVED}")
+        for state in (zips.UNRESOLVED, zips.NOTED):
+            files.delete_tree(f"{archive_folder(bronze, row)}/schema_status={state}")
 
     return files.each_row(archives.select(*ARCHIVE_ID).distinct(), drop)
 
 
-def gate_archives(archives: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
-    """Archives with a refusal for those that must not be touched at all."""
+def last_attempts(ledger: DataFrame) -> DataFrame:
+    """The ledger's last row of every archive path."""
+    others = [c for c in ledger.columns if c != "path"]
+    last = ledger.groupBy("path").agg(F.max_by(F.struct(*others), "attempt").alias("last"))
+    return last.select("path", "last.*")
+
+
+def gate_archives(archives: DataFrame, schemas: dict[str, T.StructType], ledger: DataFrame | None = None) -> DataFrame:
+    """Archives with a refusal for those that must not be touched at all.
+
+    Two archives with one bronze key would replace each other's output, in one batch or
+    one after the other; the later ones are refused as long as the first is complete.
+    """
     same_key = archives.groupBy("bronze_key").agg(F.count("*").alias("same_key"))
+    gated = archives.join(same_key, "bronze_key", "left")
+    taken = F.lit(None).cast("string")
+    if ledger is not None:
+        owners = last_attempts(ledger).where(F.col("status") == COMPLETE).groupBy("bronze_key")
+        gated = gated.join(owners.agg(F.min("path").alias("owner")), "bronze_key", "left")
+        taken = F.when(F.col("owner") != F.col("path"), F.col("owner"))
+    else:
+        gated = gated.withColumn("owner", taken)
     refusal = (
         F.when(F.col("bronze_key").isNull(), FAILED_BAD_KEY)
         .when(~F.col("dataset_name").isin(*schemas), FAILED_NO_SCHEMA)
-        .when(F.col("same_key") > 1, FAILED_KEY_COLLISION)
+        .when((F.col("same_key") > 1) | taken.isNotNull(), FAILED_KEY_COLLISION)
     )
-    return archives.join(same_key, "bronze_key", "left").withColumn("refusal", refusal).drop("same_key")
+    return gated.withColumn("refusal", refusal).drop("same_key", "owner")
+
+
+def new_attempt() -> str:
+    """A unique name for one load; names sort by time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def load_archives(
@@ -150,16 +182,21 @@ def load_archives(
     schemas: dict[str, T.StructType],
     run_id: str,
     moment: dt.datetime | None = None,
+    json_limit: int | None = None,
 ) -> DataFrame:
-    """Load a batch of landed archives; returns this run's ledger, one row per archive."""
+    """Load a batch of landed archives; returns this load's ledger, one row per archive.
+
+    Every load adds its rows to ledger and manifest under an attempt of its own, whatever
+    its run id. ``json_limit``: JSON members of more bytes make their archive fail (None: no limit).
+    """
     spark = archives.sparkSession
     bronze = bronze.rstrip("/")
-    run = f"{bronze}/{{}}/{files.partition_dir('run_id', run_id)}"
+    run = f"{bronze}/{{}}/{files.partition_dir('run_id', run_id)}/attempt={new_attempt()}"
     lineage = functools.partial(
         with_lineage, run_id=run_id, moment=moment or dt.datetime.now(dt.timezone.utc)
     )
 
-    gated = gate_archives(archives, schemas).persist()
+    gated = gate_archives(archives, schemas, read_ledger(spark, bronze)).persist()
     accepted = gated.where("refusal is null")
     splits = zips.plan_splits(accepted).persist()
     readable = splits.where("problem is null")
@@ -172,18 +209,19 @@ def load_archives(
         clean_archives(accepted, bronze)
 
         def load_dataset(dataset: Row) -> None:
-            rows = zips.read_members(_of_dataset(readable, dataset), dataset, schemas[dataset.dataset_name])
+            mine = _of_dataset(readable, dataset)
+            rows = zips.read_members(mine, dataset, schemas[dataset.dataset_name], json_limit=json_limit)
             write_rows(lineage(rows), f"{bronze}/{dataset.source_name}/{dataset.dataset_name}")
 
         side_by_side(load_dataset, datasets)
-        manifest, doubtful = _write_manifest(readable, bronze, schemas, datasets, run.format(MANIFEST))
+        manifest, doubtful = _write_manifest(readable, bronze, schemas, datasets, run.format(MANIFEST), json_limit)
         if doubtful:
-            _load_invalid(readable, manifest, bronze, lineage)
+            _load_invalid(readable, manifest, bronze, run_id, lineage.keywords["moment"], run.format(QUARANTINE), json_limit)
         summary = archive_summary(gated, splits, manifest).persist()
         if doubtful or summary.where(F.col("status").isin(FAILED, EMPTY)).head(1):
             clean_archives(summary.where(F.col("status").isin(FAILED, EMPTY)), bronze)
         mark_complete(summary.where(F.col("status") == COMPLETE), bronze)
-        summary.write.mode("overwrite").parquet(run.format(LEDGER))
+        summary.write.parquet(run.format(LEDGER))
         summary.unpersist()
     finally:
         splits.unpersist()
@@ -201,35 +239,92 @@ def _of_dataset(df: DataFrame, key: Row) -> DataFrame:
     return df.where((F.col("source_name") == key.source_name) & (F.col("dataset_name") == key.dataset_name))
 
 
-def _load_invalid(readable: DataFrame, manifest: DataFrame, bronze: str, lineage) -> None:
-    """Write the rows of mismatching members, one job per observed schema."""
+QUARANTINE_SCHEMA = (
+    "path string, source_name string, dataset_name string, ingest_date string, zip_file_name string, "
+    "member string, ordinal int, row_no bigint, row_json string"
+)
+
+
+def _load_invalid(
+    readable: DataFrame, manifest: DataFrame, bronze: str, run_id: str, moment: dt.datetime, folder: str,
+    json_limit: int | None,
+) -> None:
+    """Put mismatching members into quarantine: one job, whatever shapes they have.
+
+    Each member's rows go into Parquet files of its own shape, and as JSON text into one
+    table for all. A task writes a member's files under names that follow from the member, so
+    a repeated task replaces them.
+    """
     failed = manifest.where(F.col("outcome") == zips.FAILED).select("path").distinct()
     invalid = manifest.join(failed, "path", "left_anti").where(
         (F.col("outcome") == fixed.INVALID) & (F.col("n_rows") > 0)
     )
-    shapes = invalid.select("source_name", "dataset_name", "observed_schema").distinct().collect()
-    for shape in shapes:
-        mine = _of_dataset(invalid, shape).where(F.col("observed_schema") == shape.observed_schema)
-        members = zips.list_members(readable).join(mine.select("path", "ordinal"), ["path", "ordinal"], "left_semi")
-        rows = _invalid_rows(zips.regroup(members), shape.observed_schema)
-        write_rows(lineage(rows), f"{bronze}/{shape.source_name}/{shape.dataset_name}")
+    members = zips.list_members(readable).join(invalid.select("path", "ordinal"), ["path", "ordinal"], "left_semi")
+    splits = zips.regroup(members).persist()
+    try:
+        work = splits.agg(*zips.size_of_work()).first()
+        spread = zips.spread(splits, min(work.n_small + work.n_large, zips.MAX_TASKS))
+        quarantine_members(spread, bronze, run_id, moment, json_limit).write.parquet(folder)
+    finally:
+        splits.unpersist()
 
 
-def _invalid_rows(splits: DataFrame, observed_schema: str) -> DataFrame:
-    """Rows of mismatching members with their own columns, or as text where no table can hold them."""
-    work = splits.agg(*zips.size_of_work()).first()
+def quarantine_members(
+    splits: DataFrame, bronze: str, run_id: str, moment: dt.datetime, json_limit: int | None = None
+) -> DataFrame:
+    """Rows as JSON text, with the members' own files written on the way."""
     reserved = tuple(name.lower() for name in (*fixed.LINEAGE_COLUMNS, *PARTITIONS))
-    if not contract.fits_a_table(observed_schema, reserved):
-        return zips.read_rows_as_json(zips.spread(splits, work.n_small + work.n_large))
-    shape = T.StructType.fromJson(json.loads(observed_schema))
-    rows = zips.read_members(splits, work, shape, fixed.INVALID)
-    return rows.where(F.col("_schema_status") == fixed.INVALID)
+    when = moment.astimezone(dt.timezone.utc)
+    when = when.replace(microsecond=when.microsecond // 1000 * 1000)
+    names = [f.name for f in T.StructType.fromDDL(QUARANTINE_SCHEMA)]
+    stamp = pa.timestamp("us", "UTC")
+    labels = [("_bronze_processed_at", stamp), *((n, pa.string()) for n in fixed.LINEAGE_COLUMNS[1:])]
+
+    def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
+        folder = f"{archive_folder(bronze, row)}/schema_status={fixed.INVALID}"
+        lineage = (when, run_id, row["zip_file_name"], member["member"], fixed.INVALID)
+        writer, shape, as_table, number, part = None, None, True, 0, 0
+        try:
+            for schema, batch, _ in zips.observe(archive, info, zips.Notes(), json_limit):
+                if batch is None or not batch.num_rows:
+                    continue
+                as_table = contract.fits_a_table(zips.schema_text(schema), reserved)
+                texts = list(_json_rows(schema.names, batch, as_table))
+                numbers = pa.array(range(number, number + len(texts)), pa.int64())
+                data, fields = batch.columns, list(schema)
+                if not as_table:  # clashing names cannot be columns
+                    data, fields = [numbers, pa.array(texts)], [pa.field("row_no", pa.int64()), pa.field("row_json", pa.string())]
+                if writer is None or number - part >= fixed.MAX_ROWS_PER_FILE:
+                    if writer is not None:
+                        writer.close()
+                    shape, part = pa.schema([*fields, *labels]), number
+                    writer = pq.ParquetWriter(files.open_output(f"{folder}/member-{member['ordinal']}-{part}.parquet"), shape)
+                marks = [pa.repeat(pa.scalar(v, t), len(texts)) for v, (_, t) in zip(lineage, labels)]
+                writer.write_batch(pa.RecordBatch.from_arrays([*data, *marks], schema=shape))
+                own = (row["path"], row["source_name"], row["dataset_name"], row["ingest_date"], row["zip_file_name"], member["member"])
+                columns = [pa.repeat(pa.scalar(v, pa.string()), len(texts)) for v in own]
+                columns += [pa.repeat(pa.scalar(member["ordinal"], pa.int32()), len(texts)), numbers, pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+                number += len(texts)
+        finally:
+            if writer is not None:
+                writer.close()
+
+    return splits.mapInArrow(lambda batches: zips.over_members(batches, rows), QUARANTINE_SCHEMA)
+
+
+def _json_rows(names: list[str], batch: pa.RecordBatch, as_table: bool) -> Iterator[str]:
+    """Each row as JSON text: an object, or (names clash) a list of names and values."""
+    for cells in zip(*(column.to_pylist() for column in batch.columns)):
+        pairs = zip(names, cells)
+        shown = dict(pairs) if as_table else [{"name": n, "value": v} for n, v in pairs]
+        yield json.dumps(shown, ensure_ascii=False, separators=(",", ":") if as_table else None)
 
 
 def _status_rows(
-    spark: SparkSession, base: str, dates: list[str] | None, columns: str | T.StructType, status: str
+    spark: SparkSession, base: str, dates: list[str] | None, columns: str | T.StructType, status: list[str]
 ) -> DataFrame | None:
-    """Rows with one schema status below a dataset's folder; None if no folder of the dates is there.
+    """Rows with these schema statuses below a dataset's folder; None if no folder of the dates is there.
 
     Whole days are listed (in parallel, by Spark) and partition filters pick the files.
     """
@@ -238,11 +333,11 @@ def _status_rows(
     if not folders:
         return None
     rows = spark.read.schema(columns).option("basePath", base).parquet(*folders)
-    return rows.where(F.col("schema_status") == status)
+    return rows.where(F.col("schema_status").isin(status))
 
 
-def _written_members(spark: SparkSession, bronze: str, datasets: list[Row], status: str) -> DataFrame | None:
-    """Archive and member of every row written with one schema status, for the dates of a run."""
+def _written_members(spark: SparkSession, bronze: str, datasets: list[Row], status: list[str]) -> DataFrame | None:
+    """Archive and member of every row written with these schema statuses, for the dates of a run."""
     columns = "_source_file_name string, ingest_date string, zip_name string, schema_status string"
     found = []
     for dataset in datasets:
@@ -261,29 +356,33 @@ def _written_members(spark: SparkSession, bronze: str, datasets: list[Row], stat
     return functools.reduce(DataFrame.unionByName, found) if found else None
 
 
-def _write_manifest(readable, bronze, schemas, datasets, folder) -> tuple[DataFrame, bool]:
+def _write_manifest(readable, bronze, schemas, datasets, folder, json_limit) -> tuple[DataFrame, bool]:
     """One row per member: good ones are counted in the written rows, the others profiled."""
     spark = readable.sparkSession
     member_id = [*ARCHIVE_ID, "member"]
     manifest = zips.list_members(readable)
 
-    valid = _written_members(spark, bronze, datasets, fixed.VALID)
+    # Earlier loads of the same days left rows too; only this load's archives are counted.
+    own = readable.select(*ARCHIVE_ID).distinct()
+    valid = _written_members(spark, bronze, datasets, [fixed.VALID])
     if valid is not None:
+        valid = valid.join(own, [*ARCHIVE_ID], "left_semi")
         manifest = manifest.join(valid.groupBy(*member_id).agg(F.count("*").alias("n_written")), member_id, "left")
     else:
         manifest = manifest.withColumn("n_written", F.lit(None).cast("bigint"))
 
-    unresolved = _written_members(spark, bronze, datasets, zips.UNRESOLVED)
+    unresolved = _written_members(spark, bronze, datasets, [zips.UNRESOLVED, zips.NOTED])
     n_unresolved = 0
     if unresolved is not None:
         unresolved = unresolved.distinct().persist()
         n_unresolved = unresolved.count()
     if n_unresolved:
         doubtful = zips.list_members(readable).join(unresolved, member_id, "left_semi")
-        profiles = zips.profile_members(zips.spread(zips.regroup(doubtful), min(n_unresolved, zips.MAX_TASKS)), schemas)
+        profiles = zips.profile_members(zips.spread(zips.regroup(doubtful), min(n_unresolved, zips.MAX_TASKS)), schemas, json_limit)
         manifest = manifest.join(profiles.drop("member"), ["path", "ordinal"], "left")
     else:
-        nothing = {"outcome": "string", "reason": "string", "n_rows": "bigint", "observed_schema": "string"}
+        nothing = {"outcome": "string", "reason": "string", "n_rows": "bigint"}
+        nothing |= {"observed_schema": "string", "dropped_keys": "bigint"}
         manifest = manifest.withColumns({name: F.lit(None).cast(kind) for name, kind in nothing.items()})
 
     known = F.col("outcome").isNotNull()
@@ -295,10 +394,11 @@ def _write_manifest(readable, bronze, schemas, datasets, folder) -> tuple[DataFr
             F.element_at(expected, F.col("dataset_name"))
         ),
         "outcome": F.coalesce("outcome", F.lit(fixed.VALID)),
+        "dropped_keys": F.coalesce("dropped_keys", F.lit(0)).cast("bigint"),
     }
-    manifest.withColumns(filled).select(*MANIFEST_COLUMNS).write.mode("overwrite").parquet(folder)
+    manifest.withColumns(filled).select(*MANIFEST_COLUMNS).write.parquet(folder)
     if n_unresolved:
-        drop_unresolved(unresolved, bronze)
+        drop_marks(unresolved, bronze)
     if unresolved is not None:
         unresolved.unpersist()
     return spark.read.parquet(folder), n_unresolved > 0
@@ -357,25 +457,43 @@ def invalid_schema_report(manifest: DataFrame, bronze: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, bronze: str, run_id: str) -> DataFrame:
-    return spark.read.parquet(f"{bronze}/{MANIFEST}/{files.partition_dir('run_id', run_id)}")
+    """The members of a run's archives, of each archive as its last load left them."""
+    rows = spark.read.parquet(f"{bronze}/{MANIFEST}/{files.partition_dir('run_id', run_id)}")
+    last = rows.groupBy("path").agg(F.max("attempt").alias("attempt"))
+    return rows.join(last, ["path", "attempt"]).select(*MANIFEST_COLUMNS)
 
 
 def read_ledger(spark: SparkSession, bronze: str) -> DataFrame | None:
-    """All runs' ledger rows, None before the first run."""
-    if not files.glob(spark, f"{bronze}/{LEDGER}/run_id=*"):
+    """All loads' ledger rows with run_id and attempt, None before the first."""
+    if not files.glob(spark, f"{bronze}/{LEDGER}/run_id=*/attempt=*/_SUCCESS"):
         return None
-    return spark.read.option("basePath", f"{bronze}/{LEDGER}").parquet(f"{bronze}/{LEDGER}/run_id=*")
+    return spark.read.option("basePath", f"{bronze}/{LEDGER}").parquet(f"{bronze}/{LEDGER}/run_id=*/attempt=*")
 
 
-def pending_archives(archives: DataFrame, ledger: DataFrame | None) -> DataFrame:
+def pending_archives(archives: DataFrame, ledger: DataFrame | None, bronze: str | None = None) -> DataFrame:
     """Archives not loaded yet in this very version: path, length and time identify a delivery.
 
-    A re-landed file has another time and comes again; failed ones come again too.
+    The last load of a path decides. A re-landed file has another time and comes again;
+    failed ones come again too, and, with ``bronze``, complete ones whose marker is gone
+    (a later load died half-way).
     """
     if ledger is None:
         return archives
-    done = ledger.where(F.col("status").isin(COMPLETE, EMPTY)).select("path", "length", "modificationTime")
-    return archives.join(done.distinct(), ["path", "length", "modificationTime"], "left_anti")
+    version = ["path", "length", "modificationTime"]
+    done = last_attempts(ledger).where(F.col("status").isin(COMPLETE, EMPTY)).select(*version, F.col("status").alias("done"))
+    known = archives.join(done, version, "left")
+    pending = known.where("done is null").select(*archives.columns)
+    if bronze is None:
+        return pending
+
+    def without_marker(batches):
+        for batch in batches:
+            marks = [f"{archive_folder(bronze, row)}/{fixed.SUCCESS_MARKER}" for row in batch.to_dict("records")]
+            yield batch[[files.size_of(m) is None for m in marks]]
+
+    loaded = known.where(F.col("done") == COMPLETE).select("path", *ARCHIVE_ID)
+    unmarked = loaded.mapInPandas(without_marker, loaded.schema).select("path")
+    return pending.unionByName(archives.join(unmarked, "path", "left_semi"))
 
 
 def unfinished_archives(spark: SparkSession, base: str, dates: list[str] | None = None) -> list[tuple[str, str]]:
@@ -391,12 +509,11 @@ def unfinished_archives(spark: SparkSession, base: str, dates: list[str] | None
             missing = [files.size_of(f"{folder}/{fixed.SUCCESS_MARKER}") is None for folder in batch["folder"]]
             yield batch[missing]
 
-    if len(folders) <= FEW_FOLDERS:
-        missing = [f for f in folders if files.size_of(f"{f}/{fixed.SUCCESS_MARKER}") is None]
-    else:
-        listed = spark.createDataFrame([(f,) for f in folders], "folder string")
-        tasks = min(len(folders) // FEW_FOLDERS + 1, zips.MAX_TASKS)
-        missing = [r.folder for r in listed.repartition(tasks).mapInPandas(without_marker, "folder string").collect()]
+    if not folders:
+        return []
+    listed = spark.createDataFrame([(f,) for f in folders], "folder string")
+    tasks = min(len(folders) // FOLDERS_PER_TASK + 1, zips.MAX_TASKS)
+    missing = [r.folder for r in listed.repartition(tasks).mapInPandas(without_marker, "folder string").collect()]
     return [tuple(part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:]) for folder in missing]
 
 
@@ -422,7 +539,7 @@ def read_bronze(
             *(T.StructField(name, T.StringType()) for name in (*fixed.LINEAGE_COLUMNS[1:], *PARTITIONS)),
         ]
     )
-    rows = _status_rows(spark, base, dates, full, status)
+    rows = _status_rows(spark, base, dates, full, [status])
     if rows is None:
         return spark.createDataFrame([], full)
     by_date: dict[str, list[str]] = {}
@@ -434,33 +551,17 @@ def read_bronze(
 
 
 def quarantine_rows(spark: SparkSession, bronze: str, manifest: DataFrame) -> DataFrame:
-    """Mismatching rows of any shape in one view: archive, member, row as JSON text."""
-    shapes = (
-        manifest.where((F.col("outcome") == fixed.INVALID) & (F.col("n_rows") > 0))
-        .groupBy("source_name", "dataset_name", "observed_schema")
-        .agg(F.collect_set("ingest_date").alias("dates"))
-        .collect()
-    )
-    view = spark.createDataFrame([], "zip_file_name string, member string, row_json string")
-    for shape in shapes:
-        names = [f["name"] for f in json.loads(shape.observed_schema)["fields"]]
-        reserved = tuple(n.lower() for n in (*fixed.LINEAGE_COLUMNS, *PARTITIONS))
-        as_table = contract.fits_a_table(shape.observed_schema, reserved)
-        columns = T.StructType.fromJson(json.loads(shape.observed_schema)) if as_table else contract.text_schema(["row_json"])
-        mine = _of_dataset(manifest, shape).where(F.col("observed_schema") == shape.observed_schema)
-        mine = mine.select(F.col("zip_file_name").alias("_zip_file_name"), F.col("member").alias("_source_file_name"))
-        rows = read_bronze(
-            spark, bronze, shape.source_name, shape.dataset_name, columns, sorted(shape.dates), fixed.INVALID
-        ).join(mine, ["_zip_file_name", "_source_file_name"], "left_semi")
-        text = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}) if as_table else F.col("row_json")
-        view = view.unionByName(
-            rows.select(
-                F.col("_zip_file_name").alias("zip_file_name"),
-                F.col("_source_file_name").alias("member"),
-                text.alias("row_json"),
-            )
-        )
-    return view
+    """Mismatching rows of any shape in one view: archive, member, row number, row as JSON text.
+
+    Of each archive the rows of its last load; archives that failed have none.
+    """
+    if not files.glob(spark, f"{bronze}/{QUARANTINE}/run_id=*/attempt=*/_SUCCESS"):
+        return spark.createDataFrame([], "zip_file_name string, member string, row_json string")
+    rows = spark.read.option("basePath", f"{bronze}/{QUARANTINE}").parquet(f"{bronze}/{QUARANTINE}/run_id=*/attempt=*")
+    last = last_attempts(read_ledger(spark, bronze)).where(F.col("status") == COMPLETE).select("path", "attempt")
+    wanted = manifest.where((F.col("outcome") == fixed.INVALID) & (F.col("n_rows") > 0)).select("path", "ordinal")
+    rows = rows.join(last, ["path", "attempt"], "left_semi")
+    return rows.join(wanted, ["path", "ordinal"], "left_semi").select("zip_file_name", "member", "row_json")
 
 
 def reprocess_quarantine(

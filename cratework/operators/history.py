@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,13 @@ def price_at(prices: DataFrame, keys: list[str], date: Column, price: str, name:
     )
 
 
+def prices_at(prices: DataFrame, keys: list[str], dates: dict[str, Column], price: str) -> DataFrame:
+    """The prices of each key valid on several dates, in one pass; null where none was valid yet."""
+    valid = {name: F.when(F.col("valid_from") <= date, F.col("valid_from")) for name, date in dates.items()}
+    latest = prices.where(functools.reduce(Column.__or__, [F.col("valid_from") <= d for d in dates.values()]))
+    return latest.groupBy(*keys).agg(*[F.max_by(price, when).alias(name) for name, when in valid.items()])
+
+
 def scd2_history(extracts: DataFrame, keys: list[str], attributes: list[str], extracted: str) -> DataFrame:
     """Validity intervals of attribute versions, from successive full extracts.
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cratework import files
+from cratework.operators import bronze
 
 
 @dataclass(frozen=True)
@@ -77,8 +82,12 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
     """The target with the changes applied: new keys added, known keys replaced.
 
     ``changes`` may hold a key several times if ``order`` says which is the last.
-    Both sides are one row per key at the join, so no key can be hot.
+    Both sides are one row per key at the join, so no key can be hot. A change whose key
+    has a null part stops the job: it could never be found again.
     """
+    null_key = functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    checked = F.when(null_key, F.raise_error(F.lit(f"upsert: a change has no {', '.join(keys)}").cast("string")))
+    changes = changes.where(F.coalesce(checked.cast("boolean"), F.lit(True)))
     last = latest_per_key(changes, keys, order) if order else changes
     kept = target.join(last.select(*keys), keys, "left_anti")
     return kept.unionByName(last.select(*target.columns))
@@ -120,11 +129,84 @@ def write_silver(
         else:
             (writer.partitionedBy(*partition_by) if partition_by else writer).create()
         return
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
-        # Rows of one partition value meet in few files without one task per value.
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+        # Rows of one partition value meet in few tasks; Spark splits values that are too large for one.
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+
+
+def upsert_stored(
+    changes: DataFrame, target: str, keys: list[str], partition_by: list[str], staging: str, order: list[str] | None = None
+) -> None:
+    """Apply changes to a stored Parquet table; only partitions that they touch are written again.
+
+    Touched are the partitions of the changes and those that hold their keys now (a key may move). The
+    new content of these goes to ``staging`` (a fresh folder) first and then replaces them; a
+    partition that loses its last row is deleted. Partition values must not be null.
+    """
+    spark = changes.sparkSession
+    last = latest_per_key(changes, keys, order) if order else changes
+    if not files.glob(spark, f"{target}/*"):
+        write_silver(upsert(last.limit(0), last, keys), target, partition_by)
+        return
+    stored = spark.read.schema(changes.schema).parquet(target)
+    touched = last.select(*partition_by).union(stored.join(last.select(*keys), keys, "left_semi").select(*partition_by))
+    touched = touched.distinct().persist()
+    try:
+        part = stored.join(touched, partition_by, "left_semi")
+        upsert(part, last, keys).write.parquet(staging)
+        new = spark.read.schema(changes.schema).parquet(staging)
+        emptied = touched.join(new.select(*partition_by).distinct(), partition_by, "left_anti").persist()
+        emptied.count()
+        write_silver(new, target, partition_by)
+
+        def delete(row: dict) -> None:
+            files.delete_tree("/".join([target, *(files.partition_dir(c, str(row[c])) for c in partition_by)]))
+
+        files.each_row(emptied, delete)
+        emptied.unpersist()
+    finally:
+        touched.unpersist()
+    files.delete_tree(staging)
+
+
+def pending_for_silver(ledger: DataFrame, silver_ledger: DataFrame | None) -> DataFrame:
+    """Complete archives of the bronze ledger whose last load silver does not hold yet."""
+    complete = bronze.last_attempts(ledger).where(F.col("status") == bronze.COMPLETE)
+    if silver_ledger is None:
+        return complete
+    return complete.join(silver_ledger.select("path", "attempt").distinct(), ["path", "attempt"], "left_anti")
+
+
+def load_silver(
+    spark: SparkSession, bronze_folder: str, source: str, dataset: str, schema: T.StructType, transform,
+    target: str, keys: list[str], partition_by: list[str], staging: str, order: list[str] | None = None,
+) -> int:
+    """Bring the rows of new complete archives into a stored table; returns how many archives.
+
+    The silver ledger beside the table (``<target>_ledger``) says which load of which archive it
+    holds; it is written last, so a run that dies is repeated and applies the same rows again.
+    ``transform`` makes typed rows of bronze rows.
+    """
+    ledger = bronze.read_ledger(spark, bronze_folder)
+    if ledger is None:
+        return 0
+    known = f"{target}_ledger"
+    held = spark.read.parquet(known) if files.glob(spark, f"{known}/*") else None
+    mine = ledger.where((F.col("source_name") == source) & (F.col("dataset_name") == dataset))
+    todo = pending_for_silver(mine, held).persist()
+    try:
+        count = todo.count()
+        if count:
+            dates = [r["ingest_date"] for r in todo.select("ingest_date").distinct().collect()]
+            rows = bronze.read_bronze(spark, bronze_folder, source, dataset, schema, dates)
+            rows = rows.join(todo.select("ingest_date", "zip_name"), ["ingest_date", "zip_name"], "left_semi")
+            upsert_stored(transform(rows), target, keys, partition_by, staging, order)
+            todo.select("path", "attempt", "ingest_date", "zip_name", "n_rows").write.mode("append").parquet(known)
+        return count
+    finally:
+        todo.unpersist()
 
 
 def read_silver(spark: SparkSession, target: str, schema=None) -> DataFrame:

@@ -686,3 +686,73 @@ def scorecard_from_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return card.select(
         "dataset_name", "day", F.coalesce("members", F.lit(0)).alias("members"), "complete", "agreed_format", "on_time"
     )
+
+
+# Loads that follow each other
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus,
+  CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, year(o_orderdate)::INT AS order_year FROM orders""")
+def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders land, are loaded and reach silver; updates of the dear ones land later and are merged in."""
+    root, target, _ = load(spark, orders_lines(spark, sf), {"orders": ORDER_SCHEMA})
+    silver_table = fresh_folder(spark, "silver") + "/orders"
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+            "o_orderstatus",
+            F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+            F.substring("o_orderdate", 1, 4).cast("int").alias("order_year"),
+        )
+
+    def advance() -> int:
+        staging = fresh_folder(spark, "staging")
+        return silver.load_silver(
+            spark, target, "feed", "orders", ORDER_SCHEMA, typed, silver_table, ["o_orderkey"], ["order_year"], staging
+        )
+
+    advance()
+    dear = orders_text(spark, sf).where("o_totalprice > 200000").withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    later = key_of("orders", F.concat(F.lit("updates"), chunk("o_orderkey", ROWS)))
+    deliveries.pack_archives(deliveries.as_csv(dear, later, F.lit("updates.csv"), dear.columns), root)
+    arrivals.load_pending(spark, root, target, {"orders": ORDER_SCHEMA}, "run-2", MOMENT)
+    advance()
+    if advance():
+        raise ValueError("an archive came to silver twice")
+    return silver.read_silver(spark, silver_table)
+
+
+@query("""SELECT 'run-' || CASE WHEN c_mktsegment = 'BUILDING' THEN '10' ELSE '9' END AS run_id, 'complete' AS status, COUNT(*)::BIGINT AS n_rows
+FROM customer GROUP BY 1""")
+def ledger_last_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The last load of an archive counts, whatever its run is called: run-9 loads all, run-10 some of them again."""
+    df = customer_text(spark, sf)
+    part = F.when(F.col("c_mktsegment") == "BUILDING", "building").otherwise("other")
+    lines = deliveries.as_csv(df, key_of("customer", part), F.lit("customers.csv"), df.columns)
+    schemas = {"customer": CUSTOMER_SCHEMA}
+    root, target, _ = load(spark, lines, schemas, "run-9")
+    again = zips.list_archives(spark, root).where("zip_name = 'building'")
+    bronze_ops.load_archives(again, target, schemas, "run-10", MOMENT)
+    last = bronze_ops.last_attempts(bronze_ops.read_ledger(spark, target))
+    return last.groupBy("run_id", "status").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query("""SELECT CASE c_nationkey % 3 WHEN 0 THEN 'flags.json' WHEN 1 THEN 'deep.json' ELSE 'wide.csv' END AS member,
+  COUNT(*)::BIGINT AS n_rows FROM customer GROUP BY 1""")
+def quarantine_mixed_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """One column name, three types: members of any shape are kept, rows counted in one view."""
+    df = customer_text(spark, sf)
+    kind = F.pmod("c_nationkey", F.lit(3))
+    flags = df.where(kind == 0).select(F.struct((F.col("c_acctbal") > 0).alias("c_custkey")).alias("r"))
+    deep = df.where(kind == 1).select(F.struct(F.struct("c_custkey", "c_name").alias("c_custkey")).alias("r"))
+    wide = df.where(kind == 2)
+    archive = key_of("customer", F.lit("mixed"))
+    lines = (
+        deliveries.as_json(flags, archive, F.lit("flags.json"), F.to_json("r"))
+        .unionByName(deliveries.as_json(deep, archive, F.lit("deep.json"), F.to_json("r")))
+        .unionByName(deliveries.as_csv(wide, archive, F.lit("wide.csv"), ["c_custkey", "c_name"]))
+    )
+    _, target, _ = load(spark, lines, {"customer": CUSTOMER_SCHEMA})
+    view = bronze_ops.quarantine_rows(spark, target, bronze_ops.read_manifest(spark, target, "run-1"))
+    return view.groupBy("member").agg(F.count("*").alias("n_rows"))

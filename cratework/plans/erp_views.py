@@ -1,21 +1,25 @@
 """ERP tables derived from the star schema the driver provides.
 
 The star schema's parts are the products, its line items the shipments, its nations
-the regions. Identifiers are built from keys, so nothing has to be numbered globally.
+the regions. Identifiers are structs of keys, so nothing has to be numbered globally and
+no two keys can meet; a snapshot holds them as text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cratework.operators.bronze import side_by_side
 from cratework.session import fresh_folder
 from cratework.sources.erp import TABLES
 
-# Room for a second key inside one 64-bit identifier.
-KEY_ROOM = 1_000_000_000
-DAY_ROOM = 100_000
+# Identifiers that are made of several keys; text in a snapshot.
+KEY_TEXTS = (
+    "batch_id", "order_item_id", "shipment_id", "shipment_item_id", "customer_return_id", "customer_return_item_id",
+    "price_list_id", "dosage_form_id",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +73,7 @@ def brand(spark, sf):
 
 def dosage_form(spark, sf):
     return table(spark, sf, "part").select(
-        F.crc32(F.col("p_type").cast("binary")).alias("dosage_form_id"), F.col("p_type").alias("dosage_form_name")
+        F.col("p_type").alias("dosage_form_id"), F.col("p_type").alias("dosage_form_name")
     ).distinct()
 
 
@@ -78,7 +82,7 @@ def product(spark, sf):
         F.col("p_partkey").alias("product_id"),
         F.lpad(F.col("p_partkey").cast("string"), 14, "0").alias("gtin"),
         F.substring_index("p_brand", "#", -1).cast("bigint").alias("brand_id"),
-        F.crc32(F.col("p_type").cast("binary")).alias("dosage_form_id"),
+        F.col("p_type").alias("dosage_form_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_size").alias("pack_quantity"),
     )
@@ -91,7 +95,7 @@ def batch(spark, sf):
         .groupBy("l_partkey", "l_suppkey")
         .agg(F.to_date(F.min("l_shipdate")).alias("first_day"))
         .select(
-            (F.col("l_partkey") * KEY_ROOM + F.col("l_suppkey")).alias("batch_id"),
+            F.struct("l_partkey", "l_suppkey").alias("batch_id"),
             F.concat_ws("-", "l_partkey", "l_suppkey").alias("batch_number"),
             F.col("l_partkey").alias("product_id"),
             F.date_sub("first_day", 30).alias("manufacture_date"),
@@ -108,7 +112,7 @@ def price_list(spark, sf):
         .groupBy(F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("valid_from"))
         .agg(F.max(cents).alias("cents"))
         .select(
-            (F.col("product_id") * DAY_ROOM + F.unix_date("valid_from")).alias("price_list_id"),
+            F.struct("product_id", "valid_from").alias("price_list_id"),
             "product_id",
             "valid_from",
             F.expr("cast(cents * 0.01BD as decimal(12,2))").alias("list_price"),
@@ -142,7 +146,7 @@ def order_item(spark, sf):
             ),
         )
         .select(
-            (F.col("l_orderkey") * KEY_ROOM + F.col("l_partkey")).alias("order_item_id"),
+            F.struct("l_orderkey", "l_partkey").alias("order_item_id"),
             F.col("l_orderkey").alias("customer_order_id"),
             F.col("l_partkey").alias("product_id"),
             "ordered_quantity",
@@ -158,7 +162,7 @@ def shipment(spark, sf):
         .select("l_orderkey", "l_shipdate")
         .distinct()
         .select(
-            (F.col("l_orderkey") * DAY_ROOM + F.unix_date(F.to_date("l_shipdate"))).alias("shipment_id"),
+            F.struct("l_orderkey", F.to_date("l_shipdate").alias("ship_day")).alias("shipment_id"),
             F.concat_ws("-", F.lit("SHP"), "l_orderkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("shipment_number"),
             F.col("l_orderkey").alias("customer_order_id"),
             F.col("l_shipdate").alias("ship_timestamp"),
@@ -173,10 +177,10 @@ def shipment_item(spark, sf):
         .groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("shipped_quantity"))
         .select(
-            F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate").alias("shipment_item_id"),
-            (F.col("l_orderkey") * DAY_ROOM + F.unix_date(F.to_date("l_shipdate"))).alias("shipment_id"),
-            (F.col("l_orderkey") * KEY_ROOM + F.col("l_partkey")).alias("order_item_id"),
-            (F.col("l_partkey") * KEY_ROOM + F.col("l_suppkey")).alias("batch_id"),
+            F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate").alias("shipment_item_id"),
+            F.struct("l_orderkey", F.to_date("l_shipdate").alias("ship_day")).alias("shipment_id"),
+            F.struct("l_orderkey", "l_partkey").alias("order_item_id"),
+            F.struct("l_partkey", "l_suppkey").alias("batch_id"),
             "shipped_quantity",
         )
     )
@@ -199,7 +203,7 @@ def customer_return(spark, sf):
     )
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return days.join(orders, "l_orderkey").select(
-        (F.col("l_orderkey") * KEY_ROOM + F.col("l_suppkey")).alias("customer_return_id"),
+        F.struct("l_orderkey", "l_suppkey").alias("customer_return_id"),
         F.concat_ws("-", F.lit("RET"), "l_orderkey", "l_suppkey").alias("return_number"),
         F.col("o_custkey").alias("customer_warehouse_id"),
         F.col("l_suppkey").alias("manufacturer_warehouse_id"),
@@ -216,27 +220,37 @@ def customer_return_item(spark, sf):
         .groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus")
         .agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("returned_quantity"))
         .select(
-            F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus").alias(
+            F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus").alias(
                 "customer_return_item_id"
             ),
-            (F.col("l_orderkey") * KEY_ROOM + F.col("l_suppkey")).alias("customer_return_id"),
-            F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate").alias("shipment_item_id"),
+            F.struct("l_orderkey", "l_suppkey").alias("customer_return_id"),
+            F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate").alias("shipment_item_id"),
             "returned_quantity",
             F.when(F.col("l_linestatus") == "F", "expired").otherwise("lost").alias("reason"),
         )
     )
 
 
+def snapshot_schema(name: str) -> T.StructType:
+    """A table's columns in a snapshot of these views."""
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in KEY_TEXTS else f.dataType) for f in TABLES[name].schema]
+    )
+
+
 def erp_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A derived table with all columns of the ERP's; those we cannot derive are null."""
-    schema = TABLES[name].schema
     df = globals()[name](spark, sf)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+
+    def column(f: T.StructField):
+        if f.name not in df.columns:
+            return F.lit(None)
+        kind = df.schema[f.name].dataType
+        if isinstance(kind, T.StructType):
+            return F.concat_ws("-", *[F.col(f.name)[part].cast("string") for part in kind.names])
+        return F.col(f.name)
+
+    return df.select(*[column(f).cast(f.dataType).alias(f.name) for f in snapshot_schema(name)])
 
 
 def write_snapshot(spark: SparkSession, sf: str) -> str:
@@ -301,12 +315,12 @@ SQL_VIEWS = {
         "part",
     ),
     "batch": (
-        {"batch_id": "l_partkey * 1000000000 + l_suppkey", "batch_number": "l_partkey || '-' || l_suppkey",
+        {"batch_id": "l_partkey || '-' || l_suppkey", "batch_number": "l_partkey || '-' || l_suppkey",
          "product_id": "l_partkey", "manufacture_date": "first_day - 30", "expiry_date": "first_day + 700"},
         "(SELECT l_partkey, l_suppkey, CAST(MIN(l_shipdate) AS DATE) AS first_day FROM lineitem GROUP BY ALL)",
     ),
     "price_list": (
-        {"price_list_id": "product_id * 100000 + date_diff('day', DATE '1970-01-01', day)", "product_id": "product_id",
+        {"price_list_id": "product_id || '-' || day", "product_id": "product_id",
          "valid_from": "day", "list_price": "CAST(cents * 0.01::DECIMAL(3,2) AS DECIMAL(12,2))"},
         f"(SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS day, MAX({_CENTS}) AS cents FROM lineitem GROUP BY ALL)",
     ),
@@ -317,32 +331,32 @@ SQL_VIEWS = {
         "orders",
     ),
     "order_item": (
-        {"order_item_id": "l_orderkey * 1000000000 + l_partkey", "customer_order_id": "l_orderkey", "product_id": "l_partkey",
+        {"order_item_id": "l_orderkey || '-' || l_partkey", "customer_order_id": "l_orderkey", "product_id": "l_partkey",
          "ordered_quantity": "ordered", "confirmed_quantity": "confirmed"},
         _ITEM,
     ),
     "shipment": (
-        {"shipment_id": "l_orderkey * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))",
+        {"shipment_id": "l_orderkey || '-' || CAST(l_shipdate AS DATE)",
          "shipment_number": "'SHP-' || l_orderkey || '-' || strftime(l_shipdate, '%Y%m%d')", "customer_order_id": "l_orderkey",
          "ship_timestamp": "l_shipdate"},
         "(SELECT DISTINCT l_orderkey, l_shipdate FROM lineitem)",
     ),
     "shipment_item": (
         {"shipment_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_shipdate)",
-         "shipment_id": "l_orderkey * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))",
-         "order_item_id": "l_orderkey * 1000000000 + l_partkey", "batch_id": "l_partkey * 1000000000 + l_suppkey",
+         "shipment_id": "l_orderkey || '-' || CAST(l_shipdate AS DATE)",
+         "order_item_id": "l_orderkey || '-' || l_partkey", "batch_id": "l_partkey || '-' || l_suppkey",
          "shipped_quantity": "quantity"},
         "(SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, SUM(l_quantity) AS quantity FROM lineitem GROUP BY ALL)",
     ),
     "customer_return": (
-        {"customer_return_id": "l_orderkey * 1000000000 + l_suppkey", "return_number": "'RET-' || l_orderkey || '-' || l_suppkey",
+        {"customer_return_id": "l_orderkey || '-' || l_suppkey", "return_number": "'RET-' || l_orderkey || '-' || l_suppkey",
          "customer_warehouse_id": "o_custkey", "manufacturer_warehouse_id": "l_suppkey", "request_date": "lo", "received_date": "hi"},
         """(SELECT l_orderkey, l_suppkey, MIN(l_shipdate) AS lo, MAX(l_shipdate) AS hi FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
           JOIN orders ON o_orderkey = l_orderkey""",
     ),
     "customer_return_item": (
         {"customer_return_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_shipdate, l_linestatus)",
-         "customer_return_id": "l_orderkey * 1000000000 + l_suppkey",
+         "customer_return_id": "l_orderkey || '-' || l_suppkey",
          "shipment_item_id": "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_shipdate)", "returned_quantity": "quantity",
          "reason": "CASE WHEN l_linestatus = 'F' THEN 'expired' ELSE 'lost' END"},
         """(SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, l_linestatus, SUM(l_quantity) AS quantity FROM lineitem
@@ -355,7 +369,8 @@ def constraint_sql() -> str:
     """The rule report over the SQL views: every rule of every table."""
     views, parts = [], []
     for name, (columns, source) in SQL_VIEWS.items():
-        every = ", ".join(f"{columns.get(c, 'NULL')} AS {c}" for c in TABLES[name].names)
+        missing = {c: "NULL::VARCHAR" if c in KEY_TEXTS else "NULL" for c in TABLES[name].names}
+        every = ", ".join(f"{columns.get(c, null)} AS {c}" for c, null in missing.items())
         views.append(f"erp_{name} AS MATERIALIZED (SELECT {every} FROM {source})")
 
     def add(table: str, kind: str, rule: str, count: str) -> None:

@@ -61,31 +61,32 @@ def sell_in(
     """Denormalised shipment lines: what was shipped, when, where, of which batch and product.
 
     Master tables are folded into one place table and one goods table first, so the
-    facts meet few joins.
+    facts meet few joins. No line is lost: what a line's keys do not lead to is null.
     """
     place = (
-        customer_warehouse.join(address, "address_id")
-        .join(region, "region_id")
+        customer_warehouse.join(address, "address_id", "left")
+        .join(region, "region_id", "left")
         .select("customer_warehouse_id", "customer_warehouse_code", "region_name", "sales_territory")
     )
     goods = (
-        batch.join(product, "product_id")
-        .join(brand, "brand_id")
-        .join(dosage_form, "dosage_form_id")
+        batch.join(product, "product_id", "left")
+        .join(brand, "brand_id", "left")
+        .join(dosage_form, "dosage_form_id", "left")
         .select(
             "batch_id", "batch_number", "expiry_date", "product_id", "gtin", "product_name", "brand_name", "dosage_form_name"
         )
     )
     return (
         shipment_item.select("shipment_item_id", "shipment_id", "order_item_id", "batch_id", "shipped_quantity")
-        .join(shipment.select("shipment_id", "shipment_number", "ship_timestamp"), "shipment_id")
-        .join(order_item.select("order_item_id", "customer_order_id", "price_list_id"), "order_item_id")
+        .join(shipment.select("shipment_id", "shipment_number", "ship_timestamp"), "shipment_id", "left")
+        .join(order_item.select("order_item_id", "customer_order_id", "price_list_id"), "order_item_id", "left")
         .join(
             customer_order.select("customer_order_id", "order_number", "customer_id", "customer_warehouse_id"),
             "customer_order_id",
+            "left",
         )
-        .join(place, "customer_warehouse_id")
-        .join(goods, "batch_id")
+        .join(place, "customer_warehouse_id", "left")
+        .join(goods, "batch_id", "left")
     )
 
 
@@ -223,12 +224,10 @@ def price_pass_through(retail: DataFrame, listed: DataFrame, before: Column, aft
     Both inputs: product_id, valid_from, price.
     """
     key = ["product_id"]
-    table = (
-        history.price_at(listed, key, before, "price", "list_before")
-        .join(history.price_at(listed, key, after, "price", "list_after"), key)
-        .join(history.price_at(retail, key, before, "price", "retail_before"), key)
-        .join(history.price_at(retail, key, after, "price", "retail_after"), key)
-    )
+    both = {"before": before, "after": after}
+    listed = history.prices_at(listed, key, {f"list_{name}": date for name, date in both.items()}, "price")
+    retail = history.prices_at(retail, key, {f"retail_{name}": date for name, date in both.items()}, "price")
+    table = listed.join(retail, key).where("list_before is not null and retail_before is not null")
     list_change = ratio(F.col("list_after") - F.col("list_before"), F.col("list_before"))
     retail_change = ratio(F.col("retail_after") - F.col("retail_before"), F.col("retail_before"))
     return table.withColumns(
@@ -348,7 +347,7 @@ def delivered_from_ledger(ledger: DataFrame) -> DataFrame:
     last = ledger.groupBy("path").agg(
         F.max_by(
             F.struct("dataset_name", "ingest_date", "status", "uploaded", "invalid", "modificationTime"),
-            F.struct("modificationTime", "run_id"),
+            "attempt",
         ).alias("last")
     )
     loaded = F.col("status") == "complete"
@@ -384,17 +383,27 @@ def delivery_scorecard(expected: DataFrame, delivered: DataFrame) -> DataFrame:
 def channel_stock_balance(shipped: DataFrame, returned: DataFrame, sold: DataFrame, counted: DataFrame, by: list[str]) -> DataFrame:
     """Stock that should be there (shipped - returned - sold) against the counted stock.
 
-    Each input: by..., quantity. A group on one side only is kept: one aggregate over
-    all four does the work of three full joins.
+    Each input: by..., quantity.
     """
     parts = {"shipped": shipped, "returned": returned, "sold": sold, "counted": counted}
     rows = functools.reduce(
         DataFrame.unionByName, [df.select(*by, F.lit(name).alias("kind"), "quantity") for name, df in parts.items()]
     )
-    table = rows.groupBy(*by).agg(
+    return stock_balance(rows, by)
+
+
+STOCK_MOVES = ("shipped", "returned", "sold", "counted")
+
+
+def stock_balance(moves: DataFrame, by: list[str]) -> DataFrame:
+    """``channel_stock_balance`` of rows (by..., kind, quantity), kinds as in STOCK_MOVES.
+
+    A group with some kinds only is kept: one aggregate does the work of three full joins.
+    """
+    table = moves.groupBy(*by).agg(
         *[
             F.coalesce(F.sum(F.when(F.col("kind") == name, F.col("quantity"))), F.lit(0)).alias(name)
-            for name in parts
+            for name in STOCK_MOVES
         ]
     )
     book = F.col("shipped") - F.col("returned") - F.col("sold")

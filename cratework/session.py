@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -12,8 +14,6 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from cratework import files
-
 # Settings the jobs rely on; all can be changed on a running session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,10 +49,11 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
         for path in sorted(package.rglob("*.py")):
             archive.write(path, path.relative_to(package.parent))
-    target = fresh_folder(spark, "package") + "/cratework.zip"
-    with files.open_output(target) as out:
-        out.write(content.getvalue())
+    # The driver serves the file to the executors itself, so no shared folder is needed here.
+    target = os.path.join(tempfile.mkdtemp(prefix="cratework-"), "cratework.zip")
+    Path(target).write_bytes(content.getvalue())
     context.addPyFile(target)
+    atexit.register(shutil.rmtree, os.path.dirname(target), ignore_errors=True)
     _shipped.add(context.applicationId)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from cratework import files
 from cratework import fixed_values as fixed
 from cratework.functions import paths
-from cratework.sources.readers import CSV_BLOCK, Skipped, read_member
+from cratework.sources.readers import CSV_BLOCK, Notes, Skipped, read_member
 
 SPLIT_BYTES = 32 * 1024 * 1024
 SPLIT_MEMBERS = 1024
@@ -37,6 +37,8 @@ MAX_TASKS = 200_000
 
 # Status of a row that stands for a member the optimistic read could not finish.
 UNRESOLVED = "unresolved"
+# Status of a row that says that keys of a good JSON member were dropped.
+NOTED = "noted"
 
 # Member outcomes beside valid and invalid.
 SKIPPED_UNSUPPORTED = "skipped_unsupported"
@@ -60,7 +62,7 @@ SPLIT_SCHEMA = (
 )
 PROFILE_SCHEMA = (
     "path string, ordinal int, member string, outcome string, reason string, "
-    "n_rows bigint, observed_schema string"
+    "n_rows bigint, observed_schema string, dropped_keys bigint"
 )
 # Columns that each read row carries after its data columns.
 ROUTING = ("_zip_file_name", "_source_file_name", "_schema_status", "ingest_date", "zip_name", "schema_status")
@@ -167,7 +169,7 @@ def _opened(path: str):
         yield archive, archive.infolist()
 
 
-def _over_members(batches: Iterator[pa.RecordBatch], visit: Callable) -> Iterator[pa.RecordBatch]:
+def over_members(batches: Iterator[pa.RecordBatch], visit: Callable) -> Iterator[pa.RecordBatch]:
     """Open each split's archive once and visit its members in order."""
     for batch in batches:
         for row in batch.to_pylist():
@@ -176,14 +178,14 @@ def _over_members(batches: Iterator[pa.RecordBatch], visit: Callable) -> Iterato
                     yield from visit(row, member, archive, entries[member["ordinal"]])
 
 
-def observe(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[tuple]:
+def observe(archive: zipfile.ZipFile, info: zipfile.ZipInfo, notes: Notes, json_limit: int | None) -> Iterator[tuple]:
     """(schema, batch, problem) of a member; a problem ends it.
 
     A storage error (OSError) is not the member's fault: it fails the task, which
     Spark runs again.
     """
     try:
-        schema, batches = read_member(archive, info)
+        schema, batches = read_member(archive, info, notes, json_limit)
         yield schema, None, None
         for batch in batches:
             yield schema, batch, None
@@ -208,12 +210,15 @@ def size_of_work() -> list[Column]:
     ]
 
 
-def read_members(splits: DataFrame, work, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
+def read_members(
+    splits: DataFrame, work, data_schema: T.StructType, status: str = fixed.VALID, json_limit: int | None = None
+) -> DataFrame:
     """Rows of every member that has exactly ``data_schema``, with routing columns.
 
     One pass over each member. A member that has another schema, holds no rows or
     breaks gives one row with null data and status ``unresolved``; if it breaks
-    late, its earlier rows come out too, and the caller has to drop that archive.
+    late, its earlier rows come out too, and the caller has to drop that archive. A member
+    of which keys were dropped gives one more row, with status ``noted``.
     ``work`` is a row of ``size_of_work`` over these splits.
     """
     spare = 2 * splits.sparkSession.sparkContext.defaultParallelism
@@ -222,12 +227,14 @@ def read_members(splits: DataFrame, work, data_schema: T.StructType, status: str
         return min(max(size // TASK_BYTES, spare), pieces, MAX_TASKS)
 
     small = spread(splits.where(split_size() <= LARGE_MEMBER), tasks(work.small_bytes, work.n_small))
-    rows = read_rows(small, data_schema, status)
+    rows = read_rows(small, data_schema, status, json_limit)
     if not work.n_large:
         return rows
-    blocks = cut_blocks(spread(splits.where(split_size() > LARGE_MEMBER), work.n_large), data_schema)
-    n = tasks(work.large_bytes, work.large_bytes // CSV_BLOCK + work.n_large)
-    return rows.unionByName(rows_of_blocks(blocks.repartition(n, "path", "member", "block"), data_schema, status))
+    blocks = cut_blocks(spread(splits.where(split_size() > LARGE_MEMBER), work.n_large), data_schema, json_limit)
+    # Neighbouring blocks go to one task, so that a member gives files of about a task's size.
+    run = F.floor(F.col("block") / (TASK_BYTES // CSV_BLOCK))
+    n = tasks(work.large_bytes, work.large_bytes // TASK_BYTES + work.n_large)
+    return rows.unionByName(rows_of_blocks(blocks.repartition(n, "path", "member", run), data_schema, status))
 
 
 def _row_schemas(data_schema: T.StructType) -> tuple[pa.Schema, pa.Schema, T.StructType]:
@@ -244,60 +251,65 @@ def _routed(row: dict, member: str, state: str, columns: list, n: int, out: pa.S
     )
 
 
-def _unresolved(row: dict, member: str, expected: pa.Schema, out: pa.Schema) -> pa.RecordBatch:
-    return _routed(row, member, UNRESOLVED, [pa.nulls(1, field.type) for field in expected], 1, out)
+def _marked(row: dict, member: str, state: str, expected: pa.Schema, out: pa.Schema) -> pa.RecordBatch:
+    return _routed(row, member, state, [pa.nulls(1, field.type) for field in expected], 1, out)
 
 
-def _matching(archive, info, expected: pa.Schema) -> Iterator[pa.RecordBatch | None]:
-    """Batches of a member with the expected schema; None at the end if it is unresolved."""
-    total = 0
-    for schema, batch, problem in observe(archive, info):
+def _matching(archive, info, expected: pa.Schema, json_limit: int | None) -> Iterator[pa.RecordBatch | str]:
+    """Batches of a member with the expected schema; at the end its mark, if it gets one."""
+    total, notes = 0, Notes()
+    for schema, batch, problem in observe(archive, info, notes, json_limit):
         if problem is not None or not schema.equals(expected):
-            yield None
+            yield UNRESOLVED
             return
         if batch is not None and batch.num_rows:
             total += batch.num_rows
             yield batch
     if not total:
-        yield None
+        yield UNRESOLVED
+    elif notes.dropped_keys:
+        yield NOTED
 
 
-def read_rows(splits: DataFrame, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
+def read_rows(
+    splits: DataFrame, data_schema: T.StructType, status: str = fixed.VALID, json_limit: int | None = None
+) -> DataFrame:
     """``read_members`` with each member read and passed on by one task."""
     expected, out, schema = _row_schemas(data_schema)
 
     def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
-        for batch in _matching(archive, info, expected):
-            if batch is None:
-                yield _unresolved(row, member["member"], expected, out)
+        for batch in _matching(archive, info, expected, json_limit):
+            if isinstance(batch, str):
+                yield _marked(row, member["member"], batch, expected, out)
             else:
                 yield _routed(row, member["member"], status, batch.columns, batch.num_rows, out)
 
     wanted = splits.select("path", "members", "zip_file_name", "ingest_date", "zip_name")
-    return wanted.mapInArrow(lambda batches: _over_members(batches, rows), schema)
+    return wanted.mapInArrow(lambda batches: over_members(batches, rows), schema)
 
 
 BLOCK_SCHEMA = (
     "path string, member string, zip_file_name string, ingest_date string, zip_name string, "
-    "block int, payload binary"
+    "block int, mark string, payload binary"
 )
 
 
-def cut_blocks(splits: DataFrame, data_schema: T.StructType) -> DataFrame:
-    """Parsed blocks of large members, a few MiB each; an empty payload stands for unresolved."""
+def cut_blocks(splits: DataFrame, data_schema: T.StructType, json_limit: int | None = None) -> DataFrame:
+    """Parsed blocks of large members, a few MiB each; a block without payload is the member's mark."""
     expected = to_arrow_schema(data_schema)
     out = to_arrow_schema(T.StructType.fromDDL(BLOCK_SCHEMA))
 
     def blocks(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(_matching(archive, info, expected)):
-            payload = None if batch is None else batch.serialize().to_pybytes()
+        for number, batch in enumerate(_matching(archive, info, expected, json_limit)):
+            mark = batch if isinstance(batch, str) else None
+            payload = None if mark else batch.serialize().to_pybytes()
             labels = (row["path"], member["member"], row["zip_file_name"], row["ingest_date"], row["zip_name"])
             yield pa.RecordBatch.from_pylist(
-                [dict(zip(out.names, (*labels, number, payload)))], schema=out
+                [dict(zip(out.names, (*labels, number, mark, payload)))], schema=out
             )
 
     wanted = splits.select("path", "members", "zip_file_name", "ingest_date", "zip_name")
-    return wanted.mapInArrow(lambda batches: _over_members(batches, blocks), BLOCK_SCHEMA)
+    return wanted.mapInArrow(lambda batches: over_members(batches, blocks), BLOCK_SCHEMA)
 
 
 def rows_of_blocks(blocks: DataFrame, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
@@ -310,7 +322,7 @@ def rows_of_blocks(blocks: DataFrame, data_schema: T.StructType, status: str = f
                 row = {name: packed.column(name)[i].as_py() for name in out_of_block}
                 payload = packed.column("payload")[i]
                 if not payload.is_valid:
-                    yield _unresolved(row, row["member"], expected, out)
+                    yield _marked(row, row["member"], packed.column("mark")[i].as_py(), expected, out)
                     continue
                 batch = pa.ipc.read_record_batch(payload.as_buffer(), expected)
                 yield _routed(row, row["member"], status, batch.columns, batch.num_rows, out)
@@ -319,50 +331,20 @@ def rows_of_blocks(blocks: DataFrame, data_schema: T.StructType, status: str = f
     return blocks.mapInArrow(rows, schema)
 
 
-def read_rows_as_json(splits: DataFrame) -> DataFrame:
-    """Rows of members no table can hold (clashing column names), as JSON text."""
-    out = pa.schema([("row_no", pa.int64()), ("row_json", pa.string()), *((n, pa.string()) for n in ROUTING)])
-
-    def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
-        labels = (row["zip_file_name"], member["member"], fixed.INVALID, row["ingest_date"], row["zip_name"], fixed.INVALID)
-        number = 0
-        for schema, batch, problem in observe(archive, info):
-            if batch is None or not batch.num_rows:
-                continue
-            values = [column.to_pylist() for column in batch.columns]
-            texts = [
-                json.dumps([{"name": n, "value": v} for n, v in zip(schema.names, cells)], ensure_ascii=False)
-                for cells in zip(*values)
-            ]
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(number, number + n), pa.int64()),
-                    pa.array(texts, pa.string()),
-                    *(pa.repeat(pa.scalar(v, pa.string()), n) for v in labels),
-                ],
-                schema=out,
-            )
-            number += n
-
-    wanted = splits.select("path", "members", "zip_file_name", "ingest_date", "zip_name")
-    return wanted.mapInArrow(lambda batches: _over_members(batches, rows), from_arrow_schema(out))
-
-
-def profile_members(splits: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
-    """Outcome, row count and observed schema of each member, by a full parse."""
+def profile_members(splits: DataFrame, schemas: dict[str, T.StructType], json_limit: int | None = None) -> DataFrame:
+    """Outcome, row count, observed schema and dropped JSON keys of each member, by a full parse."""
     expected = {name: to_arrow_schema(schema) for name, schema in schemas.items()}
     out = to_arrow_schema(T.StructType.fromDDL(PROFILE_SCHEMA))
 
     def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
-        observed, n_rows, outcome, reason = None, 0, None, None
-        for schema, batch, problem in observe(archive, info):
+        observed, n_rows, outcome, reason, notes = None, 0, None, None, Notes()
+        for schema, batch, problem in observe(archive, info, notes, json_limit):
             if isinstance(problem, Skipped):
                 reason = str(problem)
                 unsupported = reason.startswith("unsupported")
                 outcome = SKIPPED_UNSUPPORTED if unsupported else SKIPPED_EMPTY
             elif problem is not None:
-                outcome, reason, n_rows = FAILED, f"{type(problem).__name__}: {problem}"[:2000], 0
+                outcome, reason, n_rows = FAILED, f"{type(problem).__name__}: {problem}", 0
             else:
                 observed = schema
                 n_rows += batch.num_rows if batch is not None else 0
@@ -380,13 +362,14 @@ def profile_members(splits: DataFrame, schemas: dict[str, T.StructType]) -> Data
                     "reason": reason,
                     "n_rows": n_rows,
                     "observed_schema": shape,
+                    "dropped_keys": notes.dropped_keys,
                 }
             ],
             schema=out,
         )
 
     wanted = splits.select("path", "members", "dataset_name")
-    return wanted.mapInArrow(lambda batches: _over_members(batches, rows), PROFILE_SCHEMA)
+    return wanted.mapInArrow(lambda batches: over_members(batches, rows), PROFILE_SCHEMA)
 
 
 def schema_text(schema: pa.Schema) -> str:

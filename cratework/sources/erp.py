@@ -212,10 +212,14 @@ def read_erp(
     bounds: tuple[int, int] = (0, 1),
     partitions: int = 1,
     properties: dict[str, str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """An ERP table from a Parquet snapshot folder or from the database."""
+    """An ERP table from a Parquet snapshot folder or from the database.
+
+    ``schema``: the snapshot's columns, where it is not the database's (such as key texts).
+    """
     if snapshot is not None:
-        return spark.read.schema(TABLES[table].schema).parquet(f"{snapshot}/{table}")
+        return spark.read.schema(schema or TABLES[table].schema).parquet(f"{snapshot}/{table}")
     options = {**jdbc_options(url, table, bounds, partitions), **(properties or {})}
     return spark.read.format("jdbc").options(**options).load()
 

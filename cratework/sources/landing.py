@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,14 +33,17 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def await_arrivals(
-    expected: DataFrame, listing: DataFrame, run_start: Column, now: Column, on: str = "key"
+    expected: DataFrame, listing: DataFrame, run_start: Column, now: Column, on: str | list[str] = "key"
 ) -> DataFrame:
     """State of every expected file; asking again is the poll.
 
+    ``on`` names the file: its key, or bucket and key where there are several buckets.
+
     Each file is on its own: one that does not come times out after 24 hours and
     holds up nothing else.
     """
-    here = listing.groupBy(on).agg(
+    on = [on] if isinstance(on, str) else on
+    here = listing.groupBy(*on).agg(
         F.max("length").alias("length"), F.max("modificationTime").alias("arrived_at")
     )
     late = now > run_start + F.expr(f"INTERVAL {fixed.ARRIVAL_TIMEOUT_HOURS} HOURS")
@@ -59,7 +63,8 @@ def land_files(
     """Copy each work row's file to its landing key; one task copies one file at a time.
 
     The result (written to ``report``, so that copies are not repeated) has the sizes
-    of both ends and an error text. Copying again overwrites the same key. Two source
+    of both ends and an error text. A file gets its landing key only when all of it has
+    arrived and its size is right. Copying again overwrites the same key. Two source
     files with one landing key would overwrite each other in any order, so neither is
     copied.
     """
@@ -97,14 +102,21 @@ def _copy(row: dict) -> dict:
     result = {"source_size": None, "landed_size": None, "error": row["refused"]}
     if row["refused"]:
         return result
+    aside = f"{row['landing_uri']}.{uuid.uuid4().hex[:12]}.part"
     try:
-        with files.open_input(row["source_uri"]) as source, files.open_output(row["landing_uri"]) as target:
+        with files.open_input(row["source_uri"]) as source, files.open_output(aside) as target:
             result["source_size"] = source.size()
             while chunk := source.read(fixed.COPY_CHUNK_BYTES):
                 target.write(chunk)
-        result["landed_size"] = files.size_of(row["landing_uri"])
+        result["landed_size"] = files.size_of(aside)
+        if result["landed_size"] == result["source_size"]:
+            files.move(aside, row["landing_uri"])
+        else:
+            result["error"] = fixed.MSG_SIZE_MISMATCH.format(key=row["landing_key"])
     except OSError as error:
         result["error"] = f"Failed to upload {row['landing_uri']}: {error}"
+    if result["error"] and files.size_of(aside) is not None:
+        files.delete_file(aside)
     return result
 
 
@@ -123,10 +135,20 @@ def verify_landed(expected: DataFrame, landing: str, report: str) -> DataFrame:
     """Check sizes of landed files and delete those that do not match.
 
     ``expected`` has the columns key and expected_size. Every file gets a status and,
-    if it is not ok, a message; a file that cannot be checked is kept.
+    if it is not ok, a message; a file that cannot be checked is kept. Only the expected
+    files are looked at, in tasks, however many others the landing zone holds.
     """
     spark = expected.sparkSession
-    compared = compare_sizes(expected, list_files(spark, landing)).select("key", "expected_size", "length", "status")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = [files.size_of(f"{landing}/{key}") for key in batch["key"]]
+            yield pd.DataFrame({"key": batch["key"], "length": pd.array(sizes, dtype="Int64")})
+
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = expected.select("key").distinct().repartition(tasks, "key")
+    listing = keys.mapInPandas(look, "key string, length bigint").where("length is not null")
+    compared = compare_sizes(expected, listing).select("key", "expected_size", "length", "status")
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -157,8 +179,8 @@ def _settle(landing: str, key: str, status: str) -> tuple[str, str | None]:
 
 
 def landed_events(landed: DataFrame, bucket: str) -> DataFrame:
-    """One event per landed file."""
-    return landed.where("error is null").select(
+    """One event per file that landed whole."""
+    return landed.where("error is null and landed_size = source_size").select(
         F.lit(bucket).alias("landing_bucket"), "landing_key", "dataset_name"
     )
 

@@ -6,108 +6,220 @@ rewrite numbers (1.10 becomes 1.1), so members are parsed here, inside the tasks
 
 from __future__ import annotations
 
+import codecs
 import json
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.csv as pa_csv
 
-from cratework import fixed_values as fixed
-
 HEADER_CHUNK = 64 * 1024
 CSV_BLOCK = 4 * 1024 * 1024
+# JSON text that is parsed at a time, in characters.
+JSON_CHUNK = 4 * 1024 * 1024
+JSON_SPACE = " \t\n\r"
 
 
 class Skipped(Exception):
     """The member holds nothing to load; the archive goes on."""
 
 
-def csv_names(stream: BinaryIO) -> list[str]:
-    """Header names of a CSV member; an empty list if there is no complete header."""
-    head = b""
-    while chunk := stream.read(HEADER_CHUNK):
-        head = (head + chunk).lstrip(b"\r\n")
-        line = _first_record(head)
-        if line is not None:
-            break
-    else:
-        line = _first_line(head)
-    if line is None:
-        return []
-    return pa_csv.open_csv(pa.BufferReader(line + b"\n")).schema.names
-
-
-def _line_ends(head: bytes) -> Iterator[int]:
-    for position, byte in enumerate(head):
-        if byte in b"\r\n":
-            yield position
+class Notes:
+    """What a reader has to say about a member beside its rows; complete once all batches are read."""
 
+    def __init__(self) -> None:
+        self.dropped_keys = 0
 
-def _first_record(head: bytes) -> bytes | None:
-    """Text up to the first line end outside quotes."""
-    return next((head[:end] for end in _line_ends(head) if head.count(b'"', 0, end) % 2 == 0), None)
 
-
-def _first_line(head: bytes) -> bytes | None:
-    return next((head[:end] for end in _line_ends(head)), None)
+def has_header(stream: BinaryIO) -> bool:
+    """A line end after some text: without one there is no header with data after it."""
+    started = False
+    while chunk := stream.read(HEADER_CHUNK):
+        if not started:
+            chunk = chunk.lstrip(b"\r\n")
+            started = bool(chunk)
+        if b"\n" in chunk or b"\r" in chunk:
+            return True
+    return False
 
 
-def read_csv(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[pa.Schema, Iterator[pa.RecordBatch]]:
-    """All columns as text, block by block."""
-    with archive.open(info) as stream:
-        names = csv_names(stream)
-    if not names:
-        raise Skipped("no header line with data after it")
-    reader = pa_csv.open_csv(
-        archive.open(info),
+def _open_csv(stream: BinaryIO, types: dict | None = None):
+    return pa_csv.open_csv(
+        stream,
         read_options=pa_csv.ReadOptions(use_threads=False, block_size=CSV_BLOCK),
         parse_options=pa_csv.ParseOptions(newlines_in_values=True),
-        convert_options=pa_csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string())),
+        convert_options=pa_csv.ConvertOptions(column_types=types),
     )
+
+
+def read_csv(archive: zipfile.ZipFile, info: zipfile.ZipInfo, notes: Notes, json_limit: int | None = None):
+    """All columns as text, block by block. The names come from the same parser that reads the rows."""
+    with archive.open(info) as stream:
+        if not has_header(stream):
+            raise Skipped("no header line with data after it")
+    with archive.open(info) as stream, _open_csv(stream) as first:
+        names = first.schema.names
+    reader = _open_csv(archive.open(info), dict.fromkeys(names, pa.string()))
     return reader.schema, iter(reader)
 
 
-def read_json(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[pa.Schema, Iterator[pa.RecordBatch]]:
-    """One object or an array of objects; numbers keep their source text.
+def json_values(stream: BinaryIO) -> Iterator:
+    """Records of a JSON document: the elements of an array, or the document itself, one after the other.
 
-    The size limit makes the whole-member parse safe for the task's memory.
+    The text is read and parsed piece by piece, so memory is bounded by the largest record
+    and not by the member. Numbers keep their source text.
     """
+    head = stream.read(4)
+    decode = codecs.getincrementaldecoder(json.detect_encoding(head))("surrogatepass").decode
+    scan = json.JSONDecoder(parse_int=str, parse_float=str).raw_decode
+    text, at, ended = decode(head), 0, False
+
+    def more() -> bool:
+        nonlocal text, at, ended
+        if ended:
+            return False
+        piece = stream.read(max(JSON_CHUNK, len(text) - at))  # a longer record is tried again at twice the size
+        ended = not piece
+        text, at = text[at:] + decode(piece, ended), 0
+        return True
+
+    def next_char() -> str:
+        """The next character that is no white space; empty at the end."""
+        nonlocal at
+        while True:
+            while at < len(text) and text[at] in JSON_SPACE:
+                at += 1
+            if at < len(text):
+                return text[at]
+            if not more():
+                return ""
+
+    def value():
+        nonlocal at
+        while True:
+            try:
+                found, end = scan(text, at)
+            except json.JSONDecodeError as error:
+                cut = error.pos > len(text) - 16 or error.msg.startswith("Unterminated string")
+                if not (cut and more()):
+                    raise
+                continue
+            if end == len(text) and more():  # a number or word may go on
+                continue
+            at = end
+            return found
+
+    if not next_char():
+        return
+    if next_char() != "[":
+        found = value()
+        if not isinstance(found, dict):
+            raise TypeError("neither an object nor an array of objects")
+        yield found
+    else:
+        at += 1
+        if next_char() == "]":
+            at += 1
+        else:
+            while True:
+                next_char()
+                yield value()
+                follows = next_char()
+                if follows not in (",", "]"):
+                    raise json.JSONDecodeError("Expecting ',' delimiter", text, at)
+                at += 1
+                if follows == "]":
+                    break
+    if next_char():
+        raise json.JSONDecodeError("Extra data", text, at)
+
+
+def json_batches(values: Iterator, names: list[str], notes: Notes | None = None) -> Iterator[list[dict]]:
+    """Records in lists of bounded size, with the named keys only; other keys are counted."""
+    known, rows, cells = set(names), [], 0
+    for row in values:
+        if not isinstance(row, dict):
+            raise TypeError("a record is not an object")
+        if not known.issuperset(row):
+            if notes is not None:
+                notes.dropped_keys += len(set(row) - known)
+            row = {name: row[name] for name in names if name in row}
+        rows.append(row)
+        cells += 1 + len(row)
+        if cells >= JSON_CHUNK // 64:
+            yield rows
+            rows, cells = [], 0
+    if rows:
+        yield rows
+
+
+def common_type(a: pa.DataType, b: pa.DataType) -> pa.DataType:
+    """The type of values of both types, as if all were converted at once."""
+    if a.equals(b) or pa.types.is_null(b):
+        return a
+    if pa.types.is_null(a):
+        return b
+    if pa.types.is_struct(a) and pa.types.is_struct(b):
+        names = sorted({f.name for f in (*a, *b)})
+        parts = [[t.field(n).type for t in (a, b) if t.get_field_index(n) >= 0] for n in names]
+        return pa.struct([pa.field(n, common_type(p[0], p[-1])) for n, p in zip(names, parts)])
+    if pa.types.is_list(a) and pa.types.is_list(b):
+        return pa.list_(common_type(a.value_type, b.value_type))
+    raise pa.ArrowInvalid(f"cannot mix {a} and {b} in one column")
+
+
+def read_json(archive: zipfile.ZipFile, info: zipfile.ZipInfo, notes: Notes, json_limit: int | None = None):
+    """One object or an array of objects of any size, in bounded memory; numbers keep their source text.
+
+    Columns are those of the first record, in its order; a record that lacks one has null
+    there, and keys that the first record lacks are dropped and counted. A first pass finds
+    the types of all columns; a member that fits one batch is parsed once only. ``json_limit``
+    (bytes, None: none) makes larger members fail.
+    """
+    if json_limit is not None and info.file_size > json_limit:
+        raise ValueError(f"JSON member is larger than {json_limit} bytes")
+    with archive.open(info) as stream:
+        values = json_values(stream)
+        first = next(values, None)
+        if not first and not any(values):
+            raise Skipped("no record with data")
+        if not isinstance(first, dict):
+            raise TypeError("a record is not an object")
+    names = list(first)
+    batches, kind, held = 0, {name: pa.null() for name in names}, None
     with archive.open(info) as stream:
-        text = stream.read(fixed.MAX_JSON_SIZE_BYTES + 1)
-    if len(text) > fixed.MAX_JSON_SIZE_BYTES:
-        raise ValueError(f"JSON member is larger than {fixed.MAX_JSON_SIZE_BYTES} bytes")
-    document = json.loads(text, parse_int=str, parse_float=str) if text.strip() else []
-    rows = [document] if isinstance(document, dict) else document
-    if not any(rows):
-        raise Skipped("no record with data")
-    return _columns(rows)
+        for rows in json_batches(json_values(stream), names, notes):
+            batches, held = batches + 1, pa.array(rows)
+            kind = {name: common_type(kind[name], _field(held.type, name)) for name in names}
+    schema = pa.schema(list(kind.items()))
 
+    def converted() -> Iterator[pa.RecordBatch]:
+        if batches == 1:
+            yield _record_batch(held, schema)
+            return
+        with archive.open(info) as stream:
+            for rows in json_batches(json_values(stream), names):
+                yield _record_batch(pa.array(rows, pa.struct(list(schema))), schema)
 
-def _columns(rows: list) -> tuple[pa.Schema, Iterator[pa.RecordBatch]]:
-    """Columns of the first record, in its order; a record that lacks one has null there.
+    return schema, converted() if names else iter(())
 
-    All records are converted at once, as one array of structs (much faster than column
-    by column); keys that the first record lacks are left out.
-    """
-    if not all(isinstance(row, dict) for row in rows):
-        raise TypeError("a record is not an object")
-    names = list(rows[0])
-    if not set(names).issuperset(set().union(*rows)):
-        rows = [{name: row[name] for name in names if name in row} for row in rows]
-    records = pa.array(rows)
-    schema = pa.schema([pa.field(name, records.type.field(name).type) for name in names])
-    batches = [pa.RecordBatch.from_arrays([records.field(name) for name in names], schema=schema)] if names else []
-    return schema, iter(batches)
+
+def _field(records: pa.DataType, name: str) -> pa.DataType:
+    return records.field(name).type if records.get_field_index(name) >= 0 else pa.null()
+
+
+def _record_batch(records: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([records.field(name) for name in schema.names], schema=schema)
 
 
 # Extension point: extension -> reader.
-READERS = {"csv": read_csv, "json": read_json}
+READERS: dict[str, Callable] = {"csv": read_csv, "json": read_json}
 
 
 def read_member(
-    archive: zipfile.ZipFile, info: zipfile.ZipInfo
+    archive: zipfile.ZipFile, info: zipfile.ZipInfo, notes: Notes | None = None, json_limit: int | None = None
 ) -> tuple[pa.Schema, Iterator[pa.RecordBatch]]:
     """Schema and batches of a member; raises Skipped where there is nothing to load."""
     name = info.filename.rsplit("/", 1)[-1]
@@ -115,4 +227,4 @@ def read_member(
     read = READERS.get(suffix.lower()) if dot and stem.strip(".") else None
     if read is None:
         raise Skipped(f"unsupported file extension: {info.filename}")
-    return read(archive, info)
+    return read(archive, info, notes or Notes(), json_limit)

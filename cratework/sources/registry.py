@@ -151,35 +151,45 @@ def keyword_product(sources: DataFrame) -> DataFrame:
 def format_template(template: Column, params: Column) -> tuple[Column, Column]:
     """(filled text, error cause) of a ``{name}`` template over a name -> value map.
 
-    The template is cut at its braces and each piece replaced once, so values that
-    contain braces are left alone. Doubled braces are literal braces. Format specs,
-    attributes and indexes are not part of the registry language: such a field counts
-    as an undefined parameter.
+    The template is read from left to right, as Python reads it: a doubled brace is a
+    literal brace, a field ends at the next closing brace. Values that contain braces are
+    left alone. Format specs, attributes and indexes are not part of the registry
+    language: such a field counts as an undefined parameter.
     """
-    masked = F.replace(F.replace(template, F.lit("{{"), F.lit("\x01")), F.lit("}}"), F.lit("\x02"))
-    pieces = F.split(masked, r"(?=\{)|(?<=\})")
+    pieces = F.regexp_extract_all(template, F.lit(r"\{\{|\}\}|\{[^{}]*\}|\{|\}|[^{}]+"), F.lit(0))
+    pieces = F.when(template == "", F.array(F.lit(""))).otherwise(pieces)
 
     def is_field(piece: Column) -> Column:
-        return piece.rlike(r"^\{[^{}]*\}$")
+        return piece.rlike(r"(?s)^\{[^{}]*\}$")
 
     def field(piece: Column) -> Column:
-        return F.regexp_extract(piece, r"^\{(.*)\}$", 1)
+        return F.regexp_extract(piece, r"(?s)^\{(.*)\}$", 1)
 
-    def cause(piece: Column) -> Column:
+    def opens(piece: Column) -> Column:
+        return piece.startswith("{")
+
+    def cause(piece: Column, at: Column) -> Column:
+        index = F.when(field(piece) == "", "0").otherwise(F.regexp_replace(field(piece), r"^0+(?=\d)", ""))
         undefined = is_field(piece) & ~F.map_contains_key(params, field(piece))
         return (
-            F.when(is_field(piece) & field(piece).rlike(r"^\d*$"), F.lit(fixed.CAUSE_POSITIONAL))
+            F.when(is_field(piece) & field(piece).rlike(r"^\d*$"), fill(fixed.CAUSE_POSITIONAL, index=index))
             .when(undefined, F.concat(F.lit("'"), field(piece), F.lit("'")))
-            .when(~is_field(piece) & piece.contains("{"), F.lit(fixed.CAUSE_OPEN_BRACE))
-            .when(~is_field(piece) & piece.contains("}"), F.lit(fixed.CAUSE_CLOSE_BRACE))
+            .when((piece == "{") & (at + 1 == F.size(pieces)), F.lit(fixed.CAUSE_LAST_BRACE))
+            .when((piece == "{") & F.exists(F.slice(pieces, at + 2, F.size(pieces)), opens), F.lit(fixed.CAUSE_INNER_BRACE))
+            .when(piece == "{", F.lit(fixed.CAUSE_OPEN_BRACE))
+            .when(piece == "}", F.lit(fixed.CAUSE_CLOSE_BRACE))
+        )
+
+    def filled(piece: Column) -> Column:
+        return (
+            F.when(is_field(piece), F.element_at(params, field(piece)))
+            .when(piece == "{{", "{")
+            .when(piece == "}}", "}")
+            .otherwise(piece)
         )
 
-    filled = F.array_join(
-        F.transform(pieces, lambda p: F.when(is_field(p), F.element_at(params, field(p))).otherwise(p)), ""
-    )
-    text = F.replace(F.replace(filled, F.lit("\x01"), F.lit("{")), F.lit("\x02"), F.lit("}"))
     error = F.get(F.filter(F.transform(pieces, cause), lambda c: c.isNotNull()), F.lit(0))
-    return F.when(error.isNull(), text), error
+    return F.when(error.isNull(), F.array_join(F.transform(pieces, filled), "")), error
 
 
 def format_endpoints(sources: DataFrame, runtime: Mapping[str, str]) -> DataFrame:

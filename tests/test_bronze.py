@@ -8,7 +8,7 @@ from cratework.operators import bronze, contract
 from cratework.sources import archives as zips
 
 RUN = dt.datetime(2026, 1, 2, 3, 4, 5, 678901, tzinfo=dt.timezone.utc)
-SCHEMAS = {"ds": contract.text_schema(["id"]), "people": contract.text_schema(["id", "name", "balance"])}
+SCHEMAS = {"ds": contract.text_schema(["id"]), "lots": contract.text_schema(["lot", "shelf", "mg"])}
 
 
 @pytest.fixture
@@ -37,57 +37,57 @@ def test_mixed_archive(spark, tmp_path, make_zip, load):
     make_zip(
         KEY.format("a"),
         {
-            "valid.csv": b"id\n1\n",
-            "valid.json": b'[{"id": 1}]',
-            "unsupported.txt": b"x",
-            "empty.csv": b"",
-            "empty.json": b"",
-            "header.csv": b"id\n",
-            "dir/": b"",
+            "notes.md": b"# read me",
+            "north.csv": b"id\n77\n",
+            "blank.json": b" ",
+            "south.json": b'{"id": 78}',
+            "only_names.csv": b"id\n",
+            "blank.csv": b"\n",
+            "sub/": b"",
         },
     )
     row = load()["a.zip"]
     assert (row["status"], row["members"], row["uploaded"], row["n_rows"]) == ("complete", 7, 3, 2)
     assert outcomes(spark, tmp_path) == {
-        "valid.csv": ("valid", 1),
-        "valid.json": ("valid", 1),
-        "unsupported.txt": ("skipped_unsupported", 0),
-        "empty.csv": ("skipped_empty", 0),
-        "empty.json": ("skipped_empty", 0),
-        "header.csv": ("valid", 0),
-        "dir/": ("skipped_unsupported", 0),
+        "north.csv": ("valid", 1),
+        "south.json": ("valid", 1),
+        "only_names.csv": ("valid", 0),
+        "notes.md": ("skipped_unsupported", 0),
+        "sub/": ("skipped_unsupported", 0),
+        "blank.csv": ("skipped_empty", 0),
+        "blank.json": ("skipped_empty", 0),
     }
     assert sorted(p.name for p in folder(tmp_path, "a").iterdir()) == ["_SUCCESS", "schema_status=valid"]
     rows = bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"]).collect()
-    assert [r["id"] for r in rows] == ["1", "1"]
+    assert sorted(r["id"] for r in rows) == ["77", "78"]
 
 
 def test_end_to_end_types_and_lineage(spark, tmp_path, make_zip, load):
     make_zip(
-        "src/people/ingest_date=2026-01-01/file.zip",
-        {"test.csv": b"id,name,balance\n1,Alice,10.5\n2,Bob,20.0\n", "test.json": b'[{"id": 3, "name": "Carol"}]'},
+        "src/lots/ingest_date=2026-01-01/stock.zip",
+        {"shelves.csv": b"lot,shelf,mg\nL7,B2,0.125\nL8,,40\n", "counts.json": b'[{"lot": 9, "packs": 12.0}]'},
     )
-    row = load()["file.zip"]
+    row = load()["stock.zip"]
     assert (row["status"], row["uploaded"], row["invalid"], row["n_rows"]) == ("complete", 2, 1, 3)
-    base = folder(tmp_path, "file", "people")
+    base = folder(tmp_path, "stock", "lots")
     valid = spark.read.parquet(str(base / "schema_status=valid"))
-    assert valid.columns == ["id", "name", "balance", *fixed.LINEAGE_COLUMNS]
-    first = valid.orderBy("id").first()
+    assert valid.columns == ["lot", "shelf", "mg", *fixed.LINEAGE_COLUMNS]
+    first = valid.orderBy("lot").first()
     assert first["_bronze_processed_at"].microsecond == 678000
     assert (first["_dag_run_id"], first["_zip_file_name"], first["_source_file_name"], first["_schema_status"]) == (
-        "run-1", "file.zip", "test.csv", "valid",
+        "run-1", "stock.zip", "shelves.csv", "valid",
     )
     invalid = spark.read.parquet(str(base / "schema_status=invalid"))
-    assert invalid.columns == ["id", "name", *fixed.LINEAGE_COLUMNS]
-    assert [(r["id"], r["name"]) for r in invalid.collect()] == [("3", "Carol")]
+    assert invalid.columns == ["lot", "packs", *fixed.LINEAGE_COLUMNS]
+    assert [(r["lot"], r["packs"]) for r in invalid.collect()] == [("9", "12.0")]
     manifest = bronze.read_manifest(spark, str(tmp_path / "bronze"), "run-1")
     report = bronze.invalid_schema_report(manifest, "s3://bronze").first()
     assert report["body"] == (
-        "Files with invalid schema: test.json<br>Location: "
-        "s3://bronze/src/people/ingest_date=2026-01-01/zip_name=file/schema_status=invalid/"
+        "Files with invalid schema: counts.json<br>Location: "
+        "s3://bronze/src/lots/ingest_date=2026-01-01/zip_name=stock/schema_status=invalid/"
     )
     view = bronze.quarantine_rows(spark, str(tmp_path / "bronze"), manifest).collect()
-    assert [tuple(r) for r in view] == [("file.zip", "test.json", '{"id":"3","name":"Carol"}')]
+    assert [tuple(r) for r in view] == [("stock.zip", "counts.json", '{"lot":"9","packs":"12.0"}')]
 
 
 def test_failure_stays_in_its_archive(spark, tmp_path, make_zip, load):
@@ -184,7 +184,7 @@ def test_only_new_deliveries_are_pending(spark, tmp_path, make_zip, load):
     target = str(tmp_path / "bronze")
     listing = lambda: zips.list_archives(spark, str(tmp_path / "landing"))
     pending = lambda: sorted(
-        r["zip_file_name"] for r in bronze.pending_archives(listing(), bronze.read_ledger(spark, target)).collect()
+        r["zip_file_name"] for r in bronze.pending_archives(listing(), bronze.read_ledger(spark, target), target).collect()
     )
     assert pending() == []
     make_zip(KEY.format("a"), {"a.csv": b"id\n12\n"})
@@ -221,7 +221,7 @@ def test_large_members_go_through_blocks(spark, tmp_path, make_zip, load, monkey
 
 
 def test_markers_of_many_archives_are_checked_in_tasks(spark, tmp_path, make_zip, load, monkeypatch):
-    monkeypatch.setattr(bronze, "FEW_FOLDERS", 2)
+    monkeypatch.setattr(bronze, "FOLDERS_PER_TASK", 2)
     for name in ("a", "b=1", "c:%", "d e"):
         make_zip(KEY.format(name), {"x.csv": b"id\n" + name.encode() + b"\n"})
     assert {r["status"] for r in load().values()} == {"complete"}
@@ -242,3 +242,109 @@ def test_optional_lineage_columns(spark, make_zip, tmp_path):
     neither = bronze.with_lineage(rows, "r", RUN, file_name=False, schema_status=False)
     assert neither.columns == ["id", *fixed.LINEAGE_COLUMNS[:3], *bronze.PARTITIONS]
     assert neither.count() == 1
+
+
+def test_last_load_of_a_path_decides(spark, tmp_path, make_zip, load):
+    path = make_zip(KEY.format("a"), {"a.csv": b"id\n" + b"1234\n" * 2000})
+    target = str(tmp_path / "bronze")
+    listing = zips.list_archives(spark, str(tmp_path / "landing"))
+    pending = lambda: bronze.pending_archives(listing, bronze.read_ledger(spark, target), target).count()
+    load()
+    assert pending() == 0
+    (folder(tmp_path, "a") / "_SUCCESS").unlink()  # as if a later load had died half-way
+    assert pending() == 1
+    load("run-10")
+    assert pending() == 0
+    times, data = path.stat(), bytearray(path.read_bytes())
+    data[45:55] = bytes(10)
+    path.write_bytes(bytes(data))
+    import os
+
+    os.utime(path, ns=(times.st_atime_ns, times.st_mtime_ns))
+    assert load("run-9")["a.zip"]["status"] == "failed"
+    assert pending() == 1
+    last = bronze.last_attempts(bronze.read_ledger(spark, target)).collect()
+    assert [(r["run_id"], r["status"]) for r in last] == [("run-9", "failed")]
+
+
+def test_loads_under_one_run_id_add_up(spark, tmp_path, make_zip, load):
+    first = make_zip(KEY.format("a"), {"a.csv": b"id\n1\n"})
+    load("same")
+    first.unlink()
+    make_zip(KEY.format("b"), {"b.csv": b"id\n2\n"})
+    load("same")
+    ledger = bronze.read_ledger(spark, str(tmp_path / "bronze"))
+    assert sorted(r["zip_file_name"] for r in ledger.collect()) == ["a.zip", "b.zip"]
+    assert outcomes(spark, tmp_path, "same") == {"a.csv": ("valid", 1), "b.csv": ("valid", 1)}
+
+
+def test_key_collision_with_an_earlier_load_is_refused(spark, tmp_path, make_zip, load):
+    make_zip(KEY.format("a"), {"a.csv": b"id\n1\n"})
+    load()
+    make_zip("src/ds/ingest_date=2026-01-01/a.ZIP", {"a.csv": b"id\n2\n"})
+    archives = zips.list_archives(spark, str(tmp_path / "landing")).where("zip_file_name = 'a.ZIP'")
+    ledger = bronze.load_archives(archives, str(tmp_path / "bronze"), SCHEMAS, "run-2", RUN).collect()
+    assert [r["status"] for r in ledger] == ["failed_key_collision"]
+    rows = bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"]).collect()
+    assert [r["id"] for r in rows] == ["1"]
+
+
+def test_quarantine_holds_any_shapes(spark, tmp_path, make_zip, load):
+    make_zip(
+        KEY.format("a"),
+        {
+            "bool.json": b'[{"id": true}]',
+            "wide.csv": b"id,more\n1,2\n3,4\n",
+            "deep.json": b'[{"id": {"x": 1.50}}]',
+            "void.json": b'[{"id": null, "k": 1}]',
+        },
+    )
+    assert load()["a.zip"]["status"] == "complete"
+    target = str(tmp_path / "bronze")
+    view = bronze.quarantine_rows(spark, target, bronze.read_manifest(spark, target, "run-1"))
+    assert sorted((r["member"], r["row_json"]) for r in view.collect()) == [
+        ("bool.json", '{"id":true}'),
+        ("deep.json", '{"id":{"x":"1.50"}}'),
+        ("void.json", '{"id":null,"k":"1"}'),
+        ("wide.csv", '{"id":"1","more":"2"}'),
+        ("wide.csv", '{"id":"3","more":"4"}'),
+    ]
+    load("run-2")  # again: the last load's rows only
+    assert bronze.quarantine_rows(spark, target, bronze.read_manifest(spark, target, "run-2")).count() == 5
+
+
+def test_dropped_keys_are_in_the_manifest(spark, tmp_path, make_zip, load):
+    make_zip(KEY.format("a"), {"a.json": b'[{"id": 1}, {"id": 2, "b": 3, "c": 4}]', "b.json": b'[{"id": 5}]'})
+    row = load()["a.zip"]
+    assert (row["status"], row["uploaded"], row["invalid"], row["n_rows"]) == ("complete", 2, 0, 3)
+    rows = bronze.read_manifest(spark, str(tmp_path / "bronze"), "run-1").collect()
+    assert {r["member"]: (r["outcome"], r["n_rows"], r["dropped_keys"]) for r in rows} == {
+        "a.json": ("valid", 2, 2),
+        "b.json": ("valid", 1, 0),
+    }
+    assert sorted(p.name for p in folder(tmp_path, "a").iterdir()) == ["_SUCCESS", "schema_status=valid"]
+
+
+def test_json_limit_fails_its_archive_only(spark, tmp_path, make_zip):
+    make_zip(KEY.format("big"), {"a.json": b'[{"id": "%s"}]' % (b"x" * 500)})
+    make_zip(KEY.format("small"), {"a.json": b'[{"id": 1}]'})
+    archives = zips.list_archives(spark, str(tmp_path / "landing"))
+    for limit, want in ((100, "failed"), (None, "complete")):
+        ledger = bronze.load_archives(archives, str(tmp_path / "bronze"), SCHEMAS, "r", RUN, json_limit=limit)
+        assert {r["zip_file_name"]: r["status"] for r in ledger.collect()} == {"big.zip": want, "small.zip": "complete"}
+
+
+def test_files_of_a_large_member_stay_few(spark, tmp_path, make_zip, load, monkeypatch):
+    monkeypatch.setattr(zips, "LARGE_MEMBER", 1 << 20)
+    monkeypatch.setattr(zips, "CSV_BLOCK", 1 << 18)
+    monkeypatch.setattr(zips, "TASK_BYTES", 1 << 22)
+    from cratework.sources import readers
+
+    monkeypatch.setattr(readers, "CSV_BLOCK", 1 << 18)
+    body = b"".join(b"%09d\n" % i for i in range(1_600_000))
+    for name in "abc":
+        make_zip(KEY.format(name), {"big.csv": b"id\n" + body})
+    load()
+    for name in "abc":
+        files_of = list((folder(tmp_path, name) / "schema_status=valid").glob("*.parquet"))
+        assert len(files_of) <= len(body) // (1 << 22) + 3

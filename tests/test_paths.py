@@ -13,14 +13,14 @@ def values(spark, texts, build):
 
 
 def test_layer_keys(spark):
-    key = "test/source/key/test_file.zip"
-    landed = values(spark, [key], lambda c: paths.landing_key(F.lit("test_source"), c, F.lit("test_dataset"), F.lit("2020-01-01")))
-    assert landed == ["test_source/test_dataset/ingest_date=2020-01-01/test_file.zip"]
+    key = "in/2031/week 9/lots.v2.zip"
+    landed = values(spark, [key], lambda c: paths.landing_key(F.lit("depot"), c, F.lit("shelves"), F.lit("2031-02-28")))
+    assert landed == ["depot/shelves/ingest_date=2031-02-28/lots.v2.zip"]
     assert values(spark, landed, paths.bronze_key) == [
-        "test_source/test_dataset/ingest_date=2020-01-01/zip_name=test_file"
+        "depot/shelves/ingest_date=2031-02-28/zip_name=lots.v2"
     ]
     assert values(spark, landed, lambda c: paths.schema_status_key(c, F.lit("valid"))) == [
-        "test_source/test_dataset/ingest_date=2020-01-01/zip_name=test_file/schema_status=valid"
+        "depot/shelves/ingest_date=2031-02-28/zip_name=lots.v2/schema_status=valid"
     ]
     assert values(spark, ["a/b/c.zip", "a/b/c/d/e", "a/b/date/c.zip"], paths.bronze_key) == [None, None, None]
 
@@ -36,7 +36,7 @@ def test_stems_and_extensions_follow_the_usual_rules(spark):
 
 
 def test_member_names(spark):
-    assert values(spark, ["folder/data.csv", "a/b/c.csv"], paths.flat_member_name) == ["folder__data.csv", "a__b__c.csv"]
+    assert values(spark, ["west/in/lots.csv", "top.csv"], paths.flat_member_name) == ["west__in__lots.csv", "top.csv"]
     parts = ["x/schema_status=invalid/a.csv_part-0.parquet", "x/sub__b_part-1.json_part-12.parquet"]
     assert values(spark, parts, paths.member_from_part) == ["a.csv", "sub__b_part-1.json"]
 
