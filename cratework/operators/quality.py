@@ -87,29 +87,73 @@ def failing_rows(df: DataFrame, table: Table) -> DataFrame:
     return df.withColumn("broken_rules", broken).where(F.size("broken_rules") > 0)
 
 
+OWN = -1
+PART = "\x1f"
+
+
+def _key_text(columns) -> Column:
+    """A key's parts as one text, null if any part is null."""
+    return F.concat(*[x for c in columns for x in (F.col(c).cast("string"), F.lit(PART))])
+
+
+def key_uses(df: DataFrame, uses: list[tuple[str, tuple[str, ...], int]]) -> DataFrame:
+    """(domain, key, slot) of every use of a key in a row, in one pass over the table."""
+    entries = [
+        F.struct(F.lit(domain).alias("domain"), _key_text(columns).alias("key"), F.lit(slot).alias("slot"))
+        for domain, columns, slot in uses
+    ]
+    return df.select(F.inline(F.array(*entries))).where("key is not null")
+
+
 def constraint_report(tables: Mapping[str, DataFrame], rules: Mapping[str, Table]) -> DataFrame:
     """(table, kind, rule, violations) of every rule of every given table.
 
     Key rules count the violating key values (unique) or child rows (foreign). A
     foreign key whose parent table is not given is left out.
+
+    Two passes over each table: one counts all row rules; the other sends every use of a
+    key to one aggregate, where the rows that own a key meet those that refer to it (summed
+    per task before the shuffle). So reads and shuffles do not grow with the rules.
     """
-    stated, found = [], []
-
-    def count(name: str, kind: str, rule: str, rows: DataFrame, violations: Column) -> None:
-        stated.append((name, kind, rule, 0))
-        labels = {"table_name": name, "rule_kind": kind, "rule": rule}
-        found.append(rows.select(*[F.lit(v).alias(c) for c, v in labels.items()], violations.alias("violations")))
-
-    for name, df in tables.items():
-        table = rules[name]
-        found.append(count_row_rules(df, name, row_rules(table)))
-        for keys in table.unique:
-            count(name, "unique", ", ".join(keys), duplicate_keys(df, list(keys)), F.lit(1).cast("bigint"))
-        for key in table.foreign:
+    stated: list[tuple[str, int, str, str, str]] = []
+    uses: dict[str, list[tuple[str, tuple[str, ...], int]]] = {name: [] for name in tables}
+    slots: dict[str, int] = {}
+
+    def domain(name: str, columns: tuple[str, ...]) -> str:
+        """The keys that these columns of a table own."""
+        label = f"{name}({', '.join(columns)})"
+        if label not in slots:
+            slots[label] = 0
+            uses[name].append((label, tuple(columns), OWN))
+        return label
+
+    for name in tables:
+        for keys in rules[name].unique:
+            stated.append((domain(name, tuple(keys)), OWN, name, "unique", ", ".join(keys)))
+        for key in rules[name].foreign:
             if key.parent in tables:
-                rule = f"{', '.join(key.columns)} -> {key.parent}"
-                count(name, "foreign", rule, missing_parents(df, tables[key.parent], key), F.col("n"))
-    # Rules without a violating key have no rows of their own: they start at zero.
-    zeros = df.sparkSession.createDataFrame(stated, "table_name string, rule_kind string, rule string, violations bigint")
-    every = functools.reduce(DataFrame.unionByName, found, zeros)
-    return every.groupBy("table_name", "rule_kind", "rule").agg(F.sum("violations").alias("violations"))
+                owner = domain(key.parent, tuple(key.parent_columns))
+                uses[name].append((owner, tuple(key.columns), slots[owner]))
+                stated.append((owner, slots[owner], name, "foreign", f"{', '.join(key.columns)} -> {key.parent}"))
+                slots[owner] += 1
+    row_counts = [count_row_rules(df, name, row_rules(rules[name])) for name, df in tables.items() if row_rules(rules[name])]
+    used = [key_uses(tables[name], listed) for name, listed in uses.items() if listed]
+    spark = next(iter(tables.values())).sparkSession
+    labels = spark.createDataFrame(stated, "domain string, slot int, table_name string, rule_kind string, rule string")
+    found = labels.select("table_name", "rule_kind", "rule", F.lit(0).cast("bigint").alias("violations"))
+    if used:
+        width = range(max(slots.values(), default=0))
+        per_key = functools.reduce(DataFrame.unionByName, used).groupBy("domain", "key").agg(
+            F.count_if(F.col("slot") == OWN).alias("own"), *[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in width]
+        )
+        per_domain = per_key.groupBy("domain").agg(
+            F.count_if(F.col("own") > 1).alias("twice"),
+            *[F.sum(F.when(F.col("own") == 0, F.col(f"n{i}")).otherwise(0)).alias(f"lost{i}") for i in width],
+        )
+        counts = [F.struct(F.lit(OWN).alias("slot"), F.col("twice").alias("n"))]
+        counts += [F.struct(F.lit(i).alias("slot"), F.col(f"lost{i}").alias("n")) for i in width]
+        counted = per_domain.select("domain", F.inline(F.array(*counts)))
+        found = labels.join(counted, ["domain", "slot"], "left").select(
+            "table_name", "rule_kind", "rule", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")
+        )
+    return functools.reduce(DataFrame.unionByName, row_counts, found)

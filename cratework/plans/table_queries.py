@@ -553,7 +553,7 @@ FROM events GROUP BY ALL""")
 def stream_dedupe_window(spark, sf):
     """Every event twice in one stream; each counts once in its hour."""
     schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet").select(
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]").select(
         "event_id", "event_type", F.col("ts").cast("timestamp").alias("event_ts")
     )
     folder = fresh_folder(spark, "events")
