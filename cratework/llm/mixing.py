@@ -156,13 +156,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     settled: list[DataFrame] = []
     turn, left = 0, largest
     while True:
-        final = left <= BLOCK
         blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1))
         rows = rows.withColumn("block", F.pmod(F.xxhash64("unit", "size", F.lit(turn)), blocks))
-        moved = scratch.stage(rows.groupBy("source", "block").applyInPandas(_move(seed, turn, final), fields), f"flight-{turn}")
+        moved = scratch.stage(rows.groupBy("source", "block").applyInPandas(_move(seed, turn), fields), f"flight-{turn}")
         is_open = (F.col("p") > 0) & (F.col("p") < 1)
         settled.append(moved.where(~is_open))
-        if final:
+        if left <= BLOCK:
             break
         rows = moved.where(is_open).withColumn("n", F.ceil(F.col("n") / BLOCK) * 2)
         turn, left = turn + 1, math.ceil(left / BLOCK) * 2
@@ -174,8 +173,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     )
 
 
-def _move(seed: int, turn: int, final: bool):
+def _move(seed: int, turn: int):
     def move(rows: pd.DataFrame) -> pd.DataFrame:
+        final = rows["n"].iloc[0] <= BLOCK  # all that is left of the source
         rows = rows.drop(columns="block").sort_values(["unit", "size"], kind="stable")
         if final:  # small documents are left for the landing
             rows = rows.sort_values("size", ascending=False, kind="stable")
