@@ -33,7 +33,7 @@ def open_output(path: str):
     """A binary output stream; missing parent folders are made."""
     filesystem, inner = locate(path)
     filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    return filesystem.open_output_stream(inner)
+    return filesystem.open_output_stream(inner, compression=None)  # a name like x.gz changes nothing
 
 
 def size_of(path: str) -> int | None:
