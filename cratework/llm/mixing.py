@@ -130,7 +130,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
 
     A source's documents are wanted target / source_size times each. The whole part is
     taken from every one; of the fraction, the cube method takes a balanced sample, whose
-    number of documents and words is that of the fractions up to the landing of a dozen small
+    number of documents and words is that of the fractions up to the landing of a dozen
     documents a source. Blocks of a source's documents move apart; the few fractions that
     each leaves meet in blocks again until one block lands. copies <= most.
 
@@ -177,12 +177,11 @@ def _move(seed: int, turn: int):
     def move(rows: pd.DataFrame) -> pd.DataFrame:
         final = rows["n"].iloc[0] <= BLOCK  # all that is left of the source
         rows = rows.drop(columns="block").sort_values(["unit", "size"], kind="stable")
-        if final:  # small documents are left for the landing
-            rows = rows.sort_values("size", ascending=False, kind="stable")
-        p = rows["p"].to_numpy(float)
-        size = rows["size"].to_numpy(float)
-        ids = rows["unit"].to_numpy(np.int64)
-        chance = _uniform(seed, ids, turn)
+        # In an order of their own, so that documents of many sizes are left for the landing.
+        chance = _uniform(seed, rows["unit"].to_numpy(np.int64), turn)
+        rows = rows.iloc[np.argsort(chance, kind="stable")]
+        p, size = rows["p"].to_numpy(float), rows["size"].to_numpy(float)
+        chance = _uniform(seed, rows["unit"].to_numpy(np.int64), turn + 1000)
         p = flight(p, np.vstack([np.ones_like(size), size]), chance, LANDING if final else 0)
         if final:
             p = land(p, size, chance)

@@ -90,7 +90,7 @@ def odd_places(low: str) -> list[int]:
     kind = np.where(codes < KNOWN, KIND[np.minimum(codes, np.uint32(KNOWN - 1))], LETTER)
     letter, gap = (kind & LETTER).astype(bool), (kind & GAP).astype(bool)
     odd = np.zeros(len(codes), bool)
-    odd[:-1] = (kind[:-1] & SIGN).astype(bool) & (letter | (kind & SIGN).astype(bool))[1:]
+    odd[:-1] = (kind[:-1] & SIGN).astype(bool) & letter[1:]
     same = codes[1:] == codes[:-1]
     odd[2:] |= same[1:] & same[:-1] & letter[2:]
     if len(codes) >= 7:  # x.x.x.x
