@@ -216,12 +216,13 @@ def links(scratch: Scratch, distinct: DataFrame, radius: int) -> DataFrame:
         rows = rows.where(F.col("n") > BUCKET_ROWS)
         if rows.isEmpty():
             break
-        finer = {m: finer_masks(m, radius) for m in masks}
+        finer = {m: finer_masks(m, radius) for m in masks if m != (1 << BITS) - 1}  # of a whole mask no bucket has two
         masks = sorted({x for part in finer.values() for x in part})
         lookup = F.create_map(
             *[x for m, part in finer.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(p)) for p in part]))]
         )
-        rows = rows.select("fp", F.explode(F.element_at(lookup, F.col("mask"))).alias("mask"))
+        # Two masks can grow into one, so a fingerprint may come twice.
+        rows = rows.select("fp", F.explode(F.element_at(lookup, F.col("mask"))).alias("mask")).distinct()
         turn += 1
     every = found[0]
     for more in found[1:]:
