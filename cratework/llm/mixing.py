@@ -198,5 +198,6 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     """
     copies, key = free_name(docs, "copies"), free_name(docs, "key")
     taken = mix(docs, weights, most, seed).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
-    joined = docs.join(taken.where(F.col(copies) > 0), docs["doc_id"].cast("long").eqNullSafe(taken[key]))
+    # A sort-merge join at every size: decisions grow with the documents, and hot ids can be split.
+    joined = docs.join(taken.where(F.col(copies) > 0).hint("merge"), docs["doc_id"].cast("long").eqNullSafe(taken[key]))
     return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).drop(copies)

@@ -5,9 +5,10 @@ whole corpus, so that common ones take one byte: a rank takes 1 to 4 data bytes,
 length stands apart, two bits to an id, in the control bytes. Lengths and starts follow from a
 table of 256 control bytes, and numpy gathers all ids of a block at once.
 
-File: ``RNKV`` | u32 block count | blocks | footer. Block: u32 documents, u64 ids,
-u64 data bytes | i64 doc_id each | u64 ids of each | control bytes | data bytes.
-Footer: u64 offset of each block, u64 ids before each block in this file.
+File: ``RNKV`` | blocks | footer | u32 block count, u64 offset of the footer. Block: u32
+documents, u64 control bytes, u64 data bytes | i64 doc_id each | u64 ids of each | control
+bytes | data bytes; a document starts a control byte of its own. Footer: u64 offset of each
+block, u64 ids before each block in this file.
 Beside the files, ``ranks`` (rank, id) and ``index`` (path, ids before the file) are Parquet.
 """
 
@@ -29,11 +30,14 @@ from cratework.llm.common import Scratch
 
 MAGIC = b"RNKV"
 BLOCK_IDS = 1 << 20
+BLOCKS_PER_TASK = 16
 NO_ID = -(1 << 63)
 # Distinct words whose ids a worker remembers.
-REMEMBERED = 400_000
-# A lone comma or full stop after a letter and before white space is a token group of its own.
-_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=[ \n])")
+REMEMBERED = 800_000
+# Marks between a letter and white space are a token group of their own (apostrophes may not be).
+_MARK = re.compile(
+    rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:-@\[-`{-~]+)(?=[ \n])"
+)
 
 #: For each control byte: where its four ids start in the data, and how long all are.
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -47,18 +51,28 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     four[: len(ranks)] = code
     control = (four.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
     every = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), every[np.arange(4) <= code[:, None]].tobytes()
-
-
-def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The numbers again: lengths by table lookup, bytes by gathering."""
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
-    ends = np.cumsum(lengths)
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = np.zeros(count, np.uint32)
-    for k in range(4):
+    most = int(code.max()) + 1 if len(code) else 1
+    return control.tobytes(), every[:, :most][np.arange(most) <= code[:, None]].tobytes()
+
+
+def unpack(control: bytes, data: bytes, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of several documents again: lengths by table lookup, bytes by gathering."""
+    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)
+    slots = -(-sizes // 4) * 4
+    if (slots != sizes).any():  # the last control byte of a document may have lengths to spare
+        ends = np.cumsum(slots)
+        change = np.zeros(len(lengths) + 1, np.int8)
+        np.add.at(change, ends - slots + sizes, 1)
+        np.add.at(change, ends, -1)
+        lengths = lengths[np.cumsum(change[:-1]) == 0]
+    starts = np.cumsum(lengths) - lengths
+    raw = np.frombuffer(data, np.uint8)
+    out = raw[starts].astype(np.uint32)
+    for k in range(1, 4):
         at = np.flatnonzero(lengths > k)
-        out[at] |= raw[(ends - lengths)[at] + k].astype(np.uint32) << np.uint32(8 * k)
+        if not len(at):
+            break
+        out[at] |= raw[starts[at] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
@@ -83,10 +97,8 @@ class _Words(dict):
     def reset(self) -> None:
         self.clear()
         self.new: list[bytes] = []
-        self.parts: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
         self.flat = np.empty(0, np.int32)
-        self.starts = np.empty(0, np.int64)
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
@@ -99,26 +111,29 @@ class _Words(dict):
             return
         texts = [w.decode() for w in self.new]
         self.new = []
-        known: list = [None] * len(texts)
+        starts, sizes = np.full(len(texts), -1, np.int64), np.zeros(len(texts), np.int64)
+        pieces, at = [self.flat], len(self.flat)
         letters = [k for k, w in enumerate(texts) if w.isalpha()]
         normal = self.whole.normalizer.normalize_str(" ".join(texts[k] for k in letters)).split(" ")
         plain = [(k, w) for k, w in zip(letters, normal) if w.isalpha()]
-        for at in range(0, len(plain), 1024):
-            some = [k for k, _ in plain[at : at + 1024]]
-            joined = " ".join(w for _, w in plain[at : at + 1024])
+        for first in range(0, len(plain), 4096):
+            some = plain[first : first + 4096]
+            joined = " ".join(w for _, w in some)
             ids = np.array(self.single.encode(joined, add_special_tokens=False).ids, np.int32)
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) == len(some):
-                for k, one in zip(some, np.split(ids, cut[:-1])):
-                    known[k] = one
-        rest = [k for k, x in enumerate(known) if x is None]
+                rows = np.array([k for k, _ in some])
+                starts[rows] = at + np.r_[0, cut[:-1]]
+                sizes[rows] = np.diff(np.r_[0, cut])
+                pieces.append(ids)
+                at += len(ids)
+        rest = np.flatnonzero(starts < 0).tolist()
         for k, one in zip(rest, self.whole.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
-            known[k] = np.array(one.ids, np.int32)
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        old = len(self.flat)
-        self.flat = np.concatenate([self.flat, *known])
-        self.starts = np.concatenate([self.starts, old + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes]) if len(self.sizes) else sizes
+            pieces.append(np.array(one.ids, np.int32))
+            starts[k], sizes[k] = at, len(one.ids)
+            at += len(one.ids)
+        self.flat = np.concatenate(pieces)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
 
 @lru_cache(maxsize=1)
@@ -142,7 +157,10 @@ def encode(path: str, texts: list[str]) -> list[np.ndarray]:
         if "<|" in text:
             out[k] = np.array(known.whole.encode(text, add_special_tokens=False).ids, np.int32)
             continue
-        parts = _MARK.sub(rb" \1", text.encode()).split()
+        data = text.encode()
+        if b"\xcc" not in data and b"\xcd" not in data:  # no accents that could join a capital
+            data = data.lower()
+        parts = _MARK.sub(rb" \1", data).split()
         numbers.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
         sizes.append(len(parts))
         rows.append(k)
@@ -157,90 +175,76 @@ def encode(path: str, texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers, the end id last."""
+def token_table(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFrame:
+    """(doc_id, ids): ids as numbers of ``kind`` (a numpy type), the end id last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], kind)
         for batch in batches:
             found = encode(tokenizer, [t or "" for t in batch.column(1).to_pylist()])
-            ids = [np.concatenate([x.astype("<u4"), end]) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
-                ],
-                ["doc_id", "n_tokens", "ids"],
-            )
+            ids = [np.concatenate([x.astype(kind), end]).tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column(0):
-            found = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
-            if len(found) > len(total):
-                total = np.pad(total, (0, len(found) - len(total)))
-            total[: len(found)] += found
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
-
-
-def _write(folder: str, ranks):
-    def block(docs: list[int | None], ids: list[np.ndarray]) -> tuple[bytes, int]:
-        every = np.concatenate(ids)
-        control, data = pack(ranks.value[every])
-        names = np.array([NO_ID if d is None else d for d in docs], "<i8").tobytes()
-        sizes = np.array([len(x) for x in ids], "<u8").tobytes()
-        head = struct.pack("<IQQ", len(docs), len(every), len(data))
-        return head + names + sizes + control + data, len(every)
+def _counts(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            every = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
+            found = np.bincount(every, minlength=len(total))
+            found[: len(total)] += total
+            total = found
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+
+    return run
+
+
+REPORT = "path string, first long, docs long, tokens long"
+
+
+def _write(folder: str, kind: str, ranks):
+    def block(docs: list[tuple]) -> bytes:
+        names = np.array([NO_ID if d is None else d for d, *_ in docs], "<i8").tobytes()
+        sizes = np.array([n for _, n, *_ in docs], "<u8").tobytes()
+        control, data = b"".join(x[2] for x in docs), b"".join(x[3] for x in docs)
+        return struct.pack("<IQQ", len(docs), len(control), len(data)) + names + sizes + control + data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/{uuid.uuid4().hex}.rnkv"  # of a repeated task only the files it reports count
-        starts, before, written, total, first = [], [], 0, 0, None
-        out = None
-        docs: list = []
-        ids: list = []
-        held = 0
+        starts, before, written, total, count, first = [], [], 0, 0, 0, None
+        out, docs, held = None, [], 0
 
         def flush() -> None:
-            nonlocal written, total, docs, ids, held
-            content, count = block(docs, ids)
+            nonlocal written, total, count, docs, held
+            content = block(docs)
             starts.append(written)
             before.append(total)
             out.write(content)
-            written, total = written + len(content), total + count
-            docs, ids, held = [], [], 0
+            written, total, count = written + len(content), total + held, count + len(docs)
+            docs, held = [], 0
 
-        n = 0
         for batch in batches:
-            for doc, _, raw in zip(*(batch.column(i) for i in range(3))):
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if out is None:
                     out = files.open_output(path)
                     out.write(MAGIC)
-                    written, first = len(MAGIC), doc.as_py()
-                docs.append(doc.as_py())
-                ids.append(np.frombuffer(raw.as_py(), "<u4"))
-                held += len(ids[-1])
-                n += 1
+                    written, first = len(MAGIC), doc
+                numbers = ranks.value[np.frombuffer(raw.as_buffer(), kind)]
+                docs.append((doc, len(numbers), *pack(numbers)))
+                held += len(numbers)
                 if held >= BLOCK_IDS:
                     flush()
         if out is None:
             return
         if docs:
             flush()
-        footer = np.array(starts + before, "<u8").tobytes()
-        out.write(footer + struct.pack("<IQ", len(starts), written))
+        out.write(np.array(starts + before, "<u8").tobytes() + struct.pack("<IQ", len(starts), written))
         out.close()
-        yield pa.RecordBatch.from_pylist(
-            [{"path": path, "part": 0, "first": first, "docs": n, "tokens": total}],
-            schema=pa.schema(
-                [("path", pa.string()), ("part", pa.int32()), ("first", pa.int64()), ("docs", pa.int64()), ("tokens", pa.int64())]
-            ),
-        )
+        columns = [pa.array([path]), *(pa.array([x], pa.int64()) for x in (first, count, total))]
+        yield pa.RecordBatch.from_arrays(columns, ["path", "first", "docs", "tokens"])
 
     return run
 
@@ -252,22 +256,26 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> None
     share an id in any order); a file holds one range. Null and empty texts have the end id only.
     An empty table gives no files.
     """
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
-    tokens = scratch.stage(token_table(docs, tokenizer, end_id), "tokens", "zstd")
-    counts = tokens.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    size = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    tokens = scratch.stage(token_table(docs, tokenizer, end_id, kind), "tokens", "zstd")
+    counts = tokens.select("ids").mapInArrow(_counts(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # One row for each id that occurs, so at most as many as the vocabulary has.
     seen = counts.orderBy(F.desc("n"), "id").toPandas()["id"].to_numpy(np.int64)
-    ids = np.arange(int(seen.max()) + 1 if len(seen) else 1)
-    ranks = np.zeros(len(ids), np.uint32)
+    ranks = np.zeros(size, np.uint32)
     ranks[seen] = np.arange(len(seen), dtype=np.uint32)
     spark.createDataFrame(
         pa.table({"rank": pa.array(np.arange(len(seen)), pa.int64()), "id": pa.array(seen, pa.int64())})
     ).coalesce(1).write.parquet(f"{folder}/ranks")
     sent = spark.sparkContext.broadcast(ranks)
-    ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    report = ordered.mapInArrow(_write(f"{folder}/files", sent), "path string, part int, first long, docs long, tokens long")
-    report = scratch.stage(report, "report")
+    by_id = F.col("doc_id").asc_nulls_first()
+    # Ranges are found from the written table, which needs no Python a second time.
+    ordered = tokens.repartitionByRange(by_id).sortWithinPartitions(by_id)
+    report = scratch.stage(ordered.mapInArrow(_write(f"{folder}/files", kind, sent), REPORT), "report")
     order = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)  # a row a file
     index = report.withColumn("start", F.coalesce(F.sum("tokens").over(order), F.lit(0)))
     index.write.parquet(f"{folder}/index")
@@ -308,13 +316,12 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 with files.open_input(row["path"]) as handle:
                     content = handle.read_at(row["size"], row["offset"])
-                n, count, size = struct.unpack_from("<IQQ", content)
+                n, controls, size = struct.unpack_from("<IQQ", content)
                 at = 20
                 names = np.frombuffer(content, "<i8", n, at)
                 sizes = np.frombuffer(content, "<u8", n, at + 8 * n).astype(np.int64)
                 at += 16 * n
-                controls = -(-count // 4)
-                ranks = unpack(content[at : at + controls], content[at + controls : at + controls + size], count)
+                ranks = unpack(content[at : at + controls], content[at + controls : at + controls + size], sizes)
                 ids = sent.value[ranks].astype("<u4")
                 ends = np.cumsum(sizes)
                 first = 0
@@ -331,8 +338,10 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     )
                     first = stop
 
-    index = spark.read.parquet(f"{folder}/index").select("path", "start")
-    blocks = index.mapInArrow(_list_blocks, BLOCKS).repartition("path", "offset")
+    index = spark.read.parquet(f"{folder}/index")
+    count, tokens = index.agg(F.count("*"), F.sum("tokens")).first()
+    tasks = max(2 * spark.sparkContext.defaultParallelism, (count + (tokens or 0) // BLOCK_IDS) // BLOCKS_PER_TASK)
+    blocks = index.select("path", "start").mapInArrow(_list_blocks, BLOCKS).repartition(tasks, "path", "offset")
     return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
