@@ -43,12 +43,17 @@ _MARK = re.compile(
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit numbers."""
+def pack(ranks: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of the unsigned 32-bit numbers of several documents, of these sizes.
+
+    A document's numbers start a control byte of their own.
+    """
     ranks = ranks.astype(np.uint32)
     code = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    four = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    four[: len(ranks)] = code
+    slots = -(-sizes // 4) * 4
+    four = np.zeros(int(slots.sum()), np.uint8)
+    moved = (np.cumsum(slots) - slots) - (np.cumsum(sizes) - sizes)
+    four[np.arange(len(ranks)) + np.repeat(moved, sizes)] = code
     control = (four.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
     every = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
     most = int(code.max()) + 1 if len(code) else 1
@@ -207,10 +212,11 @@ REPORT = "path string, first long, docs long, tokens long"
 
 def _write(folder: str, kind: str, ranks):
     def block(docs: list[tuple]) -> bytes:
-        names = np.array([NO_ID if d is None else d for d, *_ in docs], "<i8").tobytes()
-        sizes = np.array([n for _, n, *_ in docs], "<u8").tobytes()
-        control, data = b"".join(x[2] for x in docs), b"".join(x[3] for x in docs)
-        return struct.pack("<IQQ", len(docs), len(control), len(data)) + names + sizes + control + data
+        names = np.array([NO_ID if d is None else d for d, _ in docs], "<i8").tobytes()
+        sizes = np.array([len(ids) for _, ids in docs], np.int64)
+        control, data = pack(ranks.value[np.concatenate([ids for _, ids in docs])], sizes)
+        head = struct.pack("<IQQ", len(docs), len(control), len(data))
+        return head + names + sizes.astype("<u8").tobytes() + control + data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/{uuid.uuid4().hex}.rnkv"  # of a repeated task only the files it reports count
@@ -232,9 +238,9 @@ def _write(folder: str, kind: str, ranks):
                     out = files.open_output(path)
                     out.write(MAGIC)
                     written, first = len(MAGIC), doc
-                numbers = ranks.value[np.frombuffer(raw.as_buffer(), kind)]
-                docs.append((doc, len(numbers), *pack(numbers)))
-                held += len(numbers)
+                ids = np.frombuffer(raw.as_py(), kind)  # a copy: the batch need not stay
+                docs.append((doc, ids))
+                held += len(ids)
                 if held >= BLOCK_IDS:
                     flush()
         if out is None:
