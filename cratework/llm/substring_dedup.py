@@ -71,15 +71,15 @@ def _first_of_each(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, several
 
 
-CANDIDATES = "h1 long, h2 long, doc long, pos int, sure boolean"
+CANDIDATES = "h1 long, h2 long, doc long, pos int, sure boolean, settled boolean"
 
 
 def _candidates(length: int, window: int, columns: int):
     """Rows of one level, each Arrow batch reduced to the first of equal ones.
 
-    Of equal candidates in a batch only the first goes to the shuffle, so no key has
-    more rows there than there are batches. ``sure``: its batch holds another.
-    The others need no further check and go past it (h1 null).
+    Of equal candidates in a batch only the first has to meet others, so no key has
+    more such rows than there are batches. ``sure``: its batch holds another. The others
+    are ``settled``: they need no check and are dealt out by document.
     """
     last = length >= window
     span = max(window - length, 0) + 1
@@ -122,15 +122,11 @@ def _candidates(length: int, window: int, columns: int):
             new = _changes(h1, h2, at, doc)  # rows repeated under one doc_id count once
             h1, h2, at, doc = h1[new], h2[new], at[new], doc[new]
             first, several = _first_of_each(h1, h2)
+            h1 = np.where(first, h1.view(np.int64), doc)
+            h2 = np.where(first, h2.view(np.int64), 0)
+            out = [h1, h2, doc, at.astype(np.int32), several, ~first]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(h1.view(np.int64), mask=~first),
-                    pa.array(h2.view(np.int64), mask=~first),
-                    pa.array(doc),
-                    pa.array(at.astype(np.int32)),
-                    pa.array(several),
-                ],
-                ["h1", "h2", "doc", "pos", "sure"],
+                [pa.array(c) for c in out], ["h1", "h2", "doc", "pos", "sure", "settled"]
             )
 
     return run
@@ -151,7 +147,10 @@ def _windows_of(hashes: np.ndarray, open_: tuple[list[int], int], length: int, w
 
 
 def _runs(keep_first: bool):
-    """Streams rows sorted by (h1, h2, doc, pos): those whose key repeats, with or without its first row."""
+    """Streams rows sorted by (settled, h1, h2, doc, pos, sure first): settled ones, and those whose key repeats.
+
+    Of a key that repeats the first row comes too, or not.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row seen, if its fate is open
@@ -159,7 +158,13 @@ def _runs(keep_first: bool):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            settled = rows.pop()
+            if settled.any():
+                yield _rows(rows[2][settled], rows[3][settled])
+                rows = [x[~settled] for x in rows]
+                if not len(rows[0]):
+                    continue
             new = _changes(*rows[:4])
             new[0] = previous is None or tuple(x[0] for x in rows[:4]) != previous
             previous, before = tuple(x[-1] for x in rows[:4]), previous
@@ -187,11 +192,11 @@ def _rows(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
 
 
 def _settle(candidates: DataFrame, keep_first: bool) -> DataFrame:
-    """(doc, pos) of candidates that repeat: all of them, or all but the first of each."""
-    checked = candidates.where("h1 is not null").select("h1", "h2", "doc", "pos", "sure")
-    checked = checked.repartition("h1", "h2").sortWithinPartitions("h1", "h2", "doc", "pos")
-    checked = checked.mapInArrow(_runs(keep_first), "doc long, pos int")
-    return candidates.where("h1 is null").select("doc", "pos").union(checked)
+    """(doc, pos) of candidates that repeat: all of them, or all but the first of each; one shuffle."""
+    dealt = candidates.repartition("h1", "h2").sortWithinPartitions(
+        "settled", "h1", "h2", "doc", "pos", F.desc("sure")
+    )
+    return dealt.mapInArrow(_runs(keep_first), "doc long, pos int")
 
 
 def repeated_windows(
@@ -209,17 +214,13 @@ def repeated_windows(
     length, levels, columns, level_docs = start, {}, 2, source
     while True:
         rows = level_docs.mapInArrow(_candidates(length, window, columns), CANDIDATES)
-        rows = scratch.stage(rows, f"level-{length}")
         if length >= window:
-            later = _settle(rows, keep_first=False)
-            levels[length] = scratch.stage(
-                later.groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("starts")), f"later-{length}"
-            )
+            later = _settle(rows, keep_first=False).groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
+            levels[length] = scratch.stage(later, f"later-{length}")
             if limit is not None and length * 2 > limit:
                 break
         survivors = _settle(rows, keep_first=True).groupBy("doc").agg(F.collect_list("pos").alias("starts"))
         survivors = scratch.stage(survivors, f"open-{length}")
-        scratch.drop(f"level-{length}")
         if survivors.isEmpty():
             if length < window:
                 levels[window] = survivors
