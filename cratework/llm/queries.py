@@ -62,8 +62,9 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
-    """Fingerprints of every text and its edited text."""
-    return winnowing.compare_edited(table(spark, sf, "documents", "doc_id", "text"))
+    """Fingerprints of every text and its edited text, from a hash at every character."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return winnowing.compare_edited(docs, winnowing.add_rolling_fingerprint)
 
 
 @query()
