@@ -7,6 +7,7 @@ likeliest letters of each odd place, and a word model scores the restored text.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,10 +27,13 @@ LEET = {
 # Channel: natural logarithms of how likely a writer changes what the letters say.
 SIGN_FOR_LETTER = -2.0
 SIGN_AS_IT_IS = -14.0
+MARK_AT_END = -1.0
 LETTER_REPEATED = -1.5
 GAP_PUT_IN = -0.2
 GAP_AS_IT_IS = -3.0
 GAPS = " .-_*"
+# What may end a word as punctuation or junk: no letters, digits or @ $ €, or one of these three times.
+TAIL = re.compile(r"(?:([0-9@$€])\1{2,}[^\w@$€]*|[^\w@$€]+)$")
 # Letter classes of the language model: 0 the edge of a word, a to z, 37 for other letters.
 CLASSES = 64
 # Code points above share classes by remainder.
@@ -83,19 +87,21 @@ def letter_classes(codes: np.ndarray) -> np.ndarray:
 
 
 def odd_places(low: str) -> list[int]:
-    """Positions to decode around: a sign before a letter in a word, a letter three times, single letters with gaps."""
+    """Positions to decode around: a sign beside a letter, a letter three times, single letters or signs with gaps."""
     codes = code_points(low)
     if len(codes) < 3:
         return []
     kind = np.where(codes < KNOWN, KIND[np.minimum(codes, np.uint32(KNOWN - 1))], LETTER)
-    letter, gap = (kind & LETTER).astype(bool), (kind & GAP).astype(bool)
+    letter, sign, gap = ((kind & k).astype(bool) for k in (LETTER, SIGN, GAP))
     odd = np.zeros(len(codes), bool)
-    odd[:-1] = (kind[:-1] & SIGN).astype(bool) & letter[1:]
+    odd[:-1] = sign[:-1] & letter[1:]
+    odd[1:] |= sign[1:] & letter[:-1]
     same = codes[1:] == codes[:-1]
     odd[2:] |= same[1:] & same[:-1] & letter[2:]
-    if len(codes) >= 7:  # x.x.x.x
-        single = gap[1:-1] & letter[:-2] & letter[2:]
-        odd[1:-5] |= single[:-4] & single[2:-2] & single[4:]
+    if len(codes) >= 5:  # x.x.x
+        unit = letter | sign
+        single = gap[1:-1] & unit[:-2] & unit[2:]
+        odd[1:-3] |= single[:-2] & single[2:]
     return np.flatnonzero(odd).tolist()
 
 
@@ -154,8 +160,28 @@ def lattice(place: str) -> list[list[tuple[str, float]]]:
     return steps
 
 
+def _unit(char: str) -> bool:
+    """Whether a character may be a letter between gaps."""
+    return char.isalpha() or char in LEET
+
+
 def decode(place: str, model: np.ndarray) -> str:
     """The likeliest reading of a place (lower case): Viterbi over its lattice, a state for the last two letters."""
+    return _likeliest(place, model)[1]
+
+
+def decode_ended(place: str, model: np.ndarray) -> str:
+    """As decode, but what ends the place may also be no part of the word, which is then read alone."""
+    cost, read = _likeliest(place, model)
+    tail = TAIL.search(place)
+    if tail and tail.start():
+        alone, body = _likeliest(place[: tail.start()], model)
+        if alone + MARK_AT_END >= cost:
+            return body + tail[0]
+    return read
+
+
+def _likeliest(place: str, model: np.ndarray) -> tuple[float, str]:
     best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for ways in lattice(place):
         after: dict[tuple[int, int], tuple[float, str]] = {}
@@ -171,7 +197,7 @@ def decode(place: str, model: np.ndarray) -> str:
                     after[x, y] = (total, read + text)
         best = after
     closed = [(cost + float(model[a, b, 0]), read) for (a, b), (cost, read) in best.items()]
-    return max(closed)[1]
+    return max(closed)
 
 
 class Restorer:
@@ -191,15 +217,15 @@ class Restorer:
             if at < done:
                 continue
             start, end = at, at + 1
-            if low[at] in GAPS and low[at - 1].isalpha():  # single letters with gaps
+            if low[at] in GAPS and _unit(low[at - 1]):  # single letters or signs with gaps
                 start = at - 1
-                while end + 1 < size and low[end].isalpha() and low[end + 1] in GAPS:
+                while end + 1 < size and _unit(low[end]) and low[end + 1] in GAPS:
                     end += 2
-                last = end < size and low[end].isalpha() and (end + 1 == size or not low[end + 1].isalpha())
+                last = end < size and _unit(low[end]) and (end + 1 == size or not low[end + 1].isalnum())
                 end = end + 1 if last else end - 1
-                if start and low[start - 1].isalpha():
+                if start < done or (start and low[start - 1].isalnum()):
                     start += 2
-                if end - start < 7 or low[start - 1 : start].isalnum():
+                if end - start < 5 or sum(map(str.isalpha, low[start:end])) < 2:  # numbers stay
                     continue
             else:
                 while start > done and not low[start - 1].isspace():
@@ -208,12 +234,14 @@ class Restorer:
                     end += 1
                 if end - start > WORD:  # no word: only what is around the place
                     start, end = max(start, at - WORD // 2), min(end, at + WORD // 2)
+                if not any(map(str.isalpha, low[start:end])):  # signs after a decoded place
+                    continue
             place = low[start:end]
             read = self.known.get(place)
             if read is None:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
-                read = self.known[place] = decode(place, self.model)
+                read = self.known[place] = decode_ended(place, self.model)
             parts += [low[done:start], read]
             done = end
         return "".join([*parts, low[done:]])

@@ -125,3 +125,19 @@ def test_viterbi_equals_all_paths():
                 a, b = b, char
             best = max(best, (cost, read)) if best else (cost, read)
         assert toxicity.decode(place, model) == best[1]
+
+
+def test_restores_signs_at_the_end_and_mixed_spellings(session):
+    rng = random.Random(6)
+    words = ["idiot", "moron", "hate", "die", "ass", "a", "the", "house", "garden", "people", "and", "letter"]
+    text = " ".join(rng.choice(words) + rng.choice(["", "", ",", "."]) for _ in range(20_000))
+    restorer = toxicity.Restorer(toxicity.letter_model(session.createDataFrame([(text,)], "text string")))
+    for odd, plain in {
+        "a$$": "ass", "hat3": "hate", "di3": "die", "idi07": "idiot", "m 0 r 0 n": "moron", "i d i 0 t": "idiot",
+        "1.d.1.0.t": "idiot", "a s s": "ass", "d.i.3": "die", "i d i o t!": "idiot!",
+    }.items():
+        assert restorer.restore(f"the {odd} and") == f"the {plain} and", odd
+    for same in ("the!!", "2 0 1 0 1", "1.0.1", "100 and 455", "$$$", "the e.g. and"):
+        assert restorer.restore(same) == same
+    assert restorer.restore("THE!! house") == "the!! house"
+    assert restorer.restore("the a$$$ and") == "the a$$$ and"
