@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cratework.llm import (
     chat,
     decontaminate,
+    lloyd,
+    minhash,
     mixing,
     quality,
     simhash,
@@ -15,6 +17,7 @@ from cratework.llm import (
     token_ids,
     toxicity,
     warc_store,
+    whitening,
     winnowing,
 )
 from cratework.llm.common import prepare, table
@@ -177,3 +180,95 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies"
     )
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """The first four whitened components of every vector; ``deviation`` must fit a long here."""
+    whole = whitening.whole_vectors(table(spark, sf, "embeddings", "vec_id", "embedding"), scale=256)
+    white = whitening.whiten(whole, whitening.fit(whole, components=4))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM split
+), sets AS (
+    SELECT doc_id, len(s) AS n, sha256(array_to_string(list_sort(s), chr(10))) AS digest, s FROM shingles
+), nodes AS (
+    SELECT digest, min(doc_id) AS node, any_value(n) AS n, any_value(s) AS s FROM sets WHERE n > 0 GROUP BY digest
+), spread AS (
+    SELECT node, n, unnest(s) AS shingle FROM nodes
+), links AS (
+    SELECT a.node AS u, b.node AS v FROM spread a JOIN spread b ON a.shingle = b.shingle AND a.node <> b.node
+    WHERE 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+    GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT node, node AS other FROM nodes
+    UNION SELECT reach.node, links.v FROM reach JOIN links ON links.u = reach.other
+), roots AS (
+    SELECT nodes.digest, min(reach.other) AS component_id FROM reach JOIN nodes ON nodes.node = reach.node GROUP BY nodes.digest
+)
+SELECT doc_id, n::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+    doc_id = coalesce(component_id, doc_id) AS kept
+FROM sets LEFT JOIN roots ON sets.n > 0 AND sets.digest = roots.digest
+"""
+
+
+@query(NEAR_SQL)
+def op12_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents whose sets of five-word shingles are 85 % alike."""
+    return minhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"), shingle=5, percent=85)
+
+
+def _lloyd_sql(count: int, rounds: int, size: int, scale: int, prefix: str) -> str:
+    """Every round as a step of its own; floored division written for whole numbers of either sign."""
+    steps = [
+        f"""kept AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(c::DOUBLE * {scale})::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda c: c IS NOT NULL AND abs(c) < 'inf'::FLOAT)) = {size}
+), entries AS MATERIALIZED (
+    SELECT r, unnest(range(1, {size + 1})) AS i, unnest(x) AS x FROM kept
+), firsts AS (
+    SELECT row_number() OVER (ORDER BY sha256('{prefix}' || vec_id), x) - 1 AS c, x
+    FROM kept QUALIFY c < {count}
+), centre_0 AS MATERIALIZED (SELECT c, unnest(range(1, {size + 1})) AS i, unnest(x) AS x FROM firsts)"""
+    ]
+    for turn in range(rounds + 1):
+        steps.append(
+            f"""label_{turn} AS MATERIALIZED (
+    SELECT r, (min({{'d': d, 'c': c}})).c AS c, min(d) AS d FROM (
+        SELECT e.r, m.c, sum((e.x - m.x) * (e.x - m.x))::BIGINT AS d FROM entries e JOIN centre_{turn} m ON e.i = m.i GROUP BY e.r, m.c
+    ) GROUP BY r
+)"""
+        )
+        if turn < rounds:
+            steps.append(
+                f"""centre_{turn + 1} AS MATERIALIZED (
+    SELECT m.c, m.i, coalesce(((s.t - ((s.t % s.n) + s.n) % s.n) // s.n)::BIGINT, m.x) AS x
+    FROM centre_{turn} m LEFT JOIN (
+        SELECT l.c, e.i, sum(e.x)::BIGINT AS t, count(*) AS n FROM entries e JOIN label_{turn} l ON e.r = l.r GROUP BY l.c, e.i
+    ) s ON m.c = s.c AND m.i = s.i
+)"""
+            )
+    return f"""WITH {", ".join(steps)}, digests AS (
+    SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM centre_{rounds} GROUP BY c
+)
+SELECT vec_id, l.c::INTEGER AS cluster, l.d AS distance, (sum(l.d) OVER (PARTITION BY l.c))::BIGINT AS cluster_inertia,
+    (sum(l.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM label_{rounds} l JOIN kept ON kept.r = l.r JOIN digests ON digests.c = l.c
+"""
+
+
+@query(_lloyd_sql(count=8, rounds=10, size=64, scale=1024, prefix="3:"))
+def op13_sharded_lloyd(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten rounds of clustering in whole numbers, by shards of the columns."""
+    vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
+    return lloyd.describe(*lloyd.cluster(vectors, size=64, count=8, rounds=10, scale=1024, prefix="3:"))
