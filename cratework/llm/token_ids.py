@@ -14,7 +14,6 @@ Beside the files, ``ranks`` (rank, id) and ``index`` (path, ids before the file)
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -34,10 +33,11 @@ BLOCKS_PER_TASK = 16
 NO_ID = -(1 << 63)
 # Distinct words whose ids a worker remembers.
 REMEMBERED = 800_000
-# Marks between a letter and white space are a token group of their own (apostrophes may not be).
-_MARK = re.compile(
-    rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:-@\[-`{-~]+)(?=[ \n])"
-)
+# ASCII marks but the apostrophe; letters before them, the last byte of Latin ones with accents apart.
+_IS_MARK, _IS_LETTER, _IS_ACCENTED = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_IS_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = True
+_IS_LETTER[[c for c in range(128) if chr(c).isalpha()]] = True
+_IS_ACCENTED[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = True  # after 0xC3; no signs for times and division
 
 #: For each control byte: where its four ids start in the data, and how long all are.
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -146,6 +146,27 @@ def _remembered(path: str) -> _Words:
     return _Words(path)
 
 
+def _part_marks(texts: list[bytes]) -> list[bytes]:
+    """Each text with a blank before marks that stand between a letter and a blank or line end.
+
+    Such marks are a token group of their own (apostrophes may not be), so words need not be
+    remembered with every mark that can follow them.
+    """
+    codes = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+    stops = np.cumsum([len(t) + 1 for t in texts])
+    at = np.flatnonzero(_IS_MARK[codes])
+    if not len(at):
+        return texts
+    edge = np.flatnonzero(np.diff(at) != 1)
+    first, after = at[np.r_[0, edge + 1]], at[np.r_[edge, len(at) - 1]] + 1
+    before, ends = codes[first - 1], codes[after]  # at -1 and between texts: zero bytes
+    letter = _IS_LETTER[before] | (_IS_ACCENTED[before] & (codes[first - 2] == 0xC3))
+    first = first[letter & ((ends == 0x20) | (ends == 0x0A))]
+    out = np.insert(codes, first, 0x20).tobytes()
+    stops = (stops + np.searchsorted(first, stops)).tolist()
+    return [out[a : b - 1] for a, b in zip([0, *stops], stops)]
+
+
 def encode(path: str, texts: list[str]) -> list[np.ndarray]:
     """Ids of each text, as the tokenizer gives them for the whole text without special tokens.
 
@@ -157,7 +178,7 @@ def encode(path: str, texts: list[str]) -> list[np.ndarray]:
     if len(known) > REMEMBERED:
         known.reset()
     out: list = [None] * len(texts)
-    numbers, sizes, rows = [], [], []
+    plain, numbers, rows = [], [], []
     for k, text in enumerate(texts):
         if "<|" in text:
             out[k] = np.array(known.whole.encode(text, add_special_tokens=False).ids, np.int32)
@@ -165,10 +186,11 @@ def encode(path: str, texts: list[str]) -> list[np.ndarray]:
         data = text.encode()
         if b"\xcc" not in data and b"\xcd" not in data:  # no accents that could join a capital
             data = data.lower()
-        parts = _MARK.sub(rb" \1", data).split()
-        numbers.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
-        sizes.append(len(parts))
+        plain.append(data)
         rows.append(k)
+    for data in _part_marks(plain) if plain else []:
+        parts = data.split()
+        numbers.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
     known.learn()
     for k, number in zip(rows, numbers):
         if not len(number):
