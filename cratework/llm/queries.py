@@ -20,7 +20,7 @@ from cratework.llm import (
     whitening,
     winnowing,
 )
-from cratework.llm.common import prepare, table
+from cratework.llm.common import Scratch, prepare, table
 from cratework.session import fresh_folder
 
 QUERIES: dict[str, tuple] = {}
@@ -56,7 +56,29 @@ def op1_token_ids(spark: SparkSession, sf: str) -> DataFrame:
     return token_ids.id_digests(token_ids.read_ids(spark, folder))
 
 
-@query()
+REPEATS_SQL = r"""
+WITH split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 18)) AS i,
+        unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS s FROM split WHERE len(w) >= 20
+), numbered AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS turn FROM windows
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM numbered WHERE turn > 1
+), words AS (
+    SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM split
+), left_over AS (
+    SELECT doc_id, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone.i IS NULL) AS kept
+    FROM words LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN left_over USING (doc_id)
+"""
+
+
+@query(REPEATS_SQL)
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Each document without words that an earlier window of 20 words repeats."""
     cut = substring_dedup.remove_repeats(table(spark, sf, "documents", "doc_id", "text"), window=20, start=10)
@@ -167,10 +189,16 @@ FROM firsts
 
 @query(WARC_SQL)
 def op9_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages in a content-addressed archive, their records put together again and parsed."""
+    """Pages in a content-addressed archive, their records written to WARC files and read from these."""
     folder = fresh_folder(spark, "warc")
     warc_store.write_archive(table(spark, sf, "pages", "page_id", "url", "html"), folder)
-    return warc_store.describe(warc_store.read_archive(spark, folder)).drop("digest_ok")
+    exported = warc_store.export_files(warc_store.read_archive(spark, folder), f"{folder}/files")
+    return warc_store.describe_records(scratch_records(spark, exported))
+
+
+def scratch_records(spark: SparkSession, exported: DataFrame) -> DataFrame:
+    """The parsed records, written once for the two reads of the join."""
+    return Scratch(spark, "warc-records").stage(warc_store.read_records(exported), "records")
 
 
 @query()

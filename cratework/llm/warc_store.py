@@ -8,6 +8,7 @@ records together again: header, block head, payload unless it is a revisit, tail
 from __future__ import annotations
 
 import gzip
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,6 +22,8 @@ LINE = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Payloads below this many bytes are never written as revisits.
 REVISIT_BYTES = 100
+# A level of gzip: records are small and read once.
+COMPRESSION = 2
 
 
 class DigestClash(Exception):
@@ -172,7 +175,7 @@ def export_files(archive: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for record in batch.column(0):
                 out = out or files.open_output(path)
-                member = gzip.compress(record.as_py(), mtime=0)
+                member = gzip.compress(record.as_py(), COMPRESSION, mtime=0)
                 out.write(member)
                 count, size = count + 1, size + len(member)
         if out is not None:
@@ -185,19 +188,85 @@ def export_files(archive: DataFrame, folder: str) -> DataFrame:
     return Scratch(archive.sparkSession, "warc-files").stage(report, "report")
 
 
+def _records(path: str) -> Iterator[tuple[bytes, bytes]]:
+    """(header, rest) of each record of a file, the rest with the two lines that end it."""
+    with files.open_input(path) as raw, gzip.open(raw) as text:
+        while head := text.readline():
+            lines = [head]
+            while lines[-1] not in (b"\r\n", b""):
+                lines.append(text.readline())
+            length = next(int(x.split(b":")[1]) for x in lines if x.lower().startswith(b"content-length:"))
+            yield b"".join(lines), text.read(length) + text.read(4)
+
+
 def import_files(exported: DataFrame) -> DataFrame:
     """(record) of the exported files, read member by member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0):
-                with files.open_input(path.as_py()) as raw, gzip.open(raw) as text:
-                    while head := text.readline():
-                        lines = [head]
-                        while lines[-1] not in (b"\r\n", b""):
-                            lines.append(text.readline())
-                        length = next(int(x.split(b":")[1]) for x in lines if x.lower().startswith(b"content-length:"))
-                        record = b"".join(lines) + text.read(length) + text.read(4)
-                        yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], ["record"])
+                for head, rest in _records(path.as_py()):
+                    yield pa.RecordBatch.from_arrays([pa.array([head + rest], pa.binary())], ["record"])
 
     return exported.select("path").repartition("path").mapInArrow(run, "record binary")
+
+
+READ = "page_id long, record_type string, refers_to long, digest string, body_bytes long, body_digest string"
+
+
+def read_records(exported: DataFrame) -> DataFrame:
+    """What each record of the exported files says, and bytes and SHA-256 of the payload it holds (of a revisit: none).
+
+    A record that does not end as it should, or a payload that is not its digest's, stops the job.
+    """
+
+    def parsed(head: bytes, rest: bytes) -> tuple:
+        fields = dict(line.split(": ", 1) for line in head.decode().split(LINE)[1:] if ": " in line)
+        digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
+        number = lambda name: int(fields[name]) if fields.get(name) else None
+        if not rest.endswith(b"\r\n\r\n"):
+            raise ValueError(f"damaged record of page {fields.get('WARC-Page-ID')}")
+        size = body = None
+        if fields["WARC-Type"] == "response":
+            payload = rest[rest.index(b"\r\n\r\n") + 4 : -4]
+            size, body = len(payload), hashlib.sha256(payload).hexdigest()
+            if body != digest:
+                raise DigestClash(f"payload does not have digest {digest}")
+        return number("WARC-Page-ID"), fields["WARC-Type"], number("WARC-Refers-To-Page-ID"), digest, size, body
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+        names = ["page_id", "record_type", "refers_to", "digest", "body_bytes", "body_digest"]
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+        held: list[tuple] = []
+        for batch in batches:
+            for path in batch.column(0):
+                for head, rest in _records(path.as_py()):
+                    held.append(parsed(head, rest))
+                    if len(held) >= 1024:
+                        yield out(held)
+                        held = []
+        if held:
+            yield out(held)
+
+    return exported.select("path").repartition("path").mapInArrow(run, READ)
+
+
+def describe_records(records: DataFrame) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) from parsed records.
+
+    A revisit has no payload of its own; bytes and digest are those of the response it revisits, joined by
+    digest. One that has no response in the files keeps nulls.
+    """
+    whole = records.where("record_type = 'response'").groupBy("digest").agg(
+        F.max("body_bytes").alias("whole_bytes"), F.max("body_digest").alias("whole_digest")
+    )
+    joined = records.where("record_type = 'revisit'").join(whole, "digest", "left")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    revisits = joined.withColumnsRenamed({"whole_bytes": "payload_bytes", "whole_digest": "payload_digest"})
+    responses = records.where("record_type = 'response'")
+    responses = responses.withColumnsRenamed({"body_bytes": "payload_bytes", "body_digest": "payload_digest"})
+    return responses.select(*columns).unionByName(revisits.select(*columns))

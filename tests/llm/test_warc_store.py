@@ -82,3 +82,29 @@ def test_no_pages(session, tmp_path):
     folder = f"file://{tmp_path}/w"
     warc_store.write_archive(frame(session, ROWS).limit(0), folder)
     assert warc_store.describe(warc_store.read_archive(session, folder)).count() == 0
+
+
+def test_files_say_the_same(session, tmp_path):
+    """Bytes, digest, type and target from WARC files alone, a revisit's from its response."""
+    folder = f"file://{tmp_path}/w"
+    warc_store.write_archive(frame(session, ROWS), folder)
+    archive = warc_store.read_archive(session, folder)
+    records = warc_store.read_records(warc_store.export_files(archive, f"{folder}/files"))
+    got = sorted(map(tuple, warc_store.describe_records(records).collect()), key=str)
+    assert got == sorted(map(tuple, warc_store.describe(archive).drop("digest_ok").collect()), key=str)
+    assert {r.body_bytes for r in records.where("record_type = 'revisit'").collect()} == {None}
+
+
+def test_a_damaged_file_is_found(session, tmp_path):
+    import gzip
+
+    folder = f"file://{tmp_path}/w"
+    warc_store.write_archive(frame(session, ROWS[:1]), folder)
+    exported = warc_store.export_files(warc_store.read_archive(session, folder), f"{folder}/files")
+    path = exported.collect()[0].path.removeprefix("file://")
+    with gzip.open(path) as file:
+        content = file.read()
+    with gzip.open(path, "w") as file:
+        file.write(content.replace(b"xx\r\n\r\n", b"xy\r\n\r\n"))
+    with pytest.raises(Exception, match="payload does not have digest"):
+        warc_store.read_records(exported).collect()
