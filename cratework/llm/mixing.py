@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratework.llm.common import Scratch, free_name, words
@@ -20,16 +20,17 @@ LANDING = 12
 CERTAIN = 1e-9
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    r"""(doc_id, source, size): size is the number of ``[^\x20\x09-\x0D]+`` in the text."""
-    schema = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
+def sizes(docs: DataFrame, row: Column) -> DataFrame:
+    r"""(doc_id, source, size, row): size is the number of ``[^\x20\x09-\x0D]+`` in the text."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text", row.alias("row"))
+    names = ["doc_id", "source", "size", "row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count = pa.array([len(words(t.as_py())) for t in batch.column(2)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), count], ["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), count, batch.column(3)], names)
 
-    return schema.mapInArrow(run, "doc_id long, source string, size long")
+    return source.mapInArrow(run, "doc_id long, source string, size long, row long")
 
 
 def targets(by_source: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -138,21 +139,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     none of its documents is taken. Null is a source (last in order). Repeated rows are units of
     their own; null ids are too. An empty table gives an empty mix.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mixing")
-    units = sizes(docs).withColumn("unit", F.coalesce("doc_id", F.monotonically_increasing_id()))
+    return _decide(docs, F.monotonically_increasing_id(), weights, most, seed).drop("row")
+
+
+def _decide(docs: DataFrame, row: Column, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
+    """The mix with each row's own key."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    units = sizes(docs, row).withColumn("unit", F.coalesce("doc_id", "row"))
     units = scratch.stage(units, "sizes")
     by_source = units.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
     by_source = scratch.stage(targets(by_source, weights, most), "targets")
     largest = by_source.agg(F.max("n")).first()[0] or 0
     rows = units.join(by_source, units["source"].eqNullSafe(by_source["source"])).select(
-        "doc_id", units["source"], "size", "source_size", "target", "n", "unit"
+        "doc_id", units["source"], "size", "source_size", "target", "n", "unit", "row"
     )
     wanted = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     rows = rows.withColumn("wanted", wanted)
     rows = rows.withColumn("base", F.floor(F.col("wanted") + CERTAIN).cast("int"))
     rows = rows.withColumn("p", F.greatest(F.col("wanted") - F.col("base"), F.lit(0.0))).drop("wanted")
-    fields = "doc_id long, source string, size long, source_size long, target double, n long, unit long, base int, p double"
+    fields = "doc_id long, source string, size long, source_size long, target double, n long, unit long, row long, base int, p double"
     settled: list[DataFrame] = []
     turn, left = 0, largest
     while True:
@@ -169,7 +174,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     for more in settled[1:]:
         every = every.union(more)
     return every.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("base") + F.col("p").cast("int")).alias("copies")
+        "doc_id", "source", "size", "source_size", "target", (F.col("base") + F.col("p").cast("int")).alias("copies"), "row"
     )
 
 
@@ -192,12 +197,14 @@ def _move(seed: int, turn: int):
 
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0) -> DataFrame:
-    """The documents, each as often as the mix takes it.
+    """The documents, each row as often as the mix takes it.
 
-    Rows that share a doc_id are repeated as often as the largest of their decisions says.
+    Rows are told apart by a key that is written with them, so those without doc_id, or with one
+    that others have too, are each taken as decided.
     """
     copies, key = free_name(docs, "copies"), free_name(docs, "key")
-    taken = mix(docs, weights, most, seed).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
-    # A sort-merge join at every size: decisions grow with the documents, and hot ids can be split.
-    joined = docs.join(taken.where(F.col(copies) > 0).hint("merge"), docs["doc_id"].cast("long").eqNullSafe(taken[key]))
+    rows = Scratch(docs.sparkSession, "mixing-rows").stage(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    taken = _decide(rows, F.col(key), weights, most, seed).select(F.col("row").alias(key), F.col("copies").alias(copies))
+    # A sort-merge join at every size: decisions grow with the documents.
+    joined = rows.join(taken.where(F.col(copies) > 0).hint("merge"), key)
     return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).drop(copies)

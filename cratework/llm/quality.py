@@ -164,16 +164,23 @@ def sample_labels(labels: DataFrame, label: str, learn, most: int):
 
 
 def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """(doc_id, text, label) of the sampled rows; the sample has a bounded number of rows."""
+    """(doc_id, text, label) of the sampled rows; the sample has a bounded number of rows.
+
+    Of several texts under one doc_id the smallest counts, null only if there is no other.
+    """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    return source.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", learn=lambda doc_id: F.lit(True),
     sample: int = 4000, dimensions: int = 48,
 ) -> Space:
-    """The space of at most ``sample`` labelled documents; term statistics come from all of ``docs``."""
+    """The space of at most ``sample`` labelled documents; term statistics come from all of ``docs``.
+
+    Labels that are null, other than 0 and 1 or without document count nothing; of contradicting labels of
+    one doc_id 1 counts, of several texts the smallest.
+    """
     documents, frequency = corpus_frequencies(docs)
     chosen = docs.sparkSession.createDataFrame(
         [(r["doc_id"], r["label"]) for r in sample_labels(labels, label, learn, sample).collect()],

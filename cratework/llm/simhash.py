@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratework.llm.common import Scratch, texts
+from cratework.llm.common import Scratch, free_name, texts
 from cratework.llm.components import stars
 
 BITS = 64
@@ -46,15 +46,18 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(set_bits * 2 > count, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long. Null texts count as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, carried long columns): the 64 bits as a signed long. Null texts count as empty."""
+    names = ["doc_id", "fp", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in texts(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    source = docs.select(F.col("doc_id").cast("long"), "text", *carried)
+    return source.mapInArrow(run, ", ".join(f"`{n}` long" for n in names))
 
 
 def _signed(mask: int) -> int:
@@ -230,15 +233,10 @@ def links(scratch: Scratch, distinct: DataFrame, radius: int) -> DataFrame:
     return every
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id): documents linked by fingerprints at most ``radius`` bits apart.
-
-    component_id is the smallest doc_id that can be reached over links. Rows with null
-    doc_id take part but name no component unless all its rows are such (then null).
-    Equal fingerprints, those of empty texts (0) too, are one node. Repeated rows stay.
-    """
+def _groups(docs: DataFrame, shingle: int, radius: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, carried columns, root, component_id); root tells groups apart whose smallest ids are equal."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    found = scratch.stage(fingerprints(docs, shingle), "fingerprints")
+    found = scratch.stage(fingerprints(docs, shingle, carried), "fingerprints")
     nodes = found.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     nodes = scratch.stage(nodes, "nodes")
     roots = stars(scratch, links(scratch, nodes.select("fp"), radius))
@@ -246,18 +244,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    names = linked.join(smallest, "root").select("fp", "component_id")
-    return found.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = linked.join(smallest, "root").select("fp", "root", "component_id")
+    return found.join(names, "fp").select("doc_id", "fp", *carried, "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """(doc_id, fp, component_id): documents linked by fingerprints at most ``radius`` bits apart.
+
+    component_id is the smallest doc_id that can be reached over links. Rows with null
+    doc_id take part but name no component unless all its rows are such (then null).
+    Equal fingerprints, those of empty texts (0) too, are one node. Repeated rows stay.
+    """
+    return _groups(docs, shingle, radius).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The documents with one of each near-duplicate group: its smallest doc_id.
+    """The documents with one of each near-duplicate group: a row with its smallest doc_id.
 
-    Of several rows with that doc_id one stays. Documents without doc_id stay, as they
-    cannot be told apart.
+    Rows are told apart by a key that is written with them, so of two different texts under one
+    doc_id both stay if they are in groups of their own. Documents without doc_id stay.
     """
-    groups = near_duplicates(docs, shingle, radius)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    key = free_name(docs, "row")
     columns = docs.columns
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.join(kept, "doc_id", "left_semi").select(*columns).union(docs.where("doc_id is null"))
+    rows = Scratch(docs.sparkSession, "simhash-rows").stage(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    groups = _groups(rows, shingle, radius, (key,))
+    first = groups.where("doc_id = component_id").groupBy("root").agg(F.min(key).alias(key)).select(key)
+    kept = first.union(groups.where("doc_id is null").select(key))
+    return rows.join(kept, key, "left_semi").select(*columns)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cratework.llm import minhash
 from cratework.llm.common import Scratch, texts
 from cratework.llm.quality import labelled_texts, sample_labels
 
@@ -264,27 +265,6 @@ def text_features(restored: str) -> np.ndarray:
     return np.unique(np.array([f for word in word_set(restored) for f in word_features(word)], np.int64))
 
 
-def sketches(restored: str) -> tuple[int, int, int]:
-    """Three minimal hashes of the three-word shingles: near copies share one of them."""
-    found = restored.encode().split()
-    shingles = [b" ".join(found[k : k + 3]) for k in range(max(1, len(found) - 2))]
-    hashes = np.fromiter(map(zlib.crc32, shingles), np.uint64, len(shingles))
-    mixed = ((hashes * np.uint64(m) + np.uint64(m >> 7)) & np.uint64(0xFFFFFFFF) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
-    return tuple(int(x.min()) for x in mixed)
-
-
-def different(rows: list[tuple[int, tuple[int, int, int]]]) -> set[int]:
-    """Of documents that share a sketch the first; words that copies share must not count once for each."""
-    seen: set[tuple[int, int]] = set()
-    kept = set()
-    for doc, found in sorted(rows):
-        marks = set(enumerate(found))
-        if not marks & seen:
-            kept.add(doc)
-        seen |= marks
-    return kept
-
-
 class Model:
     """Word weights: log odds of toxic documents, where chance does not explain them.
 
@@ -293,7 +273,7 @@ class Model:
     odds are LEAST_WEIGHT or more.
     """
 
-    def __init__(self, letters: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
+    def __init__(self, letters: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float):
         self.letters = letters
         self.prior = float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
@@ -332,24 +312,35 @@ def _restored(letters):
         restorer = Restorer(letters.value)
         for batch in batches:
             read = [restorer.restore(t) for t in texts(batch.column(1))]
-            marks = [sketches(t) for t in read]
-            columns = [batch.column(0), pa.array(read, pa.string()), batch.column(2), pa.array(marks, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "label", "marks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(read, pa.string()), batch.column(2)], ["doc_id", "text", "label"])
 
     return run
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label with each feature, and (feature -1) all of them."""
-    counts = np.zeros((2, FEATURES), np.int32)
-    documents = [0, 0]
+    """Weights of the documents of either label with each feature, and (feature -1) of all of them."""
+    counts = np.zeros((2, FEATURES))
+    documents = [0.0, 0.0]
     for batch in batches:
-        for text, label in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-            counts[label][text_features(text)] += 1
-            documents[label] += 1
+        for text, label, weight in zip(texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2))):
+            counts[label][text_features(text)] += weight
+            documents[label] += weight
     seen = np.flatnonzero(counts.any(axis=0))
-    columns = [np.r_[-1, seen], np.r_[documents[1], counts[1][seen]], np.r_[documents[0], counts[0][seen]]]
-    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["feature", "toxic", "clean"])
+    values = [np.r_[documents[k], counts[k][seen]] for k in (1, 0)]
+    columns = [pa.array(np.r_[-1, seen].astype(np.int64)), *map(pa.array, values)]
+    yield pa.RecordBatch.from_arrays(columns, ["feature", "toxic", "clean"])
+
+
+def with_weights(labelled: DataFrame) -> DataFrame:
+    """(text, label, weight) of (doc_id, text, label): the members of a group of near copies share the weight of one.
+
+    Groups as ``minhash`` links them, by five-word shingles that are 80 % alike, counted on full
+    sets; copies with another label are in the same group. No row is left out.
+    """
+    groups = minhash.near_duplicates(labelled, shingle=5, percent=80).select("doc_id", "component_id")
+    sizes = groups.groupBy("component_id").agg(F.count("*").alias("size"))
+    named = groups.join(sizes, "component_id").select("doc_id", (1 / F.col("size")).alias("weight"))
+    return labelled.join(named, "doc_id").select("text", "label", "weight")
 
 
 def fit(
@@ -357,33 +348,33 @@ def fit(
 ) -> Model:
     """The letter model of all documents, and word weights from at most ``sample`` labelled ones.
 
-    Near copies among the labelled documents count once.
+    Near copies among the labelled documents share the weight of one; all are learned from. Labels that are
+    null, other than 0 and 1 or without document count nothing; of contradicting labels of one doc_id 1
+    counts, of several texts the smallest.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     letters = letter_model(docs)
     sent = spark.sparkContext.broadcast(letters)
-    # Bounded by the sample: its ids, labels and sketches are all that the driver sees.
+    # Bounded by the sample: its ids and labels are all that the driver sees.
     chosen = spark.createDataFrame(
         [(r["doc_id"], r["label"]) for r in sample_labels(labels, label, learn, sample).collect()],
         "doc_id long, label int",
     )
     found = labelled_texts(docs, chosen).select("doc_id", "text", "label")
-    found = found.mapInArrow(_restored(sent), "doc_id long, text string, label int, marks array<long>")
+    found = found.mapInArrow(_restored(sent), "doc_id long, text string, label int")
     found = scratch.stage(found, "restored")
-    kept = different([(r["doc_id"], tuple(r["marks"])) for r in found.select("doc_id", "marks").collect()])
-    kept_rows = spark.createDataFrame([(d,) for d in sorted(kept)], "doc_id long")
-    counts = found.join(F.broadcast(kept_rows), "doc_id").select("text", "label")
-    counts = counts.mapInArrow(_count_features, "feature long, toxic long, clean long")
+    counts = with_weights(found).mapInArrow(_count_features, "feature long, toxic double, clean double")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     rows = counts.toPandas()  # at most FEATURES + 1 rows
     scratch.drop("restored")
-    sums, number = np.zeros((2, FEATURES)), [0, 0]
+    sums, number = np.zeros((2, FEATURES)), [0.0, 0.0]
     for k, name in enumerate(("toxic", "clean")):
-        index, values = rows["feature"].to_numpy(np.int64), rows[name].to_numpy(np.int64)
+        index, values = rows["feature"].to_numpy(np.int64), rows[name].to_numpy(float)
         sums[k][index[index >= 0]] = values[index >= 0]
-        number[k] = int(values[index < 0].sum())
-    return Model(letters, sums[0], sums[1], *number)
+        number[k] = float(values[index < 0].sum())
+    # Sums of shares differ in their last bits from run to run, weights must not.
+    return Model(letters, sums[0].round(6), sums[1].round(6), round(number[0], 6), round(number[1], 6))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

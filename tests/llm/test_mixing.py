@@ -79,3 +79,15 @@ def test_odd_rows(make_docs):
     applied = mixing.apply_mix(df)
     assert applied.columns == df.columns and applied.count() >= 1
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_rows_without_id_are_taken_as_decided(make_docs):
+    """Rows that cannot be told apart by doc_id still add up to their source's target."""
+    rows = [(None, "w " * 50, "a") for _ in range(400)] + [(7, "w " * 50, "a") for _ in range(200)]
+    rows += [(1000 + k, "w " * 50, "b") for k in range(100)]
+    df = make_docs(rows)
+    target = {r.source: r.target for r in mixing.mix(df).collect()}
+    taken = collections.Counter()
+    for r in mixing.apply_mix(df).collect():
+        taken[r.source] += 50
+    assert all(abs(taken[s] - target[s]) <= 50 * 3 for s in target)

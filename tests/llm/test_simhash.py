@@ -86,3 +86,9 @@ def test_odd_rows(session, make_docs):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, -1, 1, 4]
     assert simhash.near_duplicates(make_docs(rows).limit(0)).count() == 0
     assert simhash.fingerprint("a b") == xxhash.xxh64_intdigest(b"a b", 42) and simhash.fingerprint(" ") == 0
+
+
+def test_different_texts_under_one_id_both_stay(make_docs):
+    rows = [(5, "one two three four five"), (5, "quite another text stands here now"), (5, "one two three four five"), (6, "one two three four five")]
+    kept = simhash.keep_one(make_docs(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[:2])
