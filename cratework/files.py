@@ -49,6 +49,13 @@ def move(path: str, target: str) -> None:
     filesystem.move(inner, locate(target)[1])
 
 
+def list_names(path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what lies directly in a folder; nothing where there is none."""
+    filesystem, inner = locate(path)
+    found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+    return [(info.base_name, info.type == pafs.FileType.Directory) for info in found]
+
+
 def delete_file(path: str) -> None:
     filesystem, inner = locate(path)
     filesystem.delete_file(inner)

@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -29,6 +30,7 @@ from cratework import fixed_values as fixed
 from cratework.functions import paths
 from cratework.operators import contract
 from cratework.sources import archives as zips
+from cratework.staging import Staging
 
 # Archive outcomes in the ledger.
 COMPLETE = "complete"
@@ -43,7 +45,6 @@ MANIFEST = "member_manifest"
 QUARANTINE = "quarantine"
 PARTITIONS = ("ingest_date", "zip_name", "schema_status")
 SIDE_BY_SIDE = 4
-FOLDERS_PER_TASK = 64
 
 MANIFEST_COLUMNS = (
     "path",
@@ -196,7 +197,7 @@ def load_archives(
         with_lineage, run_id=run_id, moment=moment or dt.datetime.now(dt.timezone.utc)
     )
 
-    gated = gate_archives(archives, schemas, read_ledger(spark, bronze)).persist()
+    gated = gate_archives(archives, schemas, current_ledger(spark, bronze)).persist()
     accepted = gated.where("refusal is null")
     splits = zips.plan_splits(accepted).persist()
     readable = splits.where("problem is null")
@@ -241,7 +242,7 @@ def _of_dataset(df: DataFrame, key: Row) -> DataFrame:
 
 QUARANTINE_SCHEMA = (
     "path string, source_name string, dataset_name string, ingest_date string, zip_file_name string, "
-    "member string, ordinal int, row_no bigint, row_json string"
+    "member string, ordinal int, row_no bigint, row_json string, file string"
 )
 
 
@@ -252,8 +253,8 @@ def _load_invalid(
     """Put mismatching members into quarantine: one job, whatever shapes they have.
 
     Each member's rows go into Parquet files of its own shape, and as JSON text into one
-    table for all. A task writes a member's files under names that follow from the member, so
-    a repeated task replaces them.
+    table for all, which also says what file each row is in. Every attempt of a task writes files
+    of its own; those that the table does not name are deleted.
     """
     failed = manifest.where(F.col("outcome") == zips.FAILED).select("path").distinct()
     invalid = manifest.join(failed, "path", "left_anti").where(
@@ -267,6 +268,22 @@ def _load_invalid(
         quarantine_members(spread, bronze, run_id, moment, json_limit).write.parquet(folder)
     finally:
         splits.unpersist()
+    _drop_uncounted(members.sparkSession, folder)
+
+
+def _drop_uncounted(spark: SparkSession, folder: str) -> None:
+    """Delete quarantine files of attempts that did not count, next to those that did."""
+    place = F.regexp_extract("file", r"(?s)^(.*)/([^/]*)$", 1).alias("place")
+    name = F.regexp_extract("file", r"(?s)^(.*)/([^/]*)$", 2).alias("name")
+    counted = spark.read.parquet(folder).groupBy("file").agg(F.count("*").alias("n")).select(place, name)
+
+    def drop(row: dict) -> None:
+        for found, is_folder in files.list_names(row["place"]):
+            if not is_folder and found not in row["names"]:
+                files.delete_file(f"{row['place']}/{found}")
+
+    # The files of one archive's invalid members: one for each member and MAX_ROWS_PER_FILE rows.
+    files.each_row(counted.groupBy("place").agg(F.collect_set("name").alias("names")), drop)
 
 
 def quarantine_members(
@@ -283,7 +300,7 @@ def quarantine_members(
     def rows(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
         folder = f"{archive_folder(bronze, row)}/schema_status={fixed.INVALID}"
         lineage = (when, run_id, row["zip_file_name"], member["member"], fixed.INVALID)
-        writer, shape, as_table, number, part = None, None, True, 0, 0
+        writer, shape, as_table, number, part, attempt, file = None, None, True, 0, 0, uuid.uuid4().hex[:12], None
         try:
             for schema, batch, _ in zips.observe(archive, info, zips.Notes(), json_limit):
                 if batch is None or not batch.num_rows:
@@ -298,12 +315,14 @@ def quarantine_members(
                     if writer is not None:
                         writer.close()
                     shape, part = pa.schema([*fields, *labels]), number
-                    writer = pq.ParquetWriter(files.open_output(f"{folder}/member-{member['ordinal']}-{part}.parquet"), shape)
+                    file = f"{folder}/member-{member['ordinal']}-{part}-{attempt}.parquet"
+                    writer = pq.ParquetWriter(files.open_output(file), shape)
                 marks = [pa.repeat(pa.scalar(v, t), len(texts)) for v, (_, t) in zip(lineage, labels)]
                 writer.write_batch(pa.RecordBatch.from_arrays([*data, *marks], schema=shape))
                 own = (row["path"], row["source_name"], row["dataset_name"], row["ingest_date"], row["zip_file_name"], member["member"])
                 columns = [pa.repeat(pa.scalar(v, pa.string()), len(texts)) for v in own]
                 columns += [pa.repeat(pa.scalar(member["ordinal"], pa.int32()), len(texts)), numbers, pa.array(texts, pa.string())]
+                columns.append(pa.repeat(pa.scalar(file, pa.string()), len(texts)))
                 yield pa.RecordBatch.from_arrays(columns, names)
                 number += len(texts)
         finally:
@@ -463,13 +482,59 @@ def read_manifest(spark: SparkSession, bronze: str, run_id: str) -> DataFrame:
     return rows.join(last, ["path", "attempt"]).select(*MANIFEST_COLUMNS)
 
 
-def read_ledger(spark: SparkSession, bronze: str) -> DataFrame | None:
-    """All loads' ledger rows with run_id and attempt, None before the first."""
+HISTORY = "ledger_history"
+STATE = "ledger_state"
+
+
+def _loose_attempts(spark: SparkSession, bronze: str) -> DataFrame | None:
     if not files.glob(spark, f"{bronze}/{LEDGER}/run_id=*/attempt=*/_SUCCESS"):
         return None
     return spark.read.option("basePath", f"{bronze}/{LEDGER}").parquet(f"{bronze}/{LEDGER}/run_id=*/attempt=*")
 
 
+def _compacted(spark: SparkSession, bronze: str, name: str) -> DataFrame | None:
+    """The newest finished version of a compacted table."""
+    done = files.glob(spark, f"{bronze}/{name}/version=*/_SUCCESS")
+    return spark.read.parquet(done[-1].rsplit("/", 1)[0]) if done else None
+
+
+def read_ledger(spark: SparkSession, bronze: str) -> DataFrame | None:
+    """All loads' ledger rows with run_id and attempt, None before the first."""
+    loose, history = _loose_attempts(spark, bronze), _compacted(spark, bronze, HISTORY)
+    if loose is None or history is None:
+        return history if loose is None else loose
+    # A compaction that died may have left attempts in both places.
+    return history.unionByName(loose.join(history.select("path", "attempt"), ["path", "attempt"], "left_anti"))
+
+
+def current_ledger(spark: SparkSession, bronze: str) -> DataFrame | None:
+    """The last ledger row of every archive: the compacted state and the attempts since, not all history."""
+    loose, state = _loose_attempts(spark, bronze), _compacted(spark, bronze, STATE)
+    if loose is None or state is None:
+        return state if loose is None else last_attempts(loose)
+    return last_attempts(state.unionByName(loose))
+
+
+def compact_ledger(spark: SparkSession, bronze: str) -> int:
+    """Fold the attempts so far into one history and one state table; returns how many were folded.
+
+    To be run while no load is. Both tables are new versions, finished before any attempt's own
+    folder goes, so a job that dies leaves rows twice, which readers see once.
+    """
+    loose = _loose_attempts(spark, bronze)
+    if loose is None:
+        return 0
+    version = f"version={new_attempt()}"
+    old = {name: files.glob(spark, f"{bronze}/{name}/version=*") for name in (HISTORY, STATE)}
+    names = ["path", *[c for c in loose.columns if c != "path"]]
+    read_ledger(spark, bronze).select(*names).write.parquet(f"{bronze}/{HISTORY}/{version}")
+    current_ledger(spark, bronze).select(*names).write.parquet(f"{bronze}/{STATE}/{version}")
+    folded = files.glob(spark, f"{bronze}/{LEDGER}/run_id=*/attempt=*")
+    gone = spark.createDataFrame([(f,) for f in [*folded, *old[HISTORY], *old[STATE]]], "folder string")
+    files.each_row(gone, lambda row: files.delete_tree(row["folder"]))
+    return len(folded)
+
+
 def pending_archives(archives: DataFrame, ledger: DataFrame | None, bronze: str | None = None) -> DataFrame:
     """Archives not loaded yet in this very version: path, length and time identify a delivery.
 
@@ -496,25 +561,30 @@ def pending_archives(archives: DataFrame, ledger: DataFrame | None, bronze: str
     return pending.unionByName(archives.join(unmarked, "path", "left_semi"))
 
 
-def unfinished_archives(spark: SparkSession, base: str, dates: list[str] | None = None) -> list[tuple[str, str]]:
-    """(ingest_date, zip_name) folder names without a marker: failed or running loads.
+def unfinished_archives(spark: SparkSession, base: str, dates: list[str] | None = None) -> DataFrame:
+    """(ingest_date, zip_name) of archives without a marker: failed or running loads.
 
-    Archive folders are listed per day; the markers are looked up in parallel tasks.
+    The driver knows the days only. Tasks list each day's archives and then, dealt out anew, look for
+    the markers, so neither the number of archives nor that of one day is a list anywhere.
     """
     days = [files.glob_text(files.partition_dir("ingest_date", d)) for d in dates] if dates else ["ingest_date=*"]
-    folders = [folder for day in days for folder in files.glob(spark, f"{base}/{day}/zip_name=*")]
+    folders = [folder for day in days for folder in files.glob(spark, f"{base}/{day}")]
+
+    def names(batches):
+        for batch in batches:
+            for folder in batch["folder"]:
+                found = [n for n, is_folder in files.list_names(folder) if is_folder and n.startswith("zip_name=")]
+                yield pd.DataFrame({"folder": [f"{folder}/{n}" for n in found]}, dtype=object)
 
     def without_marker(batches):
         for batch in batches:
-            missing = [files.size_of(f"{folder}/{fixed.SUCCESS_MARKER}") is None for folder in batch["folder"]]
-            yield batch[missing]
+            missing = [f for f in batch["folder"] if files.size_of(f"{f}/{fixed.SUCCESS_MARKER}") is None]
+            parts = [[files.unescape(part.split("=", 1)[1]) for part in f.rsplit("/", 2)[1:]] for f in missing]
+            yield pd.DataFrame(parts, columns=["ingest_date", "zip_name"], dtype=object)
 
-    if not folders:
-        return []
-    listed = spark.createDataFrame([(f,) for f in folders], "folder string")
-    tasks = min(len(folders) // FOLDERS_PER_TASK + 1, zips.MAX_TASKS)
-    missing = [r.folder for r in listed.repartition(tasks).mapInPandas(without_marker, "folder string").collect()]
-    return [tuple(part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:]) for folder in missing]
+    listed = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(len(folders), 1), "folder")
+    spread = listed.mapInPandas(names, "folder string").repartition(spark.sparkContext.defaultParallelism, "folder")
+    return spread.mapInPandas(without_marker, "ingest_date string, zip_name string")
 
 
 def read_bronze(
@@ -528,8 +598,8 @@ def read_bronze(
 ) -> DataFrame:
     """Rows of complete archives, of the given dates.
 
-    Partition filters leave out quarantined files and unfinished archives, so none of
-    their files is opened; other dates are not even listed.
+    A partition filter leaves out quarantined files; other dates are not even listed. Where there
+    are archives without marker, an anti join on the partition columns drops their rows.
     """
     base = f"{bronze}/{source}/{dataset}"
     full = T.StructType(
@@ -542,12 +612,9 @@ def read_bronze(
     rows = _status_rows(spark, base, dates, full, [status])
     if rows is None:
         return spark.createDataFrame([], full)
-    by_date: dict[str, list[str]] = {}
-    for date, name in unfinished_archives(spark, base, dates):
-        by_date.setdefault(files.unescape(date), []).append(files.unescape(name))
-    for date, names in by_date.items():
-        rows = rows.where(~((F.col("ingest_date") == date) & F.col("zip_name").isin(*names)))
-    return rows
+    # Written, so that its size is known when the join is planned.
+    unfinished = Staging(spark, "unfinished").write(unfinished_archives(spark, base, dates), "archives")
+    return rows if unfinished.isEmpty() else rows.join(unfinished, ["ingest_date", "zip_name"], "left_anti").select(*full.names)
 
 
 def quarantine_rows(spark: SparkSession, bronze: str, manifest: DataFrame) -> DataFrame:
@@ -558,7 +625,7 @@ def quarantine_rows(spark: SparkSession, bronze: str, manifest: DataFrame) -> Da
     if not files.glob(spark, f"{bronze}/{QUARANTINE}/run_id=*/attempt=*/_SUCCESS"):
         return spark.createDataFrame([], "zip_file_name string, member string, row_json string")
     rows = spark.read.option("basePath", f"{bronze}/{QUARANTINE}").parquet(f"{bronze}/{QUARANTINE}/run_id=*/attempt=*")
-    last = last_attempts(read_ledger(spark, bronze)).where(F.col("status") == COMPLETE).select("path", "attempt")
+    last = current_ledger(spark, bronze).where(F.col("status") == COMPLETE).select("path", "attempt")
     wanted = manifest.where((F.col("outcome") == fixed.INVALID) & (F.col("n_rows") > 0)).select("path", "ordinal")
     rows = rows.join(last, ["path", "attempt"], "left_semi")
     return rows.join(wanted, ["path", "ordinal"], "left_semi").select("zip_file_name", "member", "row_json")

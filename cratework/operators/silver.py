@@ -81,14 +81,21 @@ def changed_since(df: DataFrame, column: str, since: str) -> DataFrame:
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """The target with the changes applied: new keys added, known keys replaced.
 
-    ``changes`` may hold a key several times if ``order`` says which is the last.
-    Both sides are one row per key at the join, so no key can be hot. A change whose key
-    has a null part stops the job: it could never be found again.
+    Of several changes of a key the last by ``order`` counts (without one, the greatest by all its
+    columns). If the target has the columns of ``order`` too, a stored row stays against an
+    older change; of equals the change counts. Each side is reduced to one row per key in every
+    task first, so no key can be hot. A change whose key has a null part stops the job: it could
+    never be found again.
     """
     null_key = functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     checked = F.when(null_key, F.raise_error(F.lit(f"upsert: a change has no {', '.join(keys)}").cast("string")))
     changes = changes.where(F.coalesce(checked.cast("boolean"), F.lit(True)))
-    last = latest_per_key(changes, keys, order) if order else changes
+    order = order or []
+    rest = [c for c in changes.columns if c not in keys and c not in order]
+    last = latest_per_key(changes, keys, [*order, *rest]) if order or rest else changes.distinct()
+    if order and set(order) <= set(target.columns):
+        both = target.withColumn("_new", F.lit(0)).unionByName(last.select(*target.columns).withColumn("_new", F.lit(1)))
+        return latest_per_key(both, keys, [*order, "_new"]).drop("_new")
     kept = target.join(last.select(*keys), keys, "left_anti")
     return kept.unionByName(last.select(*target.columns))
 
@@ -146,16 +153,17 @@ def upsert_stored(
     partition that loses its last row is deleted. Partition values must not be null.
     """
     spark = changes.sparkSession
-    last = latest_per_key(changes, keys, order) if order else changes
+    rest = [c for c in changes.columns if c not in keys and c not in (order or [])]
+    last = latest_per_key(changes, keys, [*(order or []), *rest])
     if not files.glob(spark, f"{target}/*"):
-        write_silver(upsert(last.limit(0), last, keys), target, partition_by)
+        write_silver(upsert(last.limit(0), last, keys, order), target, partition_by)
         return
     stored = spark.read.schema(changes.schema).parquet(target)
     touched = last.select(*partition_by).union(stored.join(last.select(*keys), keys, "left_semi").select(*partition_by))
     touched = touched.distinct().persist()
     try:
         part = stored.join(touched, partition_by, "left_semi")
-        upsert(part, last, keys).write.parquet(staging)
+        upsert(part, last, keys, order).write.parquet(staging)
         new = spark.read.schema(changes.schema).parquet(staging)
         emptied = touched.join(new.select(*partition_by).distinct(), partition_by, "left_anti").persist()
         emptied.count()
@@ -189,7 +197,7 @@ def load_silver(
     holds; it is written last, so a run that dies is repeated and applies the same rows again.
     ``transform`` makes typed rows of bronze rows.
     """
-    ledger = bronze.read_ledger(spark, bronze_folder)
+    ledger = bronze.current_ledger(spark, bronze_folder)
     if ledger is None:
         return 0
     known = f"{target}_ledger"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cratework.functions import paths
 from cratework.operators import bronze as bronze_ops
-from cratework.operators import silver
+from cratework.operators import retraction, silver
 from cratework.operators.contract import text_schema
 from cratework.plans import marts
 from cratework.plans.erp_views import money, table
@@ -53,7 +53,6 @@ def sql_chunk(key: str, size: int) -> str:
 
 ROWS = 100_000
 DOCUMENTS = 10_000
-EVENTS = 50_000
 
 
 def orders_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,6 +188,46 @@ def archive_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(f"""SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))},
+  {", ".join(SQL_MONEY.format(c) + f" AS {c}" for c in ("l_quantity", "l_extendedprice"))}, l_returnflag,
+  'all.json' AS _source_file_name FROM lineitem""")
+def archive_json_large(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole table as one JSON member of one archive, numbers as the text they were written as."""
+    df = table(spark, sf, "lineitem")
+    names = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
+    record = F.to_json(F.struct(*[money(c).alias(c) if c in ("l_quantity", "l_extendedprice") else F.col(c) for c in names]))
+    lines = deliveries.as_json(df, key_of("lines", F.lit("all")), F.lit("all.json"), record)
+    _, target, _ = load(spark, lines, {"lines": text_schema(names)})
+    rows = bronze_ops.read_bronze(spark, target, "feed", "lines", text_schema(names))
+    return rows.select(*names, "_source_file_name")
+
+
+JSON_LIMIT = 4096
+
+
+@query(f"""WITH r AS (SELECT c_nationkey || {sql_chunk("c_custkey", ROWS)} AS part, c_mktsegment AS segment,
+    octet_length(encode('{{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}}')) AS bytes FROM customer),
+  m AS (SELECT part, segment, COUNT(*) AS n, 2 + SUM(bytes) + 2 * (COUNT(*) - 1) AS size FROM r GROUP BY ALL)
+SELECT 'nation-' || part || '.zip' AS zip_file_name, CASE WHEN MAX(size) > {JSON_LIMIT} THEN 'failed' ELSE 'complete' END AS status,
+  (COUNT(*) FILTER (size > {JSON_LIMIT}))::BIGINT AS failed,
+  CAST(CASE WHEN MAX(size) > {JSON_LIMIT} THEN 0 ELSE SUM(n) END AS BIGINT) AS n_read FROM m GROUP BY part""")
+def archive_json_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """An archive with a JSON member above the limit fails as a whole; one just at it is read."""
+    configure(spark)
+    df = table(spark, sf, "customer")
+    archive = key_of("names", F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string"), chunk("c_custkey", ROWS)))
+    record = F.to_json(F.struct("c_custkey", "c_name"))
+    root, target = fresh_folder(spark, "landing"), fresh_folder(spark, "bronze")
+    deliveries.pack_archives(deliveries.as_json(df, archive, F.concat("c_mktsegment", F.lit(".json")), record), root)
+    schema = text_schema(["c_custkey", "c_name"])
+    ledger = bronze_ops.load_archives(zips.list_archives(spark, root), target, {"names": schema}, "run-1", MOMENT, JSON_LIMIT)
+    rows = bronze_ops.read_bronze(spark, target, "feed", "names", schema)
+    read = rows.groupBy(F.col("_zip_file_name").alias("zip_file_name")).agg(F.count("*").alias("n_read"))
+    return ledger.select("zip_file_name", "status", F.col("failed").cast("long").alias("failed")).join(read, "zip_file_name", "left").withColumn(
+        "n_read", F.coalesce("n_read", F.lit(0))
+    )
+
+
 def mixed_customer_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One archive per market segment: CSV members by nation, and members with nothing to load."""
     df = customer_text(spark, sf)
@@ -427,6 +466,16 @@ def source_worklist(spark: SparkSession, sf: str) -> DataFrame:
     return registry.work_list(endpoints, "aws_conn").drop("ordinal", "position")
 
 
+@query("""SELECT s_name AS source_name FROM supplier WHERE s_suppkey % 5 <> 0 AND s_suppkey % 4 IN (0, 1)""")
+def source_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Of sources that are disabled, of other jobs, of several or of none, those that a job takes."""
+    jobs = F.array(F.array(F.lit("ingest")), F.array(F.lit("other"), F.lit("ingest")), F.array(F.lit("other")), F.lit(None))
+    changed = registry_from_suppliers(configure(spark), sf).withColumns(
+        {"enabled": F.col("ordinal") % 5 != 0, "dag_ids": F.element_at(jobs, F.col("ordinal") % 4 + 1)}
+    )
+    return registry.select_sources(changed, "ingest").select("source_name")
+
+
 SQL_SOURCE_ERRORS = """SELECT s_suppkey, s_name AS source_name, CASE
   WHEN s_acctbal < 0 THEN 'Source ''' || s_name || ''' has base_url ''ftp://bucket-' || n_regionkey
     || '/exports/''; expected one of [''s3'', ''https''] as the scheme.'
@@ -569,15 +618,14 @@ def await_arrivals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as JSON: one archive per day, one member per hour."""
+    """Events as JSON: archives by day and range of events, one member per hour."""
     df = table(spark, sf, "events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "user_id", "event_type",
         money("value").alias("value"),
     )
-    archive = key_of("events", F.concat(F.lit("events-"), F.substring("ts", 1, 10)))
+    archive = key_of("events", F.concat(F.lit("events-"), F.substring("ts", 1, 10), chunk("event_id", ROWS)))
     hour = F.replace(F.substring("ts", 1, 13), F.lit(" "), F.lit("-"))
-    # A member must stay below the size limit of JSON members at any scale.
-    member = F.concat(F.lit("events-"), hour, chunk("event_id", EVENTS), F.lit(".json"))
+    member = F.concat(F.lit("events-"), hour, F.lit(".json"))
     return deliveries.as_json(df, archive, member, F.to_json(F.struct(*df.columns)))
 
 
@@ -586,7 +634,7 @@ EVENT_SCHEMA = text_schema(["event_id", "ts", "user_id", "event_type", "value"])
 
 @query(f"""SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
   CAST(user_id AS VARCHAR) AS user_id, event_type, {SQL_MONEY.format("value")} AS value,
-  'events-' || strftime(ts, '%Y-%m-%d-%H') || {sql_chunk("event_id", EVENTS)} || '.json' AS _source_file_name FROM events""")
+  'events-' || strftime(ts, '%Y-%m-%d-%H') || '.json' AS _source_file_name FROM events""")
 def stream_archives(spark: SparkSession, sf: str) -> DataFrame:
     """Archives loaded as a stream, then landed again and loaded by the ledger: no row twice."""
     configure(spark)
@@ -622,15 +670,11 @@ def receipt_archive_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.array(product).alias("products"),
         payments.alias("payments"),
     )
-    archive = key_of("pos_receipts", F.concat(F.lit("pos_receipts"), chunk("l_orderkey", RECEIPT_ORDERS)))
+    archive = key_of("pos_receipts", F.concat(F.lit("pos_receipts"), chunk("l_orderkey", ROWS)))
     member = F.concat(F.lit("pos_receipts-PH-"), "pharmacy", F.lit(".json"))
     return deliveries.as_json(df, archive, member, F.to_json(receipt))
 
 
-# Orders whose receipts share an archive: even one pharmacy's member with all of them stays under the size limit.
-RECEIPT_ORDERS = 2_000
-
-
 @query("""SELECT CAST(l_partkey AS VARCHAR) AS gtin, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS packs,
   CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue, COUNT(*)::BIGINT AS n_lines,
   CAST(MIN(l_shipdate) AS DATE) AS first_day, CAST(MAX(l_shipdate) AS DATE) AS last_day
@@ -663,7 +707,7 @@ def receipt_payments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"""WITH m AS (SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT strftime(ts, '%H') || {sql_chunk("event_id", EVENTS)})::BIGINT AS members
+@query(f"""WITH m AS (SELECT CAST(ts AS DATE) AS day, COUNT(DISTINCT strftime(ts, '%H') || {sql_chunk("event_id", ROWS)})::BIGINT AS members
   FROM events GROUP BY 1),
   c AS (SELECT CAST(unnest(generate_series(MIN(day), MAX(day) + 1, INTERVAL 1 DAY)) AS DATE) AS day FROM m)
 SELECT 'events' AS dataset_name, c.day, COALESCE(members, 0)::BIGINT AS members, COALESCE(members >= 24, FALSE) AS complete,
@@ -675,8 +719,9 @@ def scorecard_from_ledger(spark: SparkSession, sf: str) -> DataFrame:
     The archives of 2024 land now, so no delivery is on time.
     """
     lines = event_lines(spark, sf)
-    day = F.regexp_extract("archive", r"events-(\d{4}-\d{2}-\d{2})\.zip$", 1)
-    dated = lines.withColumn("archive", F.concat(F.lit("feed/events/ingest_date="), day, F.lit("/events.zip")))
+    day = F.regexp_extract("archive", r"events-(\d{4}-\d{2}-\d{2})(-\d+\.zip)$", 1)
+    name = F.regexp_extract("archive", r"events-(\d{4}-\d{2}-\d{2})(-\d+\.zip)$", 2)
+    dated = lines.withColumn("archive", F.concat(F.lit("feed/events/ingest_date="), day, F.lit("/events"), name))
     _, target, _ = load(spark, dated, {"events": EVENT_SCHEMA})
     delivered = marts.delivered_from_ledger(bronze_ops.read_ledger(spark, target))
     events = table(spark, sf, "events").agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi"))
@@ -757,3 +802,49 @@ def quarantine_mixed_shapes(spark: SparkSession, sf: str) -> DataFrame:
     _, target, _ = load(spark, lines, {"customer": CUSTOMER_SCHEMA})
     view = bronze_ops.quarantine_rows(spark, target, bronze_ops.read_manifest(spark, target, "run-1"))
     return view.groupBy("member").agg(F.count("*").alias("n_rows"))
+
+
+SQL_RELAND = """SELECT o_orderkey, CASE WHEN o_totalprice > 200000 AND o_orderkey % 7 <> 0
+    THEN CASE WHEN o_orderkey % 5 = 0 THEN 'again-' ELSE '' END || lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus,
+  CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, year(o_orderdate)::INT AS order_year FROM orders
+UNION ALL SELECT -1 - o_orderkey, 'late', CAST(o_totalprice AS DECIMAL(18,2)), year(o_orderdate)::INT FROM orders WHERE o_orderpriority = '5-LOW'"""
+
+
+@query(SQL_RELAND)
+def silver_reland(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders, then updates of the dear ones for the next day; these land again with rows gone and
+    changed, and an archive of the day before comes last: it adds what nobody knows and overwrites nothing.
+    """
+    df = orders_text(spark, sf)
+    root, target, _ = load(spark, orders_lines(spark, sf), {"orders": ORDER_SCHEMA})
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+            "o_orderstatus",
+            F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+            F.substring("o_orderdate", 1, 4).cast("int").alias("order_year"),
+            *retraction.DELIVERY,
+        )
+
+    kept = typed(spark.createDataFrame([], ORDER_SCHEMA).withColumns({c: F.lit("") for c in retraction.DELIVERY}))
+    table_ = retraction.SilverTable(
+        spark, fresh_folder(spark, "reland"), kept.drop(*retraction.DELIVERY).schema, ("o_orderkey",), (), ("order_year",), buckets=8
+    )
+
+    def deliver(rows: DataFrame, day: str, run: str) -> dict[str, int]:
+        name = F.concat(F.lit(f"feed/orders/ingest_date={day}/part"), chunk("o_orderkey", ROWS), F.lit(".zip"))
+        deliveries.pack_archives(deliveries.as_csv(rows, name, F.lit("orders.csv"), df.columns), root)
+        arrivals.load_pending(spark, root, target, {"orders": ORDER_SCHEMA}, run, MOMENT)
+        return retraction.load_deliveries(table_, target, "feed", "orders", ORDER_SCHEMA, typed)
+
+    retraction.load_deliveries(table_, target, "feed", "orders", ORDER_SCHEMA, typed)
+    dear = df.where("o_totalprice > 200000").withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    deliver(dear, "2026-01-02", "run-2")
+    again = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("again-"), "o_orderstatus")).otherwise(F.col("o_orderstatus"))
+    deliver(dear.where("o_orderkey % 7 <> 0").withColumn("o_orderstatus", again), "2026-01-02", "run-3")
+    low = df.where("o_orderpriority = '5-LOW'")
+    stale = low.withColumn("o_orderstatus", F.lit("stale"))
+    late = low.withColumns({"o_orderkey": -1 - F.col("o_orderkey"), "o_orderstatus": F.lit("late")})
+    deliver(stale.unionByName(late), "2025-12-31", "run-4")
+    return table_.current.rows()

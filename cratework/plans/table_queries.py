@@ -5,16 +5,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratework.operators import history, quality, silver
+from cratework.operators import allocation, bitemporal, history, quality, silver
+from cratework.operators.history_store import HistoryStore
+from cratework.operators.key_index import IndexedTable
 from cratework.plans import erp_views as erp
 from cratework.plans import marts
 from cratework.plans.erp_views import money, table
 from cratework.session import configure, fresh_folder
 from cratework.sources.erp import TABLES, ForeignKey, read_erp
-from cratework.streaming import order_events
+from cratework.streaming import completeness, lifecycle, order_events
 
 TS = "yyyy-MM-dd HH:mm:ss"
 QUERIES: dict[str, tuple] = {}
@@ -183,6 +187,41 @@ def upsert_stored(spark, sf):
     return silver.read_silver(spark, f"{folder}/customers", target.schema)
 
 
+@query("""WITH shipped AS (SELECT l_orderkey AS k, MAX(l_shipdate) AS version,
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total FROM lineitem GROUP BY 1),
+  early AS (SELECT l_orderkey AS k, MIN(l_shipdate) - INTERVAL 4000 DAYS AS version FROM lineitem GROUP BY 1)
+SELECT coalesce(o_orderkey, shipped.k) AS o_orderkey,
+  CASE WHEN o_orderkey IS NULL OR shipped.version >= o_orderdate THEN shipped.total ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS total,
+  CASE WHEN o_orderkey IS NULL OR shipped.version >= o_orderdate THEN 'shipped' ELSE o_orderstatus END AS state,
+  strftime(CASE WHEN o_orderkey IS NULL OR shipped.version >= o_orderdate THEN shipped.version ELSE o_orderdate END, '%Y') AS year
+FROM orders FULL JOIN shipped ON o_orderkey = shipped.k""")
+def upsert_indexed(spark, sf):
+    """Stored orders take their last shipment, found by key index; some move to another year.
+
+    A second load brings changes that are older than what is stored and so changes nothing.
+    """
+    def version(column: str) -> Column:
+        return F.date_format(column, TS)
+
+    stored = table(spark, sf, "orders").select(
+        "o_orderkey", money("o_totalprice").alias("total"), F.col("o_orderstatus").alias("state"),
+        version("o_orderdate").alias("version"), F.substring(version("o_orderdate"), 1, 4).alias("year"),
+    )
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    shipped = lines.agg(
+        F.sum(money("l_extendedprice")).cast("decimal(18,2)").alias("total"), F.lit("shipped").alias("state"),
+        version(F.max("l_shipdate")).alias("version"),
+    ).withColumn("year", F.substring("version", 1, 4))
+    late = lines.agg(
+        F.lit(0).cast("decimal(18,2)").alias("total"), F.lit("late").alias("state"),
+        version(F.min("l_shipdate") - F.expr("INTERVAL 4000 DAYS")).alias("version"),
+    ).withColumn("year", F.substring("version", 1, 4))
+    indexed = IndexedTable(spark, fresh_folder(spark, "indexed"), stored.schema, ("o_orderkey",), ("year",), buckets=8)
+    for changes in (stored, shipped, late):
+        indexed.upsert(changes, ["version"])
+    return indexed.rows().drop("version")
+
+
 # Quality rules
 
 
@@ -288,6 +327,54 @@ def scd2_history(spark, sf):
     return history.scd2_history(extracts, ["o_custkey"], ["priority"], "month")
 
 
+@query("""WITH x AS (SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS month,
+    MAX_BY(o_orderpriority, (o_orderdate, o_orderkey)) AS priority FROM orders GROUP BY ALL),
+  v AS (SELECT * FROM x QUALIFY priority IS DISTINCT FROM LAG(priority) OVER (PARTITION BY o_custkey ORDER BY month))
+SELECT o_custkey, priority, month AS valid_from, LEAD(month) OVER (PARTITION BY o_custkey ORDER BY month) AS valid_to,
+  LEAD(month) OVER (PARTITION BY o_custkey ORDER BY month) IS NULL AS is_current FROM v""")
+def scd2_incremental(spark, sf):
+    """The same versions from extracts that come in four loads, the months of a quarter's end first and the others late."""
+    extracts = table(spark, sf, "orders").groupBy("o_custkey", F.trunc("o_orderdate", "MM").alias("_day")).agg(
+        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("priority")
+    )
+    months = sorted(str(r["_day"]) for r in extracts.select("_day").distinct().collect())  # a row for each month
+    store = HistoryStore(spark, fresh_folder(spark, "history"), extracts.drop("_day").schema, ("o_custkey",))
+    loads = [[m for m in months if int(m[5:7]) % 3 == k] for k in (0, 2, 1)]
+    for days in (*loads, loads[0]):  # the last one is a repeated delivery
+        if days:
+            store.add_all(extracts.where(F.col("_day").isin([dt.date.fromisoformat(d) for d in days])), days)
+    return store.history()
+
+
+SQL_KNOWN = f"""(SELECT l_partkey AS product_id, l_linestatus AS zone, l_returnflag AS channel, date_trunc('month', l_shipdate)::DATE AS valid_from,
+  date_trunc('month', l_shipdate) + INTERVAL 1 DAY * ((l_suppkey % 5) * 40) AS known_from,
+  CAST(MAX(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS BIGINT) AS cents FROM lineitem GROUP BY ALL)"""
+
+
+@query(f"""WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey AS product_id, l_linestatus AS zone, l_returnflag AS channel,
+    l_shipdate::DATE AS day, l_shipdate + INTERVAL 1 DAY * w AS known, w AS days_later FROM lineitem, (VALUES (0), (90), (400)) t(w)),
+  q AS (SELECT DISTINCT product_id, zone, channel, day, known FROM a),
+  k AS (SELECT q.*, MAX_BY(cents, (p.valid_from, p.known_from)) AS cents FROM q JOIN {SQL_KNOWN} p
+    ON p.product_id = q.product_id AND p.zone = q.zone AND p.channel = q.channel AND p.valid_from <= q.day AND p.known_from <= q.known GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, days_later, cents FROM a LEFT JOIN k USING (product_id, zone, channel, day, known)""")
+def price_as_known(spark, sf):
+    """What a pack's price on its shipping day was thought to be that day, a quarter and a year later; corrections come up to 160 days late."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("product_id"), F.col("l_linestatus").alias("zone"),
+        F.col("l_returnflag").alias("channel"), F.col("l_shipdate").cast("timestamp").alias("shipped"), "l_suppkey",
+        (money("l_extendedprice") * 100).cast("long").alias("cents"),
+    )
+    keys = ["product_id", "zone", "channel"]
+    month = F.date_trunc("month", "shipped")
+    prices = lines.groupBy(*keys, F.to_date(month).alias("valid_from"), (month + F.make_dt_interval(F.col("l_suppkey").cast("int") % 5 * 40)).alias("known_from"))
+    rectangles = bitemporal.price_rectangles(prices.agg(F.max("cents").alias("cents")), keys, "cents")
+    later = F.explode(F.array(*map(F.lit, (0, 90, 400)))).alias("days_later")
+    asked = lines.select("l_orderkey", "l_linenumber", *keys, F.to_date("shipped").alias("day"), "shipped", later)
+    asked = asked.withColumn("known", F.col("shipped") + F.make_dt_interval(F.col("days_later"))).drop("shipped")
+    found = bitemporal.price_as_known(asked, rectangles, keys, "day", "known", "cents", "cents")
+    return found.select("l_orderkey", "l_linenumber", "days_later", "cents")
+
+
 # Marts
 
 
@@ -561,3 +648,133 @@ def stream_dedupe_window(spark, sf):
     order_events.append_to(once, folder, f"{folder}-checkpoint").awaitTermination()
     counts = order_events.hourly_counts(spark.read.parquet(folder), ["event_type"])
     return counts.select(F.date_format("hour_start", TS).alias("hour_start"), "event_type", "n_events")
+
+
+ARRIVALS = 5
+
+
+def _arriving(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+    """The events as files that arrive one after the other: some up to 20 hours late, some twice.
+
+    Files are written in order of arrival, so a stream that takes one at a time sees that many batches.
+    """
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("event_ts"))
+    late = F.when(F.col("event_id") % 10 == 0, F.expr("INTERVAL 20 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    once = events.withColumn("arrival", F.col("event_ts") + late)
+    twice = events.where("event_id % 7 = 0").withColumn("arrival", F.col("event_ts") + F.expr("INTERVAL 10 HOURS"))
+    every = once.unionByName(twice)
+    span = every.agg(F.min(F.unix_micros("arrival")).alias("lo"), F.max(F.unix_micros("arrival")).alias("hi")).first()
+    part = F.floor((F.unix_micros("arrival") - span["lo"]) * ARRIVALS / (span["hi"] - span["lo"] + 1))
+    for k in range(ARRIVALS):
+        every.where(part == k).drop("arrival").write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _files_a_batch(spark, folder)).parquet(folder)
+
+
+def _files_a_batch(spark: SparkSession, folder: str) -> int:
+    return max(1, len(spark.read.parquet(folder).inputFiles()) // ARRIVALS)
+
+
+@query(f"""SELECT user_id, COUNT(*)::BIGINT AS n_events, MAX_BY(event_type, (ts, event_id)) AS last_event,
+  strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS last_ts, (epoch_us(MAX(ts)) - epoch_us(MIN(ts)))::BIGINT AS span_micros,
+  {", ".join(f"strftime(MIN(ts) FILTER (event_type = '{k}'), '%Y-%m-%d %H:%M:%S') AS first_{k}" for k in EVENT_KINDS)}
+FROM events GROUP BY user_id""")
+def stream_lifecycle(spark, sf):
+    """order_lifecycle from a stream of several batches with late and repeated events."""
+    folder = fresh_folder(spark, "lifecycle")
+    events = _arriving(spark, sf, f"{folder}/arrived")
+    once = order_events.dedupe_events(events, ["event_id"])
+    order_events.append_to(once, f"{folder}/once", f"{folder}/once-checkpoint").awaitTermination()
+    each = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _files_a_batch(spark, f"{folder}/once"))
+    stream = lifecycle.lifecycle_stream(each.parquet(f"{folder}/once"), "user_id", EVENT_KINDS)
+    lifecycle.keep_lifecycles(stream, f"{folder}/cycles", f"{folder}/cycles-checkpoint").awaitTermination()
+    cycle = lifecycle.read_lifecycles(spark, f"{folder}/cycles", "user_id", EVENT_KINDS)
+    times = ["last_ts", *[f"first_{k}" for k in EVENT_KINDS]]
+    return cycle.withColumns({c: F.date_format(c, TS) for c in times})
+
+
+@query("""WITH b AS (SELECT date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) AS hi FROM events),
+  e AS (SELECT k.event_type, t.hour FROM (SELECT DISTINCT event_type FROM events) k,
+    (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour FROM b) t),
+  c AS (SELECT event_type, date_trunc('hour', ts) AS hour, COUNT(*) AS n FROM events GROUP BY ALL)
+SELECT e.event_type, strftime(e.hour, '%Y-%m-%d %H:%M:%S') AS hour_start, coalesce(n, 0)::BIGINT AS n_events,
+  CASE WHEN n IS NULL THEN 'missing' ELSE 'arrived' END AS state
+FROM e LEFT JOIN c ON c.event_type = e.event_type AND c.hour = e.hour""")
+def stream_completeness(spark, sf):
+    """The hours that the calendar expects, with their counts or as missing, from two streams.
+
+    The last rows on either side are three days ahead: they let the clock pass all real hours.
+    """
+    folder = fresh_folder(spark, "completeness")
+    events = table(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("event_ts"))
+    span = events.groupBy("event_type").agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi"))
+    lo, hi = span.agg(F.date_trunc("hour", F.min("lo")), F.date_trunc("hour", F.max("hi"))).first()
+    step = F.expr("INTERVAL 1 HOUR")
+    slots = span.select("event_type", F.explode(F.sequence(F.lit(lo), F.lit(hi), step)).alias("slot_ts"))
+    ahead = F.lit(hi) + F.expr("INTERVAL 72 HOURS")
+    for name, rows, ts in (("slots", slots, "slot_ts"), ("events", events, "event_ts")):
+        width = (hi - lo).total_seconds() / (ARRIVALS - 1) + 3600
+        part = F.floor((F.unix_timestamp(ts) - F.unix_timestamp(F.lit(lo))) / width)
+        for k in range(ARRIVALS - 1):
+            rows.where(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        spark.range(1).select(F.lit("ahead").alias("event_type"), ahead.alias(ts)).write.mode("append").parquet(f"{folder}/{name}")
+
+    def stream(name: str, ts: str) -> DataFrame:
+        reader = spark.readStream.schema(f"event_type string, {ts} timestamp").option("maxFilesPerTrigger", 1)
+        return reader.parquet(f"{folder}/{name}")
+
+    complete = completeness.hourly_completeness(stream("slots", "slot_ts"), stream("events", "event_ts"), "event_type")
+    order_events.append_to(complete, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    out = spark.read.schema("event_type string, hour_start timestamp, n_events long").parquet(f"{folder}/out").where("event_type <> 'ahead'")
+    return out.select(
+        "event_type", F.date_format("hour_start", TS).alias("hour_start"), F.coalesce("n_events", F.lit(0)).alias("n_events"),
+        F.when(F.col("n_events").isNull(), "missing").otherwise("arrived").alias("state"),
+    )
+
+
+# Allocation
+
+SQL_SUPPLY = """(SELECT l_partkey AS product_id, l_partkey || '-' || l_suppkey AS batch_id, CAST(MIN(l_shipdate) AS DATE) + 700 AS expiry_date,
+  CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END) AS BIGINT) AS quantity FROM lineitem GROUP BY ALL)"""
+SQL_SOLD = """(SELECT l_partkey AS product_id, l_orderkey || '-' || l_linenumber AS receipt_id, CAST(l_shipdate AS DATE) AS day,
+  CAST(SUM(l_quantity) AS BIGINT) AS quantity FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL)"""
+SQL_LINES = f"""s AS (SELECT *, SUM(quantity) OVER (PARTITION BY product_id ORDER BY expiry_date, batch_id) AS high FROM {SQL_SUPPLY} WHERE quantity > 0),
+  d AS (SELECT *, SUM(quantity) OVER (PARTITION BY product_id ORDER BY day, receipt_id) AS high FROM {SQL_SOLD} WHERE quantity > 0),
+  st AS (SELECT product_id, MAX(high) AS held FROM s GROUP BY 1), dt AS (SELECT product_id, MAX(high) AS sold FROM d GROUP BY 1)"""
+
+
+def _allocated(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Batches as shipped less what came back, against the receipts of closed lines."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("product_id"),
+        F.concat_ws("-", "l_partkey", "l_suppkey").alias("batch_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("receipt_id"),
+        F.to_date("l_shipdate").alias("day"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+        "l_returnflag",
+        "l_linestatus",
+    )
+    kept = F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("quantity"))
+    supply = lines.groupBy("product_id", "batch_id").agg(F.date_add(F.min("day"), 700).alias("expiry_date"), F.sum(kept).alias("quantity"))
+    sold = lines.where("l_linestatus = 'F'").select("product_id", "receipt_id", "day", "quantity")
+    return allocation.first_expiry(supply, sold, ["product_id"], "batch_id", "receipt_id", "expiry_date", "day")
+
+
+@query(f"""WITH {SQL_LINES}
+SELECT d.product_id, receipt_id, CAST(day AS VARCHAR) AS day, batch_id, CAST(expiry_date AS VARCHAR) AS expiry_date,
+  CAST(least(s.high, d.high) - greatest(s.high - s.quantity, d.high - d.quantity) AS BIGINT) AS quantity
+FROM d JOIN s ON s.product_id = d.product_id AND s.high - s.quantity < d.high AND d.high - d.quantity < s.high
+UNION ALL SELECT d.product_id, receipt_id, CAST(day AS VARCHAR), NULL, NULL, CAST(high - greatest(high - quantity, coalesce(held, 0)) AS BIGINT)
+FROM d LEFT JOIN st ON st.product_id = d.product_id WHERE high > coalesce(held, 0)""")
+def fefo_allocation(spark, sf):
+    """The batches that each receipt's packs came from, first expiry first; packs beyond all batches have none."""
+    allocated, _ = _allocated(spark, sf)
+    return allocated.withColumns({c: F.col(c).cast("string") for c in ("day", "expiry_date")})
+
+
+@query(f"""WITH {SQL_LINES}
+SELECT s.product_id, batch_id, CAST(expiry_date AS VARCHAR) AS expiry_date, CAST(high - greatest(high - quantity, coalesce(sold, 0)) AS BIGINT) AS quantity
+FROM s LEFT JOIN dt ON dt.product_id = s.product_id WHERE high > coalesce(sold, 0)""")
+def fefo_stock(spark, sf):
+    """What the same allocation leaves of each batch."""
+    _, left = _allocated(spark, sf)
+    return left.withColumn("expiry_date", F.col("expiry_date").cast("string"))

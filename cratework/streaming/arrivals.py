@@ -27,7 +27,7 @@ def load_pending(
     seen, so a delivery that replaces an earlier one would be missed.
     """
     listing = zips.list_archives(spark, landing, dates)
-    todo = bronze_ops.pending_archives(listing, bronze_ops.read_ledger(spark, bronze), bronze)
+    todo = bronze_ops.pending_archives(listing, bronze_ops.current_ledger(spark, bronze), bronze)
     return bronze_ops.load_archives(todo, bronze, schemas, run_id, moment)
 
 

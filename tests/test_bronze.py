@@ -1,4 +1,6 @@
 import datetime as dt
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -348,3 +350,70 @@ def test_files_of_a_large_member_stay_few(spark, tmp_path, make_zip, load, monke
     for name in "abc":
         files_of = list((folder(tmp_path, name) / "schema_status=valid").glob("*.parquet"))
         assert len(files_of) <= len(body) // (1 << 22) + 3
+
+
+def test_compacted_ledger_says_the_same(spark, tmp_path, make_zip, load):
+    """State, history and what is pending do not change when attempts are folded, also after a fold that died."""
+    target = str(tmp_path / "bronze")
+    assert bronze.compact_ledger(spark, target) == 0
+    for name in "abc":
+        make_zip(KEY.format(name), {"a.csv": b"id\n1\n"})
+        load(f"run-{name}")
+    listing = zips.list_archives(spark, str(tmp_path / "landing"))
+
+    def seen():
+        rows = lambda df: sorted(map(str, df.select("path", "attempt", "status", "run_id", "n_rows").collect()))
+        pending = bronze.pending_archives(listing, bronze.current_ledger(spark, target), target)
+        return rows(bronze.read_ledger(spark, target)), rows(bronze.current_ledger(spark, target)), pending.count()
+
+    before = seen()
+    assert [len(part) if isinstance(part, list) else part for part in before] == [1 + 2 + 3, 3, 0]
+    loose = list((tmp_path / "bronze" / bronze.LEDGER).glob("run_id=*/attempt=*"))
+    shutil.copytree(loose[0].parent, tmp_path / "kept")
+    assert bronze.compact_ledger(spark, target) == 3 and seen() == before
+    assert not list((tmp_path / "bronze" / bronze.LEDGER).glob("run_id=*/attempt=*"))
+    shutil.copytree(tmp_path / "kept", loose[0].parent, dirs_exist_ok=True)  # as if it had died before it was deleted
+    assert seen() == before
+    (tmp_path / "landing" / KEY.format("b")).unlink()
+    make_zip(KEY.format("d"), {"a.csv": b"id\n2\n"})
+    load("run-d")
+    assert bronze.compact_ledger(spark, target) == 2
+    assert len(list((tmp_path / "bronze" / bronze.STATE).glob("version=*"))) == 1
+    assert len(bronze.current_ledger(spark, target).collect()) == 4
+    make_zip(KEY.format("a"), {"a.csv": b"id\n12\n"})
+    again = zips.list_archives(spark, str(tmp_path / "landing"))
+    assert [r.zip_file_name for r in bronze.pending_archives(again, bronze.current_ledger(spark, target), target).collect()] == ["a.zip"]
+
+
+def test_unfinished_archives_are_found_in_tasks(spark, tmp_path, make_zip, load):
+    odd = "a b%=1"
+    for name in ("a", "b", odd):
+        make_zip(KEY.format(name), {"a.csv": b"id\n1\n"})
+    load()
+    base = str(tmp_path / "bronze" / "src" / "ds")
+    assert bronze.unfinished_archives(spark, base).count() == 0
+    rows = lambda: bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"], ["2026-01-01"])
+    assert rows().count() == 3
+    for marker in (tmp_path / "bronze" / "src" / "ds").rglob("_SUCCESS"):
+        if "zip_name=b" not in str(marker):
+            marker.unlink()
+    assert sorted(map(tuple, bronze.unfinished_archives(spark, base, ["2026-01-01"]).collect())) == [("2026-01-01", "a"), ("2026-01-01", odd)]
+    assert [r.zip_name for r in rows().collect()] == ["b"] and rows().columns[0] == "id"
+    assert bronze.unfinished_archives(spark, base, ["2026-01-05"]).count() == 0
+
+
+def test_quarantine_files_of_lost_attempts_go(spark, tmp_path, make_zip, load, monkeypatch):
+    """A file that a lost attempt left beside the counted ones is deleted, whatever it holds."""
+    make_zip(KEY.format("a"), {"a.csv": b"id\n1\n", "b.csv": b"other,more\n1,2\n3,4\n"})
+    real = bronze._drop_uncounted
+
+    def with_stray(session, table):
+        place = session.read.parquet(table).first()["file"].rsplit("/", 1)[0]
+        shutil.copy(next(Path(place).glob("*.parquet")), f"{place}/member-1-0-lost.parquet")
+        real(session, table)
+
+    monkeypatch.setattr(bronze, "_drop_uncounted", with_stray)
+    load()
+    found = list((tmp_path / "bronze").rglob("schema_status=invalid/*.parquet"))
+    assert len(found) == 1 and "lost" not in found[0].name
+    assert spark.read.parquet(str(found[0])).count() == 2

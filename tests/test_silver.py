@@ -109,3 +109,24 @@ def test_price_intervals_and_versions(spark):
     assert collect(history.scd2_history(extracts, ["k"], ["city"], "day"), "k", "valid_from") == [
         (1, "x", 0, 2, False), (1, None, 2, 4, False), (1, "x", 4, 5, False), (1, "y", 5, None, True), (2, None, 0, None, True),
     ]
+
+
+def test_upserts_keep_the_newer_row(spark, tmp_path):
+    stored = spark.createDataFrame([(1, "2026-02-02", "new"), (2, "2026-01-01", "x")], "k int, day string, v string")
+    changes = spark.createDataFrame(
+        [(1, "2026-01-01", "old"), (2, "2026-01-01", "y"), (3, "2026-01-05", "a"), (3, "2026-01-04", "b")], stored.schema
+    )
+    want = [(1, "2026-02-02", "new"), (2, "2026-01-01", "y"), (3, "2026-01-05", "a")]
+    assert sorted(map(tuple, silver.upsert(stored, changes, ["k"], ["day"]).collect())) == want
+    target = str(tmp_path / "t")
+    silver.write_silver(stored, target, ["day"])
+    silver.upsert_stored(changes, target, ["k"], ["day"], str(tmp_path / "s"), ["day"])
+    assert sorted(map(tuple, silver.read_silver(spark, target, stored.schema).select("k", "day", "v").collect())) == want
+
+
+def test_a_load_without_order_keeps_one_row_of_a_key(spark, tmp_path):
+    changes = spark.createDataFrame([(1, "p", "a"), (1, "p", "b"), (1, "q", "a")], "k int, part string, v string")
+    target = str(tmp_path / "t")
+    silver.upsert_stored(changes, target, ["k"], ["part"], str(tmp_path / "s"))
+    assert [tuple(r) for r in silver.read_silver(spark, target, changes.schema).select("k", "part", "v").collect()] == [(1, "q", "a")]
+    assert [tuple(r) for r in silver.upsert(changes.limit(0), changes, ["k"]).collect()] == [(1, "q", "a")]

@@ -1,10 +1,12 @@
 import datetime as dt
+import random
 import time
 
 from pyspark.sql import functions as F
 
 from cratework.operators import bronze, contract
-from cratework.streaming import arrivals, order_events
+from cratework.plans import marts
+from cratework.streaming import arrivals, completeness, lifecycle, order_events
 
 SCHEMAS = {"ds": contract.text_schema(["id"])}
 KEY = "src/ds/ingest_date=2026-01-0{}/{}.zip"
@@ -66,3 +68,77 @@ def test_events_later_than_a_day_are_not_counted_again(spark, tmp_path):
     add((1, day), (2, day + dt.timedelta(hours=30)))
     add((1, day), (3, day + dt.timedelta(hours=7)))
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+ORDER = "customer_order_id long, event_id long, event_type string, event_ts timestamp"
+START = dt.datetime(2026, 1, 1, 9)
+
+
+def hours(n):
+    return START + dt.timedelta(hours=n)
+
+
+def lifecycles(spark, tmp_path, batches):
+    """Each batch as a file of its own, written before the next."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in batches:
+        spark.createDataFrame(rows, ORDER).coalesce(1).write.mode("append").parquet(source)
+    events = spark.readStream.schema(ORDER).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = lifecycle.lifecycle_stream(events, "customer_order_id")
+    lifecycle.keep_lifecycles(stream, out, str(tmp_path / "state")).awaitTermination()
+    return out
+
+
+def test_lifecycles_of_many_batches_equal_the_batch_operator(spark, tmp_path):
+    rng = random.Random(4)
+    kinds = marts.ORDER_EVENTS
+    rows = [(rng.choice([1, 1, 1, 2, 3, 4]), k, rng.choice(kinds), hours(rng.uniform(0, 90))) for k in range(400)]
+    batches = [[] for _ in range(5)]
+    for row in rows:  # up to 20 hours late
+        at = (row[3] - START).total_seconds() / 3600 + (20 if row[1] % 9 == 0 else 0)
+        batches[min(int(at // 20), 4)].append(row)
+    out = lifecycles(spark, tmp_path, batches)
+    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("batch_id=")]) >= 5
+    got = lifecycle.read_lifecycles(spark, out, "customer_order_id")
+    want = marts.order_lifecycle(spark.createDataFrame(rows, ORDER), "customer_order_id")
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_an_order_closes_after_a_day_and_may_open_again(spark, tmp_path):
+    out = lifecycles(
+        spark, tmp_path,
+        [[(1, 1, "confirmed", hours(0)), (2, 2, "confirmed", hours(1))], [(2, 3, "shipped", hours(40))], [(2, 4, "shipped", hours(80))],
+         [(1, 5, "cancelled", hours(90))], [(2, 6, "delivered", hours(200)), (1, 7, "late", hours(2)), (None, 8, "x", hours(201))]],
+    )
+    rows = spark.read.parquet(out)
+    assert rows.where("customer_order_id = 1 and closed").count() >= 1
+    assert rows.where("customer_order_id = 1").select("episode").distinct().count() == 2
+    got = {r.customer_order_id: (r.n_events, r.last_event) for r in lifecycle.read_lifecycles(spark, out, "customer_order_id").collect()}
+    assert got == {1: (2, "cancelled"), 2: (4, "delivered")}  # event 7 was days late
+
+
+def test_a_missing_hour_comes_out_by_itself(spark, tmp_path):
+    slots, events, out = (str(tmp_path / n) for n in ("slots", "events", "out"))
+
+    def add(folder, column, rows):
+        spark.createDataFrame(rows, f"kind string, {column} timestamp").coalesce(1).write.mode("append").parquet(folder)
+
+    for first in (0, 20, 40, 60):
+        add(slots, "slot_ts", [("a", hours(h)) for h in range(first, first + 20)])
+        seen = [h for h in range(first, first + 20) if h % 3]
+        late = [h - 15 for h in seen if h - 15 >= 0 and h % 30 == 16]  # hours that are told of late
+        add(events, "event_ts", [("a", hours(h + 0.5)) for h in seen + seen[:2] + late] + [("b", hours(first + 0.1))])
+
+    def stream(folder, column):
+        return spark.readStream.schema(f"kind string, {column} timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+
+    joined = completeness.hourly_completeness(stream(slots, "slot_ts"), stream(events, "event_ts"), "kind")
+    order_events.append_to(joined, out, out + "-state").awaitTermination()
+    got = {r.hour_start: r.n_events for r in spark.read.parquet(out).collect()}
+    assert len(got) == spark.read.parquet(out).count()
+    closed = [h for h in range(80) if hours(h) in got]
+    assert closed and closed == list(range(len(closed))) and 50 <= len(closed) <= 58  # not those of the last day
+    for h in closed:
+        twice = h % 20 in [x % 20 for x in [y for y in range(h // 20 * 20, h // 20 * 20 + 20) if y % 3][:2]]
+        extra = 1 if (h + 15) % 30 == 16 and (h + 15) % 3 and h + 15 < 80 else 0
+        assert got[hours(h)] == ((1 + twice if h % 3 else 0) + extra or None)
