@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,10 +70,16 @@ class Scratch:
     def drop(self, name: str) -> None:
         _delete(self.spark, f"{self.folder}/{name}")
 
-    def free_shuffles(self) -> None:
-        """Shuffle files go when the driver collects the plans that wrote them."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+    def free_shuffles(self, turns: int = 1) -> None:
+        """Shuffle files go when the driver collects the plans that wrote them.
+
+        On a cluster the files of the job before are let go only by the turn after next.
+        """
+        for turn in range(turns):
+            if turn:
+                time.sleep(0.5)
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
 
 
 def words(text: str | None) -> list[bytes]:

@@ -216,11 +216,13 @@ def repeated_windows(
         rows = level_docs.mapInArrow(_candidates(length, window, columns), CANDIDATES)
         if length >= window:
             later = _settle(rows, keep_first=False).groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
-            levels[length] = scratch.stage(later, f"later-{length}")
+            levels[length] = later = scratch.stage(later, f"later-{length}")
+            scratch.free_shuffles(3)
             if limit is not None and length * 2 > limit:
                 break
         survivors = _settle(rows, keep_first=True).groupBy("doc").agg(F.collect_list("pos").alias("starts"))
         survivors = scratch.stage(survivors, f"open-{length}")
+        scratch.free_shuffles(3)
         if survivors.isEmpty():
             if length < window:
                 levels[window] = survivors
