@@ -201,6 +201,11 @@ def _records(path: str) -> Iterator[tuple[bytes, bytes]]:
             yield b"".join(lines), text.read(length) + text.read(4)
 
 
+def _one_a_task(exported: DataFrame) -> DataFrame:
+    """The paths of the files, each in a task of its own: they are small, what they name is not."""
+    return exported.select("path").repartition(max(exported.count(), 1))
+
+
 def import_files(exported: DataFrame) -> DataFrame:
     """(record) of the exported files, read member by member."""
 
@@ -210,7 +215,7 @@ def import_files(exported: DataFrame) -> DataFrame:
                 for head, rest in _records(path.as_py()):
                     yield pa.RecordBatch.from_arrays([pa.array([head + rest], pa.binary())], ["record"])
 
-    return exported.select("path").repartition("path").mapInArrow(run, "record binary")
+    return _one_a_task(exported).mapInArrow(run, "record binary")
 
 
 READ = "page_id long, record_type string, refers_to long, digest string, body_bytes long, body_digest string"
@@ -254,7 +259,7 @@ def read_records(exported: DataFrame) -> DataFrame:
         if held:
             yield out(held)
 
-    return exported.select("path").repartition("path").mapInArrow(run, READ)
+    return _one_a_task(exported).mapInArrow(run, READ)
 
 
 def describe_records(records: DataFrame) -> DataFrame:
