@@ -273,14 +273,14 @@ class Model:
     odds are LEAST_WEIGHT or more.
     """
 
-    def __init__(self, letters: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float):
+    def __init__(self, letters: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float, seen: int):
         self.letters = letters
         self.prior = float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
         both = toxic + clean
         rate = np.clip(toxic / np.maximum(both, 1), 1e-12, 1 - 1e-12)
         surprise = both * (rate * np.log(rate / share) + (1 - rate) * np.log((1 - rate) / (1 - share)))
-        real = (rate > share) & (surprise > np.log(max(1, np.count_nonzero(both))))
+        real = (rate > share) & (surprise > np.log(max(1, seen)))
         weight = np.log((toxic + 0.5) / (n_toxic + 1.0)) - np.log((clean + 1.0) / (n_clean + 2.0))
         weight = np.where(real & (weight >= LEAST_WEIGHT), weight, 0).astype(np.float32)
         self.features = np.flatnonzero(both >= ENOUGH).astype(np.int32)
@@ -366,15 +366,19 @@ def fit(
     found = scratch.stage(found, "restored")
     counts = with_weights(found).mapInArrow(_count_features, "feature long, toxic double, clean double")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    rows = counts.toPandas()  # at most FEATURES + 1 rows
+    counts = scratch.stage(counts, "counts")
+    seen = counts.where("feature >= 0").count()
+    # At most FEATURES + 1 rows; features too rare for a weight are most of them.
+    rows = counts.where((F.col("feature") < 0) | (F.round(F.col("toxic") + F.col("clean"), 6) >= ENOUGH)).toPandas()
     scratch.drop("restored")
+    scratch.drop("counts")
     sums, number = np.zeros((2, FEATURES)), [0.0, 0.0]
     for k, name in enumerate(("toxic", "clean")):
         index, values = rows["feature"].to_numpy(np.int64), rows[name].to_numpy(float)
         sums[k][index[index >= 0]] = values[index >= 0]
         number[k] = float(values[index < 0].sum())
     # Sums of shares differ in their last bits from run to run, weights must not.
-    return Model(letters, sums[0].round(6), sums[1].round(6), round(number[0], 6), round(number[1], 6))
+    return Model(letters, sums[0].round(6), sums[1].round(6), round(number[0], 6), round(number[1], 6), seen)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
