@@ -270,10 +270,13 @@ class Model:
 
     A feature counts if so many of its documents would be toxic by chance with a
     probability (Chernoff bound) below one in the number of features seen, and if its log
-    odds are LEAST_WEIGHT or more.
+    odds are LEAST_WEIGHT or more. ``toxic`` and ``clean`` are the counts of ``features``, those of at least
+    ENOUGH documents; ``seen`` is the number of all.
     """
 
-    def __init__(self, letters: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float, seen: int):
+    def __init__(
+        self, letters: np.ndarray, features: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float, seen: int
+    ):
         self.letters = letters
         self.prior = float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
@@ -283,8 +286,7 @@ class Model:
         real = (rate > share) & (surprise > np.log(max(1, seen)))
         weight = np.log((toxic + 0.5) / (n_toxic + 1.0)) - np.log((clean + 1.0) / (n_clean + 2.0))
         weight = np.where(real & (weight >= LEAST_WEIGHT), weight, 0).astype(np.float32)
-        self.features = np.flatnonzero(both >= ENOUGH).astype(np.int32)
-        self.weights = weight[self.features]
+        self.features, self.weights = features.astype(np.int32), weight
 
     def scorer(self):
         """Restored text to a probability: of each word its closest known feature, of a text its three strongest words."""
@@ -372,13 +374,10 @@ def fit(
     rows = counts.where((F.col("feature") < 0) | (F.round(F.col("toxic") + F.col("clean"), 6) >= ENOUGH)).toPandas()
     scratch.drop("restored")
     scratch.drop("counts")
-    sums, number = np.zeros((2, FEATURES)), [0.0, 0.0]
-    for k, name in enumerate(("toxic", "clean")):
-        index, values = rows["feature"].to_numpy(np.int64), rows[name].to_numpy(float)
-        sums[k][index[index >= 0]] = values[index >= 0]
-        number[k] = float(values[index < 0].sum())
     # Sums of shares differ in their last bits from run to run, weights must not.
-    return Model(letters, sums[0].round(6), sums[1].round(6), round(number[0], 6), round(number[1], 6), seen)
+    index, *sums = (rows[c].to_numpy(np.int64 if c == "feature" else float).round(6) for c in ("feature", "toxic", "clean"))
+    known, number = index >= 0, [round(float(x[index < 0].sum()), 6) for x in sums]
+    return Model(letters, index[known], *(x[known] for x in sums), *number, seen)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
