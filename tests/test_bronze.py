@@ -222,8 +222,7 @@ def test_large_members_go_through_blocks(spark, tmp_path, make_zip, load, monkey
     )
 
 
-def test_markers_of_many_archives_are_checked_in_tasks(spark, tmp_path, make_zip, load, monkeypatch):
-    monkeypatch.setattr(bronze, "FOLDERS_PER_TASK", 2)
+def test_markers_of_many_archives_are_checked_in_tasks(spark, tmp_path, make_zip, load):
     for name in ("a", "b=1", "c:%", "d e"):
         make_zip(KEY.format(name), {"x.csv": b"id\n" + name.encode() + b"\n"})
     assert {r["status"] for r in load().values()} == {"complete"}
