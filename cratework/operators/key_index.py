@@ -192,7 +192,8 @@ class IndexedTable:
         def delete(row: dict) -> None:
             files.delete_tree("/".join([base, *(files.partition_dir(c, str(row[c])) for c in names)]))
 
-        files.each_row(emptied, delete)
+        if not emptied.isEmpty():
+            files.each_row(emptied, delete)
         staging.drop()
 
     def _write_index(self, staging: Staging, rows: DataFrame, touched: DataFrame) -> None:

@@ -99,6 +99,8 @@ def apply_deliveries(table: SilverTable, archives: DataFrame, rows: DataFrame) -
     days = [r["ingest_date"] for r in archives.select("ingest_date").distinct().collect()]
     before = versions.rows().where(F.col("ingest_date").isin(days)).join(archives, DELIVERY, "left_semi")
     changes = staging.write(signed_changes(before.select(*after.columns), after, identity), "changes")
+    if changes.isEmpty():
+        return changes
     touched = changes.select(*keys).distinct()
     others = versions.lookup(touched).join(changes.select(*identity), identity, "left_anti")
     put = changes.where(F.col("op") != DELETE).drop("op")

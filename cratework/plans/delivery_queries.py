@@ -829,7 +829,7 @@ def silver_reland(spark: SparkSession, sf: str) -> DataFrame:
 
     kept = typed(spark.createDataFrame([], ORDER_SCHEMA).withColumns({c: F.lit("") for c in retraction.DELIVERY}))
     table_ = retraction.SilverTable(
-        spark, fresh_folder(spark, "reland"), kept.drop(*retraction.DELIVERY).schema, ("o_orderkey",), (), ("order_year",), buckets=8
+        spark, fresh_folder(spark, "reland"), kept.drop(*retraction.DELIVERY).schema, ("o_orderkey",), (), ("order_year",), buckets=2
     )
 
     def deliver(rows: DataFrame, day: str, run: str) -> dict[str, int]:

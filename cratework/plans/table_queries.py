@@ -216,7 +216,7 @@ def upsert_indexed(spark, sf):
         F.lit(0).cast("decimal(18,2)").alias("total"), F.lit("late").alias("state"),
         version(F.min("l_shipdate") - F.expr("INTERVAL 4000 DAYS")).alias("version"),
     ).withColumn("year", F.substring("version", 1, 4))
-    indexed = IndexedTable(spark, fresh_folder(spark, "indexed"), stored.schema, ("o_orderkey",), ("year",), buckets=8)
+    indexed = IndexedTable(spark, fresh_folder(spark, "indexed"), stored.schema, ("o_orderkey",), ("year",), buckets=2)
     for changes in (stored, shipped, late):
         indexed.upsert(changes, ["version"])
     return indexed.rows().drop("version")
