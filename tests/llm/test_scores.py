@@ -141,3 +141,21 @@ def test_restores_signs_at_the_end_and_mixed_spellings(session):
         assert restorer.restore(same) == same
     assert restorer.restore("THE!! house") == "the!! house"
     assert restorer.restore("the a$$$ and") == "the a$$$ and"
+
+
+def test_labelled_copies_share_one_weight_and_none_is_dropped(session):
+    """Copies that are 80 % alike weigh as one document; texts that share a passage weigh in full."""
+    rng = random.Random(6)
+    base, passage = sentence(rng, 100), sentence(rng, 30)
+    rows = [(1, base, 1), (2, base, 0), (3, base + " end", 1), (4, sentence(rng, 80), 0)]
+    rows += [(10 + k, sentence(rng, 60) + " " + passage + " " + sentence(rng, 60), 1) for k in range(6)]
+    found = toxicity.with_weights(session.createDataFrame(rows, "doc_id long, text string, label int")).collect()
+    weight = {(r.text, r.label): r.weight for r in found}
+    assert len(found) == len(rows)
+    assert [round(weight[t, y], 6) for _, t, y in rows] == [round(1 / 3, 6)] * 3 + [1.0] * 7
+
+
+def test_labelled_texts_do_not_depend_on_the_run(session, make_docs):
+    docs = make_docs([(1, "b"), (1, "a"), (2, None), (2, "c"), (3, None), (4, "x")])
+    sample = session.createDataFrame([(1, 0), (2, 1), (3, 1), (9, 0)], "doc_id long, label int")
+    assert sorted(map(tuple, quality.labelled_texts(docs, sample).select("doc_id", "text", "label").collect())) == [(1, "a", 0), (2, "c", 1), (3, None, 1)]
