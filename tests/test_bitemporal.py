@@ -54,6 +54,35 @@ def test_rectangles_are_disjoint_and_few():
             assert hit == ([max(known)[2]] if known else [])
 
 
+def test_rectangles_equal_those_made_row_by_row(spark):
+    """No task but Spark's own works on a key; a price that is null is known too, and ends what was."""
+    rng = random.Random(4)
+    prices = {(p, rng.randrange(0, 60, 3), rng.randrange(0, 90, 5)): rng.choice([None, *range(9)]) for p in "abc" for _ in range(60)}
+    rows = spark.createDataFrame([(p, "y", day(v), moment(k), x) for (p, v, k), x in prices.items()], PRICES)
+    found = bitemporal.price_rectangles(rows, ["product", "zone"])
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    wanted = []
+    for product in "abc":
+        held = sorted(((k, v, x) for (p, v, k), x in prices.items() if p == product), key=lambda r: r[:2])
+        for n, a, b, c, d in bitemporal._split([v for _, v, _ in held], [k for k, _, _ in held]):
+            wanted.append((product, "y", day(a), day(b), moment(c), moment(d), held[n][2]))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, wanted))
+
+
+def test_keys_with_many_rectangles_are_looked_up_by_bucket(spark, monkeypatch):
+    rng = random.Random(7)
+    prices = [("a", "y", rng.randrange(0, 900, 7), rng.randrange(0, 400, 5), rng.randrange(99)) for _ in range(200)]
+    prices += [("b", "y", 3, 4, 1), (None, "y", 3, 4, 1)]
+    asked = [(rng.choice("aab"), "y", rng.randrange(-5, 950), rng.randrange(-5, 420)) for _ in range(300)]
+    asked += [("a", "y", None, 3), ("a", "y", 3, None), (None, "y", 9, 9)]
+    rows = spark.createDataFrame([(p, z, day(v), moment(k), x) for p, z, v, k, x in prices], PRICES)
+    facts = spark.createDataFrame([(n, p, z, day(d), moment(k), "own") for n, (p, z, d, k) in enumerate(asked)], FACTS)
+    rectangles = bitemporal.price_rectangles(rows, ["product", "zone"])
+    monkeypatch.setattr(bitemporal, "MANY_RECTANGLES", 8)
+    found = bitemporal.price_as_known(facts, rectangles, ["product", "zone"], "day", "known")
+    assert {r.n: r.price_as_known for r in found.collect()} == {n: plain(prices, *q) for n, q in enumerate(asked)}
+
+
 def test_empty(spark):
     rectangles = bitemporal.price_rectangles(spark.createDataFrame([], PRICES), ["product", "zone"])
     assert rectangles.count() == 0
