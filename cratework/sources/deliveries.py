@@ -7,11 +7,11 @@ streamed to its file by the one task that holds its sorted lines.
 from __future__ import annotations
 
 import contextlib
-import itertools
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +27,26 @@ def csv_line(*columns: Column) -> Column:
     return F.concat_ws(",", *quoted)
 
 
+# Deflate level of packed members.
+FAST = 1
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """(start, stop) of neighbouring rows of one archive and member; rows without either stand alone."""
+    n = batch.num_rows
+    if not n:
+        return
+    changes = [pc.fill_null(pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, n - 1)), True) for c in ("archive", "member")]
+    starts = [0, *(i + 1 for i in pc.indices_nonzero(pc.or_(*changes)).to_pylist())]
+    yield from zip(starts, [*starts[1:], n])
+
+
+def _joined(texts: pa.Array, sep: str) -> bytes:
+    """Texts as one, in UTF-8."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+    return pc.binary_join(whole, sep)[0].as_buffer().to_pybytes()
+
+
 def pack_archives(lines: DataFrame, root: str) -> DataFrame:
     """Write archives and return (archive, members, lines) of each.
 
@@ -41,29 +61,27 @@ def pack_archives(lines: DataFrame, root: str) -> DataFrame:
             current: tuple = (None, None)
             tail, empty = b"", True
             for batch in batches:
-                archives, members = batch.column("archive").to_pylist(), batch.column("member").to_pylist()
-                lines = batch.column("line").to_pylist()
-                for key, run in itertools.groupby(range(batch.num_rows), lambda i: (archives[i], members[i])):
-                    at = list(run)
-                    head, sep, end = (batch.column(c)[at[0]].as_py().encode() for c in ("head", "sep", "tail"))
-                    if key != current:
+                for start, stop in _runs(batch):
+                    archive, member, head, sep, end = (batch.column(c)[start].as_py() for c in ("archive", "member", "head", "sep", "tail"))
+                    if (archive, member) != current:
                         if entry is not None:
                             entry.write(tail)
                             entry.close()
-                        if key[0] != current[0]:
+                        if archive != current[0]:
                             archive_files.close()
-                            out = archive_files.enter_context(files.open_output(f"{root}/{key[0]}"))
+                            out = archive_files.enter_context(files.open_output(f"{root}/{archive}"))
                             zipped = archive_files.enter_context(zipfile.ZipFile(out, "w"))
-                            done.append({"archive": key[0], "members": 0, "lines": 0})
-                        info = zipfile.ZipInfo(key[1], (2000, 1, 1, 0, 0, 0))
+                            done.append({"archive": archive, "members": 0, "lines": 0})
+                        info = zipfile.ZipInfo(member, (2000, 1, 1, 0, 0, 0))
                         info.compress_type = zipfile.ZIP_DEFLATED
+                        info.compress_level = FAST  # one task packs an archive, however large
                         entry = zipped.open(info, "w", force_zip64=True)
-                        entry.write(head)
+                        entry.write(head.encode())
                         done[-1]["members"] += 1
-                        current, tail, empty = key, end, True
-                    texts = [lines[i].encode() for i in at if lines[i] is not None]
-                    if texts:
-                        entry.write((b"" if empty else sep) + sep.join(texts))
+                        current, tail, empty = (archive, member), end.encode(), True
+                    texts = batch.column("line").slice(start, stop - start).drop_null()
+                    if len(texts):
+                        entry.write((b"" if empty else sep.encode()) + _joined(texts, sep))
                         done[-1]["lines"] += len(texts)
                         empty = False
             if entry is not None:

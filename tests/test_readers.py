@@ -213,3 +213,40 @@ def test_records_become_the_columns_arrow_would_make(rows_in):
     if want is not None and rows_in[0]:
         assert got.schema.equals(want.schema)
         assert got.to_pylist() == want.to_pylist()
+
+
+@pytest.mark.parametrize("between", [",", ",\n", " ,\n  "])
+@pytest.mark.parametrize("chunk", [16, 300, 5000])
+def test_json_records_in_runs_are_the_same_one_by_one(monkeypatch, between, chunk):
+    """Ends of records inside texts and nested lists are no ends, wherever the text is cut."""
+    monkeypatch.setattr(readers, "JSON_CHUNK", chunk)
+    record = '{{"id":{0},"price":{0}.10,"text":"}}{1}{{","parts":[{{"a":1.50}}{2}{{"a":"\\u00e9,\\"}}"}}]}}'
+    text = "[" + between.join(record.format(i, between.replace("\n", "\\n"), between) for i in range(200)) + "]"
+    found = list(readers.json_values(io.BytesIO(text.encode())))
+    assert found == json.loads(text, parse_int=str, parse_float=str)
+    for broken in (text[:-1] + ",]", text.replace('"id":150', '"id":,150'), text[:-1], text + "x"):
+        with pytest.raises(json.JSONDecodeError):
+            list(readers.json_values(io.BytesIO(broken.encode())))
+
+
+def test_a_small_json_member_of_several_batches_is_parsed_once(monkeypatch):
+    calls = []
+    values = readers.json_values
+    monkeypatch.setattr(readers, "json_values", lambda stream: calls.append(1) or values(stream))
+    monkeypatch.setattr(readers, "JSON_CHUNK", 640)
+
+    def read(records, held=1 << 20):
+        calls.clear()
+        monkeypatch.setattr(readers, "JSON_HELD", held)
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as archive:
+            archive.writestr("a.json", json.dumps(records))
+        with zipfile.ZipFile(packed) as archive:
+            schema, batches = readers.read_member(archive, archive.infolist()[0])
+            return [row for batch in batches for row in batch.to_pylist()], schema
+
+    plain = [{"a": str(i), "b": "x"} for i in range(50)]
+    assert read(plain)[0] == plain and len(calls) == 1
+    assert read(plain, held=100)[0] == plain and len(calls) == 2
+    gaps = [{"a": str(i), "b": None, "c": None} if i < 25 else {"a": str(i), "b": "y"} for i in range(50)]
+    assert read(gaps)[0] == [{**{"b": None, "c": None}, **r} for r in gaps] and len(calls) == 2
