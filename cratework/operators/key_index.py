@@ -111,6 +111,8 @@ class IndexedTable:
         places = F.array(*[F.pmod(self._hash(2 + k), F.lit(BITS)) for k in range(PROBES)])
         # As columns, so that the hashes are not computed once for each folder.
         wanted = wanted.select(BUCKET, "slice", F.struct(*self.keys).alias("key"), places.alias("places"))
+        # Bytes as numbers once for each index row, not for each key that meets it.
+        index = index.withColumn("bits", _bytes("bits"))
         both = index.join(wanted, [BUCKET, "slice"]).where((F.col("key") >= F.col("low")) & (F.col("key") <= F.col("high")))
         return both.where(F.forall("places", lambda p: _bit("bits", p) == 1)).select(*self.folder_columns).distinct()
 
@@ -219,10 +221,16 @@ class IndexedTable:
         staging.drop()
 
 
-def _bit(bitmap: str, place: Column) -> Column:
-    """One bit of a bitmap as Spark lays it out: lowest bit of the first byte first."""
-    byte = F.conv(F.hex(F.substring(F.col(bitmap), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))).cast("int") % 2
+def _bytes(bitmap: str) -> Column:
+    """A bitmap's bytes as an array of numbers."""
+    return F.transform(
+        F.sequence(F.lit(1), F.length(bitmap)), lambda i: F.conv(F.hex(F.substring(F.col(bitmap), i, F.lit(1))), 16, 10).cast("short")
+    )
+
+
+def _bit(numbers: str, place: Column) -> Column:
+    """One bit of a bitmap's bytes as Spark lays it out: lowest bit of the first byte first."""
+    return F.getbit(F.get(F.col(numbers), F.shiftright(place, 3).cast("int")), F.pmod(place, F.lit(8)).cast("int"))
 
 
 def _with_keys(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:

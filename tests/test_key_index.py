@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cratework.operators import key_index
 from cratework.operators.key_index import IndexedTable
 
 SCHEMA = T.StructType().add("k", "long").add("name", "string").add("value", "string").add("day", "string").add("version", "integer")
@@ -113,3 +114,12 @@ def test_without_partition_columns(spark, tmp_path):
     table.upsert(spark.createDataFrame([(k, "a", "x", None, 1) for k in range(20)], SCHEMA), ["version"])
     table.upsert(spark.createDataFrame([(3, "a", "y", None, 1)], SCHEMA), ["version"])
     assert [r[2] for r in content(table)].count("y") == 1 and table.rows().count() == 20
+
+
+def test_bits_of_a_bitmap(spark):
+    """Bytes become numbers once for each bitmap; every place is the bit that Spark set there."""
+    places = {0, 1, 7, 8, 14, 4095, 32760, 32767}
+    made = spark.createDataFrame([(p,) for p in places], "place long").agg(F.bitmap_construct_agg("place").alias("bits"))
+    bits = made.select(key_index._bytes("bits").alias("bits")).crossJoin(spark.range(32768))
+    found = bits.where(key_index._bit("bits", F.col("id")) == 1)
+    assert {r.id for r in found.select("id").collect()} == places
