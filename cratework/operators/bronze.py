@@ -45,6 +45,8 @@ MANIFEST = "member_manifest"
 QUARANTINE = "quarantine"
 PARTITIONS = ("ingest_date", "zip_name", "schema_status")
 SIDE_BY_SIDE = 4
+# Up to so many archives without marker are named in a filter.
+FEW_UNFINISHED = 64
 
 MANIFEST_COLUMNS = (
     "path",
@@ -598,8 +600,9 @@ def read_bronze(
 ) -> DataFrame:
     """Rows of complete archives, of the given dates.
 
-    A partition filter leaves out quarantined files; other dates are not even listed. Where there
-    are archives without marker, an anti join on the partition columns drops their rows.
+    A partition filter leaves out quarantined files; other dates are not even listed. Archives without
+    marker are left out by a filter too, so none of their files is read; where there are many, an anti join
+    on the partition columns drops their rows.
     """
     base = f"{bronze}/{source}/{dataset}"
     full = T.StructType(
@@ -614,7 +617,13 @@ def read_bronze(
         return spark.createDataFrame([], full)
     # Written, so that its size is known when the join is planned.
     unfinished = Staging(spark, "unfinished").write(unfinished_archives(spark, base, dates), "archives")
-    return rows if unfinished.isEmpty() else rows.join(unfinished, ["ingest_date", "zip_name"], "left_anti").select(*full.names)
+    few = unfinished.limit(FEW_UNFINISHED + 1).collect()
+    if not few:
+        return rows
+    if len(few) > FEW_UNFINISHED:
+        return rows.join(unfinished, ["ingest_date", "zip_name"], "left_anti").select(*full.names)
+    same = [(F.col("ingest_date") == r["ingest_date"]) & (F.col("zip_name") == r["zip_name"]) for r in few]
+    return rows.where(F.coalesce(~functools.reduce(Column.__or__, same), F.lit(True)))
 
 
 def quarantine_rows(spark: SparkSession, bronze: str, manifest: DataFrame) -> DataFrame:

@@ -416,3 +416,17 @@ def test_quarantine_files_of_lost_attempts_go(spark, tmp_path, make_zip, load, m
     found = list((tmp_path / "bronze").rglob("schema_status=invalid/*.parquet"))
     assert len(found) == 1 and "lost" not in found[0].name
     assert spark.read.parquet(str(found[0])).count() == 2
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_unfinished_archives_are_left_out_by_filter_or_join(spark, tmp_path, make_zip, load, monkeypatch, few):
+    monkeypatch.setattr(bronze, "FEW_UNFINISHED", few)
+    odd = "a b%=1"
+    for name in ("a", "b", odd):
+        make_zip(KEY.format(name), {"a.csv": b"id\n1\n"})
+    load()
+    for marker in (tmp_path / "bronze" / "src" / "ds").rglob("_SUCCESS"):
+        if "zip_name=b" not in str(marker):
+            marker.unlink()
+    rows = bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"], ["2026-01-01"])
+    assert [r.zip_name for r in rows.collect()] == ["b"] and rows.columns[0] == "id"
