@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -653,11 +654,8 @@ def stream_dedupe_window(spark, sf):
 ARRIVALS = 5
 
 
-def _arriving(spark: SparkSession, sf: str, folder: str) -> DataFrame:
-    """The events as files that arrive one after the other: some up to 20 hours late, some twice.
-
-    Files are written in order of arrival, so a stream that takes one at a time sees that many batches.
-    """
+def _arrivals(spark: SparkSession, sf: str) -> Iterator[DataFrame]:
+    """The events in spans of arrival, one after the other: some up to 20 hours late, some twice."""
     events = table(spark, sf, "events").select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("event_ts"))
     late = F.when(F.col("event_id") % 10 == 0, F.expr("INTERVAL 20 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
     once = events.withColumn("arrival", F.col("event_ts") + late)
@@ -666,12 +664,7 @@ def _arriving(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     span = every.agg(F.min(F.unix_micros("arrival")).alias("lo"), F.max(F.unix_micros("arrival")).alias("hi")).first()
     part = F.floor((F.unix_micros("arrival") - span["lo"]) * ARRIVALS / (span["hi"] - span["lo"] + 1))
     for k in range(ARRIVALS):
-        every.where(part == k).drop("arrival").write.mode("append").parquet(folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _files_a_batch(spark, folder)).parquet(folder)
-
-
-def _files_a_batch(spark: SparkSession, folder: str) -> int:
-    return max(1, len(spark.read.parquet(folder).inputFiles()) // ARRIVALS)
+        yield every.where(part == k).drop("arrival")
 
 
 @query(f"""SELECT user_id, COUNT(*)::BIGINT AS n_events, MAX_BY(event_type, (ts, event_id)) AS last_event,
@@ -681,12 +674,16 @@ FROM events GROUP BY user_id""")
 def stream_lifecycle(spark, sf):
     """order_lifecycle from a stream of several batches with late and repeated events."""
     folder = fresh_folder(spark, "lifecycle")
-    events = _arriving(spark, sf, f"{folder}/arrived")
-    once = order_events.dedupe_events(events, ["event_id"])
-    order_events.append_to(once, f"{folder}/once", f"{folder}/once-checkpoint").awaitTermination()
-    each = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _files_a_batch(spark, f"{folder}/once"))
-    stream = lifecycle.lifecycle_stream(each.parquet(f"{folder}/once"), "user_id", EVENT_KINDS)
-    lifecycle.keep_lifecycles(stream, f"{folder}/cycles", f"{folder}/cycles-checkpoint").awaitTermination()
+    for arrived in _arrivals(spark, sf):
+        # Both streams take up where they stopped: all files of an arrival are one batch, however many they are. A batch that
+        # took some of them only would let the clock pass the others.
+        arrived.write.mode("append").parquet(f"{folder}/arrived")
+        events = spark.readStream.schema(arrived.schema).parquet(f"{folder}/arrived")
+        once = order_events.dedupe_events(events, ["event_id"])
+        order_events.append_to(once, f"{folder}/once", f"{folder}/once-checkpoint").awaitTermination()
+        each = spark.readStream.schema(arrived.schema).parquet(f"{folder}/once")
+        stream = lifecycle.lifecycle_stream(each, "user_id", EVENT_KINDS)
+        lifecycle.keep_lifecycles(stream, f"{folder}/cycles", f"{folder}/cycles-checkpoint").awaitTermination()
     cycle = lifecycle.read_lifecycles(spark, f"{folder}/cycles", "user_id", EVENT_KINDS)
     times = ["last_ts", *[f"first_{k}" for k in EVENT_KINDS]]
     return cycle.withColumns({c: F.date_format(c, TS) for c in times})

@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from cratework.operators import bronze, contract
-from cratework.plans import marts
+from cratework.plans import marts, table_queries
 from cratework.streaming import arrivals, completeness, lifecycle, order_events
 
 SCHEMAS = {"ds": contract.text_schema(["id"])}
@@ -142,3 +142,27 @@ def test_a_missing_hour_comes_out_by_itself(spark, tmp_path):
         twice = h % 20 in [x % 20 for x in [y for y in range(h // 20 * 20, h // 20 * 20 + 20) if y % 3][:2]]
         extra = 1 if (h + 15) % 30 == 16 and (h + 15) % 3 and h + 15 < 80 else 0
         assert got[hours(h)] == ((1 + twice if h % 3 else 0) + extra or None)
+
+
+def test_orders_that_share_a_state_row_close_one_by_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lifecycle, "STATE_BUCKETS", 1)
+    out = lifecycles(
+        spark, tmp_path,
+        [[(k, k, "confirmed", hours(k)) for k in range(20)], [(k, 100 + k, None, hours(40 + k)) for k in range(0, 20, 2)],
+         [(3, 200, "shipped", hours(110)), (4, 201, "shipped", hours(111))]],
+    )
+    rows = spark.read.parquet(out)
+    # Order 4 goes on before its time is up, order 3 afterwards.
+    assert {r[0] for r in rows.where("closed").select("customer_order_id").collect()} == set(range(20)) - {4}
+    episodes = rows.groupBy("customer_order_id").agg(F.countDistinct("episode").alias("n"))
+    assert [r[0] for r in episodes.where("n > 1").collect()] == [3]
+    got = {r.customer_order_id: (r.n_events, r.last_event) for r in lifecycle.read_lifecycles(spark, out, "customer_order_id").collect()}
+    assert got == {k: {3: (2, "shipped"), 4: (3, "shipped")}.get(k, (1, "confirmed") if k % 2 else (2, None)) for k in range(20)}
+
+
+def test_no_event_is_late_because_arrivals_have_unlike_numbers_of_files(spark, tmp_path):
+    rows = [(k, START + dt.timedelta(minutes=20 * k), k % 7, "view", 1.0, "{}") for k in range(2160)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.repartitionByRange(7, "ts").write.parquet(str(tmp_path / "events.parquet"))
+    found = table_queries.QUERIES["stream_lifecycle"][0](spark, str(tmp_path))
+    assert found.agg(F.sum("n_events")).first()[0] == len(rows)
