@@ -136,13 +136,17 @@ LEFT JOIN lineitem ON l_orderkey = o_orderkey""")
 def flatten_order_lines(spark, sf):
     """Nested lines of an order as rows; an order without lines keeps one row."""
     lines = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        F.array(F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity"))).alias("lines"),
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity")
     )
     orders = table(spark, sf, "orders").select("o_orderkey")
-    # Not one left join: a hot order on its right side could not be split.
-    childless = orders.join(lines.select("o_orderkey").distinct(), "o_orderkey", "left_anti")
-    nested = lines.join(orders, "o_orderkey").unionByName(childless, allowMissingColumns=True)
+    # Not one left join: a hot order on its right side could not be split. Lines are nested after they met their order, and
+    # orders without any are found by one sum instead of sorts: both take less of a task's memory.
+    both = orders.withColumn("n", F.lit(1)).unionByName(lines.where("o_orderkey is not null").select("o_orderkey", F.lit(None).cast("int").alias("n")))
+    counted = both.groupBy("o_orderkey").agg(F.count("n").alias("n"), F.count("*").alias("n_rows")).where("n = n_rows")
+    childless = counted.select("o_orderkey", F.explode(F.sequence(F.lit(1), "n"))).select("o_orderkey")
+    known = lines.join(orders, "o_orderkey")
+    nested = known.select("o_orderkey", F.array(F.struct("l_linenumber", "l_partkey", "l_quantity")).alias("lines"))
+    nested = nested.unionByName(childless, allowMissingColumns=True)
     return silver.explode_struct(nested, "lines", ["o_orderkey"])
 
 

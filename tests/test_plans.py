@@ -69,3 +69,14 @@ def test_only_bounded_windows(spark):
         for arguments in re.findall(r"\) Window\nInput.*\nArguments: (.*)", plan):
             keys = re.findall(r"\], \[([^\]]*)\], \[", arguments)
             assert keys and all(keys), name
+
+
+def test_orders_without_lines_are_found_without_a_sort(spark, tmp_path):
+    lines = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double"
+    spark.createDataFrame([(1, 5, 1, 2.0), (1, 6, 2, 3.0), (9, 7, 1, 1.0), (None, 8, 1, 1.0)], lines).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1,), (2,), (2,), (None,), (3,)], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    df = entry.queries()["flatten_order_lines"](spark, str(tmp_path))
+    got = sorted(map(str, map(tuple, df.collect())))
+    want = [(1, 1, 5, 2), (1, 2, 6, 3), (2, None, None, None), (2, None, None, None), (3, None, None, None), (None, None, None, None)]
+    assert got == sorted(map(str, want))
+    assert "LeftAnti" not in plan_of(df)
