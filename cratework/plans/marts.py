@@ -76,18 +76,19 @@ def sell_in(
             "batch_id", "batch_number", "expiry_date", "product_id", "gtin", "product_name", "brand_name", "dosage_form_name"
         )
     )
-    return (
+    # Orders, not the many more facts, meet their places.
+    ordered = customer_order.select("customer_order_id", "order_number", "customer_id", "customer_warehouse_id").join(
+        place, "customer_warehouse_id", "left"
+    )
+    facts = (
         shipment_item.select("shipment_item_id", "shipment_id", "order_item_id", "batch_id", "shipped_quantity")
         .join(shipment.select("shipment_id", "shipment_number", "ship_timestamp"), "shipment_id", "left")
         .join(order_item.select("order_item_id", "customer_order_id", "price_list_id"), "order_item_id", "left")
-        .join(
-            customer_order.select("customer_order_id", "order_number", "customer_id", "customer_warehouse_id"),
-            "customer_order_id",
-            "left",
-        )
-        .join(place, "customer_warehouse_id", "left")
+        .join(ordered, "customer_order_id", "left")
         .join(goods, "batch_id", "left")
     )
+    first = ["batch_id", "customer_warehouse_id", "customer_order_id"]
+    return facts.select(*first, *[c for c in facts.columns if c not in first])
 
 
 def territory_rollup(sales: DataFrame, amount: str = "amount", lines: str | None = None) -> DataFrame:

@@ -80,3 +80,9 @@ def test_orders_without_lines_are_found_without_a_sort(spark, tmp_path):
     want = [(1, 1, 5, 2), (1, 2, 6, 3), (2, None, None, None), (2, None, None, None), (3, None, None, None), (None, None, None, None)]
     assert got == sorted(map(str, want))
     assert "LeftAnti" not in plan_of(df)
+
+
+def test_orders_meet_their_places_before_the_shipped_lines_do(spark):
+    plan = entry.queries()["sell_in_mart"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join LeftOuter, \((\w+)#", plan)
+    assert joins.index("customer_order_id") < joins.index("customer_warehouse_id")  # the outer one comes first
