@@ -111,7 +111,8 @@ def price_as_known(
     last = facts.agg(F.max(day).cast("date")).scalar()
     # Days before valid_to; open ends go as far as anybody asks.
     end = F.coalesce(F.least(F.date_sub("valid_to", 1), last), last)
-    held = F.count("*").over(Window.partitionBy(*keys)) > MANY_RECTANGLES
+    whole = Window.partitionBy(*keys).orderBy("valid_from").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = F.count("*").over(whole) > MANY_RECTANGLES
     touched = F.when(F.col("_held"), F.sequence(bucket("valid_from"), bucket(end))).otherwise(F.array(F.lit(None).cast("bigint")))
     parts = rectangles.withColumn("_held", held).where(F.col("valid_from") <= last).withColumn("_bucket", F.explode(touched))
     parts = parts.select(
