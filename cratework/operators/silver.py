@@ -87,12 +87,22 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
     task first, so no key can be hot. A change whose key has a null part stops the job: it could
     never be found again.
     """
+    last = last_changes(changes, keys, order)
+    return _with_changes(target, last, keys, order)
+
+
+def last_changes(changes: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """The change of each key that counts, see ``upsert``; a key with a null part stops the job."""
     null_key = functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     checked = F.when(null_key, F.raise_error(F.lit(f"upsert: a change has no {', '.join(keys)}").cast("string")))
     changes = changes.where(F.coalesce(checked.cast("boolean"), F.lit(True)))
     order = order or []
     rest = [c for c in changes.columns if c not in keys and c not in order]
-    last = latest_per_key(changes, keys, [*order, *rest]) if order or rest else changes.distinct()
+    return latest_per_key(changes, keys, [*order, *rest]) if order or rest else changes.distinct()
+
+
+def _with_changes(target: DataFrame, last: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    """``upsert`` with one change of a key at most."""
     if order and set(order) <= set(target.columns):
         both = target.withColumn("_new", F.lit(0)).unionByName(last.select(*target.columns).withColumn("_new", F.lit(1)))
         return latest_per_key(both, keys, [*order, "_new"]).drop("_new")
@@ -149,22 +159,24 @@ def upsert_stored(
     """Apply changes to a stored Parquet table; only partitions that they touch are written again.
 
     Touched are the partitions of the changes and those that hold their keys now (a key may move). The
-    new content of these goes to ``staging`` (a fresh folder) first and then replaces them; a
+    new content of these goes to ``staging`` (a fresh folder) first, after the changes, and then replaces them; a
     partition that loses its last row is deleted. Partition values must not be null.
     """
     spark = changes.sparkSession
-    rest = [c for c in changes.columns if c not in keys and c not in (order or [])]
-    last = latest_per_key(changes, keys, [*(order or []), *rest])
+    last = last_changes(changes, keys, order)
     if not files.glob(spark, f"{target}/*"):
-        write_silver(upsert(last.limit(0), last, keys, order), target, partition_by)
+        write_silver(last, target, partition_by)
         return
+    # Written once, since it is read several times.
+    last.write.parquet(f"{staging}/changes")
+    last = spark.read.schema(changes.schema).parquet(f"{staging}/changes")
     stored = spark.read.schema(changes.schema).parquet(target)
     touched = last.select(*partition_by).union(stored.join(last.select(*keys), keys, "left_semi").select(*partition_by))
     touched = touched.distinct().persist()
     try:
         part = stored.join(touched, partition_by, "left_semi")
-        upsert(part, last, keys, order).write.parquet(staging)
-        new = spark.read.schema(changes.schema).parquet(staging)
+        _with_changes(part, last, keys, order).write.parquet(f"{staging}/rows")
+        new = spark.read.schema(changes.schema).parquet(f"{staging}/rows")
         emptied = touched.join(new.select(*partition_by).distinct(), partition_by, "left_anti").persist()
         emptied.count()
         write_silver(new, target, partition_by)

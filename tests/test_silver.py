@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from cratework.operators import history, silver
@@ -130,3 +131,24 @@ def test_a_load_without_order_keeps_one_row_of_a_key(spark, tmp_path):
     silver.upsert_stored(changes, target, ["k"], ["part"], str(tmp_path / "s"))
     assert [tuple(r) for r in silver.read_silver(spark, target, changes.schema).select("k", "part", "v").collect()] == [(1, "q", "a")]
     assert [tuple(r) for r in silver.upsert(changes.limit(0), changes, ["k"]).collect()] == [(1, "q", "a")]
+
+
+def test_a_stored_upsert_computes_its_changes_once(spark, tmp_path):
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(len(batch))
+            yield batch
+
+    target = str(tmp_path / "t")
+    for run, rows in enumerate(([(1, "p", "a"), (2, "p", "a"), (3, "q", "a")], [(1, "q", "b"), (1, "q", "a"), (3, "p", "c")])):
+        given = spark.createDataFrame(rows, "k int, part string, v string")
+        silver.upsert_stored(given.mapInPandas(count, given.schema), target, ["k"], ["part"], str(tmp_path / f"s{run}"))
+    assert computed.value == 6
+    got = silver.read_silver(spark, target, given.schema).select("k", "part", "v")
+    assert sorted(map(tuple, got.collect())) == [(1, "q", "b"), (2, "p", "a"), (3, "p", "c")]
+    with pytest.raises(Exception, match="a change has no k"):
+        bad = spark.createDataFrame([(None, "p", "x")], given.schema)
+        silver.upsert_stored(bad, target, ["k"], ["part"], str(tmp_path / "s2"))
+    assert got.count() == 3
