@@ -8,23 +8,25 @@ from __future__ import annotations
 
 import contextlib
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cratework import files
 
 
-def csv_line(*columns: Column) -> Column:
-    """One CSV line; every field quoted, null as an empty field."""
-    quoted = [
-        F.concat(F.lit('"'), F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
-        for c in columns
-    ]
-    return F.concat_ws(",", *quoted)
+def csv_line(*columns: Column, plain: Container[int] = ()) -> Column:
+    """One CSV line; every field quoted, null as an empty field.
+
+    ``plain``: positions of columns whose text has no quotes, such as numbers.
+    """
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    quoted = [t if i in plain else F.replace(t, F.lit('"'), F.lit('""')) for i, t in enumerate(texts)]
+    return F.concat(F.lit('"'), F.concat_ws('","', *quoted), F.lit('"'))
 
 
 # Deflate level of packed members.
@@ -106,13 +108,14 @@ def as_csv(
 ) -> DataFrame:
     """Lines of CSV members with a header."""
     head = ",".join(names or columns) + "\n"
+    plain = {i for i, field in enumerate(df.select(*columns).schema) if isinstance(field.dataType, T.NumericType)}
     return df.select(
         archive.alias("archive"),
         member.alias("member"),
         F.lit(head).alias("head"),
         F.lit("\n").alias("sep"),
         F.lit("\n").alias("tail"),
-        csv_line(*[F.col(c) for c in columns]).alias("line"),
+        csv_line(*[F.col(c) for c in columns], plain=plain).alias("line"),
     )
 
 

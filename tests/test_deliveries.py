@@ -1,5 +1,7 @@
 import zipfile
 
+from pyspark.sql import functions as F
+
 from cratework.sources import deliveries
 
 LINES = "archive string, member string, head string, sep string, tail string, line string"
@@ -25,3 +27,16 @@ def test_runs_of_a_batch():
     batch = pa.RecordBatch.from_pydict({"archive": ["a", "a", "a", "b", None, None], "member": ["x", "x", "y", "y", "y", "y"]})
     assert list(deliveries._runs(batch)) == [(0, 2), (2, 3), (3, 4), (4, 5), (5, 6)]
     assert list(deliveries._runs(batch.slice(0, 0))) == []
+
+
+def test_csv_lines_look_for_quotes_in_texts_only(spark):
+    df = spark.createDataFrame(
+        [(1, 1.5, 'a"b', "", True), (None, None, None, None, None), (-2, float("nan"), ",", '""', False)],
+        "n bigint, d double, t string, u string, b boolean",
+    )
+    lines = deliveries.as_csv(df, F.lit("f/a.zip"), F.lit("m.csv"), df.columns)
+    assert [r["line"] for r in lines.collect()] == [
+        '"1","1.5","a""b","","true"', '"","","","",""', '"-2","NaN",",","""""","false"',
+    ]
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("replace(") == 3
+    assert spark.range(1).select(deliveries.csv_line(F.lit('"'), F.lit(7), plain={1})).first()[0] == '"""","7"'

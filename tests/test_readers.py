@@ -250,3 +250,30 @@ def test_a_small_json_member_of_several_batches_is_parsed_once(monkeypatch):
     assert read(plain, held=100)[0] == plain and len(calls) == 2
     gaps = [{"a": str(i), "b": None, "c": None} if i < 25 else {"a": str(i), "b": "y"} for i in range(50)]
     assert read(gaps)[0] == [{**{"b": None, "c": None}, **r} for r in gaps] and len(calls) == 2
+
+
+@pytest.mark.parametrize(
+    "data, opened",
+    [
+        (b"id,b\n1,2\n", 2),
+        (b'\xef\xbb\xbf"id","b"\n1,2\n', 2),
+        (b"id,id\n1,2\n", 2),
+        (b'"i,d",b\n1,2\n', 3),
+        (b'"i""d",b\n1,2\n', 3),
+        (b'"i\nd",b\n1,2\n', 3),
+    ],
+)
+def test_csv_with_a_plain_header_is_parsed_once(monkeypatch, data, opened):
+    seen = []
+    plain = zipfile.ZipFile.open
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        archive.writestr("a.csv", data)
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, *args, **more: seen.append(1) or plain(self, *args, **more))
+    archive = zipfile.ZipFile(buffer)
+    schema, batches = readers.read_member(archive, archive.infolist()[0])
+    table = pa.Table.from_batches(list(batches), schema)
+    assert schema.types == [pa.string()] * 2
+    assert [column.to_pylist() for column in table.columns] == [["1"], ["2"]]
+    assert schema.names == next(csv.reader(io.StringIO(data.decode("utf-8-sig"), newline="")))
+    assert len(seen) == opened
