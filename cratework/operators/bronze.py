@@ -203,6 +203,7 @@ def load_archives(
     accepted = gated.where("refusal is null")
     splits = zips.plan_splits(accepted).persist()
     readable = splits.where("problem is null")
+    staging = Staging(spark, "pieces")
     try:
         datasets = (
             splits.groupBy("source_name", "dataset_name")
@@ -213,7 +214,7 @@ def load_archives(
 
         def load_dataset(dataset: Row) -> None:
             mine = _of_dataset(readable, dataset)
-            rows = zips.read_members(mine, dataset, schemas[dataset.dataset_name], json_limit=json_limit)
+            rows = zips.read_members(mine, dataset, schemas[dataset.dataset_name], json_limit=json_limit, staging=staging)
             write_rows(lineage(rows), f"{bronze}/{dataset.source_name}/{dataset.dataset_name}")
 
         side_by_side(load_dataset, datasets)
@@ -227,6 +228,7 @@ def load_archives(
         summary.write.parquet(run.format(LEDGER))
         summary.unpersist()
     finally:
+        staging.drop()
         splits.unpersist()
         gated.unpersist()
     return spark.read.parquet(run.format(LEDGER))

@@ -82,12 +82,12 @@ def orders_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load(
-    spark: SparkSession, lines: DataFrame, schemas: dict, run_id: str = "run-1"
+    spark: SparkSession, lines: DataFrame, schemas: dict, run_id: str = "run-1", pack=deliveries.pack_archives
 ) -> tuple[str, str, DataFrame]:
     """Pack, load and return (landing folder, bronze folder, ledger)."""
     configure(spark)
     root, target = fresh_folder(spark, "landing"), fresh_folder(spark, "bronze")
-    deliveries.pack_archives(lines, root)
+    pack(lines, root)
     ledger = bronze_ops.load_archives(zips.list_archives(spark, root), target, schemas, run_id, MOMENT)
     return root, target, ledger
 
@@ -197,7 +197,7 @@ def archive_json_large(spark: SparkSession, sf: str) -> DataFrame:
     names = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
     record = F.to_json(F.struct(*[money(c).alias(c) if c in ("l_quantity", "l_extendedprice") else F.col(c) for c in names]))
     lines = deliveries.as_json(df, key_of("lines", F.lit("all")), F.lit("all.json"), record)
-    _, target, _ = load(spark, lines, {"lines": text_schema(names)})
+    _, target, _ = load(spark, lines, {"lines": text_schema(names)}, pack=deliveries.pack_in_pieces)
     rows = bronze_ops.read_bronze(spark, target, "feed", "lines", text_schema(names))
     return rows.select(*names, "_source_file_name")
 

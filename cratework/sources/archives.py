@@ -8,13 +8,15 @@ does not hold up the others. Only the central directory is read to plan the spli
 
 A compressed member can only be unpacked from its start, but unpacking and parsing is
 the fast part: of a member above ``LARGE_MEMBER`` one task passes on parsed blocks,
-and many tasks turn them into rows and write them.
+and many tasks turn them into rows and write them. JSON takes long to parse, so of such
+a member one task only unpacks and cuts the text, and many tasks parse it.
 """
 
 from __future__ import annotations
 
 import contextlib
 import json
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -27,7 +29,10 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from cratework import files
 from cratework import fixed_values as fixed
 from cratework.functions import paths
-from cratework.sources.readers import CSV_BLOCK, Notes, Skipped, read_member
+from cratework.sources.readers import (
+    CSV_BLOCK, Notes, Skipped, _field, _record_batch, common_type, json_pieces, parse_piece, read_member,
+)
+from cratework.staging import Staging
 
 SPLIT_BYTES = 32 * 1024 * 1024
 SPLIT_MEMBERS = 1024
@@ -207,19 +212,26 @@ def size_of_work() -> list[Column]:
         F.sum(F.when(~large, split_size()).otherwise(0)).alias("small_bytes"),
         F.count_if(large).alias("n_large"),
         F.sum(F.when(large, split_size()).otherwise(0)).alias("large_bytes"),
+        F.sum(F.when(large, F.size(F.filter("members", _large_json))).otherwise(0)).alias("n_large_json"),
     ]
 
 
+def _large_json(member: Column) -> Column:
+    return (member["size"] > LARGE_MEMBER) & F.lower(member["member"]).endswith(".json")
+
+
 def read_members(
-    splits: DataFrame, work, data_schema: T.StructType, status: str = fixed.VALID, json_limit: int | None = None
-) -> DataFrame:
+    splits: DataFrame, work, data_schema: T.StructType, status: str = fixed.VALID, json_limit: int | None = None,
+    staging: Staging | None = None,
+) -> DataFrame:
     """Rows of every member that has exactly ``data_schema``, with routing columns.
 
     One pass over each member. A member that has another schema, holds no rows or
     breaks gives one row with null data and status ``unresolved``; if it breaks
     late, its earlier rows come out too, and the caller has to drop that archive. A member
     of which keys were dropped gives one more row, with status ``noted``.
-    ``work`` is a row of ``size_of_work`` over these splits.
+    ``work`` is a row of ``size_of_work`` over these splits. With ``staging``, large JSON members are parsed
+    by many tasks and their blocks kept there, to be let go by the caller once the rows are written.
     """
     spare = 2 * splits.sparkSession.sparkContext.defaultParallelism
 
@@ -230,7 +242,15 @@ def read_members(
     rows = read_rows(small, data_schema, status, json_limit)
     if not work.n_large:
         return rows
-    blocks = cut_blocks(spread(splits.where(split_size() > LARGE_MEMBER), work.n_large), data_schema, json_limit)
+    large = splits.where(split_size() > LARGE_MEMBER)
+    if staging is not None and work.n_large_json:
+        n = min(max(work.large_bytes // TASK_BYTES, spare), MAX_TASKS)
+        parsed, left = read_in_pieces(large, work.n_large_json, n, data_schema, json_limit, staging)
+        rows = rows.unionByName(rows_of_blocks(parsed, data_schema, status))
+        if left is None:
+            return rows
+        large = left
+    blocks = cut_blocks(spread(large, work.n_large), data_schema, json_limit)
     # Neighbouring blocks go to one task, so that a member gives files of about a task's size.
     run = F.floor(F.col("block") / (TASK_BYTES // CSV_BLOCK))
     n = tasks(work.large_bytes, work.large_bytes // TASK_BYTES + work.n_large)
@@ -312,6 +332,150 @@ def cut_blocks(splits: DataFrame, data_schema: T.StructType, json_limit: int | N
     return wanted.mapInArrow(lambda batches: over_members(batches, blocks), BLOCK_SCHEMA)
 
 
+# Marks of pieces: the member has to be read as a whole; it has another schema.
+WHOLE = "whole"
+OTHER = "other"
+PARSED_SCHEMA = BLOCK_SCHEMA + ", exact boolean, shape binary, dropped bigint"
+
+
+def read_in_pieces(
+    splits: DataFrame, n_members: int, n_tasks: int, data_schema: T.StructType, json_limit: int | None, staging: Staging
+) -> tuple[DataFrame, DataFrame | None]:
+    """(blocks as ``cut_blocks`` gives them of large JSON members, splits with what is left to read or None).
+
+    One task for each member unpacks it and cuts its text into pieces, which others parse. What all pieces
+    say together decides as one reader would: the columns are those of the first record, their types hold
+    for all. A member of which a piece cannot be parsed is left to be read as a whole.
+    """
+    cut = splits.withColumn("members", F.filter("members", _large_json)).where(F.size("members") > 0)
+    pieces = cut_pieces(spread(cut, n_members), json_limit).repartition(n_tasks, "path", "member", "block")
+    parsed = staging.write(parse_pieces(pieces, data_schema), f"parsed-{uuid.uuid4().hex[:12]}", compression="zstd")
+    said = staging.write(_say_of_members(parsed, data_schema), f"said-{uuid.uuid4().hex[:12]}")
+    states = {r["said"] for r in said.select("said").distinct().collect()}
+    names = [f.name for f in T.StructType.fromDDL(BLOCK_SCHEMA)]
+    good = parsed.where("payload is not null").select(*names)
+    if states != {fixed.VALID}:
+        good = good.join(said.where(F.col("said").isin(fixed.VALID, NOTED)).select("path", "member"), ["path", "member"], "left_semi")
+        marks = said.where(F.col("said").isin(UNRESOLVED, NOTED))
+        good = good.select(*names).unionByName(
+            marks.select(*names[:5], F.lit(0).alias("block"), F.col("said").alias("mark"), F.lit(None).cast("binary").alias("payload"))
+        )
+    if WHOLE in states:
+        found = said.where(F.col("said") == WHOLE).groupBy("path").agg(F.collect_set("member").alias("whole"))
+        whole = F.coalesce("whole", F.array().cast("array<string>"))
+        again = F.filter("members", lambda m: ~_large_json(m) | F.array_contains(whole, m["member"]))
+        left = splits.join(found, "path", "left").withColumn("members", again).drop("whole")
+    else:
+        left = splits.withColumn("members", F.filter("members", lambda m: ~_large_json(m)))
+    left = left.where(F.size("members") > 0)
+    return good, left if left.head(1) else None
+
+
+def cut_pieces(splits: DataFrame, json_limit: int | None = None) -> DataFrame:
+    """Texts of JSON members in pieces of a few MiB, in ``payload``; ``mark`` says that a member has to be read as a whole."""
+    out = to_arrow_schema(T.StructType.fromDDL(BLOCK_SCHEMA))
+
+    def pieces(row: dict, member: dict, archive, info) -> Iterator[pa.RecordBatch]:
+        labels = (row["path"], member["member"], row["zip_file_name"], row["ingest_date"], row["zip_name"])
+        for number, text in enumerate(json_pieces(archive, info, json_limit)):
+            mark = WHOLE if text is None else None
+            yield pa.RecordBatch.from_pylist([dict(zip(out.names, (*labels, number, mark, text)))], schema=out)
+
+    wanted = splits.select("path", "members", "zip_file_name", "ingest_date", "zip_name")
+    return wanted.mapInArrow(lambda batches: over_members(batches, pieces), BLOCK_SCHEMA)
+
+
+def parse_pieces(pieces: DataFrame, data_schema: T.StructType) -> DataFrame:
+    """Blocks of pieces of text, and what each piece says of its member's schema.
+
+    ``exact``: a block has just the expected types; ``shape``: its types, where they are others that
+    the expected ones can hold.
+    """
+    expected = to_arrow_schema(data_schema)
+    out = to_arrow_schema(T.StructType.fromDDL(PARSED_SCHEMA))
+    n_labels = len(T.StructType.fromDDL(BLOCK_SCHEMA)) - 2
+
+    def parsed(labels: list, block: int, text: bytes) -> list[dict]:
+        def row(mark=None, payload=None, exact=None, shape=None, dropped=0):
+            return dict(zip(out.names, (*labels, mark, payload, exact, shape, dropped)))
+
+        notes, found = Notes(), []
+        try:
+            if not block:
+                first, _ = json.JSONDecoder().raw_decode(text.decode("utf-8", "surrogatepass").lstrip())
+                if list(first) != expected.names:
+                    return [row(OTHER)]
+            for records in parse_piece(text, notes, expected.names):
+                own = pa.schema([pa.field(n, _field(records.type, n)) for n in expected.names])
+                exact, shape = own.equals(expected), None
+                if not exact:
+                    if not all(_holds(e.type, f.type) for e, f in zip(expected, own)):
+                        return [row(OTHER)]
+                    shape = own.serialize().to_pybytes()
+                    records = pa.array(records.to_pylist(), pa.struct(list(expected)))
+                found.append(row(None, _record_batch(records, expected).serialize().to_pybytes(), exact, shape))
+        except Exception:  # read as a whole, the member says what is wrong with it
+            return [row(WHOLE)]
+        found[-1]["dropped"] = notes.dropped_keys
+        return found
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                labels = [batch.column(c)[i].as_py() for c in range(n_labels)]
+                mark = batch.column("mark")[i].as_py()
+                if mark is not None:
+                    found = [dict(zip(out.names, (*labels, mark, None, None, None, 0)))]
+                else:
+                    found = parsed(labels, labels[-1], batch.column("payload")[i].as_py())
+                yield pa.RecordBatch.from_pylist(found, schema=out)
+
+    return pieces.mapInArrow(rows, PARSED_SCHEMA)
+
+
+def _holds(expected: pa.DataType, own: pa.DataType) -> bool:
+    """Whether values of a type become the expected one when they meet."""
+    try:
+        return common_type(expected, own).equals(expected)
+    except pa.ArrowInvalid:
+        return False
+
+
+def _say_of_members(parsed: DataFrame, data_schema: T.StructType) -> DataFrame:
+    """What all pieces of a member say together: valid, noted, unresolved or whole."""
+    expected = to_arrow_schema(data_schema)
+    labels = [f.name for f in T.StructType.fromDDL(BLOCK_SCHEMA)][:5]
+    shaped = F.when(~F.col("exact"), F.col("shape"))
+    per_member = parsed.groupBy(*labels).agg(
+        F.coalesce(F.bool_or(F.col("mark") == OTHER), F.lit(False)).alias("other"),
+        F.coalesce(F.bool_or(F.col("mark") == WHOLE), F.lit(False)).alias("whole"),
+        F.coalesce(F.bool_or("exact"), F.lit(False)).alias("exact"),
+        F.collect_set(shaped).alias("shapes"),
+        F.sum("dropped").alias("dropped"),
+    )
+    schema = ", ".join(f"{name} string" for name in (*labels, "said"))
+    out = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def say(row: dict) -> str:
+        if row["other"]:
+            return UNRESOLVED
+        if row["whole"]:
+            return WHOLE
+        kinds = [pa.null()] * len(expected)
+        for shape in [] if row["exact"] else row["shapes"]:
+            kinds = [common_type(a, f.type) for a, f in zip(kinds, pa.ipc.read_schema(pa.py_buffer(shape)))]
+        if not row["exact"] and not all(k.equals(e.type) for k, e in zip(kinds, expected)):
+            return UNRESOLVED
+        return NOTED if row["dropped"] else fixed.VALID
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [{**{n: row[n] for n in labels}, "said": say(row)} for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(found, schema=out)
+
+    return per_member.mapInArrow(rows, schema)
+
+
 def rows_of_blocks(blocks: DataFrame, data_schema: T.StructType, status: str = fixed.VALID) -> DataFrame:
     """Rows of parsed blocks, as ``read_rows`` gives them."""
     expected, out, schema = _row_schemas(data_schema)

@@ -29,9 +29,9 @@ class Staging:
         self.folder = fresh_folder(spark, name)
         _folders.add(self.folder)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -430,3 +430,46 @@ def test_unfinished_archives_are_left_out_by_filter_or_join(spark, tmp_path, mak
             marker.unlink()
     rows = bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", SCHEMAS["ds"], ["2026-01-01"])
     assert [r.zip_name for r in rows.collect()] == ["b"] and rows.columns[0] == "id"
+
+
+def test_large_json_members_are_parsed_by_many_tasks(spark, tmp_path, make_zip, load, monkeypatch):
+    """What pieces say together is what one reader says."""
+    monkeypatch.setattr(zips, "LARGE_MEMBER", 1_000_000)
+    parsed = []
+    parse = zips.parse_pieces
+    monkeypatch.setattr(zips, "parse_pieces", lambda pieces, schema: parsed.append(pieces) or parse(pieces, schema))
+    n = 70_000
+    rows = [b'{"id": %d, "b": "%s"}' % (i, b"x" * 60) for i in range(n)]
+    sep = b",\n"
+    members = {
+        "good": rows,
+        "late_key": [*rows, b'{"id": 1, "b": "y", "c": 5}'],  # dropped and counted
+        "late_null": [b'{"id": null, "b": "z"}', *rows, b'{"id": null, "b": null}'],
+        "void": [b'{"id": null, "b": "%s"}' % (b"x" * 60) for _ in range(n)],  # a column without a type
+        "late_kind": [*rows, b'{"id": 1, "b": {"deep": 1}}'],
+        "swapped": [b'{"b": "1", "id": 2}', *rows],
+        "torn": [*rows, b'{"id": 1'],
+        "odd": [*rows, b"7"],
+        "inner": [*rows, *[b'{"id": 0, "b": "\\"},{ }}"}'] * n],  # texts that look like ends of records
+    }
+    for name, lines in members.items():
+        make_zip(KEY.format(name), {"big.json": b"[" + (b"," if name == "inner" else sep).join(lines) + b"]"})
+    make_zip(KEY.format("mixed"), {"big.json": b"[" + sep.join(rows) + b"]", "big.csv": b"id,b\n" + b"1,2\n" * 300_000, "s.json": b'[{"id": 1, "b": 2}]'})
+    schemas = {"ds": contract.text_schema(["id", "b"])}
+    ledger = bronze.load_archives(zips.list_archives(spark, str(tmp_path / "landing")), str(tmp_path / "bronze"), schemas, "r", RUN)
+    got = {r["zip_name"]: (r["status"], r["invalid"], r["n_rows"]) for r in ledger.collect()}
+    assert got == {
+        "good": ("complete", 0, n), "late_key": ("complete", 0, n + 1), "late_null": ("complete", 0, n + 2),
+        "void": ("complete", 1, n), "late_kind": ("failed", 0, 0), "swapped": ("complete", 1, n + 1),
+        "torn": ("failed", 0, 0), "odd": ("failed", 0, 0), "inner": ("complete", 0, 2 * n),
+        "mixed": ("complete", 0, n + 300_001),
+    }
+    read = bronze.read_bronze(spark, str(tmp_path / "bronze"), "src", "ds", schemas["ds"])
+    counts = {r["zip_name"]: (r["n"], r["ids"]) for r in read.groupBy("zip_name").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).collect()}
+    assert counts == {
+        "good": (n, n), "late_key": (n + 1, n), "late_null": (n + 2, n), "inner": (2 * n, n), "mixed": (n + 300_001, n),
+    }
+    manifest = bronze.read_manifest(spark, str(tmp_path / "bronze"), "r")
+    assert {r["zip_name"] for r in manifest.where("dropped_keys = 1").collect()} == {"late_key"}
+    assert parsed[0].where("member = 'big.json'").groupBy("path").count().agg(F.max("count")).first()[0] > 1
+    assert not list((tmp_path / "bronze/src/ds").glob("*/*/schema_status=[un]*"))

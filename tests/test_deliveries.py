@@ -40,3 +40,31 @@ def test_csv_lines_look_for_quotes_in_texts_only(spark):
     ]
     assert lines._jdf.queryExecution().optimizedPlan().toString().count("replace(") == 3
     assert spark.range(1).select(deliveries.csv_line(F.lit('"'), F.lit(7), plain={1})).first()[0] == '"""","7"'
+
+
+def test_archives_packed_in_pieces_are_the_same(spark, tmp_path):
+    rows = [("f/a.zip", f"m{i % 3}", "[", ",\n", "]", None if i % 5 == 0 else f"é{i:05d}") for i in range(3000)]
+    rows += [("f/b.zip", "m0", "h\n", "\n", "\n", line) for line in ("z", "", "z")] + [("f/b.zip", "m1", "h", "", "", None)]
+    lines = spark.createDataFrame(rows, LINES)
+    by_one = deliveries.pack_archives(lines, str(tmp_path / "one"))
+    by_many = deliveries.pack_in_pieces(lines, str(tmp_path / "many"))
+    assert sorted(map(tuple, by_many.collect())) == sorted(map(tuple, by_one.collect()))
+    for name in ("f/a.zip", "f/b.zip"):
+        with zipfile.ZipFile(tmp_path / "one" / name) as one, zipfile.ZipFile(tmp_path / "many" / name) as many:
+            assert many.testzip() is None
+            assert many.namelist() == one.namelist()
+            for member in one.namelist():
+                assert many.read(member) == one.read(member)
+                assert many.getinfo(member).file_size == one.getinfo(member).file_size
+    assert not list(tmp_path.glob("many-pieces-*"))
+
+
+def test_large_table_is_packed_by_many_tasks(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    packed = []
+    put_together = deliveries._reported
+    monkeypatch.setattr(deliveries, "_reported", lambda written, root: packed.append(written) or put_together(written, root))
+    entry.queries()["archive_json_large"](spark, "/root/testdata/sf0.001").count()
+    plan = packed[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "start#" in plan and "line#" not in plan  # the archive's one task sees pieces, not lines

@@ -277,3 +277,32 @@ def test_csv_with_a_plain_header_is_parsed_once(monkeypatch, data, opened):
     assert [column.to_pylist() for column in table.columns] == [["1"], ["2"]]
     assert schema.names == next(csv.reader(io.StringIO(data.decode("utf-8-sig"), newline="")))
     assert len(seen) == opened
+
+
+def test_json_pieces_hold_whole_records(tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "JSON_CHUNK", 64)
+
+    def pieces(text: bytes):
+        with zipfile.ZipFile(tmp_path / "p.zip", "w") as archive:
+            archive.writestr("a.json", text)
+        with zipfile.ZipFile(tmp_path / "p.zip") as archive:
+            return list(readers.json_pieces(archive, archive.infolist()[0]))
+
+    def parsed(found):
+        return [row for piece in found for rows in readers.parse_piece(piece, readers.Notes(), ["a", "b", "c"]) for row in rows.to_pylist()]
+
+    for between in (", ", ",", ",\n", " ,\t"):
+        rows = ["{" + f'"a": {i}, "b": "é{{}}", "c": [{{"x": 1}}{between}{{"x": 2}}]' + "}" for i in range(100)]
+        found = pieces((" [" + between.join(rows) + "]\n").encode())
+        assert None not in found and len(found) > 10, between
+        assert [r["a"] for r in parsed(found)] == [str(i) for i in range(100)], between
+    whole = (b"", b"[]", b"[{}]", b'{"a": 1}', b'[{"a": 1}]', b'[1, {"a": 1}]', '[{"a": 1}, {"a": 2}]'.encode("utf-16"), b'\xef\xbb\xbf[{"a": 1},{"a": 2}]')
+    assert all(pieces(text) == [None] for text in whole)
+    assert pieces(b'[{"a": 1},{"a": 2}] x')[-1] is None
+    rows = b",".join(b'{"a": %d}' % i for i in range(100))
+    with zipfile.ZipFile(tmp_path / "p.zip", "w") as archive:
+        archive.writestr("a.json", b"[" + rows + b"]")
+        archive.writestr("a.txt", b"[" + rows + b"]")
+    with zipfile.ZipFile(tmp_path / "p.zip") as archive:
+        assert list(readers.json_pieces(archive, archive.infolist()[0], 100)) == [None]
+        assert list(readers.json_pieces(archive, archive.infolist()[1])) == [None]
