@@ -8,11 +8,13 @@ to anything; joins give no broadcast hint, Spark's own size check decides.
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratework.operators import history
+from cratework.staging import Staging
 
 # Fixed values of the business case.
 STOCK_CAP_DAYS = 21
@@ -57,12 +59,18 @@ def sell_in(
     product: DataFrame,
     brand: DataFrame,
     dosage_form: DataFrame,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Denormalised shipment lines: what was shipped, when, where, of which batch and product.
 
     Master tables are folded into one place table and one goods table first, so the
     facts meet few joins. No line is lost: what a line's keys do not lead to is null.
+
+    Lines with their shipments and order items are written before they meet the rest, and the shuffle
+    files of these joins let go: the disk holds those of one half of the joins at a time. ``columns``
+    (None: all) are the ones wanted; others are not written.
     """
+    staging = Staging(shipment_item.sparkSession, "sell-in")
     place = (
         customer_warehouse.join(address, "address_id", "left")
         .join(region, "region_id", "left")
@@ -80,13 +88,17 @@ def sell_in(
     ordered = customer_order.select("customer_order_id", "order_number", "customer_id", "customer_warehouse_id").join(
         place, "customer_warehouse_id", "left"
     )
-    facts = (
+    shipped = (
         shipment_item.select("shipment_item_id", "shipment_id", "order_item_id", "batch_id", "shipped_quantity")
         .join(shipment.select("shipment_id", "shipment_number", "ship_timestamp"), "shipment_id", "left")
         .join(order_item.select("order_item_id", "customer_order_id", "price_list_id"), "order_item_id", "left")
-        .join(ordered, "customer_order_id", "left")
-        .join(goods, "batch_id", "left")
     )
+    wanted = set(columns or shipped.columns) | {"customer_order_id", "batch_id"}
+    lines = staging.write(shipped.select(*[c for c in shipped.columns if c in wanted]), "lines", compression="zstd")
+    staging.free_shuffles()
+    facts = lines.join(ordered, "customer_order_id", "left").join(goods, "batch_id", "left")
+    if columns is not None:
+        return facts.select(*columns)
     first = ["batch_id", "customer_warehouse_id", "customer_order_id"]
     return facts.select(*first, *[c for c in facts.columns if c not in first])
 

@@ -396,9 +396,12 @@ def sell_in_mart(spark, sf):
     )
     tables = {name: getattr(erp, name)(spark, sf) for name in views}
     tables["order_item"] = tables["order_item"].withColumn("price_list_id", F.lit(None).cast("bigint"))
-    return marts.sell_in(**tables).select(
+    names = (
         "order_number", "sales_territory", "region_name", "brand_name", "dosage_form_name", "batch_number", "gtin",
-        "customer_warehouse_code", day_text("ship_timestamp").alias("ship_day"), "shipped_quantity",
+        "customer_warehouse_code",
+    )
+    return marts.sell_in(**tables, columns=(*names, "ship_timestamp", "shipped_quantity")).select(
+        *names, day_text("ship_timestamp").alias("ship_day"), "shipped_quantity",
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,11 @@ class Staging:
         df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def free_shuffles(self) -> None:
+        """Shuffle files of plans that nobody holds go when the driver collects its garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self) -> None:
         files.delete_tree(self.folder)
         _folders.discard(self.folder)

@@ -86,3 +86,42 @@ def test_orders_meet_their_places_before_the_shipped_lines_do(spark):
     plan = entry.queries()["sell_in_mart"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     joins = re.findall(r"Join LeftOuter, \((\w+)#", plan)
     assert joins.index("customer_order_id") < joins.index("customer_warehouse_id")  # the outer one comes first
+
+
+def test_shipped_lines_are_written_half_way(spark):
+    """The shuffles of shipments and order items are over, and can go, before orders and goods are shuffled."""
+    from cratework.plans import marts
+
+    df = entry.queries()["sell_in_mart"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not {"shipment_id", "order_item_id"} & set(re.findall(r"Join LeftOuter, \((\w+)#", plan))
+    assert "shipment_number" not in plan and "price_list_id" not in plan
+    views = {
+        "shipment_item": "shipment_item_id int, shipment_id int, order_item_id int, batch_id int, shipped_quantity int",
+        "shipment": "shipment_id int, shipment_number string, ship_timestamp timestamp",
+        "order_item": "order_item_id int, customer_order_id int, price_list_id int",
+        "customer_order": "customer_order_id int, order_number string, customer_id int, customer_warehouse_id int",
+        "customer_warehouse": "customer_warehouse_id int, customer_warehouse_code string, address_id int",
+        "address": "address_id int, region_id int",
+        "region": "region_id int, region_name string, sales_territory string",
+        "batch": "batch_id int, batch_number string, expiry_date date, product_id int",
+        "product": "product_id int, gtin string, product_name string, brand_id int, dosage_form_id int",
+        "brand": "brand_id int, brand_name string",
+        "dosage_form": "dosage_form_id int, dosage_form_name string",
+    }
+    rows = {
+        "shipment_item": [(1, 1, 1, 1, 5), (2, None, 9, None, 6), (None, 1, 1, 2, None)],
+        "shipment": [(1, "S1", None)],
+        "order_item": [(1, 1, 7)],
+        "customer_order": [(1, "O1", 3, 4)],
+        "batch": [(1, "B1", None, None)],
+    }
+    tables = {name: spark.createDataFrame(rows.get(name, []), ddl) for name, ddl in views.items()}
+    every = marts.sell_in(**tables)
+    some = marts.sell_in(**tables, columns=["batch_number", "shipped_quantity", "order_number"])
+    assert some.columns == ["batch_number", "shipped_quantity", "order_number"]
+    assert every.columns[:3] == ["batch_id", "customer_warehouse_id", "customer_order_id"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, some.collect()), key=key) == sorted([("B1", 5, "O1"), (None, 6, None), (None, None, "O1")], key=key)
+    assert sorted(map(tuple, every.select(*some.columns).collect()), key=key) == sorted(map(tuple, some.collect()), key=key)
+    assert {r["shipment_number"] for r in every.collect()} == {"S1", None}
