@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from cratework.operators.bronze import side_by_side
 from cratework.session import fresh_folder
 from cratework.sources.erp import TABLES
+from cratework.staging import free_shuffles
 
 # Identifiers that are made of several keys; text in a snapshot.
 KEY_TEXTS = (
@@ -258,7 +259,8 @@ def write_snapshot(spark: SparkSession, sf: str) -> str:
     folder = fresh_folder(spark, "erp")
 
     def write(name: str) -> None:
-        erp_table(spark, sf, name).write.parquet(f"{folder}/{name}")
+        erp_table(spark, sf, name).write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        free_shuffles(spark)
 
     side_by_side(write, list(TABLES))
     return folder

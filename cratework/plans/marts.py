@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratework.operators import history
-from cratework.staging import Staging
+from cratework.staging import Staging, free_shuffles
 
 # Fixed values of the business case.
 STOCK_CAP_DAYS = 21
@@ -95,7 +95,7 @@ def sell_in(
     )
     wanted = set(columns or shipped.columns) | {"customer_order_id", "batch_id"}
     lines = staging.write(shipped.select(*[c for c in shipped.columns if c in wanted]), "lines", compression="zstd")
-    staging.free_shuffles()
+    free_shuffles(staging.spark)
     facts = lines.join(ordered, "customer_order_id", "left").join(goods, "batch_id", "left")
     if columns is not None:
         return facts.select(*columns)

@@ -22,6 +22,12 @@ def _clear() -> None:
             files.delete_tree(folder)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of plans that nobody holds go when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Staging:
     """Written tables cut the lineage and outlive lost executors."""
 
@@ -35,11 +41,6 @@ class Staging:
         df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def free_shuffles(self) -> None:
-        """Shuffle files of plans that nobody holds go when the driver collects its garbage."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self) -> None:
         files.delete_tree(self.folder)
         _folders.discard(self.folder)

@@ -118,3 +118,35 @@ def test_snapshot_and_options(spark, tables, tmp_path):
     assert erp.publish_options("jdbc:x", "mart")["truncate"] == "true"
     erp.publish_mart(tables["brand"], "brands", folder=str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "brands")).count() == 1
+
+
+def test_keys_are_counted_in_passes_and_buckets(spark, monkeypatch):
+    """As few as fit at a time; the counts are those of plain groups and anti joins."""
+    monkeypatch.setattr(quality, "PASS_USES", 900)
+    monkeypatch.setattr(quality, "TASK_USES", 64)
+    passes = []
+    monkeypatch.setattr(quality, "pack_uses", lambda df, uses, bits, pack=quality.pack_uses: passes.append((uses, bits)) or pack(df, uses, bits))
+    one = [(i % 90 if i % 7 else None, f"t{i % 50}", i % 3) for i in range(400)] + [(7, "hot", 1)] * 200
+    two = [(i, None if i % 9 == 0 else f"t{i % 60}", i % 4) for i in range(0, 120, 2)]
+    two += two[:5]
+    tables = {"one": spark.createDataFrame(one, "a bigint, b string, c int"), "two": spark.createDataFrame(two, "x bigint, y string, z int")}
+    rules = {
+        "one": erp.Table("a bigint, b string, c int", ("a", "b", "c"), (("a", "b"), ("b",)), (
+            erp.ForeignKey(("a",), "two", ("x",)), erp.ForeignKey(("b", "c"), "two", ("y", "z")), erp.ForeignKey(("b",), "one", ("b",)),
+        )),
+        "two": erp.Table("x bigint, y string, z int", ("x", "y", "z"), (("x",), ("y", "z"), ("z",)), (erp.ForeignKey(("x",), "one", ("a",)),)),
+    }
+    report = quality.constraint_report(tables, rules)
+    got = {(r["table_name"], r["rule_kind"], r["rule"]): r["violations"] for r in report.collect()}
+    want = {}
+    for name, table in rules.items():
+        for keys in table.unique:
+            want[name, "unique", ", ".join(keys)] = quality.duplicate_keys(tables[name], list(keys)).count()
+        for key in table.foreign:
+            rule = f"{', '.join(key.columns)} -> {key.parent}"
+            want[name, "foreign", rule] = quality.orphans(tables[name], tables[key.parent], key).count()
+    assert got == want
+    assert all(want[k] for k in want if k != ("one", "foreign", "b -> one"))
+    assert len(passes) > 2 and max(bits for _, bits in passes) > 2
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {r["violations"] for r in quality.constraint_report(empty, rules).collect()} == {0}
