@@ -32,7 +32,7 @@ from cratework.functions import paths
 from cratework.sources.readers import (
     CSV_BLOCK, Notes, Skipped, _field, _record_batch, common_type, json_pieces, parse_piece, read_member,
 )
-from cratework.staging import Staging
+from cratework.staging import Staging, free_shuffles
 
 SPLIT_BYTES = 32 * 1024 * 1024
 SPLIT_MEMBERS = 1024
@@ -349,8 +349,9 @@ def read_in_pieces(
     """
     cut = splits.withColumn("members", F.filter("members", _large_json)).where(F.size("members") > 0)
     pieces = cut_pieces(spread(cut, n_members), json_limit).repartition(n_tasks, "path", "member", "block")
-    parsed = staging.write(parse_pieces(pieces, data_schema), f"parsed-{uuid.uuid4().hex[:12]}", compression="zstd")
+    parsed = staging.write(parse_pieces(pieces, data_schema), f"parsed-{uuid.uuid4().hex[:12]}")
     said = staging.write(_say_of_members(parsed, data_schema), f"said-{uuid.uuid4().hex[:12]}")
+    free_shuffles(splits.sparkSession)
     states = {r["said"] for r in said.select("said").distinct().collect()}
     names = [f.name for f in T.StructType.fromDDL(BLOCK_SCHEMA)]
     good = parsed.where("payload is not null").select(*names)
